@@ -94,3 +94,178 @@ def q_active_vessel_weeks(spark, sf_dir):
     return w.groupBy("imo").agg(F.count(F.lit(1)).alias("n_weeks"), F.sum("n_pings").alias("n_pings"),
                                 F.min("week_start").alias("first_week"),
                                 F.max("week_start").alias("last_week"))
+
+
+# ---------------------------------------------------------------- drift
+from ..config import MODEL_FEATURES  # noqa: E402
+from ..operators import drift as D  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+from . import oracle_drift as OD  # noqa: E402
+
+WEEKLY_BASELINE_DAYS = 14  # the first two weeks of the weekly table are the baseline
+LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+DOMAIN = ["Cargo", "Tanker", "Fishing", "Passenger", "Sailing"]  # one absent class, one unlisted
+TS_FEATURE = "sog_median"
+
+
+def weekly_with_baseline(spark, sf_dir):
+    """Weekly table and its baseline slice (first weeks, found by a scalar subquery)."""
+    w = weekly(spark, sf_dir)
+    first = w.select(F.min("week_start")).scalar()
+    base = w.where(F.col("week_start") < F.date_add(first, WEEKLY_BASELINE_DAYS))
+    return w, base
+
+
+def lineitem_monthly(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        *LI_FEATURES, "l_returnflag", "l_linestatus",
+        F.to_date(F.date_trunc("month", "l_shipdate")).alias("period"),
+        F.year("l_shipdate").alias("_y"))
+    first = li.select(F.min("_y")).scalar()
+    return li, li.where(F.col("_y") == first)
+
+
+def drifted_events(spark, sf_dir):
+    """events.value scaled by (1 + 0.3 * weeks since the first week): known drift."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_type", "value", F.to_date(F.date_trunc("week", "ts")).alias("period"))
+    first = ev.select(F.min("period")).scalar()
+    idx = F.floor(F.datediff("period", first) / 7)
+    ev = ev.withColumn("value", F.col("value") * (1 + 0.3 * idx))
+    return ev, ev.where(F.col("period") == first)
+
+
+def psi_by_class_df(spark, sf_dir, measure="psi"):
+    w, base = weekly_with_baseline(spark, sf_dir)
+    bins, _ = D.build_baselines(base, MODEL_FEATURES, class_col="ship_type")
+    return D.monitor_numeric(w, bins, MODEL_FEATURES, "week_start", class_col="ship_type", measure=measure)
+
+
+# oracle building blocks
+_WSRC = ("wsrc", "SELECT ship_type AS class, week_start AS period, * FROM weekly")
+_WBASE = ("wbase", f"SELECT * FROM wsrc WHERE period < (SELECT min(period) FROM wsrc) + {WEEKLY_BASELINE_DAYS}")
+_WSRC_P = ("wsrc", "SELECT '__all__' AS class, week_start AS period, * FROM weekly")
+_LI = ("lsrc", "SELECT l_returnflag AS class, l_linestatus AS pred, "
+               "CAST(date_trunc('month', l_shipdate) AS DATE) AS period, year(l_shipdate) AS _y, "
+               + ", ".join(LI_FEATURES) + " FROM lineitem")
+_LIBASE = ("lbase", "SELECT * FROM lsrc WHERE _y = (SELECT min(_y) FROM lsrc)")
+_EV = ("esrc", """SELECT event_type AS class, period,
+  value * (1 + 3e-1 * floor(date_diff('day', (SELECT min(CAST(date_trunc('week', ts) AS DATE)) FROM events), period) / 7))
+    AS value
+FROM (SELECT *, CAST(date_trunc('week', ts) AS DATE) AS period FROM events) t""")
+_EVBASE = ("ebase", "SELECT * FROM esrc WHERE period = (SELECT min(period) FROM esrc)")
+
+
+def _pooled_ctes():
+    return _W + [_WSRC_P, _WBASE] + OD.baseline_ctes("wbase", MODEL_FEATURES)
+
+
+def _by_class_ctes(kind="psi"):
+    return (_W + [_WSRC, _WBASE] + OD.baseline_ctes("wbase", MODEL_FEATURES)
+            + OD.monitor_ctes("wsrc", MODEL_FEATURES, kind))
+
+
+@register("reference_bins", rounded(with_ctes(_pooled_ctes(), "SELECT * FROM bins"),
+                                    ["lo", "hi", "ref_prop"]))
+def q_reference_bins(spark, sf_dir):
+    _, base = weekly_with_baseline(spark, sf_dir)
+    bins, _ = D.build_baselines(base, MODEL_FEATURES)
+    return bins
+
+
+@register("bin_proportions", rounded(with_ctes(
+    _pooled_ctes() + OD.monitor_ctes("wsrc", MODEL_FEATURES),
+    "SELECT period, feature, bin, n, CASE WHEN total > 0 THEN n / total END AS proportion FROM dense"),
+    ["proportion"]))
+def q_bin_proportions(spark, sf_dir):
+    w, base = weekly_with_baseline(spark, sf_dir)
+    bins, _ = D.build_baselines(base, MODEL_FEATURES)
+    long_df = D.to_long(w, MODEL_FEATURES, None, "week_start")
+    cells = D._cells(w, MODEL_FEATURES, None, "week_start")
+    dense = D._dense_comparison(long_df, cells, bins)
+    return dense.select("period", "feature", "bin", "n", F.col("comp_prop").alias("proportion"))
+
+
+@register("class_proportions", rounded(with_ctes(_W, f"""SELECT p.week_start, d.class,
+  coalesce(c.n, 0) AS n,
+  coalesce(coalesce(c.n, 0) / nullif(sum(coalesce(c.n, 0)) OVER (PARTITION BY p.week_start), 0), 0) AS proportion
+FROM (SELECT DISTINCT week_start FROM weekly) p
+CROSS JOIN (VALUES {', '.join(f"('{c}')" for c in DOMAIN)}) d(class)
+LEFT JOIN (SELECT week_start, ship_type AS class, count(*) AS n FROM weekly GROUP BY ALL) c
+  ON c.week_start = p.week_start AND c.class = d.class"""), ["proportion"]))
+def q_class_proportions(spark, sf_dir):
+    w = weekly(spark, sf_dir)
+    return D.class_shares(w, "ship_type", DOMAIN, "week_start").select(
+        "week_start", "class", "n", F.col("ref_prop").alias("proportion"))
+
+
+@register("psi_pooled", rounded(with_ctes(_pooled_ctes() + OD.monitor_ctes("wsrc", MODEL_FEATURES),
+                                          "SELECT * FROM scored"), ["psi"]))
+def q_psi_pooled(spark, sf_dir):
+    w, base = weekly_with_baseline(spark, sf_dir)
+    bins, _ = D.build_baselines(base, MODEL_FEATURES)
+    return D.monitor_numeric(w, bins, MODEL_FEATURES, "week_start")
+
+
+@register("psi_by_class", rounded(with_ctes(_by_class_ctes(), "SELECT * FROM scored"), ["psi"]))
+def q_psi_by_class(spark, sf_dir):
+    return psi_by_class_df(spark, sf_dir)
+
+
+@register("psi_predicted_class", rounded(with_ctes([_LI, _LIBASE] + OD.predicted_ctes("lbase", "lsrc"),
+                                                   "SELECT * FROM pscored"), ["psi"]))
+def q_psi_predicted_class(spark, sf_dir):
+    li, base = lineitem_monthly(spark, sf_dir)
+    classes = D.class_shares(base.where(F.col("l_linestatus").isNotNull()), "l_linestatus")
+    return D.monitor_predicted_class(li, classes, "l_linestatus", "period")
+
+
+@register("psi_all_features", rounded(with_ctes(
+    [_LI, _LIBASE] + OD.baseline_ctes("lbase", LI_FEATURES) + OD.monitor_ctes("lsrc", LI_FEATURES)
+    + OD.predicted_ctes("lbase", "lsrc"),
+    "SELECT * FROM scored UNION ALL SELECT * FROM pscored"), ["psi"]))
+def q_psi_all_features(spark, sf_dir):
+    li, base = lineitem_monthly(spark, sf_dir)
+    bins, classes = D.build_baselines(base, LI_FEATURES, class_col="l_returnflag",
+                                      predicted_class_col="l_linestatus")
+    return D.monitor_all_features(li, bins, LI_FEATURES, "period", class_col="l_returnflag",
+                                  predicted_class_col="l_linestatus", classes=classes)
+
+
+@register("class_balance", rounded(with_ctes(_W, """SELECT ship_type, week_start, n,
+  sum(n) OVER (PARTITION BY week_start) AS total, n / sum(n) OVER (PARTITION BY week_start) AS proportion
+FROM (SELECT ship_type, week_start, count(*) AS n FROM weekly GROUP BY ALL) t"""), ["proportion"]))
+def q_class_balance(spark, sf_dir):
+    return D.class_balance(weekly(spark, sf_dir), "ship_type", "week_start")
+
+
+@register("drift_alarms", rounded(with_ctes(
+    [_EV, _EVBASE] + OD.baseline_ctes("ebase", ["value"]) + OD.monitor_ctes("esrc", ["value"]),
+    """SELECT *, 'DRIFT FLAGGED - period ' || CAST(period AS VARCHAR) || ', ' || class || ': ' || feature
+  || ' (PSI ' || printf('%.2f', psi) || ')' AS alarm
+FROM scored WHERE psi > 25e-2"""), ["psi"]))
+def q_drift_alarms(spark, sf_dir):
+    ev, base = drifted_events(spark, sf_dir)
+    bins, _ = D.build_baselines(base, ["value"], class_col="event_type")
+    res = D.monitor_numeric(ev, bins, ["value"], "period", class_col="event_type")
+    return D.check_drift(res)
+
+
+@register("drift_rank", rounded(with_ctes(_by_class_ctes(),
+                                          "SELECT feature, class, max(psi) AS max_psi FROM scored GROUP BY ALL"),
+                                ["max_psi"]))
+def q_drift_rank(spark, sf_dir):
+    return D.rank_by_drift(psi_by_class_df(spark, sf_dir))
+
+
+@register("psi_timeseries", rounded(with_ctes(_by_class_ctes(), f"""SELECT period, class, psi,
+  CASE WHEN psi IS NULL THEN NULL WHEN psi < 1e-1 THEN 'stable' WHEN psi < 25e-2 THEN 'moderate'
+       ELSE 'significant' END AS band
+FROM scored WHERE feature = '{TS_FEATURE}'"""), ["psi"]))
+def q_psi_timeseries(spark, sf_dir):
+    return D.psi_timeseries(psi_by_class_df(spark, sf_dir), TS_FEATURE)
+
+
+@register("kl_by_class", rounded(with_ctes(_by_class_ctes("kl"), "SELECT * FROM scored"), ["kl"]))
+def q_kl_by_class(spark, sf_dir):
+    return psi_by_class_df(spark, sf_dir, measure="kl")

@@ -25,6 +25,10 @@ def _nearest(q_: str) -> str:
     return f"_s[CAST(floor((_ns - 1) * {q_} + 5e-1) AS BIGINT) + 1]"
 
 
+def fixed_mean(x: str) -> str:
+    return f"CAST(sum(CAST(round({x} * 1e9) AS BIGINT)) AS DOUBLE) / count({x}) / 1e9"
+
+
 def weekly_ctes(min_pings: int, source_cte: str = "vpings") -> list[tuple[str, str]]:
     pmod = "CASE WHEN (heading - cog + 18e1) % 36e1 < 0 THEN (heading - cog + 18e1) % 36e1 + 36e1 " \
            "ELSE (heading - cog + 18e1) % 36e1 END"
@@ -35,18 +39,18 @@ def weekly_ctes(min_pings: int, source_cte: str = "vpings") -> list[tuple[str, s
     agg = f"""SELECT imo, week_start,
   max(draught) AS max_draught, min(draught) AS min_draught,
   max(draught) - min(draught) AS draught_variability,
-  avg(CASE WHEN sog > 5e-1 THEN sog END) AS mean_moving_speed,
+  {fixed_mean("CASE WHEN sog > 5e-1 THEN sog END")} AS mean_moving_speed,
   max(sog) AS max_speed, stddev_samp(sog) AS std_speed,
   list_sort(list(sog) FILTER (WHERE sog IS NOT NULL)) AS _s, count(sog) AS _ns,
   count_if(sog < 1e0) / count(*) AS frac_time_slow,
   count_if(sog > 1e1) / count(*) AS frac_time_fast,
-  stddev_samp(cog) AS cog_variability, avg(abs(rot)) AS rot_mean_abs,
+  stddev_samp(cog) AS cog_variability, {fixed_mean("abs(rot)")} AS rot_mean_abs,
   stddev_samp(abs(rot)) AS rot_std,
-  avg(abs(({pmod}) - 18e1)) AS heading_cog_diff_mean,
+  {fixed_mean(f"abs(({pmod}) - 18e1)")} AS heading_cog_diff_mean,
   count(DISTINCT nav_status) + max(CASE WHEN nav_status IS NULL THEN 1 ELSE 0 END) AS n_nav_statuses,
   {status},
   stddev_samp(latitude) AS lat_std, stddev_samp(longitude) AS lon_std,
-  avg(latitude) AS lat_mean, avg(longitude) AS lon_mean,
+  {fixed_mean("latitude")} AS lat_mean, {fixed_mean("longitude")} AS lon_mean,
   (max(latitude) - min(latitude)) * (max(longitude) - min(longitude)) AS bbox_area,
   {cargo},
   count(ts) AS n_pings,
