@@ -269,3 +269,93 @@ def q_psi_timeseries(spark, sf_dir):
 @register("kl_by_class", rounded(with_ctes(_by_class_ctes("kl"), "SELECT * FROM scored"), ["kl"]))
 def q_kl_by_class(spark, sf_dir):
     return psi_by_class_df(spark, sf_dir, measure="kl")
+
+
+# ---------------------------------------------------------------- splits and samples
+from ..operators import splits as S  # noqa: E402
+
+TRAIN_BOX = (55.0, 56.2, 8.0, 13.0)   # lat_min, lat_max, lon_min, lon_max
+TEST_BOX = (56.0, 58.0, 8.0, 13.0)    # overlaps the train box in 56.0-56.2
+SPLIT_DAYS = 14
+LI_TRAIN_MONTHS, LI_TEST_MONTH = [1, 2, 3], 6
+SAMPLE_PER_CLASS = 200
+
+
+def _md5(cols: list[str], seed: int = 42) -> str:
+    parts = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return f"md5(concat_ws('|', {parts}, '{seed}'))"
+
+
+_WKEY = "imo, week_start, ship_type"
+
+
+@register("split_random", with_ctes(_W, f"""SELECT {_WKEY},
+  CASE WHEN rn <= round_even(n * 2e-1, 0) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT {_WKEY}, row_number() OVER (PARTITION BY ship_type ORDER BY {_md5(['imo', 'week_start'])}, imo,
+  week_start) AS rn, count(*) OVER (PARTITION BY ship_type) AS n FROM weekly) t"""))
+def q_split_random(spark, sf_dir):
+    w = weekly(spark, sf_dir, groups=["identity"]).select("imo", "week_start", "ship_type")
+    return S.split_random(w, "ship_type", ["imo", "week_start"])
+
+
+@register("split_temporal", with_ctes(_W, f"""SELECT {_WKEY},
+  CASE WHEN week_start < (SELECT min(week_start) FROM weekly) + {SPLIT_DAYS} THEN 'train' ELSE 'test' END AS split
+FROM weekly"""))
+def q_split_temporal(spark, sf_dir):
+    w = weekly(spark, sf_dir, groups=["identity"]).select("imo", "week_start", "ship_type")
+    cutoff = F.date_add(w.select(F.min("week_start")).scalar(), SPLIT_DAYS)
+    return S.split_temporal(w, "week_start", cutoff)
+
+
+def _box(b):
+    return (f"lat_mean BETWEEN {b[0]} AND {b[1]} AND lon_mean BETWEEN {b[2]} AND {b[3]}")
+
+
+@register("split_geographic", with_ctes(_W, f"""SELECT {_WKEY}, 'train' AS split FROM weekly WHERE {_box(TRAIN_BOX)}
+UNION ALL SELECT {_WKEY}, 'test' AS split FROM weekly WHERE {_box(TEST_BOX)}"""))
+def q_split_geographic(spark, sf_dir):
+    w = weekly(spark, sf_dir, groups=["identity", "spatial"])
+    return S.split_geographic(w, TRAIN_BOX, TEST_BOX).select("imo", "week_start", "ship_type", "split")
+
+
+_TYPES_VALUES = ", ".join(f"('{t}')" for t in ["Cargo", "Tanker", "Fishing", "Tug", "Passenger"])
+
+
+@register("split_compositional", with_ctes(_W + [
+    ("tot", "SELECT count(*) AS big_n FROM weekly"),
+    ("cnt", f"""SELECT d.c AS ship_type, coalesce(x.n, 0) AS n FROM (VALUES {_TYPES_VALUES}) d(c)
+LEFT JOIN (SELECT ship_type, count(*) AS n FROM weekly GROUP BY 1) x ON x.ship_type = d.c"""),
+    ("cut", "SELECT ship_type, n, CAST(round_even(n / big_n * floor(big_n * 2e-1), 0) AS BIGINT) AS t FROM cnt, tot"),
+    ("mm", "SELECT greatest(min(n - t), 0) AS m FROM cut"),
+    ("r", f"""SELECT {_WKEY}, row_number() OVER (PARTITION BY ship_type ORDER BY {_md5(['imo', 'week_start'])},
+  imo, week_start) AS rn FROM weekly WHERE ship_type IN (SELECT c FROM (VALUES {_TYPES_VALUES}) d(c))"""),
+], """SELECT r.imo, r.week_start, r.ship_type, CASE WHEN rn <= t THEN 'test' ELSE 'train' END AS split
+FROM r JOIN cut USING (ship_type), mm WHERE rn <= t + m"""))
+def q_split_compositional(spark, sf_dir):
+    w = weekly(spark, sf_dir, groups=["identity"]).select("imo", "week_start", "ship_type")
+    return S.split_compositional(w, "ship_type", ["imo", "week_start"])
+
+
+@register("split_months", f"""SELECT l_orderkey, l_linenumber, l_shipdate,
+  CASE WHEN month(l_shipdate) IN ({', '.join(map(str, LI_TRAIN_MONTHS))}) THEN 'train' ELSE 'test' END AS split
+FROM lineitem WHERE month(l_shipdate) IN ({', '.join(map(str, LI_TRAIN_MONTHS))}) OR month(l_shipdate) = {LI_TEST_MONTH}""")
+def q_split_months(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return S.split_months(li, "l_shipdate", LI_TRAIN_MONTHS, LI_TEST_MONTH)
+
+
+@register("split_region", with_ctes(_W, f"""SELECT {_WKEY}, region, CASE WHEN region = 'south' THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, CASE WHEN lat_mean >= 56 THEN 'north' ELSE 'south' END AS region FROM weekly) t"""))
+def q_split_region(spark, sf_dir):
+    w = weekly(spark, sf_dir, groups=["identity", "spatial"])
+    w = w.withColumn("region", F.when(F.col("lat_mean") >= 56, "north").otherwise("south"))
+    return S.split_region(w, "south", "north").select("imo", "week_start", "ship_type", "region", "split")
+
+
+@register("sample_stratified", f"""SELECT l_orderkey, l_linenumber, l_returnflag FROM (
+  SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_returnflag
+    ORDER BY {_md5(['l_orderkey', 'l_linenumber'])}, l_orderkey, l_linenumber) AS rn FROM lineitem) t
+WHERE rn <= {SAMPLE_PER_CLASS}""")
+def q_sample_stratified(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return S.sample_stratified(li, "l_returnflag", ["l_orderkey", "l_linenumber"], SAMPLE_PER_CLASS)
