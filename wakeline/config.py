@@ -12,6 +12,7 @@ Fixed values (stated in natural order, do not reorder):
 - PSI cut-offs 0.10 (stable) and 0.25 (significant); PSI epsilon 1e-6; 10 bins
 - reserved class label ``__all__`` and feature label ``__predicted_class_balance__``
 - the 29 model input features, in the order of the feature schema file
+- the 22 features profiled by the statistics (box plots, ANOVA, Kruskal-Wallis)
 """
 
 SHIP_TYPES = ["Cargo", "Tanker", "Fishing", "Tug", "Passenger"]
@@ -77,6 +78,31 @@ MODEL_FEATURES = [
     "sog_p10",
 ]
 
+ANALYSIS_FEATURES = [
+    "mean_moving_speed",
+    "sog_p10",
+    "sog_median",
+    "sog_p90",
+    "frac_time_slow",
+    "frac_time_fast",
+    "rot_mean_abs",
+    "rot_std",
+    "heading_cog_diff_mean",
+    "fishing_ratio",
+    "anchor_ratio",
+    "underway_engine_ratio",
+    "moored_ratio",
+    "length",
+    "width",
+    "max_draught",
+    "draught_variability",
+    "length_beam_ratio",
+    "draught_length_ratio",
+    "bbox_area",
+    "n_pings",
+    "mean_ping_interval_seconds",
+]
+
 # Random-forest settings: 200 trees, unlimited depth (Spark caps at 30),
 # at least 2 rows per leaf, balanced class weights.
 FOREST_TREES = 200

@@ -15,7 +15,7 @@ from ..config import PSI_EPSILON, PSI_MODERATE, PSI_STABLE
 __all__ = [
     "col_of", "circular_abs_diff", "share_where", "n_distinct_incl_null", "mode_of",
     "safe_div", "clip_low", "psi_term", "kl_term", "bin_of", "hash_order", "psi_band",
-    "round_doubles", "fixed_mean", "week_start", "month_start", "nearest_rank", "is_digits",
+    "round_doubles", "fixed_mean", "stable_std", "week_start", "month_start", "nearest_rank", "is_digits",
 ]
 
 
@@ -63,6 +63,20 @@ def fixed_mean(c) -> Column:
     return total.cast("double") / F.count(c) / F.lit(FIXED_SCALE)
 
 
+STD_DIGITS = 9
+
+
+def stable_std(c) -> Column:
+    """Sample standard deviation rounded to 1e-9 (aggregate).
+
+    The running-moment update behind ``stddev_samp`` depends on row order, so two
+    groups with the same values can differ in the last bit between runs or
+    partitionings; rounding to 9 decimals makes them equal again (ties in ranks
+    and bins then stay ties).  NULL for a single value.
+    """
+    return F.round(F.stddev_samp(col_of(c)), STD_DIGITS)
+
+
 def safe_div(a, b) -> Column:
     """a / b, NULL when b is zero (ANSI mode would raise)."""
     return F.try_divide(col_of(a), col_of(b))

@@ -87,7 +87,7 @@ for _name, (_groups, _cols) in _WEEKLY_SUBSETS.items():
 
 
 @register("active_vessel_weeks", rounded(with_ctes(_W, """SELECT imo, count(*) AS n_weeks,
-  sum(n_pings) AS n_pings, min(week_start) AS first_week, max(week_start) AS last_week
+  CAST(sum(n_pings) AS BIGINT) AS n_pings, min(week_start) AS first_week, max(week_start) AS last_week
 FROM weekly GROUP BY imo"""), []))
 def q_active_vessel_weeks(spark, sf_dir):
     w = weekly(spark, sf_dir, groups=["temporal"])
@@ -233,7 +233,7 @@ def q_psi_all_features(spark, sf_dir):
 
 
 @register("class_balance", rounded(with_ctes(_W, """SELECT ship_type, week_start, n,
-  sum(n) OVER (PARTITION BY week_start) AS total, n / sum(n) OVER (PARTITION BY week_start) AS proportion
+  CAST(sum(n) OVER (PARTITION BY week_start) AS BIGINT) AS total, n / sum(n) OVER (PARTITION BY week_start) AS proportion
 FROM (SELECT ship_type, week_start, count(*) AS n FROM weekly GROUP BY ALL) t"""), ["proportion"]))
 def q_class_balance(spark, sf_dir):
     return D.class_balance(weekly(spark, sf_dir), "ship_type", "week_start")
@@ -359,3 +359,161 @@ WHERE rn <= {SAMPLE_PER_CLASS}""")
 def q_sample_stratified(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
     return S.sample_stratified(li, "l_returnflag", ["l_orderkey", "l_linenumber"], SAMPLE_PER_CLASS)
+
+
+# ---------------------------------------------------------------- statistics
+from ..config import ANALYSIS_FEATURES  # noqa: E402
+from ..operators import stats as ST  # noqa: E402
+from .oracle_drift import long_sql  # noqa: E402
+
+PROFILE_COLUMNS = ["imo", "ship_type", "nav_status", "cargo_type"]
+MISSING_COLUMNS = ["imo", "ts", "ship_type", "length", "width", "draught", "sog", "cog", "rot",
+                   "heading", "nav_status", "latitude", "longitude", "cargo_type"]
+KDE_FEATURE = "draught_length_ratio"
+_VP = [PINGS_CTE_, VPINGS_CTE_] = list(_W[:2])
+_ALONG = ("along", long_sql("asrc", ANALYSIS_FEATURES, False))
+_ASRC = ("asrc", "SELECT ship_type AS class, * FROM weekly")
+_ASRC_COMPLETE = ("asrc", "SELECT ship_type AS class, * FROM weekly WHERE "
+                  + " AND ".join(f"{c} IS NOT NULL" for c in
+                                 ["imo", "week_start", "ship_type"] + [c for c in OW.WEEKLY_DOUBLES]
+                                 + ["n_nav_statuses", "n_pings", "time_span_seconds"]))
+
+
+def complete_weekly(spark, sf_dir):
+    """Weekly rows without any NULL (the tests drop incomplete rows first)."""
+    return weekly(spark, sf_dir).na.drop()
+
+
+@register("rows_per_entity", with_ctes(_VP, "SELECT imo, count(*) AS row_count FROM vpings GROUP BY imo"))
+def q_rows_per_entity(spark, sf_dir):
+    return ST.rows_per_entity(vessel_pings(spark, sf_dir), "imo")
+
+
+@register("value_counts", with_ctes(_VP, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, CAST({c} AS VARCHAR) AS value, count(*) AS count FROM vpings GROUP BY {c}"
+    for c in PROFILE_COLUMNS)))
+def q_value_counts(spark, sf_dir):
+    return ST.value_counts(vessel_pings(spark, sf_dir), PROFILE_COLUMNS)
+
+
+@register("activity_profile", rounded(with_ctes(_VP + [
+    ("per", "SELECT imo, count(*) AS rc FROM vpings GROUP BY imo")],
+    """SELECT CAST(sum(rc) AS BIGINT) AS n_rows, count(*) AS n_entities, max(rc) AS max_rows,
+  quantile_cont(rc, 5e-1) AS median_rows, avg(rc) AS mean_rows, count_if(rc > 1440) AS n_busy,
+  count_if(rc < 144) AS n_quiet FROM per"""), ["median_rows", "mean_rows"]))
+def q_activity_profile(spark, sf_dir):
+    return ST.activity_profile(vessel_pings(spark, sf_dir), "imo")
+
+
+@register("missingness", rounded(with_ctes([PINGS_CTE_], "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column, count_if({c} IS NULL) / count(*) * 100 AS pct_null,
+  count_if(CAST({c} AS VARCHAR) IN ('Unknown', 'Unknown value')) / count(*) * 100 AS pct_unknown,
+  count_if(CAST({c} AS VARCHAR) = 'Undefined') / count(*) * 100 AS pct_undefined,
+  (count_if({c} IS NULL) + count_if(CAST({c} AS VARCHAR) IN ('Unknown', 'Unknown value'))
+   + count_if(CAST({c} AS VARCHAR) = 'Undefined')) / count(*) * 100 AS pct_missing FROM pings"""
+    for c in MISSING_COLUMNS)), ["pct_null", "pct_unknown", "pct_undefined", "pct_missing"]))
+def q_missingness(spark, sf_dir):
+    return ST.missingness(pings(spark, sf_dir), MISSING_COLUMNS)
+
+
+@register("grouped_describe", rounded(with_ctes(_W + [_ASRC, _ALONG], """SELECT feature, class,
+  count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+  quantile_cont(value, 25e-2) AS p25, quantile_cont(value, 5e-1) AS p50, quantile_cont(value, 75e-2) AS p75,
+  max(value) AS max FROM along GROUP BY feature, class"""), ["mean", "std", "min", "p25", "p50", "p75", "max"]))
+def q_grouped_describe(spark, sf_dir):
+    return ST.grouped_describe(weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
+
+
+@register("histogram", rounded(with_ctes(_VP + [
+    ("per", "SELECT imo, count(*) AS rc FROM vpings GROUP BY imo"),
+    ("rng", "SELECT CAST(min(rc) AS DOUBLE) AS lo, CAST(max(rc) AS DOUBLE) AS hi FROM per"),
+    ("cnt", f"""SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((rc - lo) * {ST.HIST_BINS} / (hi - lo)),
+  {ST.HIST_BINS - 1}) END AS BIGINT) AS bin, count(*) AS count FROM per, rng GROUP BY 1""")],
+    f"""SELECT g.bin, lo + g.bin * ((hi - lo) / {ST.HIST_BINS}) AS lo,
+  lo + (g.bin + 1) * ((hi - lo) / {ST.HIST_BINS}) AS hi, coalesce(c.count, 0) AS count
+FROM (SELECT range AS bin FROM range({ST.HIST_BINS})) g CROSS JOIN rng LEFT JOIN cnt c ON c.bin = g.bin"""),
+    ["lo", "hi"]))
+def q_histogram(spark, sf_dir):
+    per = vessel_pings(spark, sf_dir).groupBy("imo").agg(F.count(F.lit(1)).alias("rc"))
+    return ST.histogram(per, "rc")
+
+
+@register("box_summary", rounded(with_ctes(_W + [_ASRC, _ALONG, (
+    "qs", """SELECT feature, class, count(*) AS n, quantile_cont(value, 25e-2) AS q1,
+  quantile_cont(value, 5e-1) AS median, quantile_cont(value, 75e-2) AS q3 FROM along GROUP BY ALL""")],
+    """SELECT q.feature, q.class, q.n, q1, median, q3, q3 - q1 AS iqr,
+  min(CASE WHEN value >= q1 - 1.5 * (q3 - q1) THEN value END) AS whisker_low,
+  max(CASE WHEN value <= q3 + 1.5 * (q3 - q1) THEN value END) AS whisker_high
+FROM qs q JOIN along a ON a.feature = q.feature AND a.class = q.class GROUP BY ALL"""),
+    ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]))
+def q_box_summary(spark, sf_dir):
+    return ST.box_summary(weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
+
+
+@register("kde_by_class", rounded(with_ctes(_W + [
+    ("kv", f"SELECT ship_type AS class, CAST({KDE_FEATURE} AS DOUBLE) AS v FROM weekly WHERE {KDE_FEATURE} IS NOT NULL"),
+    ("st", """SELECT *, lo - 3e0 * h AS g0, (hi - lo + 6e0 * h) / 199 AS step FROM (
+  SELECT *, sd * pow(CAST(n AS DOUBLE), -2e-1) AS h FROM (
+    SELECT class, count(*) AS n, stddev_samp(v) AS sd, min(v) AS lo, max(v) AS hi FROM kv GROUP BY class) a) b
+  WHERE h > 0"""),
+    ("pts", """SELECT d.class, d.v, d.c, s.n, s.h, s.g0, s.step, unnest(range(0, 200)) AS i
+FROM (SELECT class, v, count(*) AS c FROM kv GROUP BY ALL) d JOIN st s USING (class)""")],
+    """SELECT class, CAST(i AS BIGINT) AS i, first(g0 + i * step) AS x,
+  sum(c * exp((((g0 + i * step) - v) / h) * -5e-1 * (((g0 + i * step) - v) / h)))
+    / (first(n) * first(h) * 2.5066282746310002) AS density
+FROM pts GROUP BY class, i"""), ["x", "density"]))
+def q_kde_by_class(spark, sf_dir):
+    return ST.kde_by_class(weekly(spark, sf_dir), KDE_FEATURE, "ship_type")
+
+
+_PAIRS = [(a, b) for i, a in enumerate(ANALYSIS_FEATURES) for b in ANALYSIS_FEATURES[i:]]
+
+
+@register("correlations", rounded(with_ctes(_W + [("cc", "SELECT " + ", ".join(
+    f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS "{a}|{b}"' for a, b in _PAIRS) + " FROM weekly")],
+    f"""SELECT split_part(pair, '|', 1) AS a, split_part(pair, '|', 2) AS b, corr FROM cc
+UNPIVOT INCLUDE NULLS (corr FOR pair IN ({', '.join(f'"{a}|{b}"' for a, b in _PAIRS)}))"""), ["corr"]))
+def q_correlations(spark, sf_dir):
+    return ST.correlations(weekly(spark, sf_dir), ANALYSIS_FEATURES)
+
+
+_ANOVA_SQL = with_ctes(_W + [_ASRC_COMPLETE, _ALONG, (
+    "per", """SELECT feature, class, count(value) AS n, avg(value) AS m, var_samp(value) AS v, sum(value) AS s
+FROM along GROUP BY ALL"""), (
+    "g", "SELECT *, sum(s) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS gm FROM per")],
+    """SELECT feature, count(*) - 1 AS df_between, CAST(sum(n) - count(*) AS BIGINT) AS df_within,
+  (sum(n * (m - gm) * (m - gm)) / (count(*) - 1)) / (sum(coalesce((n - 1) * v, 0)) / (sum(n) - count(*)))
+    AS f_stat
+FROM g GROUP BY feature""")
+
+
+@register("anova_f", rounded(_ANOVA_SQL, ["f_stat"]))
+def q_anova_f(spark, sf_dir):
+    return ST.anova_f(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
+
+
+@register("anova_pvalues")
+def q_anova_pvalues(spark, sf_dir):
+    return ST.with_pvalues(anova=ST.anova_f(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type"))
+
+
+@register("kruskal_h", rounded(with_ctes(_W + [_ASRC_COMPLETE, _ALONG,
+    ("kc", "SELECT feature, value, class, count(*) AS n FROM along GROUP BY ALL"),
+    ("vt", "SELECT feature, value, sum(n) AS t FROM kc GROUP BY ALL"),
+    ("rk", """SELECT feature, value, t, coalesce(sum(t) OVER (PARTITION BY feature ORDER BY value
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (t + 1) / 2 AS avg_rank FROM vt"""),
+    ("rs", """SELECT kc.feature, kc.class, sum(kc.n * rk.avg_rank) AS r, sum(kc.n) AS nc
+FROM kc JOIN rk USING (feature, value) GROUP BY ALL"""),
+    ("per", "SELECT feature, sum(r * r / nc) AS s, count(*) AS k FROM rs GROUP BY feature"),
+    ("ties", """SELECT feature, sum(pow(CAST(t AS DOUBLE), 3) - t) AS tie_sum, CAST(sum(t) AS DOUBLE) AS nn
+FROM vt GROUP BY feature""")],
+    """SELECT feature, k - 1 AS df,
+  (12e0 / (nn * (nn + 1)) * s - 3 * (nn + 1)) / (1 - tie_sum / (nn * nn * nn - nn)) AS h_stat
+FROM per JOIN ties USING (feature)"""), ["h_stat"]))
+def q_kruskal_h(spark, sf_dir):
+    return ST.kruskal_h(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
+
+
+@register("kruskal_pvalues")
+def q_kruskal_pvalues(spark, sf_dir):
+    return ST.with_pvalues(kruskal=ST.kruskal_h(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type"))

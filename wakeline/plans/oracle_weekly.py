@@ -40,16 +40,16 @@ def weekly_ctes(min_pings: int, source_cte: str = "vpings") -> list[tuple[str, s
   max(draught) AS max_draught, min(draught) AS min_draught,
   max(draught) - min(draught) AS draught_variability,
   {fixed_mean("CASE WHEN sog > 5e-1 THEN sog END")} AS mean_moving_speed,
-  max(sog) AS max_speed, stddev_samp(sog) AS std_speed,
+  max(sog) AS max_speed, round(stddev_samp(sog), 9) AS std_speed,
   list_sort(list(sog) FILTER (WHERE sog IS NOT NULL)) AS _s, count(sog) AS _ns,
   count_if(sog < 1e0) / count(*) AS frac_time_slow,
   count_if(sog > 1e1) / count(*) AS frac_time_fast,
-  stddev_samp(cog) AS cog_variability, {fixed_mean("abs(rot)")} AS rot_mean_abs,
-  stddev_samp(abs(rot)) AS rot_std,
+  round(stddev_samp(cog), 9) AS cog_variability, {fixed_mean("abs(rot)")} AS rot_mean_abs,
+  round(stddev_samp(abs(rot)), 9) AS rot_std,
   {fixed_mean(f"abs(({pmod}) - 18e1)")} AS heading_cog_diff_mean,
   count(DISTINCT nav_status) + max(CASE WHEN nav_status IS NULL THEN 1 ELSE 0 END) AS n_nav_statuses,
   {status},
-  stddev_samp(latitude) AS lat_std, stddev_samp(longitude) AS lon_std,
+  round(stddev_samp(latitude), 9) AS lat_std, round(stddev_samp(longitude), 9) AS lon_std,
   {fixed_mean("latitude")} AS lat_mean, {fixed_mean("longitude")} AS lon_mean,
   (max(latitude) - min(latitude)) * (max(longitude) - min(longitude)) AS bbox_area,
   {cargo},
