@@ -517,3 +517,68 @@ def q_kruskal_h(spark, sf_dir):
 @register("kruskal_pvalues")
 def q_kruskal_pvalues(spark, sf_dir):
     return ST.with_pvalues(kruskal=ST.kruskal_h(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type"))
+
+
+# ---------------------------------------------------------------- drift views and importance weighting
+
+
+def periods_of(df, col):
+    """Distinct pivot values, sorted: one small list (periods of the table)."""
+    return [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
+
+
+@register("psi_heatmap", None)
+def q_psi_heatmap(spark, sf_dir):
+    res = psi_by_class_df(spark, sf_dir)
+    return D.psi_heatmap(res)
+
+
+@register("class_balance_pivot", None)
+def q_class_balance_pivot(spark, sf_dir):
+    bal = D.class_balance(weekly(spark, sf_dir), "ship_type", "week_start")
+    return D.class_balance_pivot(bal, "ship_type", "week_start")
+
+
+def anova_importances(spark, sf_dir, features=MODEL_FEATURES):
+    """Importance of a feature = its share of the summed ANOVA F over features."""
+    f = ST.anova_f(complete_weekly(spark, sf_dir), features, "ship_type").where(F.col("f_stat").isNotNull())
+    total = f.select(F.sum("f_stat")).scalar()
+    return f.select("feature", (F.col("f_stat") / total).alias("importance"))
+
+
+@register("weighted_drift", None)
+def q_weighted_drift(spark, sf_dir):
+    return D.weighted_drift(psi_by_class_df(spark, sf_dir), anova_importances(spark, sf_dir))
+
+
+@register("alarms_by_importance", None)
+def q_alarms_by_importance(spark, sf_dir):
+    flagged = D.check_drift(psi_by_class_df(spark, sf_dir))
+    return D.alarms_by_importance(flagged, anova_importances(spark, sf_dir)).select(
+        "period", "feature", "class", "psi", "importance", "severity")
+
+
+def _anova_ctes(features, name="anova"):
+    return [("masrc", _ASRC_COMPLETE[1]), ("malong", long_sql("masrc", features, False)),
+            ("mper", """SELECT feature, class, count(value) AS n, avg(value) AS m, var_samp(value) AS v,
+  sum(value) AS s FROM malong GROUP BY ALL"""),
+            ("mg", "SELECT *, sum(s) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS gm FROM mper"),
+            (name, """SELECT feature, (sum(n * (m - gm) * (m - gm)) / (count(*) - 1))
+  / (sum(coalesce((n - 1) * v, 0)) / (sum(n) - count(*))) AS f_stat FROM mg GROUP BY feature"""),
+            ("imp", f"SELECT feature, f_stat / sum(f_stat) OVER () AS importance FROM {name} WHERE f_stat IS NOT NULL")]
+
+
+ORACLE["psi_heatmap"] = with_ctes(_by_class_ctes(), """SELECT class, feature,
+  round(COLUMNS(* EXCLUDE (class, feature)) * (1 + 1e-11), 6) FROM (
+PIVOT (SELECT class, feature, period, psi FROM scored) ON period USING max(psi) GROUP BY class, feature) t""")
+ORACLE["class_balance_pivot"] = with_ctes(_W, """SELECT week_start,
+  round(coalesce(COLUMNS(* EXCLUDE (week_start)), 0) * (1 + 1e-11), 6)
+FROM (PIVOT (SELECT ship_type, week_start, n / sum(n) OVER (PARTITION BY week_start) AS proportion
+  FROM (SELECT ship_type, week_start, count(*) AS n FROM weekly GROUP BY ALL) t)
+  ON ship_type USING max(proportion) GROUP BY week_start) p""")
+ORACLE["weighted_drift"] = rounded(with_ctes(_by_class_ctes() + _anova_ctes(MODEL_FEATURES), """SELECT period, class,
+  sum(psi * importance) AS weighted_psi, count(psi) AS n_features
+FROM scored JOIN imp USING (feature) GROUP BY period, class"""), ["weighted_psi"])
+ORACLE["alarms_by_importance"] = rounded(with_ctes(_by_class_ctes() + _anova_ctes(MODEL_FEATURES), """SELECT
+  period, feature, class, psi, importance, psi * coalesce(importance, 0) AS severity
+FROM scored LEFT JOIN imp USING (feature) WHERE psi > 25e-2"""), ["psi", "importance", "severity"])
