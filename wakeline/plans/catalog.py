@@ -582,3 +582,121 @@ FROM scored JOIN imp USING (feature) GROUP BY period, class"""), ["weighted_psi"
 ORACLE["alarms_by_importance"] = rounded(with_ctes(_by_class_ctes() + _anova_ctes(MODEL_FEATURES), """SELECT
   period, feature, class, psi, importance, psi * coalesce(importance, 0) AS severity
 FROM scored LEFT JOIN imp USING (feature) WHERE psi > 25e-2"""), ["psi", "importance", "severity"])
+
+
+# ---------------------------------------------------------------- evaluation (rule-based predictions)
+from ..operators import evaluation as EV  # noqa: E402
+
+# A deterministic rule stands in for a model so the metric operators can be
+# checked against SQL; the forest's own scores are the rows-only queries.
+RULE_PREDICTION = ("CASE WHEN fishing_ratio >= 25e-2 THEN 'Fishing' WHEN moored_ratio >= 25e-2 THEN 'Tug' "
+                   "WHEN anchor_ratio >= 25e-2 THEN 'Tanker' WHEN length >= 15e1 THEN 'Passenger' ELSE 'Cargo' END")
+LI_RULE = "CASE WHEN l_linestatus = 'F' THEN 'R' ELSE 'N' END"
+SLICE_DAYS = 30
+
+
+def rule_scored(spark, sf_dir):
+    w = weekly(spark, sf_dir, groups=["identity", "dimensions", "status"])
+    return w.select("imo", "week_start", F.col("ship_type").alias("label"),
+                    F.expr(RULE_PREDICTION).alias("prediction"))
+
+
+def report_sql(src: str, by: list[str]) -> list[tuple[str, str]]:
+    b = "".join(f"{c}, " for c in by)
+    on = "".join(f"x.{c} = c.{c} AND " for c in by)
+    part = f"PARTITION BY {', '.join(by)}" if by else ""
+    return [
+        ("conf", f"SELECT {b}CAST(label AS VARCHAR) AS label, CAST(prediction AS VARCHAR) AS prediction, "
+                 f"count(*) AS n FROM {src} GROUP BY ALL"),
+        ("cls", f"SELECT DISTINCT {b}label AS class FROM conf UNION SELECT DISTINCT {b}prediction FROM conf"),
+        ("pc", f"""SELECT c.*, coalesce(x.tp, 0) AS tp, coalesce(y.sup, 0) AS support, coalesce(z.pr, 0) AS predicted
+FROM cls c
+LEFT JOIN (SELECT {b}label AS class, n AS tp FROM conf WHERE label = prediction) x ON {on}x.class = c.class
+LEFT JOIN (SELECT {b}label AS class, sum(n) AS sup FROM conf GROUP BY ALL) y ON {on.replace('x.', 'y.')}y.class = c.class
+LEFT JOIN (SELECT {b}prediction AS class, sum(n) AS pr FROM conf GROUP BY ALL) z ON {on.replace('x.', 'z.')}z.class = c.class"""),
+        ("pc2", "SELECT *, coalesce(tp / nullif(predicted, 0), 0) AS precision, "
+                "coalesce(tp / nullif(support, 0), 0) AS recall FROM pc"),
+        ("pc3", "SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM pc2"),
+        ("report", f"""SELECT {b}class, precision, recall, f1, CAST(support AS BIGINT) AS support FROM pc3
+UNION ALL SELECT {b}'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM pc3 {'GROUP BY ' + ', '.join(by) if by else ''}
+UNION ALL SELECT {b}'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+  sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM pc3 {'GROUP BY ' + ', '.join(by) if by else ''}
+UNION ALL SELECT {b}'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), sum(tp) / sum(support),
+  CAST(sum(support) AS BIGINT) FROM pc3 {'GROUP BY ' + ', '.join(by) if by else ''}"""),
+    ]
+
+
+_RULE = ("rscored", f"SELECT imo, week_start, ship_type AS label, {RULE_PREDICTION} AS prediction FROM weekly")
+
+
+@register("confusion", with_ctes(_W + [_RULE], "SELECT label, prediction, count(*) AS n FROM rscored GROUP BY ALL"))
+def q_confusion(spark, sf_dir):
+    return EV.confusion(rule_scored(spark, sf_dir))
+
+
+@register("classification_report", rounded(with_ctes(_W + [_RULE] + report_sql("rscored", []),
+                                                     "SELECT * FROM report"), ["precision", "recall", "f1"]))
+def q_classification_report(spark, sf_dir):
+    return EV.classification_report(rule_scored(spark, sf_dir))
+
+
+_LI_SCORED = ("lscored", f"""SELECT l_returnflag AS label, {LI_RULE} AS prediction,
+  CAST(floor(date_diff('day', (SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem), CAST(l_shipdate AS DATE))
+    / {SLICE_DAYS}) AS BIGINT) AS slice FROM lineitem""")
+_LI_KEPT = ("lkept", """SELECT * FROM lscored WHERE slice < (
+  SELECT CASE WHEN NOT EXISTS (SELECT 1 FROM lscored WHERE slice = 0) THEN 0
+    ELSE (SELECT min(slice + 1) FROM (SELECT DISTINCT slice FROM lscored) p
+          WHERE slice + 1 NOT IN (SELECT DISTINCT slice FROM lscored)) END)""")
+
+
+@register("report_by_slice", rounded(with_ctes([_LI_SCORED, _LI_KEPT] + report_sql("lkept", ["slice"]),
+    f"""SELECT slice, CAST((SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem) + CAST(slice * {SLICE_DAYS} AS INTEGER)
+  AS DATE) AS slice_start, class, precision, recall, f1, support FROM report"""), ["precision", "recall", "f1"]))
+def q_report_by_slice(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_shipdate", F.col("l_returnflag").alias("label"), F.expr(LI_RULE).alias("prediction"))
+    start = li.select(F.min(F.to_date("l_shipdate"))).scalar()
+    return EV.report_by_slice(li, "l_shipdate", start, SLICE_DAYS)
+
+
+# ---------------------------------------------------------------- random forest (rows-only)
+from ..operators import model as M  # noqa: E402
+
+_FOREST_CACHE: dict = {}
+
+
+def forest_run(spark, sf_dir):
+    """Stratified split of the weekly table, forest fitted on the train part.
+    Memoised per process so the rows-only queries share one fit."""
+    key = (id(spark), sf_dir)
+    if key not in _FOREST_CACHE:
+        w = weekly(spark, sf_dir)
+        sp = S.split_random(w, "ship_type", ["imo", "week_start"]).checkpoint()
+        train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+        model = M.train_forest(train, MODEL_FEATURES, "ship_type")
+        _FOREST_CACHE[key] = (model, train, test)
+    return _FOREST_CACHE[key]
+
+
+@register("forest_scores")
+def q_forest_scores(spark, sf_dir):
+    model, _, test = forest_run(spark, sf_dir)
+    scored = M.predict(model, test, MODEL_FEATURES)
+    return EV.classification_report(scored, "ship_type", "prediction")
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    model, _, test = forest_run(spark, sf_dir)
+    return M.permutation_importance(model, test, MODEL_FEATURES, "ship_type", ["imo", "week_start"])
+
+
+@register("selected_features")
+def q_selected_features(spark, sf_dir):
+    return M.select_features(q_permutation_importance(spark, sf_dir))
+
+
+@register("impurity_importance")
+def q_impurity_importance(spark, sf_dir):
+    model, _, _ = forest_run(spark, sf_dir)
+    return M.impurity_importance(model)
