@@ -70,6 +70,23 @@ ORDER = [
 ]
 
 
+def derived_columns(df: DataFrame, groups) -> DataFrame:
+    """Ratios computed after the aggregate."""
+    if "speed" in groups:
+        df = df.withColumn("sog_bimodality",
+                           safe_div(F.col("sog_p90") - F.col("sog_p10"), F.col("std_speed") + 1e-6))
+    if "dimensions" in groups:
+        df = (df.withColumn("length_beam_ratio", safe_div("length", F.col("width") + 1e-6))
+              .withColumn("draught_length_ratio", safe_div("max_draught", F.col("length") + 1e-6)))
+    return df.withColumn("mean_ping_interval_seconds",
+                         F.col("time_span_seconds") / F.greatest(F.col("n_pings") - 1, F.lit(1)))
+
+
+def aggregates(groups, ts: str = "ts") -> list:
+    """The per-(vessel, week) aggregate expressions (shared with the stream)."""
+    return _aggregates(set(groups), ts)
+
+
 def weekly_features(pings: DataFrame, *, min_pings: int = MIN_PINGS_PER_WEEK, groups=None,
                     key: str = "imo", ts: str = "ts") -> DataFrame:
     """Roll pings up into ``(imo, week_start)`` feature rows.
@@ -85,13 +102,6 @@ def weekly_features(pings: DataFrame, *, min_pings: int = MIN_PINGS_PER_WEEK, gr
     if "speed" in groups:
         q = by_counts(base, keys, "sog", SPEED_QUANTILES, method="nearest").drop("n")
         main = main.join(q, keys, "left")
-        main = main.withColumn("sog_bimodality",
-                               safe_div(F.col("sog_p90") - F.col("sog_p10"), F.col("std_speed") + 1e-6))
-    if "dimensions" in groups:
-        main = (main.withColumn("length_beam_ratio", safe_div("length", F.col("width") + 1e-6))
-                .withColumn("draught_length_ratio", safe_div("max_draught", F.col("length") + 1e-6)))
-    main = main.withColumn(
-        "mean_ping_interval_seconds",
-        F.col("time_span_seconds") / F.greatest(F.col("n_pings") - 1, F.lit(1)))
+    main = derived_columns(main, groups)
     present = [c for c in ORDER if c in main.columns]
     return main.select(key, "week_start", *present)

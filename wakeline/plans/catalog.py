@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import round_doubles
 from ..operators.pings import keep_ship_types
 from ..operators.weekly import weekly_features
-from ..sources.adapters import pings
+from ..sources.adapters import pings, pings_from_events
 from . import oracle_weekly as OW
 from .sqltext import rounded, with_ctes
 
@@ -700,3 +700,88 @@ def q_selected_features(spark, sf_dir):
 def q_impurity_importance(spark, sf_dir):
     model, _, _ = forest_run(spark, sf_dir)
     return M.impurity_importance(model)
+
+
+# ---------------------------------------------------------------- sources, sinks, logs, monitor, stream
+import uuid  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import logs as L  # noqa: E402
+from ..sources import raw as R  # noqa: E402
+from ..sources import sinks as K  # noqa: E402
+from ..streaming.jobs import run_weekly_stream  # noqa: E402
+from . import jobs as J  # noqa: E402
+
+IDS_FROM_DAY, IDS_TO_DAY = 7, 20  # vessel ids active in [first day + 7, first day + 20]
+APPEND_AFTER_DAYS = 14            # the stored table holds the first two weeks
+
+
+def first_day(df, ts="ts"):
+    return df.select(F.min(F.to_date(ts))).scalar()
+
+
+@register("vessel_ids", with_ctes(_VP, f"""SELECT DISTINCT imo FROM vpings
+WHERE CAST(ts AS DATE) BETWEEN (SELECT min(CAST(ts AS DATE)) FROM vpings) + {IDS_FROM_DAY}
+  AND (SELECT min(CAST(ts AS DATE)) FROM vpings) + {IDS_TO_DAY}
+  AND regexp_matches(CAST(imo AS VARCHAR), '^[0-9]+$')"""))
+def q_vessel_ids(spark, sf_dir):
+    p = vessel_pings(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
+    d0 = first_day(p)
+    return R.vessel_ids(p, F.date_add(d0, IDS_FROM_DAY), F.date_add(d0, IDS_TO_DAY))
+
+
+@register("append_new_weeks", with_ctes(_W, f"""SELECT imo, week_start, n_pings FROM weekly
+WHERE week_start >= (SELECT min(CAST(date_trunc('week', ts) AS DATE)) FROM vpings) + {APPEND_AFTER_DAYS}"""))
+def q_append_new_weeks(spark, sf_dir):
+    p = vessel_pings(spark, sf_dir)
+    first = p.select(F.min(F.to_date(F.date_trunc("week", "ts")))).scalar()
+    early = p.where(F.col("ts") < F.date_add(first, APPEND_AFTER_DAYS).cast("timestamp_ntz"))
+    stored = weekly_features(early, min_pings=ADAPTER_MIN_PINGS, groups=["temporal"]).select("imo", "week_start")
+    fresh = weekly_features(p, min_pings=ADAPTER_MIN_PINGS, groups=["temporal"])
+    return K.new_rows(fresh, stored).select("imo", "week_start", "n_pings")
+
+
+def log_lines(spark, sf_dir):
+    """Prediction-log text built from the weekly table: one JSON line per row
+    (rule prediction as the class), a truncated line for every tenth vessel and
+    a blank line per week."""
+    w = weekly(spark, sf_dir)
+    scored = w.withColumn("prediction", F.expr(RULE_PREDICTION)).withColumn(
+        "probabilities", F.create_map(F.col("prediction"), F.lit(1.0)))
+    stamp = F.date_format(F.col("week_start").cast("timestamp") + F.make_interval(mins=F.col("imo").cast("int")),
+                          "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    lines = L.to_log_rows(scored, MODEL_FEATURES, ts=stamp).select(F.to_json(F.struct("*")).alias("value"))
+    bad = scored.where(F.col("imo") % 10 == 0).select(
+        F.substring(F.to_json(F.struct("imo", "week_start")), 1, 12).alias("value"))
+    blank = w.select("week_start").distinct().select(F.lit("").alias("value"))
+    return lines.unionByName(bad).unionByName(blank)
+
+
+@register("new_predictions")
+def q_new_predictions(spark, sf_dir):
+    lines = log_lines(spark, sf_dir)
+    entries = L.parse_log(lines, MODEL_FEATURES)
+    since = entries.select(F.min("ts")).scalar()
+    return entries.where(F.col("ts") > since + F.expr("INTERVAL 7 DAYS")).select(
+        "timestamp", "vessel_type", "ts", "probabilities")
+
+
+@register("monitor_run")
+def q_monitor_run(spark, sf_dir):
+    w, base = weekly_with_baseline(spark, sf_dir)
+    bins, _ = D.build_baselines(base, MODEL_FEATURES)
+    entries = L.parse_log(log_lines(spark, sf_dir), MODEL_FEATURES)
+    res, _ = J.check_log(spark, entries, bins, MODEL_FEATURES, period="2024-02-05")
+    return res
+
+
+@register("stream_weekly")
+def q_stream_weekly(spark, sf_dir):
+    base = scratch_path(spark, f"stream-weekly-{uuid.uuid4().hex[:12]}")
+    schema = table(spark, sf_dir, "events").schema
+    q = run_weekly_stream(spark, sf_dir, schema, sink=f"{base}/out", checkpoint=f"{base}/ckpt",
+                          file_glob="events.parquet", min_pings=ADAPTER_MIN_PINGS,
+                          adapt=lambda s: keep_ship_types(pings_from_events(s)))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
