@@ -124,7 +124,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     # level 0: one open range per group
     ranges = (vals.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-              .withColumn("_rid", F.lit(0).cast("long"))
+              .withColumn("_rid", F.lit("r"))  # range id: a path, unique across levels
               .checkpoint())
     ctl = ranges.agg(F.count(F.lit(1)).alias("rows"), F.max("_c").alias("maxc")).first()
     n_ranges, max_c = int(ctl["rows"] or 0), int(ctl["maxc"] or 0)
@@ -168,7 +168,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
         open_t = targets.join(open_ranges.select(*keys, "_rid"), keys + ["_rid"], "left_semi")
         moved = (open_t.join(hist, keys + ["_rid"])
                  .where((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_bc")))
-                 .select(*keys, (F.col("_rid") * n_buckets + F.col("_b")).alias("_nrid"), "_n", "_qname",
+                 .select(*keys, F.concat_ws("/", "_rid", F.col("_b").cast("string")).alias("_nrid"), "_n", "_qname",
                          "_which", (F.col("_r") - F.col("_before")).alias("_r"),
                          F.col("_bc").alias("_c"), F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi")))
         kept_t = targets.join(open_ranges.select(*keys, "_rid"), keys + ["_rid"], "left_anti")

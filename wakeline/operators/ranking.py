@@ -47,9 +47,10 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
     groups = list(groups)
     ensure_checkpoint_dir(df.sparkSession)
     names = [r["name"] for r in cutoffs.select("name").distinct().collect()]  # a few literal names
-    cut = cutoffs.where(F.col("k") > 0).select(*groups, "name", F.col("k").cast("long").alias("k"))
+    cut = cutoffs.where(F.col("k") > 0).select(*groups, F.col("name").alias("__name"),
+                                                F.col("k").cast("long").alias("__k"))
     # decision state per (group, name): boundary prefix b (length L) and rank r left inside it
-    state = cut.select(*groups, "name", F.lit("").alias("b"), F.col("k").alias("r")).checkpoint()
+    state = cut.select(*groups, "__name", F.lit("").alias("__b"), F.col("__k").alias("__r")).checkpoint()
     counts_at = df.select(*groups, F.col(hash_col).alias("_h"))
     depth = 0
     for level in range(1, MAX_LEVELS + 1):
@@ -58,25 +59,25 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
         if n_state == 0:
             break
         prev = (level - 1) * DIGITS_PER_LEVEL
-        rows = counts_at.join(_maybe_broadcast(state.select(*groups, "b").distinct(), n_state), groups) \
-                        .where(F.substring("_h", 1, prev) == F.col("b"))
-        hist = rows.groupBy(*groups, "b", F.substring("_h", 1, depth).alias("p")) \
-                   .agg(F.count(F.lit(1)).alias("c"))
-        w = Window.partitionBy(*groups, "b").orderBy("p")
-        hist = hist.withColumn("before", F.coalesce(
-            F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        nxt = (state.join(hist, groups + ["b"])
-               .where((F.col("r") > F.col("before")) & (F.col("r") <= F.col("before") + F.col("c")))
-               .select(*groups, "name", F.col("p").alias("b"), (F.col("r") - F.col("before")).alias("r"),
-                       F.col("c").alias("bc")))
+        rows = counts_at.join(_maybe_broadcast(state.select(*groups, "__b").distinct(), n_state), groups) \
+                        .where(F.substring("_h", 1, prev) == F.col("__b"))
+        hist = rows.groupBy(*groups, "__b", F.substring("_h", 1, depth).alias("__p")) \
+                   .agg(F.count(F.lit(1)).alias("__c"))
+        w = Window.partitionBy(*groups, "__b").orderBy("__p")
+        hist = hist.withColumn("__before", F.coalesce(
+            F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        nxt = (state.join(hist, groups + ["__b"])
+               .where((F.col("__r") > F.col("__before")) & (F.col("__r") <= F.col("__before") + F.col("__c")))
+               .select(*groups, "__name", F.col("__p").alias("__b"), (F.col("__r") - F.col("__before")).alias("__r"),
+                       F.col("__c").alias("__bc")))
         # a cutoff past the group's size keeps the whole group: boundary above every prefix
-        over = (state.join(hist.groupBy(*groups, "b").agg(F.sum("c").alias("tot")), groups + ["b"])
-                .where(F.col("r") > F.col("tot"))
-                .select(*groups, "name", F.concat("b", F.lit("~")).alias("b"), F.lit(0).cast("long").alias("r"),
-                        F.lit(0).cast("long").alias("bc")))
+        over = (state.join(hist.groupBy(*groups, "__b").agg(F.sum("__c").alias("__tot")), groups + ["__b"])
+                .where(F.col("__r") > F.col("__tot"))
+                .select(*groups, "__name", F.concat("__b", F.lit("~")).alias("__b"), F.lit(0).cast("long").alias("__r"),
+                        F.lit(0).cast("long").alias("__bc")))
         nxt = nxt.unionByName(over).checkpoint()
-        big = nxt.where(F.col("bc") > window_limit).count()
-        state = nxt.select(*groups, "name", "b", "r")
+        big = nxt.where(F.col("__bc") > window_limit).count()
+        state = nxt.select(*groups, "__name", "__b", "__r")
         if big == 0:
             break
         state = state.checkpoint()
@@ -86,8 +87,8 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
     n_final = final.count()
     out = df.withColumn("_h", F.col(hash_col))
     for name in names:
-        st = final.where(F.col("name") == name).select(*groups, F.col("b").alias(f"_b_{name}"),
-                                                        F.col("r").alias(f"_r_{name}"))
+        st = final.where(F.col("__name") == name).select(*groups, F.col("__b").alias(f"_b_{name}"),
+                                                        F.col("__r").alias(f"_r_{name}"))
         out = out.join(_maybe_broadcast(st, n_final), groups, "left")
     in_bucket = [F.coalesce(F.substring("_h", 1, F.length(F.col(f"_b_{n}"))) == F.col(f"_b_{n}"),
                             F.lit(False)) for n in names]
@@ -112,5 +113,5 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
                 .when(c, F.col(f"_rk_{name}") <= F.col(f"_r_{name}"))
                 .otherwise(F.lit(False)))
         out = out.withColumn(f"below_{name}", flag)
-    drop = ["_h"] + [f"_{x}_{n}" for n in names for x in ("b", "r", "rk")]
+    drop = ["_h"] + [f"_{x}_{n}" for n in names for x in ("__b", "__r", "rk")]
     return out.drop(*drop)
