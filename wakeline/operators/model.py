@@ -99,9 +99,12 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> Dat
 
 def predict_proba(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """I4: prediction plus a class -> probability map."""
-    labels = F.array(*[F.lit(x) for x in model_labels(model)])
+    names = model_labels(model)
+    labels = F.array(*[F.lit(x) for x in names])
     scored = model.transform(prepare(df, features))
-    scored = scored.withColumn("probabilities", F.map_from_arrays(labels, vector_to_array("_proba")))
+    # the label indexer keeps one extra slot for unseen labels: drop it
+    probs = F.slice(vector_to_array("_proba"), 1, len(names))
+    scored = scored.withColumn("probabilities", F.map_from_arrays(labels, probs))
     return scored.drop("_features", "_raw", "_proba", "_pred_idx", "_label_idx",
                        *[_imp(f) for f in features], *[_miss(f) for f in features])
 
