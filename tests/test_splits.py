@@ -18,7 +18,7 @@ def test_random_split_is_stratified_disjoint_and_stable(spark):
     w = weekly(spark, SF001).select("imo", "week_start", "ship_type")
     a = S.split_random(w, "ship_type", ["imo", "week_start"])
     b = S.split_random(w.repartition(5), "ship_type", ["imo", "week_start"])
-    assert a.count() == w.count()
+    assert a.count() == w.count() and a.columns == w.columns + ["split"]
     assert a.exceptAll(b).count() == 0
     per = {(r.ship_type, r.split): r["count"] for r in a.groupBy("ship_type", "split").count().collect()}
     n = {r.ship_type: r["count"] for r in w.groupBy("ship_type").count().collect()}
@@ -29,6 +29,7 @@ def test_random_split_is_stratified_disjoint_and_stable(spark):
 def test_compositional_split_balances_train(spark):
     w = weekly(spark, SF001).select("imo", "week_start", "ship_type")
     out = S.split_compositional(w, "ship_type", ["imo", "week_start"])
+    assert out.columns == w.columns + ["split"]
     train = [r["count"] for r in out.where(F.col("split") == "train").groupBy("ship_type").count().collect()]
     assert len(set(train)) == 1
 
@@ -44,6 +45,7 @@ def test_compositional_split_single_row_class(spark):
 def test_sample_caps_each_class(spark):
     df = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(100)], "id long, c string")
     out = S.sample_stratified(df, "c", ["id"], per_class=10)
+    assert out.columns == df.columns
     assert sorted(r["count"] for r in out.groupBy("c").count().collect()) == [10, 10]
     frac = S.sample_stratified(df, "c", ["id"], per_class=None, fraction=0.5)
     assert frac.count() == round(66 * 0.5) + round(34 * 0.5)

@@ -113,5 +113,4 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
                 .when(c, F.col(f"_rk_{name}") <= F.col(f"_r_{name}"))
                 .otherwise(F.lit(False)))
         out = out.withColumn(f"below_{name}", flag)
-    drop = ["_h"] + [f"_{x}_{n}" for n in names for x in ("__b", "__r", "rk")]
-    return out.drop(*drop)
+    return out.select(*df.columns, *[f"below_{n}" for n in names])  # input order kept

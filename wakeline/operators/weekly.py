@@ -1,38 +1,52 @@
 """Weekly behaviour roll-up (D0-D41, B6): one feature row per vessel per week.
 
 One ``groupBy(imo, week_start)`` over all vessels replaces a per-vessel loop.
-Partial aggregation runs map-side, so a vessel with many pings only ships one
-buffer per partition.  The three speed quantiles use the counts method (bounded
-by the distinct speed readings of one vessel-week) and are joined back on the
-same keys, so both sides share one hash partitioning.
+
+Two passes over the pings, both partially aggregated map-side:
+
+* the numeric pass uses only declarative aggregates (sums, counts, min/max,
+  moments), so it runs as a code-generated ``HashAggregate``;
+* the value pass counts ``(imo, week, column, value)`` for the columns that need
+  a value distribution - the modes (ship type, length, width), the distinct
+  statuses and the speed quantiles - and reads them off with running counts.
+  Its size is the number of distinct values per vessel-week, bounded by what one
+  vessel reports in a week.
+
+Typed-imperative aggregates (``mode``, ``collect_set``, ``percentile``) would
+force an ``ObjectHashAggregate`` that falls back to sorting every partition once
+a task holds more than a few hundred vessel-weeks; they are used only in the
+streaming form, where state is per vessel-week anyway.  Both passes end
+hash-partitioned on the same keys, so the join adds no exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CARGO_RATIOS, MIN_PINGS_PER_WEEK, NAV_STATUS_RATIOS
 from ..functions import (circular_abs_diff, fixed_mean, mode_of, n_distinct_incl_null, safe_div,
                          stable_std, week_start)
-from .quantiles import by_counts
 
 GROUPS = ["identity", "dimensions", "speed", "course", "status", "spatial", "cargo", "temporal"]
 
 SPEED_QUANTILES = {"sog_p10": 0.10, "sog_median": 0.50, "sog_p90": 0.90}
 
 
-def _aggregates(groups: set[str], ts: str) -> list:
+def _aggregates(groups: set[str], ts: str, distributions: bool = True) -> list:
+    """Aggregates per vessel-week; ``distributions=False`` leaves out the
+    modes and the distinct-status count (computed by the value pass)."""
     sog, cog, rot = F.col("sog"), F.col("cog"), F.col("rot")
     status, cargo = F.col("nav_status"), F.col("cargo_type")
     lat, lon, draught = F.col("latitude"), F.col("longitude"), F.col("draught")
     n_ts = F.count(F.col(ts))
     out = []
-    if "identity" in groups:
+    if "identity" in groups and distributions:
         out.append(mode_of("ship_type").alias("ship_type"))
     if "dimensions" in groups:
-        out += [mode_of("length").alias("length"), mode_of("width").alias("width"),
-                F.max(draught).alias("max_draught"), F.min(draught).alias("min_draught"),
+        if distributions:
+            out += [mode_of("length").alias("length"), mode_of("width").alias("width")]
+        out += [F.max(draught).alias("max_draught"), F.min(draught).alias("min_draught"),
                 (F.max(draught) - F.min(draught)).alias("draught_variability")]
     if "speed" in groups:
         out += [fixed_mean(F.when(sog > 0.5, sog)).alias("mean_moving_speed"),
@@ -47,7 +61,8 @@ def _aggregates(groups: set[str], ts: str) -> list:
                 stable_std(F.abs(rot)).alias("rot_std"),
                 fixed_mean(circular_abs_diff("heading", "cog")).alias("heading_cog_diff_mean")]
     if "status" in groups:
-        out.append(n_distinct_incl_null(status).alias("n_nav_statuses"))
+        if distributions:
+            out.append(n_distinct_incl_null(status).alias("n_nav_statuses"))
         out += [(F.count_if(status == lit) / n_ts).alias(name) for name, lit in NAV_STATUS_RATIOS.items()]
     if "spatial" in groups:
         out += [stable_std(lat).alias("lat_std"), stable_std(lon).alias("lon_std"),
@@ -83,8 +98,57 @@ def derived_columns(df: DataFrame, groups) -> DataFrame:
 
 
 def aggregates(groups, ts: str = "ts") -> list:
-    """The per-(vessel, week) aggregate expressions (shared with the stream)."""
-    return _aggregates(set(groups), ts)
+    """All per-(vessel, week) aggregates in one list (the streaming form)."""
+    return _aggregates(set(groups), ts, distributions=True)
+
+
+def _value_pass(base: DataFrame, keys: list[str], groups: set[str]) -> DataFrame | None:
+    """Modes, distinct statuses and nearest speed quantiles from value counts."""
+    def item(name, s=None, d=None):
+        return F.struct(F.lit(name).alias("_col"),
+                        (F.col(s).cast("string") if s else F.lit(None).cast("string")).alias("_s"),
+                        (F.col(d).cast("double") if d else F.lit(None).cast("double")).alias("_d"))
+    items = []
+    if "identity" in groups:
+        items.append(item("ship_type", s="ship_type"))
+    if "dimensions" in groups:
+        items += [item("length", d="length"), item("width", d="width")]
+    if "status" in groups:
+        items.append(item("nav_status", s="nav_status"))
+    if "speed" in groups:
+        items.append(item("sog", d="sog"))
+    if not items:
+        return None
+    vc = (base.select(*keys, F.explode(F.array(*items)).alias("_i")).select(*keys, "_i.*")
+          .groupBy(*keys, "_col", "_s", "_d").agg(F.count(F.lit(1)).alias("_n")))
+    is_null = F.col("_s").isNull() & F.col("_d").isNull()
+    # speed: running count of non-null readings in value order (the sog block is
+    # contiguous when ordered by column name first)
+    sog_n = F.when((F.col("_col") == "sog") & F.col("_d").isNotNull(), F.col("_n"))
+    w_run = Window.partitionBy(*keys).orderBy("_col", "_d")
+    # modes: the first row of each column block when ordered by count desc, value asc
+    w_mode = Window.partitionBy(*keys).orderBy("_col", is_null, F.desc("_n"), "_s", "_d")
+    vc = (vc.withColumn("_cum", F.sum(sog_n).over(w_run.rowsBetween(Window.unboundedPreceding,
+                                                                    Window.currentRow)))
+            .withColumn("_tot", F.sum(sog_n).over(Window.partitionBy(*keys)))
+            .withColumn("_first", F.coalesce(F.lag("_col").over(w_mode) != F.col("_col"), F.lit(True))))
+    first_non_null = F.col("_first") & ~is_null
+    aggs = []
+    if "identity" in groups:
+        aggs.append(F.max(F.when((F.col("_col") == "ship_type") & first_non_null, F.col("_s")))
+                    .alias("ship_type"))
+    if "dimensions" in groups:
+        aggs += [F.max(F.when((F.col("_col") == c) & first_non_null, F.col("_d"))).alias(c)
+                 for c in ("length", "width")]
+    if "status" in groups:
+        # distinct statuses, NULL counting as one value
+        aggs.append(F.count(F.when(F.col("_col") == "nav_status", 1)).alias("n_nav_statuses"))
+    if "speed" in groups:
+        for name, q in SPEED_QUANTILES.items():
+            r = F.floor((F.col("_tot") - 1) * F.lit(q) + F.lit(0.5))
+            aggs.append(F.min(F.when((F.col("_col") == "sog") & F.col("_d").isNotNull() & (F.col("_cum") > r),
+                                     F.col("_d"))).alias(name))
+    return vc.groupBy(*keys).agg(*aggs)
 
 
 def weekly_features(pings: DataFrame, *, min_pings: int = MIN_PINGS_PER_WEEK, groups=None,
@@ -93,15 +157,16 @@ def weekly_features(pings: DataFrame, *, min_pings: int = MIN_PINGS_PER_WEEK, gr
 
     ``groups`` picks column groups (default all); ``n_pings`` and
     ``time_span_seconds`` are always present.  Rows under ``min_pings`` pings
-    are dropped (HAVING) before the quantiles are joined.
+    are dropped (HAVING) before the value pass is joined.
     """
     groups = set(groups or GROUPS)
     base = pings.where(F.col(ts).isNotNull()).withColumn("week_start", week_start(ts))
     keys = [key, "week_start"]
-    main = base.groupBy(*keys).agg(*_aggregates(groups, ts)).where(F.col("n_pings") >= min_pings)
-    if "speed" in groups:
-        q = by_counts(base, keys, "sog", SPEED_QUANTILES, method="nearest").drop("n")
-        main = main.join(q, keys, "left")
+    main = (base.groupBy(*keys).agg(*_aggregates(groups, ts, distributions=False))
+            .where(F.col("n_pings") >= min_pings))
+    values = _value_pass(base, keys, groups)
+    if values is not None:
+        main = main.join(values, keys, "left")
     main = derived_columns(main, groups)
     present = [c for c in ORDER if c in main.columns]
     return main.select(key, "week_start", *present)

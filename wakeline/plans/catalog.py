@@ -110,7 +110,7 @@ TS_FEATURE = "sog_median"
 
 def weekly_with_baseline(spark, sf_dir):
     """Weekly table and its baseline slice (first weeks, found by a scalar subquery)."""
-    w = weekly(spark, sf_dir)
+    w = weekly(spark, sf_dir).checkpoint()  # reused by the baseline and every period: cut lineage once
     first = w.select(F.min("week_start")).scalar()
     base = w.where(F.col("week_start") < F.date_add(first, WEEKLY_BASELINE_DAYS))
     return w, base
@@ -381,7 +381,7 @@ _ASRC_COMPLETE = ("asrc", "SELECT ship_type AS class, * FROM weekly WHERE "
 
 def complete_weekly(spark, sf_dir):
     """Weekly rows without any NULL (the tests drop incomplete rows first)."""
-    return weekly(spark, sf_dir).na.drop()
+    return weekly(spark, sf_dir).na.drop().checkpoint()
 
 
 @register("rows_per_entity", with_ctes(_VP, "SELECT imo, count(*) AS row_count FROM vpings GROUP BY imo"))
