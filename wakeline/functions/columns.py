@@ -98,10 +98,21 @@ def kl_term(comp, ref, eps: float = PSI_EPSILON) -> Column:
     return c * F.ln(c / r)
 
 
-def bin_of(edges, v) -> Column:
-    """Number of interior edges <= v: left-closed bins, bin 0 below the first edge."""
-    v = col_of(v)
-    return F.size(F.filter(col_of(edges), lambda e: e <= v)).cast("long")
+def bin_of(edges, v, max_edges: int | None = None) -> Column:
+    """Number of interior edges <= v: left-closed bins, bin 0 below the first edge.
+
+    With ``max_edges`` known (n_bins - 1), the count is an unrolled sum of
+    comparisons that stays inside whole-stage codegen; a lambda over the array
+    (``filter``) would be evaluated interpreted, row by row.
+    """
+    v, e = col_of(v), col_of(edges)
+    if max_edges is None:
+        return F.size(F.filter(e, lambda x: x <= v)).cast("long")
+    terms = [F.when(F.try_element_at(e, F.lit(i)) <= v, 1).otherwise(0) for i in range(1, max_edges + 1)]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return total.cast("long")
 
 
 def hash_order(cols, seed: int) -> Column:

@@ -31,7 +31,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 EXACT_LIMIT = 2_000_000      # rows a range may hold before it is finished exactly
 N_BUCKETS = 4096             # histogram width per refinement level
@@ -121,12 +121,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     vals = (df.select(*keys, F.col(value).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
 
-    # level 0: one open range per group
-    ranges = (vals.groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-              .withColumn("_rid", F.lit("r"))  # range id: a path, unique across levels
-              .checkpoint())
-    ctl = ranges.agg(F.count(F.lit(1)).alias("rows"), F.max("_c").alias("maxc")).first()
+    # level 0: one open range per group; first only its size is needed
+    stats = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"),
+                                    F.max("_v").alias("_hi"))
+    ctl = stats.agg(F.count(F.lit(1)).alias("rows"), F.max("_c").alias("maxc")).first()
     n_ranges, max_c = int(ctl["rows"] or 0), int(ctl["maxc"] or 0)
     if n_ranges == 0:
         return _assemble(spark.createDataFrame([], vals.schema).select(
@@ -138,6 +136,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
         return by_counts(df.select(*keys, F.col(value).cast("double").alias(value))
                          .where(~F.isnan(value)), keys, value, probs, method)
 
+    ranges = stats.withColumn("_rid", F.lit("r")).transform(materialize)  # range id: a path, unique across levels
+
     # wanted ranks per group: (keys, _qname, _which, _r relative to range _rid, _n)
     tgt_cols = []
     for name, q in probs.items():
@@ -147,7 +147,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     targets = (ranges.select(*keys, "_rid", F.col("_c").alias("_n"),
                              F.explode(F.array(*tgt_cols)).alias("_t"))
                .select(*keys, "_rid", "_n", "_t._qname", "_t._which", "_t._r")
-               .checkpoint())
+               .transform(materialize))
 
     for _ in range(max_levels):
         open_ranges = ranges.where((F.col("_c") > exact_limit) & (F.col("_lo") < F.col("_hi")))
@@ -174,9 +174,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
         kept_t = targets.join(open_ranges.select(*keys, "_rid"), keys + ["_rid"], "left_anti")
         kept_r = ranges.join(open_ranges.select(*keys, "_rid"), keys + ["_rid"], "left_anti")
         targets = kept_t.unionByName(
-            moved.select(*keys, F.col("_nrid").alias("_rid"), "_n", "_qname", "_which", "_r")).checkpoint()
+            moved.select(*keys, F.col("_nrid").alias("_rid"), "_n", "_qname", "_which", "_r")).transform(materialize)
         ranges = kept_r.unionByName(
-            moved.select(*keys, "_c", "_lo", "_hi", F.col("_nrid").alias("_rid")).distinct()).checkpoint()
+            moved.select(*keys, "_c", "_lo", "_hi", F.col("_nrid").alias("_rid")).distinct()).transform(materialize)
 
     # finish: single-valued ranges are answered directly, the rest by counts
     n_ranges = ranges.count()

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 DIGITS_PER_LEVEL = 3
 WINDOW_LIMIT = 2_000_000
@@ -50,7 +50,7 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
     cut = cutoffs.where(F.col("k") > 0).select(*groups, F.col("name").alias("__name"),
                                                 F.col("k").cast("long").alias("__k"))
     # decision state per (group, name): boundary prefix b (length L) and rank r left inside it
-    state = cut.select(*groups, "__name", F.lit("").alias("__b"), F.col("__k").alias("__r")).checkpoint()
+    state = cut.select(*groups, "__name", F.lit("").alias("__b"), F.col("__k").alias("__r")).transform(materialize)
     counts_at = df.select(*groups, F.col(hash_col).alias("_h"))
     depth = 0
     for level in range(1, MAX_LEVELS + 1):
@@ -75,15 +75,15 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
                 .where(F.col("__r") > F.col("__tot"))
                 .select(*groups, "__name", F.concat("__b", F.lit("~")).alias("__b"), F.lit(0).cast("long").alias("__r"),
                         F.lit(0).cast("long").alias("__bc")))
-        nxt = nxt.unionByName(over).checkpoint()
+        nxt = nxt.unionByName(over).transform(materialize)
         big = nxt.where(F.col("__bc") > window_limit).count()
         state = nxt.select(*groups, "__name", "__b", "__r")
         if big == 0:
             break
-        state = state.checkpoint()
+        state = state.transform(materialize)
 
     # final decision: compare the row's prefix with the boundary; rank inside it
-    final = state.checkpoint()
+    final = state.transform(materialize)
     n_final = final.count()
     out = df.withColumn("_h", F.col(hash_col))
     for name in names:

@@ -8,12 +8,14 @@ themselves return full precision.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import round_doubles
+from ..session import materialize
 from ..operators.pings import keep_ship_types
 from ..operators.weekly import weekly_features
 from ..sources.adapters import pings, pings_from_events
@@ -110,29 +112,34 @@ TS_FEATURE = "sog_median"
 
 def weekly_with_baseline(spark, sf_dir):
     """Weekly table and its baseline slice (first weeks, found by a scalar subquery)."""
-    w = weekly(spark, sf_dir).checkpoint()  # reused by the baseline and every period: cut lineage once
+    w = weekly(spark, sf_dir).transform(materialize)  # reused by the baseline and every period: cut lineage once
     first = w.select(F.min("week_start")).scalar()
     base = w.where(F.col("week_start") < F.date_add(first, WEEKLY_BASELINE_DAYS))
     return w, base
 
 
 def lineitem_monthly(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select(
-        *LI_FEATURES, "l_returnflag", "l_linestatus",
-        F.to_date(F.date_trunc("month", "l_shipdate")).alias("period"),
-        F.year("l_shipdate").alias("_y"))
-    first = li.select(F.min("_y")).scalar()
-    return li, li.where(F.col("_y") == first)
+    """lineitem by ship month; the baseline is the first calendar year, written as
+    a literal date range so it prunes row groups at the scan."""
+    li = table(spark, sf_dir, "lineitem")
+    first = li.agg(F.min("l_shipdate")).first()[0]  # one scalar
+    y0 = dt.datetime(first.year, 1, 1)
+    y1 = dt.datetime(first.year + 1, 1, 1)
+    li = li.select(*LI_FEATURES, "l_returnflag", "l_linestatus", "l_shipdate",
+                   F.to_date(F.date_trunc("month", "l_shipdate")).alias("period"))
+    base = li.where((F.col("l_shipdate") >= F.lit(y0)) & (F.col("l_shipdate") < F.lit(y1)))
+    return li, base
 
 
 def drifted_events(spark, sf_dir):
     """events.value scaled by (1 + 0.3 * weeks since the first week): known drift."""
-    ev = table(spark, sf_dir, "events").select(
-        "event_type", "value", F.to_date(F.date_trunc("week", "ts")).alias("period"))
-    first = ev.select(F.min("period")).scalar()
-    idx = F.floor(F.datediff("period", first) / 7)
+    ev = table(spark, sf_dir, "events")
+    first_ts = ev.agg(F.min("ts")).first()[0]  # one scalar
+    first = (first_ts - dt.timedelta(days=first_ts.weekday())).date()  # Monday of the first week
+    ev = ev.select("event_type", "value", F.to_date(F.date_trunc("week", "ts")).alias("period"))
+    idx = F.floor(F.datediff("period", F.lit(first)) / 7)
     ev = ev.withColumn("value", F.col("value") * (1 + 0.3 * idx))
-    return ev, ev.where(F.col("period") == first)
+    return ev, ev.where(F.col("period") == F.lit(first))
 
 
 def psi_by_class_df(spark, sf_dir, measure="psi"):
@@ -180,9 +187,7 @@ def q_reference_bins(spark, sf_dir):
 def q_bin_proportions(spark, sf_dir):
     w, base = weekly_with_baseline(spark, sf_dir)
     bins, _ = D.build_baselines(base, MODEL_FEATURES)
-    long_df = D.to_long(w, MODEL_FEATURES, None, "week_start")
-    cells = D._cells(w, MODEL_FEATURES, None, "week_start")
-    dense = D._dense_comparison(long_df, cells, bins)
+    dense = D.comparison(D.cell_counts(w, bins, MODEL_FEATURES, "week_start"), bins)
     return dense.select("period", "feature", "bin", "n", F.col("comp_prop").alias("proportion"))
 
 
@@ -381,7 +386,7 @@ _ASRC_COMPLETE = ("asrc", "SELECT ship_type AS class, * FROM weekly WHERE "
 
 def complete_weekly(spark, sf_dir):
     """Weekly rows without any NULL (the tests drop incomplete rows first)."""
-    return weekly(spark, sf_dir).na.drop().checkpoint()
+    return weekly(spark, sf_dir).na.drop().transform(materialize)
 
 
 @register("rows_per_entity", with_ctes(_VP, "SELECT imo, count(*) AS row_count FROM vpings GROUP BY imo"))
@@ -671,7 +676,7 @@ def forest_run(spark, sf_dir):
     key = (id(spark), sf_dir)
     if key not in _FOREST_CACHE:
         w = weekly(spark, sf_dir)
-        sp = S.split_random(w, "ship_type", ["imo", "week_start"]).checkpoint()
+        sp = S.split_random(w, "ship_type", ["imo", "week_start"]).transform(materialize)
         train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
         model = M.train_forest(train, MODEL_FEATURES, "ship_type")
         _FOREST_CACHE[key] = (model, train, test)

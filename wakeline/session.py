@@ -69,3 +69,18 @@ def default_partitions(spark: SparkSession) -> int:
 
 def env_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def materialize(df, name: str = "tmp"):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
+    and read it back.
+
+    One job (an eager ``checkpoint()`` runs its plan twice unless persisted),
+    the files survive executor loss, and the optimizer gets real size
+    statistics for the reread table (join and broadcast decisions).
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import default_partitions
+from ..session import default_partitions, materialize
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -72,7 +72,7 @@ def write_dataset(df: DataFrame, path: str, mode: str = "overwrite", keys=("imo"
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     out = new_rows(df, existing_keys(spark, path, keys), keys) if mode == "append" else df
     if mode == "append":
-        out = out.checkpoint()  # fix the rows before the target path changes under the reader
+        out = out.transform(materialize)  # fix the rows before the target path changes under the reader
     out.write.mode(mode).parquet(path)
     if csv_export:
         spark.read.parquet(path).write.mode("overwrite").option("header", True).csv(csv_export)

@@ -23,6 +23,7 @@ from ..config import MIN_PINGS_PER_WEEK, PSI_MODERATE
 from ..operators import drift as D
 from ..operators.weekly import GROUPS, ORDER, SPEED_QUANTILES, aggregates, derived_columns
 from ..sources import logs as L
+from ..session import materialize
 
 WEEK = ("7 days", "7 days", "4 days")
 
@@ -67,7 +68,7 @@ def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, feature
                      checkpoint: str, threshold: float = PSI_MODERATE, available_now: bool = True):
     """K2: every new log file batch is checked against the baseline; alarms are
     appended with the batch id (a re-run batch overwrites its own partition)."""
-    bins = bins.checkpoint()
+    bins = bins.transform(materialize)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         entries = L.parse_log(batch, features)
