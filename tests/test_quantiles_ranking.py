@@ -65,3 +65,15 @@ def test_rank_below_matches_row_number(spark, limit):
     joined = got.join(want, "id")
     assert joined.count() == 2500
     assert joined.where((F.col("below_t") != F.col("t")) | (F.col("below_u") != F.col("u"))).count() == 0
+
+
+def test_running_sum_matches_window(spark):
+    from wakeline.operators.prefix import running_sum
+    rnd = random.Random(11)
+    rows = [("a" if rnd.random() < 0.8 else "b", float(v), rnd.randint(1, 5)) for v in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double, t long")
+    got = running_sum(df, ["g"], "v", "t", out="before", partitions=7)
+    w = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumn("want", F.coalesce(F.sum("t").over(w), F.lit(0)))
+    j = got.join(want, ["g", "v"])
+    assert j.count() == 3000 and j.where(F.col("before") != F.col("want")).count() == 0

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .drift import broadcast_if_small, to_long
+from .prefix import running_sum
 from .quantiles import by_counts, exact_quantiles
 
 KDE_GRID = 200
 KDE_CUT = 3.0
 HIST_BINS = 10_000
-RANK_BUCKETS = 4096
 
 
 def rows_per_entity(df: DataFrame, key: str) -> DataFrame:
@@ -170,29 +170,18 @@ def anova_f(df: DataFrame, features: Sequence[str], class_col: str) -> DataFrame
                                    F.col("ssw") / (F.col("n_total") - F.col("k"))).alias("f_stat"))
 
 
-def kruskal_h(df: DataFrame, features: Sequence[str], class_col: str, buckets: int = RANK_BUCKETS) -> DataFrame:
+def kruskal_h(df: DataFrame, features: Sequence[str], class_col: str) -> DataFrame:
     """Tie-corrected Kruskal-Wallis H per feature.
 
-    Average ranks come from running counts over distinct values.  The running
-    count is split in two levels so no feature's values sit in one window: a
-    per-feature running sum over ``buckets`` equal-width value buckets (a small
-    table), plus a running sum inside each bucket.
+    Average ranks come from running counts over each feature's distinct values,
+    computed by :func:`prefix.running_sum` (range-partitioned, so a feature's
+    values are spread over many tasks instead of one window).
     """
     long_df = to_long(df, features, class_col)
     counts = long_df.groupBy("feature", "value", "class").agg(F.count(F.lit(1)).alias("n"))
     vt = counts.groupBy("feature", "value").agg(F.sum("n").alias("t"))
-    st = vt.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * buckets),
-                F.lit(buckets - 1))).cast("long")
-    vt = vt.join(broadcast_if_small(st), "feature").withColumn("b", b)
-    bt = vt.groupBy("feature", "b").agg(F.sum("t").alias("bt"))
-    bt = bt.withColumn("before_b", F.coalesce(F.sum("bt").over(
-        Window.partitionBy("feature").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    wv = Window.partitionBy("feature", "b").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    vt = vt.withColumn("before_v", F.coalesce(F.sum("t").over(wv), F.lit(0))).join(bt, ["feature", "b"])
-    ranks = vt.select("feature", "value", "t",
-                      (F.col("before_b") + F.col("before_v") + (F.col("t") + 1) / 2.0).alias("avg_rank"))
+    vt = running_sum(vt, ["feature"], "value", "t", out="before")
+    ranks = vt.select("feature", "value", "t", (F.col("before") + (F.col("t") + 1) / 2.0).alias("avg_rank"))
     ties = ranks.groupBy("feature").agg(
         F.sum(F.col("t").cast("double") ** 3 - F.col("t")).alias("tie_sum"), F.sum("t").alias("big_n"))
     rs = counts.join(ranks.select("feature", "value", "avg_rank"), ["feature", "value"]).groupBy(
