@@ -120,7 +120,8 @@ class ZipCsvReader(DataSourceReader):
                     for rb in reader:
                         cols = {RAW_COLUMNS[n]: rb.column(i) for i, n in enumerate(rb.schema.names)}
                         yield batch(cols, rb.num_rows, None)
-        except (zipfile.BadZipFile, EOFError) as e:
+        except (zipfile.BadZipFile, EOFError, OSError, pa.ArrowInvalid) as e:
+            # unreadable archive (truncated, not a zip, bad seek): recorded, not fatal
             yield batch({}, 1, f"corrupt_zip: {type(e).__name__}")
 
 
