@@ -62,3 +62,24 @@ def test_generate_train_monitor(spark, tmp_path):
     # nothing new since the last check -> nothing to do
     drifted2, flagged2 = J.monitor(spark, log_dir, runs, state)
     assert drifted2 is False and flagged2 is None
+
+
+def test_drift_stream_checks_new_log_files(spark, tmp_path):
+    from wakeline.operators import drift as D
+    from wakeline.streaming.jobs import run_drift_stream
+    base = spark.createDataFrame([(float(v),) for v in range(100)], "x double")
+    bins, _ = D.build_baselines(base, ["x"])
+    log_dir = tmp_path / "log"
+    log_dir.mkdir()
+    line = '{{"timestamp": "2026-01-0{d}T00:00:00+00:00", "features": {{"x": {x}}}, "vessel_type": "A"}}'
+    (log_dir / "a.json").write_text("\n".join(line.format(d=1, x=v) for v in range(100)) + "\n")
+    alarms = str(tmp_path / "alarms")
+    q = run_drift_stream(spark, str(log_dir), bins, ["x"], alarms, str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    first = spark.read.parquet(alarms).collect()
+    assert len(first) == 1 and first[0].alarm is None and first[0].psi < 1e-9   # same distribution
+    (log_dir / "b.json").write_text("\n".join(line.format(d=2, x=500 + v) for v in range(50)) + "\n")
+    q = run_drift_stream(spark, str(log_dir), bins, ["x"], alarms, str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    got = spark.read.parquet(alarms).where("batch_id = 1").collect()   # only the new file was read
+    assert len(got) == 1 and got[0].feature == "x" and got[0].psi > 0.25 and got[0].alarm is not None

@@ -147,23 +147,24 @@ def permutation_importance(model: PipelineModel, test: DataFrame, features: Sequ
     base_acc = F.lit(accuracy(base, label))
     n = test.count()
     buckets = max(1, n // PERM_BUCKET)
-    # donor value for each (row, feature, repeat): the next row in hash order
-    # inside a hash bucket, wrapping around (a permutation of the column)
-    long_items = F.array(*[F.struct(F.lit(f).alias("_f"), F.col(f).cast("double").alias("_v")) for f in features])
-    reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r")
-    lv = test.select(*keys, F.explode(long_items).alias("_it")).select(*keys, "_it._f", "_it._v", reps)
-    h = hash_order(keys + ["_f", "_r"], seed)
-    lv = lv.withColumn("_h", h).withColumn("_g", F.pmod(F.xxhash64("_h"), F.lit(buckets)))
-    w = Window.partitionBy("_f", "_r", "_g").orderBy("_h")
-    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    donors = lv.select(*keys, "_f", "_r", F.when(F.lead("_h").over(w).isNull(), F.first("_v").over(wall))
-                       .otherwise(F.lead("_v").over(w)).alias("_donor"))
+    # one copy of the test rows per (feature, repeat); the shuffled value of the
+    # copy's feature is the next row's value in hash order inside a hash bucket,
+    # wrapping around - a permutation of that column, built by one window
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.lit(r).alias("_r"))
                                 for f in features for r in range(repeats)])).alias("_p")
     copies = test.select("*", pairs).select("*", "_p._f", "_p._r").drop("_p")
-    copies = copies.join(donors, keys + ["_f", "_r"])
+    own = F.lit(None).cast("double")
+    for f in features:
+        own = F.when(F.col("_f") == f, F.col(f).cast("double")).otherwise(own)
+    copies = (copies.withColumn("_own", own).withColumn("_h", hash_order(keys + ["_f", "_r"], seed))
+              .withColumn("_g", F.pmod(F.xxhash64("_h"), F.lit(buckets))))
+    w = Window.partitionBy("_f", "_r", "_g").orderBy("_h")
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    copies = copies.withColumn("_donor", F.when(F.lead("_h").over(w).isNull(), F.first("_own").over(wall))
+                               .otherwise(F.lead("_own").over(w)))
     for f in features:
         copies = copies.withColumn(f, F.when(F.col("_f") == f, F.col("_donor")).otherwise(F.col(f).cast("double")))
+    copies = copies.drop("_own", "_h", "_g")
     scored = predict(model, copies.drop("_donor"), features)
     acc = scored.groupBy("_f", "_r").agg(F.avg((F.col(label) == F.col("prediction")).cast("double")).alias("acc"))
     drop = acc.withColumn("d", base_acc - F.col("acc"))

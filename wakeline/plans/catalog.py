@@ -748,16 +748,15 @@ def q_append_new_weeks(spark, sf_dir):
 
 def log_lines(spark, sf_dir):
     """Prediction-log text built from the weekly table: one JSON line per row
-    (rule prediction as the class), a truncated line for every tenth vessel and
-    a blank line per week."""
+    (rule prediction as the class), a truncated copy of every line (malformed)
+    and a blank line per week."""
     w = weekly(spark, sf_dir)
     scored = w.withColumn("prediction", F.expr(RULE_PREDICTION)).withColumn(
         "probabilities", F.create_map(F.col("prediction"), F.lit(1.0)))
     stamp = F.date_format(F.col("week_start").cast("timestamp") + F.make_interval(mins=F.col("imo").cast("int")),
                           "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     lines = L.to_log_rows(scored, MODEL_FEATURES, ts=stamp).select(F.to_json(F.struct("*")).alias("value"))
-    bad = scored.where(F.col("imo") % 10 == 0).select(
-        F.substring(F.to_json(F.struct("imo", "week_start")), 1, 12).alias("value"))
+    bad = lines.select(F.substring("value", 1, 40).alias("value"))
     blank = w.select("week_start").distinct().select(F.lit("").alias("value"))
     return lines.unionByName(bad).unionByName(blank)
 

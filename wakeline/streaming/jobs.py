@@ -64,19 +64,24 @@ def run_weekly_stream(spark: SparkSession, source_dir: str, schema, sink: str, c
     return q.start()
 
 
-def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, features, alarms_path: str,
+def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, features, results_path: str,
                      checkpoint: str, threshold: float = PSI_MODERATE, available_now: bool = True):
-    """K2: every new log file batch is checked against the baseline; alarms are
-    appended with the batch id (a re-run batch overwrites its own partition)."""
+    """K2: every new batch of log files is checked against the baseline.
+
+    All PSI rows of the batch are written with the batch id and an ``alarm``
+    text (NULL when under the threshold); a re-run batch overwrites its own
+    partition, so the sink is idempotent."""
     bins = bins.transform(materialize)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         entries = L.parse_log(batch, features)
         df = L.unnest_features(entries).withColumn("period", F.current_date())
         res = D.monitor_numeric(df, bins, features, "period")
-        flagged = D.check_drift(res, threshold).withColumn("batch_id", F.lit(batch_id))
-        (flagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(alarms_path))
+        flagged = D.check_drift(res, threshold).select("period", "feature", "class", "alarm")
+        out = (res.join(flagged, ["period", "feature", "class"], "left")
+               .withColumn("batch_id", F.lit(batch_id)))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(results_path))
 
     q = (spark.readStream.text(log_dir).writeStream.foreachBatch(check)
          .option("checkpointLocation", checkpoint))
