@@ -789,3 +789,31 @@ def q_stream_weekly(spark, sf_dir):
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
+
+
+# ---------------------------------------------------------------- top-k report, class slice, summary metrics
+TOP_K = 10
+SLICE_START, SLICE_STOP = 5, 15
+
+
+@register("drift_top_k", rounded(with_ctes(_by_class_ctes(), f"""SELECT feature, class, max(psi) AS max_psi
+FROM scored GROUP BY feature, class ORDER BY max_psi DESC NULLS LAST, feature, class LIMIT {TOP_K}"""), ["max_psi"]))
+def q_drift_top_k(spark, sf_dir):
+    return D.rank_by_drift(psi_by_class_df(spark, sf_dir), k=TOP_K)
+
+
+@register("class_slice", with_ctes(_W, f"""SELECT {_WKEY} FROM (
+  SELECT {_WKEY}, row_number() OVER (PARTITION BY ship_type ORDER BY {_md5(['imo', 'week_start'])}, imo,
+    week_start) AS rn FROM weekly) t
+WHERE rn > {SLICE_START} AND rn <= {SLICE_STOP}"""))
+def q_class_slice(spark, sf_dir):
+    w = weekly(spark, sf_dir, groups=["identity"]).select("imo", "week_start", "ship_type")
+    return S.class_slice(w, "ship_type", ["imo", "week_start"], SLICE_START, SLICE_STOP)
+
+
+@register("model_metrics", rounded(with_ctes(_W + [_RULE] + report_sql("rscored", []), """SELECT
+  max(CASE WHEN class = 'accuracy' THEN f1 END) AS accuracy,
+  max(CASE WHEN class = 'macro avg' THEN f1 END) AS f1_macro, max(support) AS n FROM report"""),
+    ["accuracy", "f1_macro"]))
+def q_model_metrics(spark, sf_dir):
+    return EV.summary_metrics(rule_scored(spark, sf_dir))
