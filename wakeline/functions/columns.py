@@ -15,7 +15,7 @@ from ..config import PSI_EPSILON, PSI_MODERATE, PSI_STABLE
 __all__ = [
     "col_of", "circular_abs_diff", "share_where", "n_distinct_incl_null", "mode_of",
     "safe_div", "clip_low", "psi_term", "kl_term", "bin_of", "hash_order", "psi_band",
-    "round_doubles", "fixed_mean", "stable_std", "week_start", "month_start", "nearest_rank", "is_digits",
+    "round_doubles", "fixed_mean", "stable_std", "week_start", "utc_instant", "utc_date", "month_start", "nearest_rank", "is_digits",
 ]
 
 
@@ -130,12 +130,27 @@ def psi_band(psi) -> Column:
 
 
 def week_start(ts) -> Column:
-    """Monday of the ts's week, as DATE."""
-    return F.to_date(F.date_trunc("week", col_of(ts)))
+    """Monday of the ts's week, as DATE (no time-zone conversion of NTZ values)."""
+    c = col_of(ts)
+    return F.date_sub(F.to_date(c), (F.dayofweek(c) + 5) % 7)
 
 
 def month_start(ts) -> Column:
-    return F.to_date(F.date_trunc("month", col_of(ts)))
+    """First day of the ts's month, as DATE."""
+    return F.trunc(F.to_date(col_of(ts)), "month")
+
+
+def utc_instant(ts) -> Column:
+    """A TIMESTAMP instant whose UTC wall time equals the TIMESTAMP_NTZ value,
+    whatever the session time zone (event time for watermarks and windows)."""
+    c = col_of(ts)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
+def utc_date(instant) -> Column:
+    """The UTC calendar date of a TIMESTAMP instant, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(col_of(instant)) / 86400).cast("int"))
 
 
 def nearest_rank(n, q: float) -> Column:

@@ -10,7 +10,9 @@ the running sum is computed in two parts:
   partition totals (one row per partition and group).
 
 Range partitions are contiguous in ``(g, v)`` order, so offset + local running
-sum is the global running sum.
+sum is the global running sum.  The partitioned rows are stored once
+(``materialize``): range bounds come from sampling, and a re-executed plan
+could draw other bounds.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .drift import broadcast_if_small
 
 
@@ -30,7 +33,10 @@ def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, ou
     unique within a group (pre-aggregate duplicates first)."""
     groups = list(groups)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = df.repartitionByRange(n, *groups, order).withColumn("_pid", F.spark_partition_id())
+    # range bounds come from a sample of the input, so the partition ids must be
+    # fixed once: both the totals and the local sums read the same stored table
+    ranged = materialize(df.repartitionByRange(n, *groups, order).withColumn("_pid", F.spark_partition_id()),
+                         "ranged")
     totals = ranged.groupBy("_pid", *groups).agg(F.sum(value).alias("_pt"))
     w_off = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *groups, F.coalesce(F.sum("_pt").over(w_off), F.lit(0)).alias("_off"))

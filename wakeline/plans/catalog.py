@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import round_doubles
+from ..functions import month_start, round_doubles, week_start
 from ..session import materialize
 from ..operators.pings import keep_ship_types
 from ..operators.weekly import weekly_features
@@ -123,11 +123,11 @@ def lineitem_monthly(spark, sf_dir):
     a literal date range so it prunes row groups at the scan."""
     li = table(spark, sf_dir, "lineitem")
     first = li.agg(F.min("l_shipdate")).first()[0]  # one scalar
-    y0 = dt.datetime(first.year, 1, 1)
-    y1 = dt.datetime(first.year + 1, 1, 1)
+    y0 = F.lit(f"{first.year}-01-01 00:00:00").cast("timestamp_ntz")   # zone-free literals
+    y1 = F.lit(f"{first.year + 1}-01-01 00:00:00").cast("timestamp_ntz")
     li = li.select(*LI_FEATURES, "l_returnflag", "l_linestatus", "l_shipdate",
-                   F.to_date(F.date_trunc("month", "l_shipdate")).alias("period"))
-    base = li.where((F.col("l_shipdate") >= F.lit(y0)) & (F.col("l_shipdate") < F.lit(y1)))
+                   month_start("l_shipdate").alias("period"))
+    base = li.where((F.col("l_shipdate") >= y0) & (F.col("l_shipdate") < y1))
     return li, base
 
 
@@ -136,7 +136,7 @@ def drifted_events(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     first_ts = ev.agg(F.min("ts")).first()[0]  # one scalar
     first = (first_ts - dt.timedelta(days=first_ts.weekday())).date()  # Monday of the first week
-    ev = ev.select("event_type", "value", F.to_date(F.date_trunc("week", "ts")).alias("period"))
+    ev = ev.select("event_type", "value", week_start("ts").alias("period"))
     idx = F.floor(F.datediff("period", F.lit(first)) / 7)
     ev = ev.withColumn("value", F.col("value") * (1 + 0.3 * idx))
     return ev, ev.where(F.col("period") == F.lit(first))
@@ -739,7 +739,7 @@ def q_vessel_ids(spark, sf_dir):
 WHERE week_start >= (SELECT min(CAST(date_trunc('week', ts) AS DATE)) FROM vpings) + {APPEND_AFTER_DAYS}"""))
 def q_append_new_weeks(spark, sf_dir):
     p = vessel_pings(spark, sf_dir)
-    first = p.select(F.min(F.to_date(F.date_trunc("week", "ts")))).scalar()
+    first = p.select(F.min(week_start("ts"))).scalar()
     early = p.where(F.col("ts") < F.date_add(first, APPEND_AFTER_DAYS).cast("timestamp_ntz"))
     stored = weekly_features(early, min_pings=ADAPTER_MIN_PINGS, groups=["temporal"]).select("imo", "week_start")
     fresh = weekly_features(p, min_pings=ADAPTER_MIN_PINGS, groups=["temporal"])

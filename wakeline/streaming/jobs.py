@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MIN_PINGS_PER_WEEK, PSI_MODERATE
+from ..functions import utc_date, utc_instant
 from ..operators import drift as D
 from ..operators.weekly import GROUPS, ORDER, SPEED_QUANTILES, aggregates, derived_columns
 from ..sources import logs as L
@@ -35,7 +36,7 @@ def weekly_stream(pings: DataFrame, watermark: str = "1 day", min_pings: int = M
     Speed quantiles use the sorted list of one vessel-week's readings (state
     bounded by the reporting rate of one vessel over one week).
     """
-    s = pings.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    s = pings.withColumn("ts", utc_instant("ts")).withWatermark("ts", watermark)
     if dedupe:
         s = s.dropDuplicatesWithinWatermark([key, "ts"])
     aggs = aggregates(GROUPS, "ts") + [F.array_sort(F.collect_list("sog")).alias("_sogs")]
@@ -44,7 +45,7 @@ def weekly_stream(pings: DataFrame, watermark: str = "1 day", min_pings: int = M
     for name, q in SPEED_QUANTILES.items():
         idx = (F.floor((n - 1) * F.lit(q) + F.lit(0.5)) + 1).cast("int")
         out = out.withColumn(name, F.when(n > 0, F.element_at("_sogs", idx)))
-    out = derived_columns(out, GROUPS).withColumn("week_start", F.to_date("w.start"))
+    out = derived_columns(out, GROUPS).withColumn("week_start", utc_date("w.start"))
     return out.select(key, "week_start", *[c for c in ORDER if c in out.columns])
 
 
