@@ -50,3 +50,14 @@ def test_entry_and_registry(spark):
     assert set(sql) <= set(qs) and len(qs) >= 55
     bad = [n for n in qs if n.startswith("op") or "pipeline" in n]
     assert not bad
+
+
+def test_tune_for_input_sizes_partitions(spark):
+    from wakeline.session import tune_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for_input(spark, 100 * (1 << 40), cores=8000) == 409600
+        assert tune_for_input(spark, 1 << 20, cores=4) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))

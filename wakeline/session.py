@@ -38,6 +38,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   cores: int | None = None) -> int:
+    """Size shuffles for an input of ``input_bytes`` (compressed Parquet).
+
+    Sets the shuffle partition count so a partition holds about
+    ``target_partition_bytes`` before AQE coalescing (at least 2x the cores),
+    the scan split size, the AQE advisory size and the skew-join thresholds.
+    Returns the partition count.  Example: 100 TB -> ~400k partitions of 256 MB.
+    """
+    cores = cores or spark.sparkContext.defaultParallelism
+    n = max(2 * cores, -(-int(input_bytes) // target_partition_bytes))
+    for k, v in {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }.items():
+        spark.conf.set(k, v)
+    return n
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The checkpoint folder the cluster names, if any."""
     d = spark.sparkContext.getCheckpointDir()
