@@ -43,8 +43,13 @@ def vessel_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_ship_types(pings(spark, sf_dir))
 
 
-def weekly(spark: SparkSession, sf_dir: str, groups=None, min_pings: int = ADAPTER_MIN_PINGS) -> DataFrame:
-    return weekly_features(vessel_pings(spark, sf_dir), min_pings=min_pings, groups=groups)
+def weekly(spark: SparkSession, sf_dir: str, groups=None, min_pings: int = ADAPTER_MIN_PINGS,
+           stored: bool = False) -> DataFrame:
+    """The weekly feature table from the driver's events.  ``stored=True`` writes
+    it once (``materialize``) for queries that read it in several passes, as a
+    production job reads the stored feature table."""
+    w = weekly_features(vessel_pings(spark, sf_dir), min_pings=min_pings, groups=groups)
+    return w.transform(materialize) if stored else w
 
 
 # ---------------------------------------------------------------- weekly roll-up
@@ -112,7 +117,7 @@ TS_FEATURE = "sog_median"
 
 def weekly_with_baseline(spark, sf_dir):
     """Weekly table and its baseline slice (first weeks, found by a scalar subquery)."""
-    w = weekly(spark, sf_dir).transform(materialize)  # reused by the baseline and every period: cut lineage once
+    w = weekly(spark, sf_dir, stored=True)  # reused by the baseline and every period: cut lineage once
     first = w.select(F.min("week_start")).scalar()
     base = w.where(F.col("week_start") < F.date_add(first, WEEKLY_BASELINE_DAYS))
     return w, base
@@ -299,7 +304,7 @@ _WKEY = "imo, week_start, ship_type"
 FROM (SELECT {_WKEY}, row_number() OVER (PARTITION BY ship_type ORDER BY {_md5(['imo', 'week_start'])}, imo,
   week_start) AS rn, count(*) OVER (PARTITION BY ship_type) AS n FROM weekly) t"""))
 def q_split_random(spark, sf_dir):
-    w = weekly(spark, sf_dir, groups=["identity"]).select("imo", "week_start", "ship_type")
+    w = weekly(spark, sf_dir, groups=["identity"], stored=True).select("imo", "week_start", "ship_type")
     return S.split_random(w, "ship_type", ["imo", "week_start"])
 
 
@@ -337,7 +342,7 @@ LEFT JOIN (SELECT ship_type, count(*) AS n FROM weekly GROUP BY 1) x ON x.ship_t
 ], """SELECT r.imo, r.week_start, r.ship_type, CASE WHEN rn <= t THEN 'test' ELSE 'train' END AS split
 FROM r JOIN cut USING (ship_type), mm WHERE rn <= t + m"""))
 def q_split_compositional(spark, sf_dir):
-    w = weekly(spark, sf_dir, groups=["identity"]).select("imo", "week_start", "ship_type")
+    w = weekly(spark, sf_dir, groups=["identity"], stored=True).select("imo", "week_start", "ship_type")
     return S.split_compositional(w, "ship_type", ["imo", "week_start"])
 
 
@@ -386,7 +391,7 @@ _ASRC_COMPLETE = ("asrc", "SELECT ship_type AS class, * FROM weekly WHERE "
 
 def complete_weekly(spark, sf_dir):
     """Weekly rows without any NULL (the tests drop incomplete rows first)."""
-    return weekly(spark, sf_dir).na.drop().transform(materialize)
+    return weekly(spark, sf_dir).na.drop().transform(materialize)  # read by several passes
 
 
 @register("rows_per_entity", with_ctes(_VP, "SELECT imo, count(*) AS row_count FROM vpings GROUP BY imo"))
@@ -426,7 +431,7 @@ def q_missingness(spark, sf_dir):
   quantile_cont(value, 25e-2) AS p25, quantile_cont(value, 5e-1) AS p50, quantile_cont(value, 75e-2) AS p75,
   max(value) AS max FROM along GROUP BY feature, class"""), ["mean", "std", "min", "p25", "p50", "p75", "max"]))
 def q_grouped_describe(spark, sf_dir):
-    return ST.grouped_describe(weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
+    return ST.grouped_describe(weekly(spark, sf_dir, stored=True), ANALYSIS_FEATURES, "ship_type")
 
 
 @register("histogram", rounded(with_ctes(_VP + [
@@ -452,7 +457,7 @@ def q_histogram(spark, sf_dir):
 FROM qs q JOIN along a ON a.feature = q.feature AND a.class = q.class GROUP BY ALL"""),
     ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]))
 def q_box_summary(spark, sf_dir):
-    return ST.box_summary(weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
+    return ST.box_summary(weekly(spark, sf_dir, stored=True), ANALYSIS_FEATURES, "ship_type")
 
 
 @register("kde_by_class", rounded(with_ctes(_W + [
@@ -468,7 +473,7 @@ FROM (SELECT class, v, count(*) AS c FROM kv GROUP BY ALL) d JOIN st s USING (cl
     / (first(n) * first(h) * 2.5066282746310002) AS density
 FROM pts GROUP BY class, i"""), ["x", "density"]))
 def q_kde_by_class(spark, sf_dir):
-    return ST.kde_by_class(weekly(spark, sf_dir), KDE_FEATURE, "ship_type")
+    return ST.kde_by_class(weekly(spark, sf_dir, stored=True), KDE_FEATURE, "ship_type")
 
 
 _PAIRS = [(a, b) for i, a in enumerate(ANALYSIS_FEATURES) for b in ANALYSIS_FEATURES[i:]]
@@ -675,7 +680,7 @@ def forest_run(spark, sf_dir):
     Memoised per process so the rows-only queries share one fit."""
     key = (id(spark), sf_dir)
     if key not in _FOREST_CACHE:
-        w = weekly(spark, sf_dir)
+        w = weekly(spark, sf_dir, stored=True)
         sp = S.split_random(w, "ship_type", ["imo", "week_start"]).transform(materialize)
         train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
         model = M.train_forest(train, MODEL_FEATURES, "ship_type")
@@ -807,7 +812,7 @@ def q_drift_top_k(spark, sf_dir):
     week_start) AS rn FROM weekly) t
 WHERE rn > {SLICE_START} AND rn <= {SLICE_STOP}"""))
 def q_class_slice(spark, sf_dir):
-    w = weekly(spark, sf_dir, groups=["identity"]).select("imo", "week_start", "ship_type")
+    w = weekly(spark, sf_dir, groups=["identity"], stored=True).select("imo", "week_start", "ship_type")
     return S.class_slice(w, "ship_type", ["imo", "week_start"], SLICE_START, SLICE_STOP)
 
 
