@@ -120,3 +120,19 @@ def test_log_read_skips_bad_lines_and_cutoff_is_strict(spark, tmp_path):
     after = L.read_log(spark, str(tmp_path / "log"), ["f1"], since=dt.datetime(2026, 1, 1)).collect()
     assert [r.vessel_type for r in after] == ["B"]
     assert L.unnest_features(L.read_log(spark, str(tmp_path / "log"), ["f1"])).columns[-1] == "f1"
+    q = L.log_quality(spark.read.text(str(tmp_path / "log")), ["f1"]).first()
+    assert (q.n_lines, q.n_blank, q.n_malformed, q.n_valid) == (5, 2, 1, 2)
+
+
+def test_compact_and_csv_export(spark, raw_dir, tmp_path):
+    from wakeline.operators.weekly import weekly_features
+    pings = R.parse_raw(R.read_raw(spark, raw_dir))
+    root, out = str(tmp_path / "daily"), str(tmp_path / "compact")
+    K.write_daily(pings, root)
+    K.compact(spark, root, out, 1)
+    assert spark.read.parquet(out).count() == spark.read.parquet(root).count()
+    feats = weekly_features(pings.where(F.col("imo").isNotNull()), min_pings=1)
+    K.write_dataset(feats, str(tmp_path / "ds"), csv_export=str(tmp_path / "csv"))
+    back = K.read_dataset(spark, str(tmp_path / "csv"), fmt="csv", schema=feats.schema)
+    assert back.count() == feats.count()
+    assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in feats.schema]

@@ -60,6 +60,17 @@ def parse_log(lines: DataFrame, features, text_col: str = "value") -> DataFrame:
                      F.to_timestamp("j.timestamp").alias("ts")).where(F.col("ts").isNotNull())
 
 
+def log_quality(lines: DataFrame, features, text_col: str = "value") -> DataFrame:
+    """Counts of lines read, blank, malformed and valid (one aggregate pass)."""
+    schema = log_schema(features)
+    j = F.from_json(F.col(text_col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    blank = F.trim(F.col(text_col)) == ""
+    valid = (~blank & j.isNotNull() & j["_corrupt_record"].isNull() & j["timestamp"].isNotNull()
+             & F.to_timestamp(j["timestamp"]).isNotNull())
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(blank).alias("n_blank"),
+                     F.count_if(~blank & ~valid).alias("n_malformed"), F.count_if(valid).alias("n_valid"))
+
+
 def read_log(spark: SparkSession, log_dir: str, features, since=None) -> DataFrame:
     """Entries strictly after ``since`` (all when None)."""
     lines = spark.read.text(log_dir)
