@@ -409,8 +409,8 @@ def q_value_counts(spark, sf_dir):
 @register("activity_profile", rounded(with_ctes(_VP + [
     ("per", "SELECT imo, count(*) AS rc FROM vpings GROUP BY imo")],
     """SELECT CAST(sum(rc) AS BIGINT) AS n_rows, count(*) AS n_entities, max(rc) AS max_rows,
-  quantile_cont(rc, 5e-1) AS median_rows, avg(rc) AS mean_rows, count_if(rc > 1440) AS n_busy,
-  count_if(rc < 144) AS n_quiet FROM per"""), ["median_rows", "mean_rows"]))
+  quantile_cont(rc, 5e-1) AS median_rows, avg(rc) AS mean_rows, CAST(count_if(rc > 1440) AS BIGINT) AS n_busy,
+  CAST(count_if(rc < 144) AS BIGINT) AS n_quiet FROM per"""), ["median_rows", "mean_rows"]))
 def q_activity_profile(spark, sf_dir):
     return ST.activity_profile(vessel_pings(spark, sf_dir), "imo")
 
