@@ -28,9 +28,11 @@ def write_daily(pings: DataFrame, root: str, force: bool = False, n_partitions:
     """A3/A4: per-day ping table partitioned by ``event_date``.
 
     Days already present are skipped unless ``force`` (then only those days are
-    overwritten: dynamic partition overwrite).  Rows are hash-partitioned on
-    (event_date, imo) so one day is written by many tasks, and sorted by
-    (imo, ts) inside each file so a vessel's pings are contiguous.
+    overwritten: dynamic partition overwrite).  Rows are range-partitioned on
+    (event_date, imo): a big day is split over many tasks, and each task holds a
+    contiguous slice, so the file count stays near the task count (hash
+    partitioning would write one file per day per task).  Files are sorted by
+    (imo, ts), so a vessel's pings are contiguous.
     Returns the rows that were written (lazy).
     """
     spark = pings.sparkSession
@@ -39,15 +41,16 @@ def write_daily(pings: DataFrame, root: str, force: bool = False, n_partitions:
         done = spark.read.parquet(root).select("event_date").distinct()
         todo = pings.join(F.broadcast(done), "event_date", "left_anti")  # one row per stored day
     n = n_partitions or default_partitions(spark)
-    (todo.repartition(n, "event_date", "imo").sortWithinPartitions("event_date", "imo", "ts")
+    (todo.repartitionByRange(n, "event_date", "imo").sortWithinPartitions("event_date", "imo", "ts")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "snappy").partitionBy("event_date").parquet(root))
     return todo
 
 
 def compact(spark: SparkSession, root: str, out: str, n_files: int) -> None:
-    """A5: rewrite the daily table into ``n_files`` files per day, clustered by vessel."""
-    (spark.read.parquet(root).repartition(n_files, "event_date", "imo")
+    """A5: rewrite the daily table into about ``n_files`` files in total, each a
+    contiguous (day, vessel) range."""
+    (spark.read.parquet(root).repartitionByRange(n_files, "event_date", "imo")
          .sortWithinPartitions("event_date", "imo", "ts")
          .write.mode("overwrite").partitionBy("event_date").parquet(out))
 
