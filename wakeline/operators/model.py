@@ -57,8 +57,12 @@ def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> Dat
 
 def forest_pipeline(features: Sequence[str], label: str, num_trees: int = FOREST_TREES,
                     max_depth: int = FOREST_MAX_DEPTH, min_leaf: int = FOREST_MIN_LEAF,
-                    seed: int = RANDOM_SEED) -> Pipeline:
-    """Indexer -> median imputer -> assembler -> weighted random forest."""
+                    seed: int = RANDOM_SEED, node_memory_mb: int = 64) -> Pipeline:
+    """Indexer -> median imputer -> assembler -> weighted random forest.
+
+    ``node_memory_mb`` caps the statistics aggregated per pass over the data
+    (spark.ml ``maxMemoryInMB``): deep trees are then grown in more, smaller
+    passes instead of exhausting the heap."""
     features = list(features)
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc",
@@ -69,7 +73,7 @@ def forest_pipeline(features: Sequence[str], label: str, num_trees: int = FOREST
         RandomForestClassifier(featuresCol="_features", labelCol="_label_idx", weightCol="weight",
                                numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                seed=seed, predictionCol="_pred_idx", probabilityCol="_proba",
-                               rawPredictionCol="_raw"),
+                               rawPredictionCol="_raw", maxMemoryInMB=node_memory_mb),
     ])
 
 
