@@ -62,7 +62,9 @@ def forest_pipeline(features: Sequence[str], label: str, num_trees: int = FOREST
 
     ``node_memory_mb`` caps the statistics aggregated per pass over the data
     (spark.ml ``maxMemoryInMB``): deep trees are then grown in more, smaller
-    passes instead of exhausting the heap."""
+    passes instead of exhausting the heap.  Node ids are cached per row (and
+    checkpointed every 10 levels) so deep trees do not re-ship every tree to the
+    executors at each level."""
     features = list(features)
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc",
@@ -73,7 +75,8 @@ def forest_pipeline(features: Sequence[str], label: str, num_trees: int = FOREST
         RandomForestClassifier(featuresCol="_features", labelCol="_label_idx", weightCol="weight",
                                numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                seed=seed, predictionCol="_pred_idx", probabilityCol="_proba",
-                               rawPredictionCol="_raw", maxMemoryInMB=node_memory_mb),
+                               rawPredictionCol="_raw", maxMemoryInMB=node_memory_mb,
+                               cacheNodeIds=True, checkpointInterval=10),
     ])
 
 
