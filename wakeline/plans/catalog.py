@@ -532,11 +532,6 @@ def q_kruskal_pvalues(spark, sf_dir):
 # ---------------------------------------------------------------- drift views and importance weighting
 
 
-def periods_of(df, col):
-    """Distinct pivot values, sorted: one small list (periods of the table)."""
-    return [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
-
-
 @register("psi_heatmap", None)
 def q_psi_heatmap(spark, sf_dir):
     res = psi_by_class_df(spark, sf_dir)
@@ -802,7 +797,8 @@ SLICE_START, SLICE_STOP = 5, 15
 
 
 @register("drift_top_k", rounded(with_ctes(_by_class_ctes(), f"""SELECT feature, class, max(psi) AS max_psi
-FROM scored GROUP BY feature, class ORDER BY max_psi DESC NULLS LAST, feature, class LIMIT {TOP_K}"""), ["max_psi"]))
+FROM scored GROUP BY feature, class ORDER BY round(max_psi, 9) DESC NULLS LAST, feature, class
+LIMIT {TOP_K}"""), ["max_psi"]))
 def q_drift_top_k(spark, sf_dir):
     return D.rank_by_drift(psi_by_class_df(spark, sf_dir), k=TOP_K)
 
