@@ -61,3 +61,9 @@ def test_tune_for_input_sizes_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+
+
+def test_ship_package(spark):
+    from wakeline.session import ship_package
+    path = ship_package(spark)
+    assert path.endswith("wakeline.zip")
