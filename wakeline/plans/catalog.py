@@ -818,3 +818,50 @@ def q_class_slice(spark, sf_dir):
     ["accuracy", "f1_macro"]))
 def q_model_metrics(spark, sf_dir):
     return EV.summary_metrics(rule_scored(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- parameter variants
+from ..operators.pings import between_dates  # noqa: E402
+
+SAMPLE_FRACTION = 0.05
+RANGE_FROM_DAY, RANGE_TO_DAY = 3, 20
+
+
+@register("split_random_flat", with_ctes(_W, f"""SELECT {_WKEY},
+  CASE WHEN rn <= round_even(n * 2e-1, 0) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT {_WKEY}, row_number() OVER (ORDER BY {_md5(['imo', 'week_start'])}, imo, week_start) AS rn,
+  count(*) OVER () AS n FROM weekly) t"""))
+def q_split_random_flat(spark, sf_dir):
+    """H1 without stratification (the feature-selection split)."""
+    w = weekly(spark, sf_dir, groups=["identity"], stored=True).select("imo", "week_start", "ship_type")
+    return S.split_random(w, "ship_type", ["imo", "week_start"], stratify=False)
+
+
+@register("sample_fraction", f"""SELECT l_orderkey, l_linenumber, l_returnflag FROM (
+  SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_returnflag
+    ORDER BY {_md5(['l_orderkey', 'l_linenumber'])}, l_orderkey, l_linenumber) AS rn,
+    count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem) t
+WHERE rn <= round_even(n * {SAMPLE_FRACTION}, 0)""")
+def q_sample_fraction(spark, sf_dir):
+    """J2 with a per-class fraction (5 %) instead of a cap."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return S.sample_stratified(li, "l_returnflag", ["l_orderkey", "l_linenumber"], per_class=None,
+                               fraction=SAMPLE_FRACTION)
+
+
+def _range_ctes():
+    ctes = OW.weekly_ctes(ADAPTER_MIN_PINGS, source_cte="rpings")
+    ctes.insert(2, ("rpings", f"""SELECT * FROM vpings WHERE CAST(ts AS DATE) BETWEEN
+  (SELECT min(CAST(ts AS DATE)) FROM vpings) + {RANGE_FROM_DAY} AND (SELECT min(CAST(ts AS DATE)) FROM vpings) + {RANGE_TO_DAY}"""))
+    return ctes
+
+
+@register("weekly_in_range", rounded(with_ctes(_range_ctes(), """SELECT imo, week_start, n_pings, time_span_seconds,
+  mean_ping_interval_seconds FROM weekly"""), ["mean_ping_interval_seconds"]))
+def q_weekly_in_range(spark, sf_dir):
+    """Roll-up of the pings dated in [first day + 3, first day + 20], inclusive."""
+    p = vessel_pings(spark, sf_dir)
+    d0 = p.agg(F.min(F.to_date("ts"))).first()[0]  # one scalar
+    rng = between_dates(p, d0 + dt.timedelta(days=RANGE_FROM_DAY), d0 + dt.timedelta(days=RANGE_TO_DAY))
+    return weekly_features(rng, min_pings=ADAPTER_MIN_PINGS, groups=["temporal"]).select(
+        "imo", "week_start", "n_pings", "time_span_seconds", "mean_ping_interval_seconds")
