@@ -76,7 +76,7 @@ def read_log(spark: SparkSession, log_dir: str, features, since=None) -> DataFra
     lines = spark.read.text(log_dir)
     df = parse_log(lines, features)
     if since is not None:
-        df = df.where(F.col("ts") > F.lit(since).cast("timestamp"))
+        df = df.where(F.col("ts") > F.lit(since).cast("timestamp"))  # strict: an entry at the cutoff is old
     return df
 
 

@@ -156,8 +156,9 @@ def save_training_metadata(spark: SparkSession, path: str, start, end, run_id: s
 
 
 def save_last_checked(spark: SparkSession, path: str, up_to) -> None:
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(now, up_to)], "checked_at timestamp_ntz, checked_up_to timestamp_ntz") \
+    """Append the newest checked entry time (an instant: TIMESTAMP, not NTZ)."""
+    now = dt.datetime.now(dt.timezone.utc)
+    spark.createDataFrame([(now, up_to)], "checked_at timestamp, checked_up_to timestamp") \
          .write.mode("append").parquet(path)
 
 
@@ -167,8 +168,7 @@ def last_checked(spark: SparkSession, monitor_path: str, training_path: str):
         return None
     checked = spark.read.parquet(monitor_path).select(F.max("checked_up_to").alias("t"))
     if path_exists(spark, training_path):
-        end = spark.read.parquet(training_path).select(
-            F.max(F.col("data_end").cast("timestamp_ntz")).alias("e"))
+        end = spark.read.parquet(training_path).select(F.max(F.col("data_end").cast("timestamp")).alias("e"))
         return spark.range(1).select(F.greatest(checked.scalar(), end.scalar())).first()[0]
     return checked.first()[0]
 
