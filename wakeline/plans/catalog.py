@@ -9,18 +9,33 @@ themselves return full precision.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import ANALYSIS_FEATURES, MODEL_FEATURES
 from ..functions import month_start, round_doubles, week_start
-from ..session import materialize
-from ..operators.pings import keep_ship_types
+from ..operators import drift as D
+from ..operators import evaluation as EV
+from ..operators import model as M
+from ..operators import splits as S
+from ..operators import stats as ST
+from ..operators.pings import between_dates, keep_ship_types
 from ..operators.weekly import weekly_features
+from ..session import materialize, scratch_path
+from ..sources import logs as L
+from ..sources import raw as R
+from ..sources import sinks as K
 from ..sources.adapters import pings, pings_from_events
+from ..sources.tables import table
+from ..streaming.jobs import run_weekly_stream
+from . import jobs as J
+from . import oracle_drift as OD
 from . import oracle_weekly as OW
-from .sqltext import rounded, with_ctes
+from .oracle_drift import long_sql
+from .sqltext import PINGS_CTE, VESSEL_PINGS_CTE, rounded, with_ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,10 +119,6 @@ def q_active_vessel_weeks(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- drift
-from ..config import MODEL_FEATURES  # noqa: E402
-from ..operators import drift as D  # noqa: E402
-from ..sources.tables import table  # noqa: E402
-from . import oracle_drift as OD  # noqa: E402
 
 WEEKLY_BASELINE_DAYS = 14  # the first two weeks of the weekly table are the baseline
 LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -282,7 +293,6 @@ def q_kl_by_class(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- splits and samples
-from ..operators import splits as S  # noqa: E402
 
 TRAIN_BOX = (55.0, 56.2, 8.0, 13.0)   # lat_min, lat_max, lon_min, lon_max
 TEST_BOX = (56.0, 58.0, 8.0, 13.0)    # overlaps the train box in 56.0-56.2
@@ -372,15 +382,12 @@ def q_sample_stratified(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- statistics
-from ..config import ANALYSIS_FEATURES  # noqa: E402
-from ..operators import stats as ST  # noqa: E402
-from .oracle_drift import long_sql  # noqa: E402
 
 PROFILE_COLUMNS = ["imo", "ship_type", "nav_status", "cargo_type"]
 MISSING_COLUMNS = ["imo", "ts", "ship_type", "length", "width", "draught", "sog", "cog", "rot",
                    "heading", "nav_status", "latitude", "longitude", "cargo_type"]
 KDE_FEATURE = "draught_length_ratio"
-_VP = [PINGS_CTE_, VPINGS_CTE_] = list(_W[:2])
+_VP = [PINGS_CTE, VESSEL_PINGS_CTE]  # the adapter and the ship-type filter
 _ALONG = ("along", long_sql("asrc", ANALYSIS_FEATURES, False))
 _ASRC = ("asrc", "SELECT ship_type AS class, * FROM weekly")
 _ASRC_COMPLETE = ("asrc", "SELECT ship_type AS class, * FROM weekly WHERE "
@@ -415,7 +422,7 @@ def q_activity_profile(spark, sf_dir):
     return ST.activity_profile(vessel_pings(spark, sf_dir), "imo")
 
 
-@register("missingness", rounded(with_ctes([PINGS_CTE_], "\nUNION ALL\n".join(
+@register("missingness", rounded(with_ctes([PINGS_CTE], "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS column, count_if({c} IS NULL) / count(*) * 100 AS pct_null,
   count_if(CAST({c} AS VARCHAR) IN ('Unknown', 'Unknown value')) / count(*) * 100 AS pct_unknown,
   count_if(CAST({c} AS VARCHAR) = 'Undefined') / count(*) * 100 AS pct_undefined,
@@ -590,7 +597,6 @@ FROM scored LEFT JOIN imp USING (feature) WHERE psi > 25e-2"""), ["psi", "import
 
 
 # ---------------------------------------------------------------- evaluation (rule-based predictions)
-from ..operators import evaluation as EV  # noqa: E402
 
 # A deterministic rule stands in for a model so the metric operators can be
 # checked against SQL; the forest's own scores are the rows-only queries.
@@ -665,7 +671,6 @@ def q_report_by_slice(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- random forest (rows-only)
-from ..operators import model as M  # noqa: E402
 
 _FOREST_CACHE: dict = {}
 
@@ -708,14 +713,7 @@ def q_impurity_importance(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sources, sinks, logs, monitor, stream
-import uuid  # noqa: E402
 
-from ..session import scratch_path  # noqa: E402
-from ..sources import logs as L  # noqa: E402
-from ..sources import raw as R  # noqa: E402
-from ..sources import sinks as K  # noqa: E402
-from ..streaming.jobs import run_weekly_stream  # noqa: E402
-from . import jobs as J  # noqa: E402
 
 IDS_FROM_DAY, IDS_TO_DAY = 7, 20  # vessel ids active in [first day + 7, first day + 20]
 APPEND_AFTER_DAYS = 14            # the stored table holds the first two weeks
@@ -821,7 +819,6 @@ def q_model_metrics(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- parameter variants
-from ..operators.pings import between_dates  # noqa: E402
 
 SAMPLE_FRACTION = 0.05
 RANGE_FROM_DAY, RANGE_TO_DAY = 3, 20
