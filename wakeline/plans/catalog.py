@@ -581,10 +581,10 @@ def _anova_ctes(features, name="anova"):
 
 
 ORACLE["psi_heatmap"] = with_ctes(_by_class_ctes(), """SELECT class, feature,
-  round(COLUMNS(* EXCLUDE (class, feature)) * (1 + 1e-11), 6) FROM (
+  round(COLUMNS(* EXCLUDE (class, feature)) * (1 + 1e-11), 6) + 0e0 FROM (
 PIVOT (SELECT class, feature, period, psi FROM scored) ON period USING max(psi) GROUP BY class, feature) t""")
 ORACLE["class_balance_pivot"] = with_ctes(_W, """SELECT week_start,
-  round(coalesce(COLUMNS(* EXCLUDE (week_start)), 0) * (1 + 1e-11), 6)
+  round(coalesce(COLUMNS(* EXCLUDE (week_start)), 0) * (1 + 1e-11), 6) + 0e0
 FROM (PIVOT (SELECT ship_type, week_start, n / sum(n) OVER (PARTITION BY week_start) AS proportion
   FROM (SELECT ship_type, week_start, count(*) AS n FROM weekly GROUP BY ALL) t)
   ON ship_type USING max(proportion) GROUP BY week_start) p""")

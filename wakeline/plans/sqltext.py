@@ -18,7 +18,8 @@ def rounded(sql: str, double_cols, digits: int = 6) -> str:
     """Round the named DOUBLE columns of a query's output."""
     if not double_cols:
         return sql
-    rep = ", ".join(f"round({c} * (1 + 1e-11), {digits}) AS {c}" for c in double_cols)
+    # "+ 0e0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does
+    rep = ", ".join(f"round({c} * (1 + 1e-11), {digits}) + 0e0 AS {c}" for c in double_cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) _out"
 
 
