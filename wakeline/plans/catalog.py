@@ -783,6 +783,7 @@ def q_stream_weekly(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     q = run_weekly_stream(spark, sf_dir, schema, sink=f"{base}/out", checkpoint=f"{base}/ckpt",
                           file_glob="events.parquet", min_pings=ADAPTER_MIN_PINGS,
+                          state_partitions=spark.sparkContext.defaultParallelism,
                           adapt=lambda s: keep_ship_types(pings_from_events(s)))
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")

@@ -50,9 +50,14 @@ def weekly_stream(pings: DataFrame, watermark: str = "1 day", min_pings: int = M
 
 
 def run_weekly_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str,
-                      adapt=None, available_now: bool = True, file_glob: str | None = None, **kw):
+                      adapt=None, available_now: bool = True, file_glob: str | None = None,
+                      state_partitions: int | None = None, **kw):
     """Start K1 over parquet files landing in ``source_dir`` (optionally only the
-    files matching ``file_glob``); returns the query."""
+    files matching ``file_glob``); returns the query.
+
+    ``state_partitions`` sets the number of state-store partitions.  It is read
+    from ``spark.sql.shuffle.partitions`` when a query first starts and then kept
+    in its checkpoint, so it is set only for the start and restored after."""
     reader = spark.readStream.schema(schema)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
@@ -62,7 +67,14 @@ def run_weekly_stream(spark: SparkSession, source_dir: str, schema, sink: str, c
     q = (weekly_stream(src, **kw).writeStream.format("parquet").outputMode("append")
          .option("path", sink).option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
-    return q.start()
+    if state_partitions is None:
+        return q.start()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return q.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
 def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, features, results_path: str,
