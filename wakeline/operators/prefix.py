@@ -32,11 +32,12 @@ def running_sum(df: DataFrame, groups: Sequence[str], order: str, value: str, ou
     ``order`` (``exclusive``) or smaller-or-equal (inclusive).  ``order`` must be
     unique within a group (pre-aggregate duplicates first)."""
     groups = list(groups)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    # range bounds come from a sample of the input, so the partition ids must be
-    # fixed once: both the totals and the local sums read the same stored table
-    ranged = materialize(df.repartitionByRange(n, *groups, order).withColumn("_pid", F.spark_partition_id()),
-                         "ranged")
+    # without an explicit count AQE may coalesce adjacent ranges (still contiguous,
+    # ids still in order); range bounds come from a sample of the input, so the
+    # partition ids are fixed once: totals and local sums read the same stored table
+    by_range = (df.repartitionByRange(partitions, *groups, order) if partitions
+                else df.repartitionByRange(*groups, order))
+    ranged = materialize(by_range.withColumn("_pid", F.spark_partition_id()), "ranged")
     totals = ranged.groupBy("_pid", *groups).agg(F.sum(value).alias("_pt"))
     w_off = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *groups, F.coalesce(F.sum("_pt").over(w_off), F.lit(0)).alias("_off"))
