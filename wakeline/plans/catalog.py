@@ -863,3 +863,17 @@ def q_weekly_in_range(spark, sf_dir):
     rng = between_dates(p, d0 + dt.timedelta(days=RANGE_FROM_DAY), d0 + dt.timedelta(days=RANGE_TO_DAY))
     return weekly_features(rng, min_pings=ADAPTER_MIN_PINGS, groups=["temporal"]).select(
         "imo", "week_start", "n_pings", "time_span_seconds", "mean_ping_interval_seconds")
+
+
+@register("stream_drift")
+def q_stream_drift(spark, sf_dir):
+    """K2: the prediction log (built from the weekly table) lands as files and the
+    streaming check compares each batch with the baseline weeks."""
+    from ..streaming.jobs import run_drift_stream
+    base = scratch_path(spark, f"stream-drift-{uuid.uuid4().hex[:12]}")
+    log_lines(spark, sf_dir).write.text(f"{base}/log")
+    _, baseline = weekly_with_baseline(spark, sf_dir)
+    bins, _ = D.build_baselines(baseline, MODEL_FEATURES)
+    q = run_drift_stream(spark, f"{base}/log", bins, MODEL_FEATURES, f"{base}/results", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/results")
