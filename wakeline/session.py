@@ -110,20 +110,14 @@ def materialize(df, name: str = "tmp"):
 
 def ship_package(spark) -> str:
     """Make ``wakeline`` importable on executors (Pandas UDFs, the zip data
-    source): zip the package into the shared checkpoint folder and add it with
-    ``addPyFile`` - the programmatic form of ``--py-files``."""
+    source): zip the package and hand it to ``addPyFile`` - the programmatic
+    form of ``--py-files``; Spark serves the file to every executor."""
     import pathlib
-    import uuid
     import zipfile
     pkg = pathlib.Path(__file__).resolve().parent
     local = pathlib.Path(tempfile.mkdtemp(prefix="wakeline-zip-")) / "wakeline.zip"
     with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
         for f in pkg.rglob("*.py"):
             z.write(f, f.relative_to(pkg.parent))
-    target = scratch_path(spark, f"pyfiles/{uuid.uuid4().hex[:12]}/wakeline.zip")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dst = jvm.org.apache.hadoop.fs.Path(target)
-    dst.getFileSystem(conf).copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(str(local)), dst)
-    spark.sparkContext.addPyFile(target)
-    return target
+    spark.sparkContext.addPyFile(str(local))
+    return str(local)

@@ -14,14 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.drift import broadcast_if_small
 from ..session import default_partitions, materialize
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """Whether a stored table (any format Spark can list) exists at ``path``."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.format("text").load(path).limit(0).collect()  # lists files only
+        return True
+    except AnalysisException:
+        return False
 
 
 def write_daily(pings: DataFrame, root: str, force: bool = False, n_partitions: int | None = None) -> DataFrame:
@@ -39,7 +43,7 @@ def write_daily(pings: DataFrame, root: str, force: bool = False, n_partitions:
     todo = pings
     if not force and path_exists(spark, root):
         done = spark.read.parquet(root).select("event_date").distinct()
-        todo = pings.join(F.broadcast(done), "event_date", "left_anti")  # one row per stored day
+        todo = pings.join(broadcast_if_small(done), "event_date", "left_anti")  # one row per stored day
     n = n_partitions or default_partitions(spark)
     (todo.repartitionByRange(n, "event_date", "imo").sortWithinPartitions("event_date", "imo", "ts")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
