@@ -110,10 +110,13 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
                     method: str = "linear", exact_limit: int = EXACT_LIMIT,
-                    n_buckets: int = N_BUCKETS, max_levels: int = MAX_LEVELS) -> DataFrame:
+                    n_buckets: int = N_BUCKETS, max_levels: int = MAX_LEVELS,
+                    info: dict | None = None) -> DataFrame:
     """Exact grouped quantiles for groups of any size (see module docstring).
 
     Returns ``keys..., n, <prob names>`` for groups with a non-null value.
+    ``info``, when given, receives ``groups`` (the number of output rows, known
+    from the level-0 control query) and ``largest`` (rows in the biggest group).
     """
     keys = list(keys)
     spark = df.sparkSession
@@ -126,6 +129,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
                                     F.max("_v").alias("_hi"))
     ctl = stats.agg(F.count(F.lit(1)).alias("rows"), F.max("_c").alias("maxc")).first()
     n_ranges, max_c = int(ctl["rows"] or 0), int(ctl["maxc"] or 0)
+    if info is not None:
+        info.update(groups=n_ranges, largest=max_c)
     if n_ranges == 0:
         return _assemble(spark.createDataFrame([], vals.schema).select(
             *keys, F.lit("").alias("_qname"), F.lit("").alias("_which"),
