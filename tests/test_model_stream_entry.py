@@ -67,3 +67,13 @@ def test_ship_package(spark):
     from wakeline.session import ship_package
     path = ship_package(spark)
     assert path.endswith("wakeline.zip")
+
+
+def test_selected_schema_written(spark, tmp_path):
+    from wakeline.sources import sinks
+    imp = spark.createDataFrame([("f1", 0.05, 0.01), ("f2", 0.0005, 0.0001), ("f3", 0.02, 0.03)],
+                                "feature string, importance_mean double, importance_std double")
+    data = spark.createDataFrame([(1.0, 2, 3.0)], "f1 double, f2 long, f3 double")
+    chosen = M.write_selected_schema(imp, data, str(tmp_path / "schema"))
+    assert chosen == ["f1"]
+    assert sinks.load_schema(spark, str(tmp_path / "schema")) == {"columns": ["f1"], "dtypes": {"f1": "float64"}}

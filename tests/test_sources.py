@@ -136,3 +136,15 @@ def test_compact_and_csv_export(spark, raw_dir, tmp_path):
     back = K.read_dataset(spark, str(tmp_path / "csv"), fmt="csv", schema=feats.schema)
     assert back.count() == feats.count()
     assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in feats.schema]
+
+
+def test_force_rewrites_only_given_days_and_numeric_columns(spark, raw_dir, tmp_path):
+    from wakeline.operators.pings import numeric_columns
+    pings = R.parse_raw(R.read_raw(spark, raw_dir))
+    root = str(tmp_path / "daily")
+    K.write_daily(pings, root)
+    K.write_daily(pings.where(F.col("event_date") == F.lit("2025-06-01").cast("date")).limit(1), root, force=True)
+    days = {r.event_date.isoformat(): r["count"] for r in spark.read.parquet(root).groupBy("event_date").count().collect()}
+    assert days == {"2025-06-01": 1, "2025-06-02": 1, "2025-07-01": 1}
+    assert numeric_columns(pings, exclude=["imo"]) == ["length", "width", "draught", "sog", "cog", "rot", "heading",
+                                                       "latitude", "longitude"]

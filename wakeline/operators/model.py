@@ -186,6 +186,17 @@ def select_features(importances: DataFrame, threshold: float = 0.001) -> DataFra
                              & (F.col("importance_std") < F.col("importance_mean")))
 
 
+def write_selected_schema(importances: DataFrame, dataset: DataFrame, path: str,
+                          threshold: float = 0.001) -> list[str]:
+    """I9 + A11: write the selected features (most important first) and their
+    types as the feature schema file; returns the list."""
+    from ..sources import sinks
+    chosen = [r["feature"] for r in select_features(importances, threshold)
+              .orderBy(F.desc("importance_mean")).select("feature").collect()]  # one row per feature
+    sinks.write_schema(dataset.sparkSession, path, sinks.schema_spec(dataset, chosen))
+    return chosen
+
+
 def impurity_importance(model: PipelineModel) -> DataFrame:
     """Impurity importances of the fitted forest, one row per vector slot."""
     spark = SparkSession.getActiveSession()
