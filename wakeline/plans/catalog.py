@@ -715,6 +715,7 @@ def q_impurity_importance(spark, sf_dir):
 # ---------------------------------------------------------------- sources, sinks, logs, monitor, stream
 
 
+MONITOR_PERIOD = "2024-02-05"     # the monitoring run's period label
 IDS_FROM_DAY, IDS_TO_DAY = 7, 20  # vessel ids active in [first day + 7, first day + 20]
 APPEND_AFTER_DAYS = 14            # the stored table holds the first two weeks
 
@@ -773,10 +774,20 @@ def q_monitor_run(spark, sf_dir):
     w, base = weekly_with_baseline(spark, sf_dir)
     bins, _ = D.build_baselines(base, MODEL_FEATURES)
     entries = L.parse_log(log_lines(spark, sf_dir), MODEL_FEATURES)
-    res, _ = J.check_log(spark, entries, bins, MODEL_FEATURES, period="2024-02-05")
+    res, _ = J.check_log(spark, entries, bins, MODEL_FEATURES, period=MONITOR_PERIOD)
     return res
 
 
+# every valid log line is one weekly row (features survive the JSON round trip
+# exactly), so the check equals a pooled PSI of all weekly rows in one period
+ORACLE["monitor_run"] = rounded(with_ctes(
+    _W + [("wsrc", f"SELECT '__all__' AS class, DATE '{MONITOR_PERIOD}' AS period, * FROM weekly"),
+          ("wbase", f"""SELECT * FROM wsrc WHERE week_start < (SELECT min(week_start) FROM wsrc)
+  + {WEEKLY_BASELINE_DAYS}""")]
+    + OD.baseline_ctes("wbase", MODEL_FEATURES) + OD.monitor_ctes("wsrc", MODEL_FEATURES),
+    "SELECT * FROM scored"), ["psi"])
+
+
 @register("stream_weekly")
 def q_stream_weekly(spark, sf_dir):
     base = scratch_path(spark, f"stream-weekly-{uuid.uuid4().hex[:12]}")
