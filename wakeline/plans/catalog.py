@@ -788,7 +788,10 @@ ORACLE["monitor_run"] = rounded(with_ctes(
     "SELECT * FROM scored"), ["psi"])
 
 
-@register("stream_weekly")
+# append mode emits a week once the watermark (latest ping - 1 day) has passed its end
+@register("stream_weekly", rounded(with_ctes(_W, """SELECT * FROM weekly
+WHERE CAST(week_start AS TIMESTAMP) + INTERVAL 7 DAY <= (SELECT max(ts) FROM vpings) - INTERVAL 1 DAY"""),
+    OW.WEEKLY_DOUBLES))
 def q_stream_weekly(spark, sf_dir):
     base = scratch_path(spark, f"stream-weekly-{uuid.uuid4().hex[:12]}")
     schema = table(spark, sf_dir, "events").schema
