@@ -752,21 +752,31 @@ def log_lines(spark, sf_dir):
     w = weekly(spark, sf_dir)
     scored = w.withColumn("prediction", F.expr(RULE_PREDICTION)).withColumn(
         "probabilities", F.create_map(F.col("prediction"), F.lit(1.0)))
-    stamp = F.date_format(F.col("week_start").cast("timestamp") + F.make_interval(mins=F.col("imo").cast("int")),
-                          "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    # UTC text built from the NTZ wall time: the same whatever the session zone
+    stamp = F.concat(F.date_format(F.col("week_start").cast("timestamp_ntz")
+                                   + F.make_interval(mins=F.col("imo").cast("int")),
+                                   "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     lines = L.to_log_rows(scored, MODEL_FEATURES, ts=stamp).select(F.to_json(F.struct("*")).alias("value"))
     bad = lines.select(F.substring("value", 1, 40).alias("value"))
     blank = w.select("week_start").distinct().select(F.lit("").alias("value"))
     return lines.unionByName(bad).unionByName(blank)
 
 
-@register("new_predictions")
+@register("new_predictions", rounded(with_ctes(_W + [("lg", f"""SELECT
+  strftime(CAST(week_start AS TIMESTAMP) + to_minutes(imo), '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS timestamp,
+  CAST(week_start AS TIMESTAMP) + to_minutes(imo) AS t, {RULE_PREDICTION} AS vessel_type,
+  sog_median, CAST(n_pings AS DOUBLE) AS n_pings FROM weekly""")],
+    """SELECT timestamp, vessel_type, sog_median, n_pings FROM lg
+WHERE t > (SELECT min(t) FROM lg) + INTERVAL 7 DAY"""), ["sog_median", "n_pings"]))
 def q_new_predictions(spark, sf_dir):
+    """Entries after a cutoff (the first entry + 7 days) from a log with
+    blank and malformed lines; feature values are read back from the JSON."""
     lines = log_lines(spark, sf_dir)
     entries = L.parse_log(lines, MODEL_FEATURES)
     since = entries.select(F.min("ts")).scalar()
     return entries.where(F.col("ts") > since + F.expr("INTERVAL 7 DAYS")).select(
-        "timestamp", "vessel_type", "ts", "probabilities")
+        "timestamp", "vessel_type", F.col("features.sog_median").alias("sog_median"),
+        F.col("features.n_pings").alias("n_pings"))
 
 
 @register("monitor_run")
