@@ -509,12 +509,46 @@ def q_anova_f(spark, sf_dir):
     return ST.anova_f(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
 
 
-@register("anova_pvalues")
+# The p-value oracles use the finite series that hold for an even number of
+# degrees of freedom in the numerator (df_between = classes - 1 = 4 here):
+#   F:    P(F > f)  = sum_{j < b} G(a + j) / (G(a) j!) x^a (1 - x)^j,
+#         a = df_within / 2, b = df_between / 2, x = df_within / (df_within + df_between f)
+#   chi2: P(X > h)  = sum_{i < m} e^-y y^i / i!,  m = df / 2, y = h / 2
+# An independent check of the continued-fraction tails run by Spark; odd
+# degrees of freedom give NULL here.
+def _f_pvalue_sql(base: str) -> str:
+    return f"""WITH base AS (SELECT * FROM (
+{base}
+) _b),
+terms AS (SELECT feature, df_within / 2e0 AS a, df_within / (df_within + df_between * f_stat) AS x,
+  unnest(range(0, CAST(df_between // 2 AS BIGINT))) AS j
+  FROM base WHERE df_between % 2 = 0 AND f_stat > 0),
+tail AS (SELECT feature, sum(exp(lgamma(a + j) - lgamma(a) - lgamma(j + 1) + a * ln(x)
+  + CASE WHEN j = 0 THEN 0e0 ELSE j * ln(1 - x) END)) AS p FROM terms GROUP BY feature)
+SELECT base.*, CASE WHEN f_stat IS NULL OR isnan(f_stat) THEN 'NaN'::DOUBLE WHEN f_stat <= 0 THEN 1e0
+  ELSE tail.p END AS p_value
+FROM base LEFT JOIN tail USING (feature)"""
+
+
+def _chi2_pvalue_sql(base: str) -> str:
+    return f"""WITH base AS (SELECT * FROM (
+{base}
+) _b),
+terms AS (SELECT feature, h_stat / 2e0 AS y, unnest(range(0, CAST(df // 2 AS BIGINT))) AS i
+  FROM base WHERE df % 2 = 0 AND h_stat > 0),
+tail AS (SELECT feature, sum(exp(-y - lgamma(i + 1) + CASE WHEN i = 0 THEN 0e0 ELSE i * ln(y) END)) AS p
+  FROM terms GROUP BY feature)
+SELECT base.*, CASE WHEN h_stat IS NULL OR isnan(h_stat) THEN 'NaN'::DOUBLE WHEN h_stat <= 0 THEN 1e0
+  ELSE tail.p END AS p_value
+FROM base LEFT JOIN tail USING (feature)"""
+
+
+@register("anova_pvalues", rounded(_f_pvalue_sql(_ANOVA_SQL), ["f_stat", "p_value"]))
 def q_anova_pvalues(spark, sf_dir):
     return ST.with_pvalues(anova=ST.anova_f(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type"))
 
 
-@register("kruskal_h", rounded(with_ctes(_W + [_ASRC_COMPLETE, _ALONG,
+_KRUSKAL_SQL = with_ctes(_W + [_ASRC_COMPLETE, _ALONG,
     ("kc", "SELECT feature, value, class, count(*) AS n FROM along GROUP BY ALL"),
     ("vt", "SELECT feature, value, sum(n) AS t FROM kc GROUP BY ALL"),
     ("rk", """SELECT feature, value, t, coalesce(sum(t) OVER (PARTITION BY feature ORDER BY value
@@ -526,12 +560,15 @@ FROM kc JOIN rk USING (feature, value) GROUP BY ALL"""),
 FROM vt GROUP BY feature""")],
     """SELECT feature, k - 1 AS df,
   (12e0 / (nn * (nn + 1)) * s - 3 * (nn + 1)) / (1 - tie_sum / (nn * nn * nn - nn)) AS h_stat
-FROM per JOIN ties USING (feature)"""), ["h_stat"]))
+FROM per JOIN ties USING (feature)""")
+
+
+@register("kruskal_h", rounded(_KRUSKAL_SQL, ["h_stat"]))
 def q_kruskal_h(spark, sf_dir):
     return ST.kruskal_h(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type")
 
 
-@register("kruskal_pvalues")
+@register("kruskal_pvalues", rounded(_chi2_pvalue_sql(_KRUSKAL_SQL), ["h_stat", "p_value"]))
 def q_kruskal_pvalues(spark, sf_dir):
     return ST.with_pvalues(kruskal=ST.kruskal_h(complete_weekly(spark, sf_dir), ANALYSIS_FEATURES, "ship_type"))
 
