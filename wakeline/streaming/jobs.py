@@ -28,13 +28,41 @@ from ..session import materialize
 
 WEEK = ("7 days", "7 days", "4 days")
 
+# State lives in RocksDB (off-heap, spills to local disk; only changed keys are
+# checkpointed) unless the cluster already chose a provider.  The provider is
+# recorded in a query's checkpoint when it first starts.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def _start(spark: SparkSession, writer, overrides: dict):
+    """Start ``writer`` with ``overrides`` plus the state-store defaults that the
+    session leaves unset; the session's own values are restored afterwards."""
+    conf = {k: v for k, v in STATE_CONF.items() if spark.conf.get(k, None) in (None, "")}
+    conf.update(overrides)
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return writer.start()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
 
 def weekly_stream(pings: DataFrame, watermark: str = "1 day", min_pings: int = MIN_PINGS_PER_WEEK,
                   dedupe: bool = True, key: str = "imo") -> DataFrame:
     """K1/K3 on a streaming ping DataFrame.
 
     Speed quantiles use the sorted list of one vessel-week's readings (state
-    bounded by the reporting rate of one vessel over one week).
+    bounded by the reporting rate of one vessel over one week, kept in the
+    RocksDB state store by :func:`run_weekly_stream`).
     """
     s = pings.withColumn("ts", utc_instant("ts")).withWatermark("ts", watermark)
     if dedupe:
@@ -67,14 +95,8 @@ def run_weekly_stream(spark: SparkSession, source_dir: str, schema, sink: str, c
     q = (weekly_stream(src, **kw).writeStream.format("parquet").outputMode("append")
          .option("path", sink).option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
-    if state_partitions is None:
-        return q.start()
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return q.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    return _start(spark, q, {} if state_partitions is None
+                  else {"spark.sql.shuffle.partitions": str(state_partitions)})
 
 
 def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, features, results_path: str,
