@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ANALYSIS_FEATURES, MODEL_FEATURES
+from ..config import ANALYSIS_FEATURES, MODEL_FEATURES, PSI_MODERATE
 from ..functions import month_start, round_doubles, week_start
 from ..operators import drift as D
 from ..operators import evaluation as EV
@@ -827,12 +827,15 @@ def q_monitor_run(spark, sf_dir):
 
 # every valid log line is one weekly row (features survive the JSON round trip
 # exactly), so the check equals a pooled PSI of all weekly rows in one period
-ORACLE["monitor_run"] = rounded(with_ctes(
-    _W + [("wsrc", f"SELECT '__all__' AS class, DATE '{MONITOR_PERIOD}' AS period, * FROM weekly"),
-          ("wbase", f"""SELECT * FROM wsrc WHERE week_start < (SELECT min(week_start) FROM wsrc)
+def _log_check_ctes(period_sql: str) -> list[tuple[str, str]]:
+    return (_W + [("wsrc", f"SELECT '__all__' AS class, {period_sql} AS period, * FROM weekly"),
+                  ("wbase", f"""SELECT * FROM wsrc WHERE week_start < (SELECT min(week_start) FROM wsrc)
   + {WEEKLY_BASELINE_DAYS}""")]
-    + OD.baseline_ctes("wbase", MODEL_FEATURES) + OD.monitor_ctes("wsrc", MODEL_FEATURES),
-    "SELECT * FROM scored"), ["psi"])
+            + OD.baseline_ctes("wbase", MODEL_FEATURES) + OD.monitor_ctes("wsrc", MODEL_FEATURES))
+
+
+ORACLE["monitor_run"] = rounded(with_ctes(_log_check_ctes(f"DATE '{MONITOR_PERIOD}'"), "SELECT * FROM scored"),
+                                ["psi"])
 
 
 # append mode emits a week once the watermark (latest ping - 1 day) has passed its end
@@ -926,7 +929,12 @@ def q_weekly_in_range(spark, sf_dir):
         "imo", "week_start", "n_pings", "time_span_seconds", "mean_ping_interval_seconds")
 
 
-@register("stream_drift")
+# the whole log is one micro-batch (availableNow, no file limit), checked on
+# the processing date (UTC); alarms as in F9 over the pooled class
+@register("stream_drift", rounded(with_ctes(_log_check_ctes("CAST(timezone('UTC', now()) AS DATE)"),
+    f"""SELECT *, CASE WHEN psi > {PSI_MODERATE!r} THEN 'DRIFT FLAGGED - period ' || CAST(period AS VARCHAR)
+  || ', ' || feature || ' (PSI ' || printf('%.2f', psi) || ')' END AS alarm, CAST(0 AS INTEGER) AS batch_id
+FROM scored"""), ["psi"]))
 def q_stream_drift(spark, sf_dir):
     """K2: the prediction log (built from the weekly table) lands as files and the
     streaming check compares each batch with the baseline weeks."""

@@ -103,14 +103,14 @@ def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, feature
                      checkpoint: str, threshold: float = PSI_MODERATE, available_now: bool = True):
     """K2: every new batch of log files is checked against the baseline.
 
-    All PSI rows of the batch are written with the batch id and an ``alarm``
-    text (NULL when under the threshold); a re-run batch overwrites its own
-    partition, so the sink is idempotent."""
+    All PSI rows of the batch are written with the batch id, the UTC date of
+    the check as period and an ``alarm`` text (NULL when under the threshold);
+    a re-run batch overwrites its own partition, so the sink is idempotent."""
     bins = bins.transform(materialize)
 
     def check(batch: DataFrame, batch_id: int) -> None:
         entries = L.parse_log(batch, features)
-        df = L.unnest_features(entries).withColumn("period", F.current_date())
+        df = L.unnest_features(entries).withColumn("period", utc_date(F.current_timestamp()))
         res = D.monitor_numeric(df, bins, features, "period")
         flagged = D.check_drift(res, threshold).select("period", "feature", "class", "alarm")
         out = (res.join(flagged, ["period", "feature", "class"], "left")
