@@ -77,3 +77,32 @@ def test_selected_schema_written(spark, tmp_path):
     chosen = M.write_selected_schema(imp, data, str(tmp_path / "schema"))
     assert chosen == ["f1"]
     assert sinks.load_schema(spark, str(tmp_path / "schema")) == {"columns": ["f1"], "dtypes": {"f1": "float64"}}
+
+
+def test_stream_start_state_conf(spark):
+    """RocksDB is used only when the session names no provider; the session's
+    own settings are back in place after the start."""
+    from wakeline.streaming.jobs import STATE_CONF, _start
+    key = "spark.sql.streaming.stateStore.providerClass"
+    seen = {}
+
+    class Writer:
+        def start(self):
+            seen["provider"] = spark.conf.get(key, None)
+            seen["partitions"] = spark.conf.get("spark.sql.shuffle.partitions")
+            return "started"
+
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.unset(key)
+    assert _start(spark, Writer(), {"spark.sql.shuffle.partitions": "3"}) == "started"
+    assert seen == {"provider": STATE_CONF[key], "partitions": "3"}
+    assert spark.conf.get(key, None) is None
+    assert spark.conf.get("spark.sql.shuffle.partitions") == parts
+
+    mine = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, mine)
+    try:
+        _start(spark, Writer(), {})
+        assert seen["provider"] == mine
+    finally:
+        spark.conf.unset(key)
