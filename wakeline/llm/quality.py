@@ -1,9 +1,10 @@
 """Quality rules: counts over words and lines, and a hashed n-gram likelihood ratio.
 
 Every word and every pair of neighbouring words is hashed into one of
-``BUCKETS`` features.  Two multinomials over the features are counted, one on
-the trusted documents (labelled ``quality`` 1 and ``toxic`` 0) and one on all
-documents.  The score of a document is the mean, over its n-grams, of
+``BUCKETS`` features.  Two multinomials over the features are counted in one
+pass: one on all documents, one on the trusted ones, which are labelled
+``quality`` 1 and ``toxic`` 0 (if more than ``TRUSTED`` are, the first of them
+in hash order of the id, so their ids can be broadcast).  The score of a document is the mean, over its n-grams, of
 
     log((trusted + 1) / (all trusted + B)) - log((raw + 1) / (all raw + B))
 
@@ -30,13 +31,15 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, field, materialize, packed, unpacked, words
+from .common import ROW, field, packed, unpacked, words
 
 BUCKETS = 10_000
 LOSS = 0.001
 STEP = 0.001
 MARGIN = 0.5
 MIN_WORDS = 50
+#: The classifier's labelled rows: the most that it learns the trusted side from.
+TRUSTED = 50_000
 
 
 class QualityModel(NamedTuple):
@@ -54,12 +57,6 @@ def _features(w: Column) -> Column:
     return F.concat(F.transform(w, lambda x: _feature(x)), F.when(F.size(w) > 1, pairs).otherwise(F.array().cast("array<int>")))
 
 
-def _feature_counts(texts: DataFrame) -> DataFrame:
-    return (texts.select(words(F.col("text")).alias("_w"))
-            .select(F.explode(_features(F.col("_w"))).alias("feature"))
-            .groupBy("feature").agg(F.count("*").alias("n")))
-
-
 def _score(w: Column, ratios: list[float]) -> Column:
     """Mean log ratio over words and pairs; null without words."""
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
@@ -85,22 +82,23 @@ def _quantile(steps: list[tuple[int, int]], part: float) -> float:
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Count both multinomials over all documents and set the threshold."""
-    docs = docs.select("doc_id", "text")
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
-    trusted = materialize(docs.join(good, "doc_id", "left_semi").select("text"), "trusted")
-    counts = {}
-    for name, texts in (("raw", docs), ("trusted", trusted)):
-        counts[name] = [0] * BUCKETS
-        for r in _feature_counts(texts).collect():  # one row per feature, BUCKETS at most
-            counts[name][r["feature"]] = r["n"]
-    t, r = sum(counts["trusted"]), sum(counts["raw"])
+    good = F.broadcast(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
+                       .select("doc_id", F.lit(True).alias("_trusted")).distinct()
+                       .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED))
+    texts = docs.select("doc_id", words(F.col("text")).alias("_w"))
+    counts = (texts.join(good, "doc_id", "left")
+              .select("_trusted", F.explode(_features(F.col("_w"))).alias("feature"))
+              .groupBy("feature").agg(F.count("*").alias("raw"), F.count("_trusted").alias("trusted")))
+    raw, trusted = [0] * BUCKETS, [0] * BUCKETS
+    for x in counts.collect():  # one row per feature, BUCKETS at most
+        raw[x["feature"]], trusted[x["feature"]] = x["raw"], x["trusted"]
+    t, r = sum(trusted), sum(raw)
     if not t:
         return QualityModel(None, 0.0)
-    ratios = [round(math.log((a + 1) / (t + BUCKETS)) - math.log((b + 1) / (r + BUCKETS)), 5)
-              for a, b in zip(counts["trusted"], counts["raw"])]
-    scored = (trusted.select(words(F.col("text")).alias("_w")).where(F.size("_w") >= MIN_WORDS)
+    ratios = [round(math.log((a + 1) / (t + BUCKETS)) - math.log((b + 1) / (r + BUCKETS)), 5) for a, b in zip(trusted, raw)]
+    scored = (texts.join(good, "doc_id", "left_semi").where(F.size("_w") >= MIN_WORDS)
               .select(F.floor(_score(F.col("_w"), ratios) / STEP).alias("step")))
-    # a mean of logs of BUCKETS fixed ratios: the steps are as many as its range holds, not as the documents
+    # scores lie between the least and the largest ratio: the steps in between are few, whatever the number of texts
     steps = sorted((x["step"], x["n"]) for x in scored.groupBy("step").agg(F.count("*").alias("n")).collect())
     low, middle = _quantile(steps, LOSS), _quantile(steps, 0.5)
     return QualityModel(ratios, (low - MARGIN * (middle - low)) * STEP)
