@@ -40,7 +40,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source and text of every document with size, source_size, target
     and taken: the words that the mix takes, repeats counted."""
-    return mix.mix(docs).selectExpr("_row.doc_id", "_row.source", "_row.text", "size", "source_size", "target", "taken")
+    return mix.mix(docs, ["doc_id", "source", "text"]).selectExpr("_row.doc_id", "_row.source", "_row.text", "size", "source_size", "target", "taken")
 
 
 STAGES = [

@@ -17,7 +17,7 @@ Cases: a null text has size 0; documents without words take 0.  A null source
 is a source of its own, the last one.  Rows with the same id, null or not, are
 rows of their own; the order among equal rows cannot be told from the result.
 An empty table gives an empty result.  Other columns do not matter: ``mix``
-keeps them all, packed in one struct.
+returns those asked for, or all, packed in one struct.
 """
 
 from __future__ import annotations
@@ -60,11 +60,14 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs``, packed, with size, source_size, target and taken."""
+def mix(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` (its ``columns``, packed in ``_row``) with size,
+    source_size, target and taken."""
     rows = packed(docs).withColumns({"_source": field("source"), "_key": _order(field("doc_id")), "_id": field("doc_id"),
                                      "size": F.size(words(field("text"))).cast("long")})
     order = ["_key", "_id", "size"]
+    if columns:
+        rows = rows.withColumn(ROW, F.struct(*[field(c).alias(c) for c in columns]))
     ranged = range_sorted(rows, ["_source"], order, "mix")
     sizes = ranged.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes).select(F.col("source").alias("_target_of"), "source_size", "target")

@@ -25,7 +25,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (mix.mix(table(spark, sf_dir, "documents"))
+    return (mix.mix(table(spark, sf_dir, "documents"), ["doc_id"])
             .selectExpr("_row.doc_id", "size", "source_size", "target", "taken"))
 
 
