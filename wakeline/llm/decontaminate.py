@@ -53,6 +53,7 @@ class Patterns(NamedTuple):
     """One block of the benchmark, ready to be searched for."""
     item: list  # of each pattern, its item_id
     codes: list[np.ndarray]  # its characters
+    length: np.ndarray
     budget: np.ndarray
     least: np.ndarray  # q-grams that a region within the budget shares
     slots: np.ndarray  # whether any q-gram hash falls in a slot
@@ -104,7 +105,7 @@ def index_items(items: list[tuple]) -> Patterns:
     hashes, starts = np.unique(every[order], return_index=True)
     slots = np.zeros(SLOTS, bool)
     slots[_slot(hashes)] = True
-    return Patterns(ids, codes, budget, least, slots, hashes, np.append(starts, len(every)),
+    return Patterns(ids, codes, np.array([len(c) for c in codes], np.int64), budget, least, slots, hashes, np.append(starts, len(every)),
                     pattern[order].astype(np.int64), offset[order].astype(np.int64))
 
 
@@ -144,57 +145,92 @@ def _bands(codes: np.ndarray, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     return pattern, cell * (p.budget[pattern] + 1)
 
 
-def align(text: np.ndarray, pattern: np.ndarray, first: int, budget: int) -> tuple[int, int, int] | None:
-    """Fewest edits of ``pattern`` against a region whose diagonals lie in the
-    band from ``first`` (width 2(budget + 1), and budget more on either side):
-    (edits, start, end), or None beyond the budget."""
-    low, width = first - budget, 2 * (budget + 1) + 2 * budget
-    far = np.int64(1 << 30)
-    j = np.arange(width)
-    place = low + j  # before row r the cell j stands at place + r of the text
-    inside = (place >= 0) & (place <= len(text))
-    cost = np.where(inside, 0, far)
-    start = np.where(inside, place, 0)
-    padded = np.full(width + len(pattern), -1, np.int64)
-    a, b = max(0, low), min(len(text), low + len(padded))
-    if b > a:
-        padded[a - low:b - low] = text[a:b]
-    for r, c in enumerate(pattern):
-        ahead = place + r + 1
-        inside = (ahead >= 0) & (ahead <= len(text))
-        step = cost + (padded[r:r + width] != c)  # along the diagonal
-        origin = start
-        up = np.append(cost[1:], far) + 1  # the pattern's character is not in the text
+def align(text: np.ndarray, patterns: np.ndarray, first: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fewest edits of each of ``patterns`` (rows of one length) against a region
+    of the text whose diagonals lie in the band from ``first`` (width
+    2(budget + 1), and ``budget`` more on either side): edits, starts, ends."""
+    n, m = patterns.shape
+    width = 2 * (budget + 1) + 2 * budget
+    low = (first - budget)[:, None]
+    j = np.arange(width, dtype=np.int32)
+    place = low + np.arange(width + m)  # before row r the cell j stands at place j + r of the text
+    within = (place >= 0) & (place < len(text))
+    near = np.where(within, text[np.clip(place, 0, len(text) - 1)], np.uint32(0xFFFFFFFF))
+    stands = (place >= 0) & (place <= len(text))
+    far = np.int32(1 << 20)
+    cost = np.where(stands[:, :width], np.int32(0), far)
+    start = np.broadcast_to(j, cost.shape)  # where the region begins: the cell of row 0
+    edge = np.full((n, 1), far)
+    for r in range(m):
+        step = cost + (near[:, r:r + width] != patterns[:, r:r + 1])  # along the diagonal
+        up = np.concatenate([cost[:, 1:], edge], axis=1) + 1  # the pattern's character is not in the text
         better = up < step
-        step, origin = np.where(better, up, step), np.where(better, np.append(start[1:], 0), origin)
-        step = np.where(inside, step, far)
+        step = np.where(better, up, step)
+        origin = np.where(better, np.concatenate([start[:, 1:], start[:, -1:]], axis=1), start)
         # characters of the text that the pattern lacks: the best cell to the left plus the way from there
-        best = np.minimum.accumulate(step - j)
-        came = np.maximum.accumulate(np.where(step - j == best, j, 0))
-        cost, start = best + j, origin[came]
-        cost = np.where(inside, cost, far)
-    at = int(np.argmin(cost))
-    if cost[at] > budget:
-        return None
-    return int(cost[at]), int(start[at]), int(place[at] + len(pattern))
-
-
-def matches(text: str | None, p: Patterns) -> list[dict]:
-    """Per benchmark item found in the text: where, by how many patterns, and
-    the fewest edits of one.  Places count characters of the normal form."""
+        best = np.minimum.accumulate(step - j, axis=1)
+        came = np.maximum.accumulate(np.where(step - j == best, j, 0), axis=1)
+        cost = np.where(stands[:, r + 1:r + 1 + width], best + j, far)
+        start = np.take_along_axis(origin, came, axis=1)
+    at = cost.argmin(axis=1)
+    rows = np.arange(n)
+    return cost[rows, at], low[:, 0] + start[rows, at], low[:, 0] + at + m
+
+
+def _verified(codes: np.ndarray, p: Patterns) -> Iterator[tuple[int, int, int, int]]:
+    """(pattern, edits, start, end) of the bands that hold a region within the budget."""
+    pattern, first = _bands(codes, p)
+    for m in np.unique(p.length[pattern]):
+        mine = np.flatnonzero(p.length[pattern] == m)
+        for at in range(0, len(mine), 2048):
+            k = mine[at:at + 2048]
+            budget = int(RATE * m)
+            edits, start, end = align(codes, np.stack([p.codes[i] for i in pattern[k]]), first[k], budget)
+            good = edits <= budget
+            yield from zip(pattern[k][good].tolist(), edits[good].tolist(), start[good].tolist(), end[good].tolist())
+
+
+def _batches(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Texts side by side in batches of about CHUNK characters."""
+    which, codes, size = [], [], 0
+    for k, t in enumerate(texts):
+        c = _codes(normal(t))
+        if len(c) < Q:
+            continue
+        which.append(k)
+        codes.append(c)
+        size += len(c)
+        if size >= CHUNK:
+            yield which, codes
+            which, codes, size = [], [], 0
+    if which:
+        yield which, codes
+
+
+def matches(texts: list[str | None], p: Patterns) -> list[list[dict]]:
+    """For each text, per benchmark item found in it: where, by how many
+    patterns, and the fewest edits of one.  Places count characters of the
+    normal form.  Texts are searched side by side, with more characters that
+    match nothing in between than any budget."""
+    out: list[list[dict]] = [[] for _ in texts]
     if not p.codes:
-        return []
-    codes = _codes(normal(text))
-    found: dict[int, tuple[int, int, int]] = {}
-    for pattern, first in zip(*(x.tolist() for x in _bands(codes, p))):
-        hit = align(codes, p.codes[pattern], first, int(p.budget[pattern]))
-        if hit and (pattern not in found or hit < found[pattern]):
-            found[pattern] = hit
-    items: dict[object, list[tuple[int, int, int]]] = {}
-    for pattern, hit in found.items():
-        items.setdefault(p.item[pattern], []).append(hit)
-    return [{"item_id": item, "first": min(h[1] for h in hits), "last": max(h[2] for h in hits),
-             "n_patterns": len(hits), "edits": min(h[0] for h in hits)} for item, hits in items.items()]
+        return out
+    gap = np.full(int(RATE * PATTERN) + Q, 0x110000, np.uint32)
+    for which, codes in _batches(texts):
+        starts = np.cumsum([0] + [len(c) + len(gap) for c in codes[:-1]])
+        found: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for pattern, *hit in _verified(np.concatenate([x for c in codes for x in (c, gap)]), p):
+            k = int(np.searchsorted(starts, (hit[1] + hit[2]) // 2, side="right")) - 1
+            hit = (hit[0], max(0, hit[1] - int(starts[k])), min(len(codes[k]), hit[2] - int(starts[k])))
+            if (k, pattern) not in found or hit < found[k, pattern]:
+                found[k, pattern] = hit
+        items: dict[tuple[int, object], list[tuple[int, int, int]]] = {}
+        for (k, pattern), hit in found.items():
+            items.setdefault((which[k], p.item[pattern]), []).append(hit)
+        for (k, item), hits in items.items():
+            out[k].append({"item_id": item, "first": min(h[1] for h in hits), "last": max(h[2] for h in hits),
+                           "n_patterns": len(hits), "edits": min(h[0] for h in hits)})
+    return out
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Patterns]:
@@ -213,7 +249,7 @@ def _matcher(spark, p: Patterns) -> Callable:
 
     @F.pandas_udf(f"array<struct<{MATCH.replace(' long', ':long').replace(' int', ':int')}>>")
     def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([matches(t, shared.value) for t in texts], dtype="object")
+        return pd.Series(matches(list(texts), shared.value), dtype="object")
 
     return found
 
@@ -235,9 +271,8 @@ def _finder(spark, p: Patterns) -> Callable:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0), batch.column(1)):
-                rows += [{"doc_id": doc_id.as_py(), **m} for m in matches(text.as_py(), shared.value)]
+            found = matches(batch.column(1).to_pylist(), shared.value)
+            rows = [{"doc_id": doc_id, **m} for doc_id, ms in zip(batch.column(0).to_pylist(), found) for m in ms]
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return search
