@@ -154,4 +154,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their columns."""
     judged = quality_columns(packed(docs), field("text"), fit_quality(docs, labels))
-    return unpacked(judged.where("kept").select(ROW))
+    # a row number keeps the optimizer from writing the filter out in terms of the text,
+    # where each count would be repeated in every count that builds on it
+    numbered = judged.withColumn("_number", F.monotonically_increasing_id())
+    return unpacked(numbered.where("kept and _number >= 0").select(ROW))
