@@ -37,6 +37,16 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
+def hash_sample(df: DataFrame, bound: int, *key: str) -> DataFrame:
+    """About ``bound`` rows, or all if there are no more: those whose key's hash
+    lies below the share.  Each task passes on its share only, and the same rows
+    come out however the table is cut up."""
+    n = df.count()
+    if n <= bound:
+        return df
+    return df.where(F.pmod(F.xxhash64(*key), F.lit(1 << 40)) < int(bound / n * (1 << 40)))
+
+
 def range_sorted(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """``df`` dealt into ranges of (group, order) and stored, with the range
     number in ``_pid``.  Spark samples the keys, so a group with a third of the

@@ -12,8 +12,8 @@ the subtree, keeping log p plus the best of each child; the best labelling
 comes from one pass from the leaves up.  The text is the kept leaves in page order,
 one per line, white space inside one turned into single spaces.
 
-Training.  The labels are known by construction: passages of the first
-``SAMPLE`` pages in hash order (of at most ``SAMPLE_CHARS`` characters) are laid
+Training.  The labels are known by construction: passages of about ``SAMPLE``
+pages, drawn by the hash of the id (of at most ``SAMPLE_CHARS`` characters), are laid
 out as ``LAYOUTS`` pages in many ways, with menus, headers, footers, sidebars,
 notices, adverts, forms and comments around the article, whose tags and
 class names are often without meaning; the sampled pages that have one
@@ -31,7 +31,7 @@ from __future__ import annotations
 import html as htmllib
 import random
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample
+
 SAMPLE = 300
 SAMPLE_CHARS = 50_000
 LAYOUTS = 600
@@ -500,9 +502,9 @@ def extract_texts(sources: list[str | None], model: BoostedTrees) -> list[str]:
 
 
 def fit_model(pages: DataFrame) -> BoostedTrees:
-    sample = (pages.select("page_id", "html").where(F.length("html") <= SAMPLE_CHARS)
-              .orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(SAMPLE).select("html").collect())
-    return train([r["html"] for r in sample])
+    sample = (hash_sample(pages.select("page_id", "html"), SAMPLE, "page_id")
+              .where(F.length("html") <= SAMPLE_CHARS).select("html").limit(2 * SAMPLE).collect())
+    return train(sorted(r["html"] for r in sample))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 Every word and every pair of neighbouring words is hashed into one of
 ``BUCKETS`` features.  Two multinomials over the features are counted in one
 pass: one on all documents, one on the trusted ones, which are labelled
-``quality`` 1 and ``toxic`` 0 (if more than ``TRUSTED`` are, the first of them
-in hash order of the id, so their ids can be broadcast).  The score of a document is the mean, over its n-grams, of
+``quality`` 1 and ``toxic`` 0 (if more than ``TRUSTED`` are, about as many,
+drawn by the hash of the id, so their ids can be broadcast).  The score of a document is the mean, over its n-grams, of
 
     log((trusted + 1) / (all trusted + B)) - log((raw + 1) / (all raw + B))
 
@@ -31,7 +31,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, field, packed, unpacked, words
+from .common import ROW, field, hash_sample, packed, unpacked, words
 
 BUCKETS = 10_000
 LOSS = 0.001
@@ -82,9 +82,8 @@ def _quantile(steps: list[tuple[int, int]], part: float) -> float:
 
 def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Count both multinomials over all documents and set the threshold."""
-    good = F.broadcast(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
-                       .select("doc_id", F.lit(True).alias("_trusted")).distinct()
-                       .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED))
+    labelled = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
+    good = F.broadcast(hash_sample(labelled, TRUSTED, "doc_id").withColumn("_trusted", F.lit(True)))
     texts = docs.select("doc_id", words(F.col("text")).alias("_w"))
     counts = (texts.join(good, "doc_id", "left")
               .select("_trusted", F.explode(_features(F.col("_w"))).alias("feature"))

@@ -8,8 +8,8 @@ around it and gives a probability; candidates at or above the threshold become
 spans of the kind ``cnn``.
 
 Training.  The labelled findings are the base findings (1) and the other
-candidates (0) of the first ``SAMPLE`` documents in hash order of at most
-``SAMPLE_CHARS`` characters, and strings of known kinds written into passages of
+candidates (0) of about ``SAMPLE`` documents, drawn by the hash of the id, of
+at most ``SAMPLE_CHARS`` characters, and strings of known kinds written into passages of
 these documents: keys and tokens (1), or addresses, account numbers, paths,
 dates and identifiers (0).  One fifth is held out: there the logits are
 calibrated (Platt) and the threshold is the largest probability that still
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, field, packed, unpacked
+from .common import ROW, field, hash_sample, packed, unpacked
 
 KINDS = ("assign", "access", "hex", "cnn")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -230,9 +230,9 @@ def labelled_findings(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_network(docs: DataFrame) -> CharCnn:
-    sample = (docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS)
-              .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE).select("text").collect())
-    return CharCnn().fit(*labelled_findings([r["text"] for r in sample]))
+    sample = (hash_sample(docs.select("doc_id", "text"), SAMPLE, "doc_id")
+              .where(F.length("text") <= SAMPLE_CHARS).select("text").limit(2 * SAMPLE).collect())
+    return CharCnn().fit(*labelled_findings(sorted(r["text"] for r in sample)))
 
 
 def scan(texts: list[str | None], network: CharCnn) -> list[list[Span]]:
