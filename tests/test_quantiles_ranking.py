@@ -77,3 +77,13 @@ def test_running_sum_matches_window(spark):
     want = df.withColumn("want", F.coalesce(F.sum("t").over(w), F.lit(0)))
     j = got.join(want, ["g", "v"])
     assert j.count() == 3000 and j.where(F.col("before") != F.col("want")).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 1, 7, 2_000_000])
+def test_cutoffs_past_small_and_null_groups_survive_refinement(spark, limit):
+    rows = [("small" if i < 5 else None if i < 20 else "large", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, i long").withColumn("h", F.md5(F.col("i").cast("string")))
+    cutoffs = df.select("g").distinct().select("g", F.lit("top").alias("name"), F.lit(15).alias("k"))
+    got = {r["i"] for r in rank_below(df, ["g"], "h", ["i"], cutoffs, window_limit=limit).where("below_top").collect()}
+    rank = F.row_number().over(Window.partitionBy("g").orderBy("h", "i"))
+    assert got == {r["i"] for r in df.withColumn("r", rank).where("r <= 15").collect()}

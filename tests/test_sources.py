@@ -148,3 +148,27 @@ def test_force_rewrites_only_given_days_and_numeric_columns(spark, raw_dir, tmp_
     assert days == {"2025-06-01": 1, "2025-06-02": 1, "2025-07-01": 1}
     assert numeric_columns(pings, exclude=["imo"]) == ["length", "width", "draught", "sog", "cog", "rot", "heading",
                                                        "latitude", "longitude"]
+
+
+def test_a_damaged_archive_gives_no_row_and_its_day_stays_open(spark, tmp_path):
+    from wakeline.plans import jobs
+    raw, daily, out = (str(tmp_path / n) for n in ("raw", "daily", "out"))
+    os.mkdir(raw)
+    path = f"{raw}/aisdk-2025-06-02.zip"
+    lines = [_line(f"02/06/2025 {h:02d}:{m:02d}:{s:02d}", "9000001", "Cargo", f"{(h * m + s) % 30}.5")
+             for h in range(24) for m in range(60) for s in (5, 25, 45)]
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("aisdk-2025-06-02.csv", "\n".join([",".join(HEADER)] + lines) + "\n")
+    with zipfile.ZipFile(f"{raw}/aisdk-2025-06-01.zip", "w") as z:
+        z.writestr("aisdk-2025-06-01.csv", "\n".join([",".join(HEADER), _line("01/06/2025 10:00:00", "9000001", "Cargo", "12.5")]) + "\n")
+    good = open(path, "rb").read()
+    at = good.rindex(b"23:59:45")
+    with open(path, "wb") as f:
+        f.write(good[:at] + b"23:59:46" + good[at + 8:])  # the checksum no longer holds
+    bad = jobs.generate_dataset(spark, raw, daily, out, "2025-06-01", "2025-06-30")
+    assert [r.error for r in bad.collect()] == ["corrupt_zip: BadZipFile"]
+    assert spark.read.parquet(daily).count() == 1
+    with open(path, "wb") as f:
+        f.write(good)
+    assert jobs.generate_dataset(spark, raw, daily, out, "2025-06-01", "2025-06-30").count() == 0
+    assert spark.read.parquet(daily).count() == 1 + len(lines)

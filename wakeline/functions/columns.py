@@ -15,7 +15,7 @@ from ..config import PSI_EPSILON, PSI_MODERATE, PSI_STABLE
 __all__ = [
     "col_of", "circular_abs_diff", "share_where", "n_distinct_incl_null", "mode_of",
     "safe_div", "clip_low", "psi_term", "kl_term", "bin_of", "hash_order", "psi_band",
-    "round_doubles", "fixed_mean", "stable_std", "week_start", "utc_instant", "utc_date", "month_start", "nearest_rank", "is_digits",
+    "round_doubles", "week_start", "utc_instant", "utc_date", "month_start", "nearest_rank", "is_digits",
 ]
 
 
@@ -49,34 +49,6 @@ def mode_of(c) -> Column:
 FIXED_SCALE = 1e9  # fixed-point resolution of reproducible means
 
 
-def fixed_mean(c) -> Column:
-    """Mean that does not depend on summation order (aggregate).
-
-    Values are summed as exact integers in units of 1e-9, so the result is the
-    same bit pattern however rows are partitioned or ordered (a float ``avg``
-    can move by an ulp between runs, which flips values sitting on a bin edge).
-    The integer sum of one vessel-week cannot overflow: at most ~3e5 pings of
-    magnitude <= 360.
-    """
-    c = col_of(c)
-    total = F.sum(F.round(c * F.lit(FIXED_SCALE)).cast("long"))
-    return total.cast("double") / F.count(c) / F.lit(FIXED_SCALE)
-
-
-STD_DIGITS = 9
-
-
-def stable_std(c) -> Column:
-    """Sample standard deviation rounded to 1e-9 (aggregate).
-
-    The running-moment update behind ``stddev_samp`` depends on row order, so two
-    groups with the same values can differ in the last bit between runs or
-    partitionings; rounding to 9 decimals makes them equal again (ties in ranks
-    and bins then stay ties).  NULL for a single value.
-    """
-    return F.round(F.stddev_samp(col_of(c)), STD_DIGITS)
-
-
 def safe_div(a, b) -> Column:
     """a / b, NULL when b is zero (ANSI mode would raise)."""
     return F.try_divide(col_of(a), col_of(b))

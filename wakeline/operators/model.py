@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import FOREST_MAX_DEPTH, FOREST_MIN_LEAF, FOREST_TREES, RANDOM_SEED
 from ..functions import hash_order
+from ..sources.sinks import path_exists
 from .drift import broadcast_if_small
 
 PERM_BUCKET = 1024
@@ -127,15 +128,14 @@ def save_model(model: PipelineModel, path: str, features: Sequence[str]) -> None
 def load_model(path: str, expected_features: Sequence[str] | None = None) -> PipelineModel:
     """Load; raise when the stored feature order differs from the expected one."""
     spark = SparkSession.getActiveSession()
-    try:
-        model = PipelineModel.load(f"{path}/model")
-    except Exception as e:  # noqa: BLE001 - the JVM raises a generic analysis error
-        raise FileNotFoundError(f"Baseline model not found at {path}. Train the model first.") from e
+    if not path_exists(spark, f"{path}/model"):
+        raise FileNotFoundError(f"{path} holds no model; a training run writes one.")
+    model = PipelineModel.load(f"{path}/model")
     if expected_features is not None:
         stored = json.loads(spark.read.text(f"{path}/features").first()[0])["columns"]
         if list(stored) != list(expected_features):
-            raise ValueError("Model and saved schema have drifted out of sync - the model was likely "
-                             "retrained without updating the schema, or vice versa.")
+            raise ValueError(f"The features of the model and of the schema have drifted out of sync: "
+                             f"stored {list(stored)}, expected {list(expected_features)}.")
     return model
 
 

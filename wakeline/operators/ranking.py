@@ -44,15 +44,17 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
     Rank order is ``hash_col`` (hex string) then ``tiebreak`` columns.
     Returns ``df`` plus one boolean column ``below_<name>`` per cutoff name.
     """
-    groups = list(groups)
     ensure_checkpoint_dir(df.sparkSession)
+    # one key that is never null, so that a null group is a group in joins and windows alike
+    columns, key = df.columns, F.to_json(F.struct(*groups))
+    df, cutoffs, groups = df.withColumn("__g", key), cutoffs.withColumn("__g", key), ["__g"]
     names = [r["name"] for r in cutoffs.select("name").distinct().collect()]  # a few literal names
     cut = cutoffs.where(F.col("k") > 0).select(*groups, F.col("name").alias("__name"),
                                                 F.col("k").cast("long").alias("__k"))
     # decision state per (group, name): boundary prefix b (length L) and rank r left inside it
     state = cut.select(*groups, "__name", F.lit("").alias("__b"), F.col("__k").alias("__r")).transform(materialize)
     counts_at = df.select(*groups, F.col(hash_col).alias("_h"))
-    depth = 0
+    depth, done = 0, []
     for level in range(1, MAX_LEVELS + 1):
         depth = level * DIGITS_PER_LEVEL
         n_state = state.count()
@@ -76,14 +78,15 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
                 .select(*groups, "__name", F.concat("__b", F.lit("~")).alias("__b"), F.lit(0).cast("long").alias("__r"),
                         F.lit(0).cast("long").alias("__bc")))
         nxt = nxt.unionByName(over).transform(materialize)
-        big = nxt.where(F.col("__bc") > window_limit).count()
-        state = nxt.select(*groups, "__name", "__b", "__r")
-        if big == 0:
-            break
-        state = state.transform(materialize)
+        # a settled cutoff (small bucket, or past the group's end) leaves; only open ones are refined
+        done.append(nxt.where(F.col("__bc") <= window_limit).select(*groups, "__name", "__b", "__r"))
+        state = nxt.where(F.col("__bc") > window_limit).select(*groups, "__name", "__b", "__r")
 
     # final decision: compare the row's prefix with the boundary; rank inside it
-    final = state.transform(materialize)
+    final = state
+    for settled in done:
+        final = final.unionByName(settled)
+    final = final.transform(materialize)
     n_final = final.count()
     out = df.withColumn("_h", F.col(hash_col))
     for name in names:
@@ -113,4 +116,4 @@ def rank_below(df: DataFrame, groups: Sequence[str], hash_col: str, tiebreak: Se
                 .when(c, F.col(f"_rk_{name}") <= F.col(f"_r_{name}"))
                 .otherwise(F.lit(False)))
         out = out.withColumn(f"below_{name}", flag)
-    return out.select(*df.columns, *[f"below_{n}" for n in names])  # input order kept
+    return out.select(*columns, *[f"below_{n}" for n in names])  # input order kept

@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CARGO_RATIOS, MIN_PINGS_PER_WEEK, NAV_STATUS_RATIOS
-from ..functions import (circular_abs_diff, fixed_mean, mode_of, n_distinct_incl_null, safe_div,
-                         stable_std, week_start)
+from ..functions import (circular_abs_diff, mode_of, n_distinct_incl_null, safe_div,
+                         week_start)
 
 GROUPS = ["identity", "dimensions", "speed", "course", "status", "spatial", "cargo", "temporal"]
 
@@ -49,24 +49,24 @@ def _aggregates(groups: set[str], ts: str, distributions: bool = True) -> list:
         out += [F.max(draught).alias("max_draught"), F.min(draught).alias("min_draught"),
                 (F.max(draught) - F.min(draught)).alias("draught_variability")]
     if "speed" in groups:
-        out += [fixed_mean(F.when(sog > 0.5, sog)).alias("mean_moving_speed"),
+        out += [F.avg(F.when(sog > 0.5, sog)).alias("mean_moving_speed"),
                 F.max(sog).alias("max_speed"),
-                stable_std(sog).alias("std_speed"),
+                F.stddev_samp(sog).alias("std_speed"),
                 # denominators count every row, speed NULL included
                 (F.count_if(sog < 1.0) / F.count(F.lit(1))).alias("frac_time_slow"),
                 (F.count_if(sog > 10.0) / F.count(F.lit(1))).alias("frac_time_fast")]
     if "course" in groups:
-        out += [stable_std(cog).alias("cog_variability"),
-                fixed_mean(F.abs(rot)).alias("rot_mean_abs"),
-                stable_std(F.abs(rot)).alias("rot_std"),
-                fixed_mean(circular_abs_diff("heading", "cog")).alias("heading_cog_diff_mean")]
+        out += [F.stddev_samp(cog).alias("cog_variability"),
+                F.avg(F.abs(rot)).alias("rot_mean_abs"),
+                F.stddev_samp(F.abs(rot)).alias("rot_std"),
+                F.avg(circular_abs_diff("heading", "cog")).alias("heading_cog_diff_mean")]
     if "status" in groups:
         if distributions:
             out.append(n_distinct_incl_null(status).alias("n_nav_statuses"))
         out += [(F.count_if(status == lit) / n_ts).alias(name) for name, lit in NAV_STATUS_RATIOS.items()]
     if "spatial" in groups:
-        out += [stable_std(lat).alias("lat_std"), stable_std(lon).alias("lon_std"),
-                fixed_mean(lat).alias("lat_mean"), fixed_mean(lon).alias("lon_mean"),
+        out += [F.stddev_samp(lat).alias("lat_std"), F.stddev_samp(lon).alias("lon_std"),
+                F.avg(lat).alias("lat_mean"), F.avg(lon).alias("lon_mean"),
                 ((F.max(lat) - F.min(lat)) * (F.max(lon) - F.min(lon))).alias("bbox_area")]
     if "cargo" in groups:
         out += [(F.count_if(cargo == lit) / n_ts).alias(name) for name, lit in CARGO_RATIOS.items()]

@@ -63,10 +63,21 @@ def weekly(spark: SparkSession, sf_dir: str, groups=None, min_pings: int = ADAPT
     """The weekly feature table from the driver's events.  ``stored=True`` writes
     it once (``materialize``) for queries that read it in several passes, as a
     production job reads the stored feature table."""
-    w = weekly_features(vessel_pings(spark, sf_dir), min_pings=min_pings, groups=groups)
+    w = in_steps(weekly_features(vessel_pings(spark, sf_dir), min_pings=min_pings, groups=groups))
     return w.transform(materialize) if stored else w
 
 
+STEP_MEANS = ["mean_moving_speed", "rot_mean_abs", "heading_cog_diff_mean", "lat_mean", "lon_mean"]
+STEP_STDS = ["std_speed", "cog_variability", "rot_std", "lat_std", "lon_std"]
+
+
+def in_steps(w: DataFrame) -> DataFrame:
+    """Means and deviations in steps of 1e-9, here and in the SQL, so that both
+    engines put a value on a bin edge or a rank tie on the same side."""
+    steps = {c: F.round(F.col(c) * 1e9) / 1e9 for c in STEP_MEANS if c in w.columns}
+    return w.withColumns(steps | {c: F.round(c, 9) for c in STEP_STDS if c in w.columns})
+
+
 # ---------------------------------------------------------------- weekly roll-up
 _W = OW.weekly_ctes(ADAPTER_MIN_PINGS)
 _TAIL = ["n_pings", "time_span_seconds", "mean_ping_interval_seconds"]
@@ -262,8 +273,8 @@ def q_class_balance(spark, sf_dir):
 
 @register("drift_alarms", rounded(with_ctes(
     [_EV, _EVBASE] + OD.baseline_ctes("ebase", ["value"]) + OD.monitor_ctes("esrc", ["value"]),
-    """SELECT *, 'DRIFT FLAGGED - period ' || CAST(period AS VARCHAR) || ', ' || class || ': ' || feature
-  || ' (PSI ' || printf('%.2f', psi) || ')' AS alarm
+    """SELECT *, 'feature moved: period ' || CAST(period AS VARCHAR) || ', ' || class || ': ' || feature
+  || ', psi ' || printf('%.2f', psi) AS alarm
 FROM scored WHERE psi > 25e-2"""), ["psi"]))
 def q_drift_alarms(spark, sf_dir):
     ev, base = drifted_events(spark, sf_dir)
@@ -576,16 +587,20 @@ def q_kruskal_pvalues(spark, sf_dir):
 # ---------------------------------------------------------------- drift views and importance weighting
 
 
+HEATMAP_PERIODS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29"]
+PIVOT_CLASSES = ["Cargo", "Fishing", "Passenger", "Tanker", "Tug"]
+
+
 @register("psi_heatmap", None)
 def q_psi_heatmap(spark, sf_dir):
     res = psi_by_class_df(spark, sf_dir)
-    return D.psi_heatmap(res)
+    return D.psi_heatmap(res.where(F.col("period").isin(HEATMAP_PERIODS)), HEATMAP_PERIODS)
 
 
 @register("class_balance_pivot", None)
 def q_class_balance_pivot(spark, sf_dir):
     bal = D.class_balance(weekly(spark, sf_dir), "ship_type", "week_start")
-    return D.class_balance_pivot(bal, "ship_type", "week_start")
+    return D.class_balance_pivot(bal, "ship_type", "week_start", PIVOT_CLASSES)
 
 
 def anova_importances(spark, sf_dir, features=MODEL_FEATURES):
@@ -617,14 +632,13 @@ def _anova_ctes(features, name="anova"):
             ("imp", f"SELECT feature, f_stat / sum(f_stat) OVER () AS importance FROM {name} WHERE f_stat IS NOT NULL")]
 
 
-ORACLE["psi_heatmap"] = with_ctes(_by_class_ctes(), """SELECT class, feature,
-  round(COLUMNS(* EXCLUDE (class, feature)) * (1 + 1e-11), 6) + 0e0 FROM (
-PIVOT (SELECT class, feature, period, psi FROM scored) ON period USING max(psi) GROUP BY class, feature) t""")
-ORACLE["class_balance_pivot"] = with_ctes(_W, """SELECT week_start,
-  round(coalesce(COLUMNS(* EXCLUDE (week_start)), 0) * (1 + 1e-11), 6) + 0e0
-FROM (PIVOT (SELECT ship_type, week_start, n / sum(n) OVER (PARTITION BY week_start) AS proportion
-  FROM (SELECT ship_type, week_start, count(*) AS n FROM weekly GROUP BY ALL) t)
-  ON ship_type USING max(proportion) GROUP BY week_start) p""")
+_cells = ", ".join(f"max(CASE WHEN CAST(period AS VARCHAR) = '{p}' THEN psi END) AS \"{p}\"" for p in HEATMAP_PERIODS)
+ORACLE["psi_heatmap"] = rounded(with_ctes(_by_class_ctes(), f"""SELECT class, feature, {_cells} FROM scored
+WHERE CAST(period AS VARCHAR) IN ({", ".join(f"'{p}'" for p in HEATMAP_PERIODS)}) GROUP BY class, feature"""), [f'"{p}"' for p in HEATMAP_PERIODS])
+_shares = ", ".join(f"coalesce(max(CASE WHEN ship_type = '{c}' THEN proportion END), 0) AS \"{c}\"" for c in PIVOT_CLASSES)
+ORACLE["class_balance_pivot"] = rounded(with_ctes(_W, f"""SELECT week_start, {_shares}
+FROM (SELECT ship_type, week_start, n / sum(n) OVER (PARTITION BY week_start) AS proportion
+  FROM (SELECT ship_type, week_start, count(*) AS n FROM weekly GROUP BY ALL) t) s GROUP BY week_start"""), PIVOT_CLASSES)
 ORACLE["weighted_drift"] = rounded(with_ctes(_by_class_ctes() + _anova_ctes(MODEL_FEATURES), """SELECT period, class,
   sum(psi * importance) AS weighted_psi, count(psi) AS n_features
 FROM scored JOIN imp USING (feature) GROUP BY period, class"""), ["weighted_psi"])
@@ -932,8 +946,8 @@ def q_weekly_in_range(spark, sf_dir):
 # the whole log is one micro-batch (availableNow, no file limit), checked on
 # the processing date (UTC); alarms as in F9 over the pooled class
 @register("stream_drift", rounded(with_ctes(_log_check_ctes("CAST(timezone('UTC', now()) AS DATE)"),
-    f"""SELECT *, CASE WHEN psi > {PSI_MODERATE!r} THEN 'DRIFT FLAGGED - period ' || CAST(period AS VARCHAR)
-  || ', ' || feature || ' (PSI ' || printf('%.2f', psi) || ')' END AS alarm, CAST(0 AS INTEGER) AS batch_id
+    f"""SELECT *, CASE WHEN psi > {PSI_MODERATE!r} THEN 'feature moved: period ' || CAST(period AS VARCHAR)
+  || ', ' || feature || ', psi ' || printf('%.2f', psi) END AS alarm, CAST(0 AS INTEGER) AS batch_id
 FROM scored"""), ["psi"]))
 def q_stream_drift(spark, sf_dir):
     """K2: the prediction log (built from the weekly table) lands as files and the

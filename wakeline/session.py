@@ -72,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint folder; create a scratch one only when unset (tests)."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="wakeline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -83,6 +83,7 @@ class ZipCsvReader(DataSourceReader):
 
     def read(self, partition):
         import zipfile
+        import zlib
 
         import pyarrow as pa
         import pyarrow.csv as pacsv
@@ -103,7 +104,10 @@ class ZipCsvReader(DataSourceReader):
             pafs.LocalFileSystem(), partition.path)
         try:
             with fs.open_input_file(p) as fh:
-                zf = zipfile.ZipFile(fh)  # random-access file, members streamed
+                try:
+                    zf = zipfile.ZipFile(fh)  # random-access file, members streamed
+                except pa.ArrowInvalid as e:  # shorter than a zip's closing record
+                    raise zipfile.BadZipFile(str(e)) from e
                 members = [m for m in zf.namelist() if m.endswith(".csv")]
                 if not members:
                     yield batch({}, 1, "no_csv_member")
@@ -111,6 +115,9 @@ class ZipCsvReader(DataSourceReader):
                 if self.inventory:  # central directory only, no member is decompressed
                     yield batch({}, 1, None)
                     return
+                with zf.open(members[0]) as member:  # to the end, where its checksum is compared: all rows or none
+                    while member.read(1 << 20):
+                        pass
                 with zf.open(members[0]) as member:
                     opts = pacsv.ConvertOptions(
                         null_values=NULL_TOKENS, strings_can_be_null=True, quoted_strings_can_be_null=True,
@@ -120,8 +127,8 @@ class ZipCsvReader(DataSourceReader):
                     for rb in reader:
                         cols = {RAW_COLUMNS[n]: rb.column(i) for i, n in enumerate(rb.schema.names)}
                         yield batch(cols, rb.num_rows, None)
-        except (zipfile.BadZipFile, EOFError, OSError, pa.ArrowInvalid) as e:
-            # unreadable archive (truncated, not a zip, bad seek): recorded, not fatal
+        except (zipfile.BadZipFile, EOFError, zlib.error) as e:
+            # a damaged archive is recorded; a fault of the store or of the CSV fails the task, which Spark runs again
             yield batch({}, 1, f"corrupt_zip: {type(e).__name__}")
 
 

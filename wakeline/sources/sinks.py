@@ -116,7 +116,7 @@ def write_schema(spark: SparkSession, path: str, spec: dict) -> None:
 
 def load_schema(spark: SparkSession, path: str) -> dict:
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"No schema found at {path}. Train the model first.")
+        raise FileNotFoundError(f"{path} holds no schema; a training run writes one.")
     return json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
 
 
