@@ -5,29 +5,29 @@
 * Balanced class weights ``N / (k * n_c)`` come from a per-class count (one row
   per class) joined back to the rows.
 * Depth: "unlimited" is capped at 30, the largest depth spark.ml accepts.
-* Permutation importance scores every (feature, repeat) copy of the test rows
-  in one ``transform``; the permutation is a cyclic shift in hash order inside
-  buckets of about ``PERM_BUCKET`` rows, so no permutation needs one task.
+* Permutation importance shifts the rows by one place in hash order, another
+  order per repeat; places come from range-partitioned running counts, so no
+  permutation needs one task.  One row per repeat is shuffled; the copies per
+  feature are made after that, where they are scored.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import Imputer, IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FOREST_MAX_DEPTH, FOREST_MIN_LEAF, FOREST_TREES, RANDOM_SEED
 from ..functions import hash_order
 from ..sources.sinks import path_exists
 from .drift import broadcast_if_small
-
-PERM_BUCKET = 1024
+from .prefix import running_sum
 
 
 def _imp(f: str) -> str:
@@ -139,42 +139,31 @@ def load_model(path: str, expected_features: Sequence[str] | None = None) -> Pip
     return model
 
 
-def accuracy(scored: DataFrame, label: str, prediction: str = "prediction") -> float:
-    return scored.select(F.avg((F.col(label) == F.col(prediction)).cast("double"))).first()[0]
-
-
-def permutation_importance(model: PipelineModel, test: DataFrame, features: Sequence[str], label: str,
-                           keys: Sequence[str], repeats: int = 10, seed: int = RANDOM_SEED) -> DataFrame:
+def permutation_importance(score: Callable[[DataFrame], DataFrame], test: DataFrame, features: Sequence[str],
+                           label: str, keys: Sequence[str], repeats: int = 10,
+                           seed: int = RANDOM_SEED) -> DataFrame:
     """I8: mean and (population) std of the accuracy drop when one feature is shuffled.
 
-    Returns ``(feature, importance_mean, importance_std)``, largest first.
+    ``score`` adds the column ``prediction`` and keeps the others, for a forest
+    ``lambda df: predict(model, df, features)``.  ``keys`` name a row.  Returns
+    ``(feature, importance_mean, importance_std)``, largest first.
     """
     features, keys = list(features), list(keys)
-    base = predict(model, test, features)
-    base_acc = F.lit(accuracy(base, label))
-    n = test.count()
-    buckets = max(1, n // PERM_BUCKET)
-    # one copy of the test rows per (feature, repeat); the shuffled value of the
-    # copy's feature is the next row's value in hash order inside a hash bucket,
-    # wrapping around - a permutation of that column, built by one window
-    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.lit(r).alias("_r"))
-                                for f in features for r in range(repeats)])).alias("_p")
-    copies = test.select("*", pairs).select("*", "_p._f", "_p._r").drop("_p")
-    own = F.lit(None).cast("double")
-    for f in features:
-        own = F.when(F.col("_f") == f, F.col(f).cast("double")).otherwise(own)
-    copies = (copies.withColumn("_own", own).withColumn("_h", hash_order(keys + ["_f", "_r"], seed))
-              .withColumn("_g", F.pmod(F.xxhash64("_h"), F.lit(buckets))))
-    w = Window.partitionBy("_f", "_r", "_g").orderBy("_h")
-    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    copies = copies.withColumn("_donor", F.when(F.lead("_h").over(w).isNull(), F.first("_own").over(wall))
-                               .otherwise(F.lead("_own").over(w)))
-    for f in features:
-        copies = copies.withColumn(f, F.when(F.col("_f") == f, F.col("_donor")).otherwise(F.col(f).cast("double")))
-    copies = copies.drop("_own", "_h", "_g")
-    scored = predict(model, copies.drop("_donor"), features)
-    acc = scored.groupBy("_f", "_r").agg(F.avg((F.col(label) == F.col("prediction")).cast("double")).alias("acc"))
-    drop = acc.withColumn("d", base_acc - F.col("acc"))
+
+    def share() -> Column:
+        return F.avg((F.col(label) == F.col("prediction")).cast("double"))
+
+    base_acc, n = score(test).agg(share()).first()[0], test.count()
+    turn = F.explode(F.array(*[F.lit(r) for r in range(repeats)])).alias("_r")
+    turns = test.select("*", turn).withColumn("_h", hash_order([*keys, "_r"], seed)).withColumn("_one", F.lit(1))
+    ranked = running_sum(turns, ["_r"], "_h", "_one", out="_at").drop("_h", "_one")
+    # the row after each one, the first after the last
+    donors = ranked.select("_r", F.pmod(F.col("_at") - 1, F.lit(n)).alias("_at"),
+                           F.struct(*[F.col(f).cast("double").alias(f) for f in features]).alias("_next"))
+    copies = ranked.join(donors, ["_r", "_at"]).select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("_f"))
+    shuffled = {f: F.when(F.col("_f") == f, F.col("_next")[f]).otherwise(F.col(f).cast("double")) for f in features}
+    scored = score(copies.withColumns(shuffled).drop("_next", "_at"))
+    drop = scored.groupBy("_f", "_r").agg((F.lit(base_acc) - share()).alias("d"))
     return (drop.groupBy(F.col("_f").alias("feature"))
             .agg(F.avg("d").alias("importance_mean"), F.stddev_pop("d").alias("importance_std"))
             .orderBy(F.desc("importance_mean")))

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .drift import broadcast_if_small, to_long
 from .prefix import running_sum
-from .quantiles import by_counts, exact_quantiles
+from .quantiles import exact_quantiles
 
 KDE_GRID = 200
 KDE_CUT = 3.0
@@ -39,8 +40,8 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def activity_profile(df: DataFrame, key: str, busy: int = 60 * 24, quiet: int = 24 * 6) -> DataFrame:
     """Rows, entities, max / median / mean rows per entity, counts above
     ``busy`` and under ``quiet`` rows (median: mean of the two middle values)."""
-    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("rc")).withColumn("_g", F.lit(0))
-    med = by_counts(per, ["_g"], "rc", {"median_rows": 0.5}, method="linear")
+    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("rc")).withColumn("_g", F.lit(0)).transform(materialize)
+    med = exact_quantiles(per, ["_g"], "rc", {"median_rows": 0.5}, method="linear")
     agg = per.groupBy("_g").agg(
         F.sum("rc").alias("n_rows"), F.count(F.lit(1)).alias("n_entities"),
         F.max("rc").alias("max_rows"), F.avg("rc").alias("mean_rows"),
@@ -103,7 +104,8 @@ def box_summary(df: DataFrame, features: Sequence[str], class_col: str) -> DataF
     long_df = to_long(df, features, class_col)
     qs = exact_quantiles(long_df, ["feature", "class"], "value",
                          {"q1": 0.25, "median": 0.5, "q3": 0.75}, method="linear")
-    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1"))
+    # one row per feature and class, read for its size, the fences and the result
+    qs = qs.withColumn("iqr", F.col("q3") - F.col("q1")).transform(materialize)
     fences = qs.select("feature", "class", (F.col("q1") - 1.5 * F.col("iqr")).alias("_lf"),
                        (F.col("q3") + 1.5 * F.col("iqr")).alias("_hf"))
     inside = long_df.join(broadcast_if_small(fences), ["feature", "class"]).groupBy("feature", "class").agg(
@@ -221,30 +223,54 @@ def _betacf(a: float, b: float, x: float) -> float:
         de = d * c
         h *= de
         if abs(de - 1.0) < 1e-15:
-            break
-    return h
+            return h
+    return math.nan  # not converged
 
 
-def betainc_reg(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0:
+def _lgamma_rise(a: float, b: float) -> float:
+    """lgamma(a + b) - lgamma(a); by Stirling's series where a is large, as the
+    difference of two large values has no digits left there."""
+    if a < 1000:
+        return math.lgamma(a + b) - math.lgamma(a)
+    tail = lambda x: 1 / (12 * x) - 1 / (360 * x**3)
+    return (a - 0.5) * math.log1p(b / a) + b * math.log(a + b) - b + tail(a + b) - tail(a)
+
+
+def betainc_reg(a: float, b: float, x: float, y: float | None = None) -> float:
+    """Regularised incomplete beta I_x(a, b); ``y`` is 1 - x where the caller has
+    it with more digits.  NaN if the fraction does not converge."""
+    y = 1 - x if y is None else y
+    if x <= 0 or y >= 1:
         return 0.0
-    if x >= 1:
+    if y <= 0:
         return 1.0
-    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-    front = math.exp(lbeta + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1) / (a + b + 2):
+    log_x = math.log1p(-y) if y < 0.5 else math.log(x)
+    log_y = math.log1p(-x) if x < 0.5 else math.log(y)
+    rise = _lgamma_rise(a, b) - math.lgamma(b) if a >= b else _lgamma_rise(b, a) - math.lgamma(a)
+    front = math.exp(rise + a * log_x + b * log_y)
+    if y > (b + 1) / (a + b + 2):
         return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1 - x) / b
+    return 1.0 - front * _betacf(b, a, y) / b
+
+
+LARGE_DF = 1e6  # from here on the F tail is the chi-square tail with its 1/d2 term
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
-    """Survival function of the F distribution."""
+    """Survival function of the F distribution.
+
+    Above ``LARGE_DF`` the denominator's chi-square / d2 is 1 with variance
+    2 / d2, so the tail is Q(b, u) plus half its second derivative times that
+    variance, with b = d1 / 2 and u = b f; what is left out falls as 1 / d2^2."""
     if f is None or math.isnan(f) or d1 <= 0 or d2 <= 0:
         return float("nan")
     if f <= 0:
         return 1.0
-    return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    if d2 > LARGE_DF and d1 < d2 / 1000:
+        b, u = d1 / 2.0, d1 * f / 2.0
+        bend = math.exp(b * math.log(u) - u - math.lgamma(b)) * (u - b + 1)
+        return min(1.0, max(0.0, gammaincc_reg(b, u) + bend / d2))
+    return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f), d1 * f / (d2 + d1 * f))
 
 
 def gammaincc_reg(a: float, x: float) -> float:
@@ -260,8 +286,8 @@ def gammaincc_reg(a: float, x: float) -> float:
             term *= x / ap
             total += term
             if abs(term) < abs(total) * 1e-16:
-                break
-        return 1.0 - total * math.exp(-x + a * math.log(x) - lg)
+                return 1.0 - total * math.exp(-x + a * math.log(x) - lg)
+        return math.nan  # not converged
     tiny = 1e-300
     b = x + 1 - a
     c, d = 1 / tiny, 1 / b
@@ -276,9 +302,9 @@ def gammaincc_reg(a: float, x: float) -> float:
         d = 1 / d
         de = d * c
         h *= de
-        if abs(de - 1) < 1e-16:
-            break
-    return math.exp(-x + a * math.log(x) - lg) * h
+        if abs(de - 1) < 1e-15:
+            return math.exp(-x + a * math.log(x) - lg) * h
+    return math.nan  # not converged
 
 
 def chi2_sf(x: float, k: float) -> float:

@@ -169,10 +169,13 @@ def drifted_events(spark, sf_dir):
     return ev, ev.where(F.col("period") == F.lit(first))
 
 
-def psi_by_class_df(spark, sf_dir, measure="psi"):
-    w, base = weekly_with_baseline(spark, sf_dir)
-    bins, _ = D.build_baselines(base, MODEL_FEATURES, class_col="ship_type")
-    return D.monitor_numeric(w, bins, MODEL_FEATURES, "week_start", class_col="ship_type", measure=measure)
+def psi_by_class_df(spark, sf_dir, measure="psi", features=MODEL_FEATURES):
+    return psi_of_weekly(*weekly_with_baseline(spark, sf_dir), measure=measure, features=features)
+
+
+def psi_of_weekly(w, base, measure="psi", features=MODEL_FEATURES):
+    bins, _ = D.build_baselines(base, features, class_col="ship_type")
+    return D.monitor_numeric(w, bins, features, "week_start", class_col="ship_type", measure=measure)
 
 
 # oracle building blocks
@@ -295,7 +298,7 @@ def q_drift_rank(spark, sf_dir):
        ELSE 'significant' END AS band
 FROM scored WHERE feature = '{TS_FEATURE}'"""), ["psi"]))
 def q_psi_timeseries(spark, sf_dir):
-    return D.psi_timeseries(psi_by_class_df(spark, sf_dir), TS_FEATURE)
+    return D.psi_timeseries(psi_by_class_df(spark, sf_dir, features=[TS_FEATURE]), TS_FEATURE)
 
 
 @register("kl_by_class", rounded(with_ctes(_by_class_ctes("kl"), "SELECT * FROM scored"), ["kl"]))
@@ -603,22 +606,25 @@ def q_class_balance_pivot(spark, sf_dir):
     return D.class_balance_pivot(bal, "ship_type", "week_start", PIVOT_CLASSES)
 
 
-def anova_importances(spark, sf_dir, features=MODEL_FEATURES):
-    """Importance of a feature = its share of the summed ANOVA F over features."""
-    f = ST.anova_f(complete_weekly(spark, sf_dir), features, "ship_type").where(F.col("f_stat").isNotNull())
+def anova_importances(w, features=MODEL_FEATURES):
+    """Importance of a feature = its share of the summed ANOVA F over features
+    (of the complete rows); stored, one row per feature."""
+    f = ST.anova_f(w.na.drop(), features, "ship_type").where(F.col("f_stat").isNotNull()).transform(materialize)
     total = f.select(F.sum("f_stat")).scalar()
     return f.select("feature", (F.col("f_stat") / total).alias("importance"))
 
 
 @register("weighted_drift", None)
 def q_weighted_drift(spark, sf_dir):
-    return D.weighted_drift(psi_by_class_df(spark, sf_dir), anova_importances(spark, sf_dir))
+    w, base = weekly_with_baseline(spark, sf_dir)
+    return D.weighted_drift(psi_of_weekly(w, base), anova_importances(w))
 
 
 @register("alarms_by_importance", None)
 def q_alarms_by_importance(spark, sf_dir):
-    flagged = D.check_drift(psi_by_class_df(spark, sf_dir))
-    return D.alarms_by_importance(flagged, anova_importances(spark, sf_dir)).select(
+    w, base = weekly_with_baseline(spark, sf_dir)
+    flagged = D.check_drift(psi_of_weekly(w, base))
+    return D.alarms_by_importance(flagged, anova_importances(w)).select(
         "period", "feature", "class", "psi", "importance", "severity")
 
 
@@ -723,46 +729,66 @@ def q_report_by_slice(spark, sf_dir):
 
 # ---------------------------------------------------------------- random forest (rows-only)
 
-_FOREST_CACHE: dict = {}
-
-
 def forest_run(spark, sf_dir):
-    """Stratified split of the weekly table, forest fitted on the train part.
-    Memoised per process so the rows-only queries share one fit."""
-    key = (id(spark), sf_dir)
-    if key not in _FOREST_CACHE:
-        w = weekly(spark, sf_dir, stored=True)
-        sp = S.split_random(w, "ship_type", ["imo", "week_start"]).transform(materialize)
-        train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
-        model = M.train_forest(train, MODEL_FEATURES, "ship_type")
-        _FOREST_CACHE[key] = (model, train, test)
-    return _FOREST_CACHE[key]
+    """Stratified split of the weekly table, forest fitted on the train part."""
+    w = weekly(spark, sf_dir, stored=True)
+    sp = S.split_random(w, "ship_type", ["imo", "week_start"]).transform(materialize)
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    return M.train_forest(train, MODEL_FEATURES, "ship_type"), test
 
 
 @register("forest_scores")
 def q_forest_scores(spark, sf_dir):
-    model, _, test = forest_run(spark, sf_dir)
+    model, test = forest_run(spark, sf_dir)
     scored = M.predict(model, test, MODEL_FEATURES)
     return EV.classification_report(scored, "ship_type", "prediction")
 
 
-@register("permutation_importance")
+@register("impurity_importance")
+def q_impurity_importance(spark, sf_dir):
+    return M.impurity_importance(forest_run(spark, sf_dir)[0])
+
+
+# ---------------------------------------------------------------- permutation importance (of the rule)
+
+# what the rule's answers owe to each feature: its own answers are the labels
+RULE_FEATURES = ["fishing_ratio", "moored_ratio", "anchor_ratio", "length"]
+PERM_REPEATS = 10
+
+
+def _shuffled_sql(feature: str) -> str:
+    cols = ", ".join(f"d_{c} AS {c}" if c == feature else c for c in RULE_FEATURES)
+    return f"""SELECT '{feature}' AS feature, r, avg(CASE WHEN label = {RULE_PREDICTION} THEN 1e0 ELSE 0e0 END) AS acc
+FROM (SELECT r, label, {cols} FROM nxt) s GROUP BY r"""
+
+
+_PERM = _W + [
+    ("prm", f"""SELECT r, row_number() OVER (PARTITION BY r ORDER BY {_md5(['imo', 'week_start', 'r'])}) AS rn,
+  count(*) OVER (PARTITION BY r) AS n, {RULE_PREDICTION} AS label, {', '.join(RULE_FEATURES)}
+FROM weekly, range({PERM_REPEATS}) t(r)"""),
+    ("nxt", f"""SELECT a.r, a.label, {', '.join(f'a.{c}, b.{c} AS d_{c}' for c in RULE_FEATURES)}
+FROM prm a JOIN prm b ON b.r = a.r AND b.rn = a.rn % a.n + 1"""),
+    ("acc", "\nUNION ALL\n".join(_shuffled_sql(f) for f in RULE_FEATURES)),
+    ("importances", """SELECT feature, avg(1 - acc) AS importance_mean, stddev_pop(1 - acc) AS importance_std
+FROM acc GROUP BY feature""")]
+
+
+@register("permutation_importance", rounded(with_ctes(_PERM, "SELECT * FROM importances"),
+                                            ["importance_mean", "importance_std"]))
 def q_permutation_importance(spark, sf_dir):
-    model, _, test = forest_run(spark, sf_dir)
-    return M.permutation_importance(model, test, MODEL_FEATURES, "ship_type", ["imo", "week_start"])
+    rule = F.expr(RULE_PREDICTION)
+    w = weekly(spark, sf_dir, groups=["dimensions", "status"]).select("imo", "week_start", *RULE_FEATURES,
+                                                                      rule.alias("label"))
+    return M.permutation_importance(lambda d: d.withColumn("prediction", rule), w.transform(materialize),
+                                    RULE_FEATURES, "label", ["imo", "week_start"], PERM_REPEATS)
 
 
-@register("selected_features")
+@register("selected_features", rounded(with_ctes(_PERM, """SELECT * FROM importances
+WHERE importance_mean > 1e-3 AND importance_std < importance_mean"""), ["importance_mean", "importance_std"]))
 def q_selected_features(spark, sf_dir):
     return M.select_features(q_permutation_importance(spark, sf_dir))
 
 
-@register("impurity_importance")
-def q_impurity_importance(spark, sf_dir):
-    model, _, _ = forest_run(spark, sf_dir)
-    return M.impurity_importance(model)
-
-
 # ---------------------------------------------------------------- sources, sinks, logs, monitor, stream
 
 
