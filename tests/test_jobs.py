@@ -3,6 +3,7 @@
 import datetime as dt
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from wakeline.operators import model as M
@@ -57,6 +58,8 @@ def test_generate_train_monitor(spark, tmp_path):
     scored = M.predict_proba(model, data, FEATURES)
     L.append_log(scored, log_dir, FEATURES)
     state = str(tmp_path / "state")
+    with pytest.raises(ValueError, match="out of sync"):
+        J.monitor(spark, log_dir, runs, state, features=FEATURES[::-1])
     drifted, flagged = J.monitor(spark, log_dir, runs, state, period="2025-07-01")
     assert flagged is not None and isinstance(drifted, bool)
     # nothing new since the last check -> nothing to do

@@ -30,6 +30,25 @@ def test_model_schema_contract(spark, tmp_path):
         M.load_model(str(tmp_path / "nothing"))
 
 
+def test_permutation_importance_of_a_rule(spark):
+    df = spark.range(40).selectExpr("id", "cast(id % 2 as double) AS a", "cast(id % 3 as double) AS b",
+                                    "if(id % 2 = 0, 'x', 'y') AS label")
+    rule = F.expr("if(a = 0, 'x', 'y')")
+    out = {r.feature: r for r in M.permutation_importance(lambda d: d.withColumn("prediction", rule), df,
+                                                          ["a", "b"], "label", ["id"], repeats=3).collect()}
+    assert out["b"].importance_mean == 0 and 0 < out["a"].importance_mean <= 1
+
+
+def test_report_of_nulls_and_of_no_rows(spark):
+    from wakeline.operators import evaluation as EV
+    df = spark.createDataFrame([("A", "A"), ("A", None), (None, None)], "label string, prediction string")
+    rows = {r["class"]: r for r in EV.classification_report(df).collect()}
+    assert set(rows) == {"A", None, "macro avg", "weighted avg", "accuracy"}
+    assert (rows["A"].recall, rows[None].precision, rows[None].support) == (0.5, 0.5, 1)
+    assert rows["accuracy"].f1 == pytest.approx(2 / 3) and rows["accuracy"].support == 3
+    assert EV.classification_report(df.limit(0)).count() == 0
+
+
 def test_stream_equals_batch_over_closed_weeks(spark):
     from wakeline.plans.catalog import QUERIES, weekly
     stream = QUERIES["stream_weekly"](spark, SF001)

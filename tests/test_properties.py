@@ -62,3 +62,14 @@ def test_f_tail_matches_even_df_series(f, half_d1, d2):
 def test_chi2_tail_matches_even_df_series(h, half_k):
     k = 2 * half_k
     assert chi2_sf(h, k) == pytest.approx(_chi2_sf_even(h, k), rel=1e-8, abs=1e-12)
+
+
+@pytest.mark.parametrize("d2", [1e9, 1e12, 1e15])
+def test_f_tail_at_large_df_is_the_chi2_tail(d2):
+    for d1, f in [(4, 0.9), (4, 8.0), (3, 2.5), (1, 0.1)]:
+        assert f_sf(f, d1, d2) == pytest.approx(chi2_sf(d1 * f, d1), abs=1e-8)
+
+
+def test_f_tail_is_smooth_where_the_form_changes():
+    for d1, f in [(4, 0.9), (4, 8.0), (3, 2.5), (10, 1.5)]:
+        assert f_sf(f, d1, 1e6) == pytest.approx(f_sf(f, d1, 1e6 + 1), abs=1e-9)

@@ -100,7 +100,7 @@ _DTYPE_NAMES = {T.DoubleType: "float64", T.FloatType: "float32", T.LongType: "in
                 T.BooleanType: "bool", T.StringType: "object", T.DateType: "date", T.TimestampType: "datetime",
                 T.TimestampNTZType: "datetime"}
 _NAME_TYPES = {"float64": T.DoubleType(), "float32": T.FloatType(), "int64": T.LongType(), "int32": T.IntegerType(),
-               "bool": T.BooleanType(), "object": T.StringType(), "date": T.DateType(),
+               "bool": T.BooleanType(), "object": T.StringType(), "string": T.StringType(), "date": T.DateType(),
                "datetime": T.TimestampNTZType()}
 
 
