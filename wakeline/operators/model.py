@@ -38,6 +38,11 @@ def _miss(f: str) -> str:
     return f"{f}__missing"
 
 
+def features_and_target(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """The features in their order, then the target."""
+    return df.select(*features, label)
+
+
 def prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Cast features to DOUBLE and add missing indicators."""
     out = df

@@ -29,6 +29,13 @@ def rows_per_entity(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).orderBy(F.desc("row_count"))
 
 
+def track_order(df: DataFrame, key: str, ts: str = "ts") -> DataFrame:
+    """G1: the times of each entity in order: ``n`` rows at the time and
+    ``n_before`` earlier rows.  An entity with most rows is cut into ranges."""
+    times = df.groupBy(key, ts).agg(F.count(F.lit(1)).alias("n"))
+    return running_sum(times, [key], ts, "n", out="n_before").select(key, ts, "n", "n_before")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Counts of each value of several columns, long form (NULL counted)."""
     items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))

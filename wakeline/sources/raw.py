@@ -178,6 +178,11 @@ def bad_files(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("error").isNotNull()).select("source_file", "event_date", "error").distinct()
 
 
+def rename_raw(df: DataFrame) -> DataFrame:
+    """B2: raw header names -> column names, where present."""
+    return df.withColumnsRenamed(RAW_COLUMNS)
+
+
 def parse_raw(raw: DataFrame, strict: bool = False) -> DataFrame:
     """B2/B3 plus typing: the four null tokens become NULL, numbers are
     ``try_cast`` (bad text -> NULL), the day-first timestamp is parsed, and the

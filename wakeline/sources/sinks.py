@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import utc_instant
 from ..operators.drift import broadcast_if_small
 from ..session import default_partitions, materialize
 
@@ -172,7 +173,7 @@ def last_checked(spark: SparkSession, monitor_path: str, training_path: str):
         return None
     checked = spark.read.parquet(monitor_path).select(F.max("checked_up_to").alias("t"))
     if path_exists(spark, training_path):
-        end = spark.read.parquet(training_path).select(F.max(F.col("data_end").cast("timestamp")).alias("e"))
+        end = spark.read.parquet(training_path).select(F.max(utc_instant(F.col("data_end").cast("timestamp_ntz"))).alias("e"))
         return spark.range(1).select(F.greatest(checked.scalar(), end.scalar())).first()[0]
     return checked.first()[0]
 
