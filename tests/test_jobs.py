@@ -86,3 +86,11 @@ def test_drift_stream_checks_new_log_files(spark, tmp_path):
     q.awaitTermination()
     got = spark.read.parquet(alarms).where("batch_id = 1").collect()   # only the new file was read
     assert len(got) == 1 and got[0].feature == "x" and got[0].psi > 0.25 and got[0].alarm is not None
+
+
+def test_training_rows_keep_both_ends_and_refuse_an_empty_range(spark):
+    weeks = spark.sql("SELECT DATE'2025-06-02' + CAST(7 * id AS INT) AS week_start, id FROM range(5)")
+    kept = J.training_rows(weeks, dt.date(2025, 6, 9), "2025-06-23")
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3]
+    with pytest.raises(ValueError, match="no row between"):
+        J.training_rows(weeks, "2026-01-01", "2026-02-01")

@@ -87,3 +87,9 @@ def test_cutoffs_past_small_and_null_groups_survive_refinement(spark, limit):
     got = {r["i"] for r in rank_below(df, ["g"], "h", ["i"], cutoffs, window_limit=limit).where("below_top").collect()}
     rank = F.row_number().over(Window.partitionBy("g").orderBy("h", "i"))
     assert got == {r["i"] for r in df.withColumn("r", rank).where("r <= 15").collect()}
+
+
+def test_track_order_counts_earlier_rows_with_ties(spark):
+    from wakeline.operators.stats import track_order
+    df = spark.createDataFrame([(1, 3), (1, 1), (1, 1), (2, 5), (1, 2)], "imo long, ts long")
+    assert sorted(tuple(r) for r in track_order(df, "imo").collect()) == [(1, 1, 2, 0), (1, 2, 1, 2), (1, 3, 1, 3), (2, 5, 1, 0)]

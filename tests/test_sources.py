@@ -172,3 +172,18 @@ def test_a_damaged_archive_gives_no_row_and_its_day_stays_open(spark, tmp_path):
         f.write(good)
     assert jobs.generate_dataset(spark, raw, daily, out, "2025-06-01", "2025-06-30").count() == 0
     assert spark.read.parquet(daily).count() == 1 + len(lines)
+
+
+def test_last_check_is_compared_with_the_utc_end_of_training(spark, tmp_path):
+    checks, runs = str(tmp_path / "checks"), str(tmp_path / "runs")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    assert K.last_checked(spark, checks, runs) is None
+    K.save_last_checked(spark, checks, dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc))
+    K.save_training_metadata(spark, runs, "2024-01-01", "2025-03-01", "r")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        t = K.last_checked(spark, checks, runs)
+        us = spark.range(1).select(F.unix_micros(F.lit(t).cast("timestamp"))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert us == int(dt.datetime(2025, 3, 1, tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
