@@ -249,3 +249,77 @@ def test_licences_equal_dice_with_every_template(spark):
                 want |= {(i, n) for d, n in best if d == max(best)[0]}
     assert {(r["doc_id"], r["licence"]) for r in license_scan.find_licences(docs_of(spark, texts)).collect()} == want
     assert {(2, "MIT"), (6, "GPL-3.0")} <= want
+
+
+BSD_TEXT = """Copyright (c) 2021, The Authors
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+GPL_HEADER = """# tool - {}
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+#
+import os
+"""
+
+
+def test_licences_inside_lines_comments_and_files():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.LEAST)
+    names = lambda t: {x[0] for x in scanner.scan(t)}
+    mit = next(t for n, t in license_scan.TEMPLATES if n == "MIT" and "WARRANTY" in t).split()
+    mit = "\n".join("# " + " ".join(mit[i:i + 11]) for i in range(0, len(mit), 11))
+    code = "\n\n" + "\n".join(f"def f{k}(x):\n    return x * {k} + len('{prose(k, 4)}')" for k in range(60))
+    assert names(BSD_TEXT) == {"BSD-3-Clause"} and names(prose(3, 90) + "\n\n" + BSD_TEXT + code) == {"BSD-3-Clause"}
+    assert names("# Copyright (c) 2020 A. Author\n#\n" + mit + code) == {"MIT"}
+    assert names(GPL_HEADER.format(prose(4, 5)) + code) == {"GPL-3.0"}
+    assert names(f"{prose(5, 30)} Released under the MIT License. {prose(6, 30)}") == {"MIT"}
+    for name, text in license_scan.TEXTS:
+        assert names(f"{prose(7, 40)} {text} {prose(8, 40)}") == {name}
+    assert names("All photos are licensed under CC BY-SA 4.0, see below") == {"CC-BY-SA-4.0"}
+    assert not names("All photos are licensed under CC BY 3.0, see below") and not names(prose(9, 3000))
+
+
+def test_passages_equal_all_windows():
+    short = [("A", "p q r s t u"), ("B", "q r q r v w x y z p q r s t u v w x y z q r a b"), ("C", "a b c d e")]
+    scanner, r = license_scan.Scanner(short, license_scan.LEAST), np.random.default_rng(4)
+    for _ in range(300):
+        parts = [short[k][1].split() for k in r.integers(0, 3, r.integers(1, 4))]
+        w = [x if r.random() > 0.06 else "k" for p in parts for x in [*p, *["m"] * int(r.integers(0, 3))]]
+        found = list(zip(w, w[1:]))
+        for k, (size, (_, template)) in enumerate(zip(scanner.sizes, scanner.templates)):
+            best = max(2 * (Counter(found[a:b]) & template).total() / (max(b - a, size if size < license_scan.SHORT else 0) + size)
+                       for a in range(len(found)) for b in range(a + 1, len(found) + 1))
+            got = max((x[0] for x in scanner.windows(found, k)), default=0)
+            assert got == (pytest.approx(best) if best >= license_scan.LEAST else 0)
+            if got:
+                assert not scanner.anchors.keys().isdisjoint(found)
