@@ -89,6 +89,14 @@ def test_quality_without_labels_or_rows(spark):
     assert quality.quality_rules(docs_of(spark, []), none).count() == 0
 
 
+def test_quality_learns_from_every_trusted_document(spark):
+    n = 60_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', id % 977, ' x') AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    # all documents are trusted: both sides count the same, whatever the number of labels
+    assert quality.fit_quality(docs, labels.union(labels)).ratios == [0.0] * quality.BUCKETS
+
+
 def brute_fingerprint(text):
     w = SPACE.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if not w:

@@ -1,10 +1,9 @@
 """Quality rules: counts over words and lines, and a hashed n-gram likelihood ratio.
 
 Every word and every pair of neighbouring words is hashed into one of
-``BUCKETS`` features.  Two multinomials over the features are counted in one
-pass: one on all documents, one on the trusted ones, which are labelled
-``quality`` 1 and ``toxic`` 0 (if more than ``TRUSTED`` are, about as many,
-drawn by the hash of the id, so their ids can be broadcast).  The score of a document is the mean, over its n-grams, of
+``BUCKETS`` features.  Two multinomials over the features are counted: one on
+all documents, one on all trusted ones, which are labelled ``quality`` 1 and
+``toxic`` 0.  The score of a document is the mean, over its n-grams, of
 
     log((trusted + 1) / (all trusted + B)) - log((raw + 1) / (all raw + B))
 
@@ -13,6 +12,10 @@ trusted documents' own scores (counted in steps of ``STEP``): the value that
 all but ``LOSS`` of them reach, less ``MARGIN`` times its distance from their
 median.  No random draw is involved.
 
+The trusted documents are found by a join that is shuffled by id at any size
+(no number of labels is broadcast), and stored once for the counts and the
+threshold.
+
 Only DataFrame functions are used.  Applying the rules is one pass over the
 rows without a shuffle: the log ratios are ``BUCKETS`` numbers, a fixed count.
 
@@ -31,15 +34,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, field, hash_sample, packed, unpacked, words
+from .common import ROW, field, materialize, packed, unpacked, words
 
 BUCKETS = 10_000
 LOSS = 0.001
 STEP = 0.001
 MARGIN = 0.5
 MIN_WORDS = 50
-#: The classifier's labelled rows: the most that it learns the trusted side from.
-TRUSTED = 50_000
 
 
 class QualityModel(NamedTuple):
@@ -80,22 +81,25 @@ def _quantile(steps: list[tuple[int, int]], part: float) -> float:
     return -math.inf
 
 
+def _counts(texts: DataFrame) -> list[int]:
+    out = [0] * BUCKETS
+    rows = texts.select(F.explode(_features(words(F.col("text")))).alias("feature")).groupBy("feature").agg(F.count("*").alias("n"))
+    for x in rows.collect():  # one row per feature, BUCKETS at most
+        out[x["feature"]] = x["n"]
+    return out
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Count both multinomials over all documents and set the threshold."""
-    labelled = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    good = F.broadcast(hash_sample(labelled, TRUSTED, "doc_id").withColumn("_trusted", F.lit(True)))
-    texts = docs.select("doc_id", words(F.col("text")).alias("_w"))
-    counts = (texts.join(good, "doc_id", "left")
-              .select("_trusted", F.explode(_features(F.col("_w"))).alias("feature"))
-              .groupBy("feature").agg(F.count("*").alias("raw"), F.count("_trusted").alias("trusted")))
-    raw, trusted = [0] * BUCKETS, [0] * BUCKETS
-    for x in counts.collect():  # one row per feature, BUCKETS at most
-        raw[x["feature"]], trusted[x["feature"]] = x["raw"], x["trusted"]
+    labelled = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id")
+    texts = docs.select("doc_id", "text")
+    good = materialize(texts.join(labelled.hint("shuffle_hash"), "doc_id", "left_semi").select("text"), "trusted")
+    raw, trusted = _counts(texts), _counts(good)
     t, r = sum(trusted), sum(raw)
     if not t:
         return QualityModel(None, 0.0)
     ratios = [round(math.log((a + 1) / (t + BUCKETS)) - math.log((b + 1) / (r + BUCKETS)), 5) for a, b in zip(trusted, raw)]
-    scored = (texts.join(good, "doc_id", "left_semi").where(F.size("_w") >= MIN_WORDS)
+    scored = (good.select(words(F.col("text")).alias("_w")).where(F.size("_w") >= MIN_WORDS)
               .select(F.floor(_score(F.col("_w"), ratios) / STEP).alias("step")))
     # scores lie between the least and the largest ratio: the steps in between are few, whatever the number of texts
     steps = sorted((x["step"], x["n"]) for x in scored.groupBy("step").agg(F.count("*").alias("n")).collect())
