@@ -225,6 +225,31 @@ def test_network_finds_held_out_secrets_and_leaves_text_alone(network):
     assert sum(bool(x) for x in secret_scan.scan(clean, network)) <= 2
 
 
+def test_secrets_beside_base_findings_and_inside_long_tokens(network):
+    r = np.random.default_rng(12)
+    alphabet = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    beside = inside = 0
+    for k in range(40):
+        key = "".join(r.choice(alphabet, 36))
+        t = f"{prose(k, 9)} /v1/0123456789abcdef01234567/ghp_{key} {prose(k + 1, 9)}"
+        (base, *rest), at = secret_scan.scan([t], network)[0], t.index("ghp_")
+        assert base[2] == "hex" and secret_scan.base_spans(t) == [base]
+        beside += rest == [(at, at + 40, "cnn")]
+        t = f"{prose(k, 9)} https://api.example.com/v1/bots/{key}/sendMessage/channel/updates/index.html {prose(k + 1, 9)}"
+        inside += any(a <= t.index(key) and t.index(key) + 36 <= b for a, b, _ in secret_scan.scan([t], network)[0])
+    assert beside >= 38 and inside >= 38
+    clean = [f"{prose(k, 9)} https://www.example.org/articles/{'/'.join(prose(k, 8).split())}/page{k}.html" for k in range(50)]
+    assert sum(bool(x) for x in secret_scan.scan(clean, network)) <= 2
+
+
+def test_all_of_a_long_token_is_read():
+    r = np.random.default_rng(2)
+    for _ in range(200):
+        token = "".join(r.choice(list("abcdefghij0123456789/.=-_+"), int(r.integers(16, 300))))
+        parts = [inside for _, inside, _ in secret_scan._windows(f" {token} ", 1, 1 + len(token))]
+        assert all(any(token[i:i + 20] in x for x in parts) for i in range(max(1, len(token) - 19)))
+
+
 def test_secret_tables(spark):
     docs = docs_of(spark, SECRETS)
     out = {r["doc_id"]: r for r in secret_scan.find_secrets(docs).collect()}

@@ -2,10 +2,13 @@
 
 The base patterns give findings of the kinds ``assign``, ``access`` and ``hex``;
 these always stay.  Every other token of 16 or more characters out of letters,
-digits and ``+/_=.-`` that has a letter and a digit is a candidate too.  The
-network reads each candidate (its two ends, if it is long) with the characters
-around it and gives a probability; candidates at or above the threshold become
-spans of the kind ``cnn``.
+digits and ``+/_=.-`` that has a letter and a digit is a candidate too; of a
+token that a base finding touches, so is each part that the findings leave.  The
+network reads each candidate with the characters around it and gives a
+probability; candidates at or above the threshold become spans of the kind
+``cnn``.  A candidate that is longer than what the network reads is read by its
+two ends, in windows that overlap by half, and by its pieces between ``/``,
+``.`` and ``=``; its probability is the largest of these.
 
 Training.  The labelled findings are the base findings (1) and the other
 candidates (0) of about ``SAMPLE`` documents, drawn by the hash of the id, of
@@ -44,6 +47,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Every access and hex finding lies in one of these.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
 KEYWORDS = ("passw", "secret", "token", "api")
+#: Of a long candidate.
+PIECE = re.compile(r"[^/.=]{16,}")
 
 SAMPLE = 3000
 SAMPLE_CHARS = 20_000
@@ -64,8 +69,12 @@ def base_spans(text: str) -> list[Span]:
     return _tokens(text)[0]
 
 
-def _tokens(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
-    """Base findings, and the other candidates."""
+def _mixed(token: str) -> bool:
+    return len(token) >= 16 and bool(re.search("[A-Za-z]", token) and re.search("[0-9]", token))
+
+
+def _tokens(text: str) -> tuple[list[Span], list[tuple[int, int]], list[tuple[int, int]]]:
+    """Base findings, the other candidates, and the parts that findings leave of the tokens they touch."""
     spans, runs = [], []
     if "=" in text or ":" in text:
         low = text.lower()
@@ -77,10 +86,34 @@ def _tokens(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
             spans += [(*m.span(), "access") for m in ACCESS.finditer(text, a, b)]
             spans += [(*m.span(), "hex") for m in HEX.finditer(text, a, b)]
         token = run[0].rstrip(".=-")
-        if len(token) >= 16 and re.search("[A-Za-z]", token) and re.search("[0-9]", token):
+        if _mixed(token):
             runs.append((a, a + len(token)))
     spans.sort(key=lambda s: (s[0], KINDS.index(s[2])))
-    return spans, [(a, b) for a, b in runs if not any(a < e and s < b for s, e, _ in spans)]
+    others, parts, k = [], [], 0
+    covered: list[list[int]] = []  # the findings without overlap
+    for s, e, _ in spans:
+        if covered and s <= covered[-1][1]:
+            covered[-1][1] = max(e, covered[-1][1])
+        else:
+            covered.append([s, e])
+    for a, b in runs:
+        while k < len(covered) and covered[k][1] <= a:
+            k += 1
+        at, j = a, k
+        while j < len(covered) and covered[j][0] < b:
+            parts.append((at, covered[j][0]))
+            at, j = covered[j][1], j + 1
+        if j > k:
+            parts.append((at, b))
+        else:
+            others.append((a, b))
+    left = []
+    for a, b in parts:
+        part = text[a:b].rstrip("/.=-")
+        token = part.lstrip("/.=-")
+        if _mixed(token):
+            left.append((a + len(part) - len(token), a + len(part)))
+    return spans, others, left
 
 
 def _window(text: str, start: int, end: int) -> tuple[str, str, str]:
@@ -90,6 +123,15 @@ def _window(text: str, start: int, end: int) -> tuple[str, str, str]:
     return text[max(0, start - BEFORE):start], inside, text[end:end + AFTER]
 
 
+def _windows(text: str, start: int, end: int) -> list[tuple[str, str, str]]:
+    """What the network reads of a candidate: all of it."""
+    windows = [_window(text, start, end)]
+    if end - start > INSIDE:
+        windows += [_window(text, a, a + INSIDE) for a in [*range(start, end - INSIDE, INSIDE // 2), end - INSIDE]]
+        windows += [_window(text, *m.span()) for m in PIECE.finditer(text, start, end) if _mixed(m[0])]
+    return windows
+
+
 def encode(windows: list[tuple[str, str, str]]) -> np.ndarray:
     """Windows as character numbers, doubled for those inside the candidate."""
     out = np.full((len(windows), BEFORE + INSIDE + AFTER), ALPHABET - 1, np.int64)
@@ -212,7 +254,7 @@ def labelled_findings(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Windows and labels: what the texts hold, and written strings."""
     windows, labels = [], []
     for t in texts:
-        spans, others = _tokens(t)
+        spans, others, _ = _tokens(t)
         for found, label in (([s[:2] for s in spans], 1), (others[:4], 0)):  # four of a text's other candidates are enough here
             windows += [_window(t, a, b) for a, b in found]
             labels += [label] * len(found)
@@ -238,16 +280,29 @@ def fit_network(docs: DataFrame) -> CharCnn:
 def scan(texts: list[str | None], network: CharCnn) -> list[list[Span]]:
     """All spans of each text, by start, then kind."""
     found, windows, places = [], [], []
+    hits: set[tuple[int, int, int]] = set()
+
+    def read() -> None:
+        for i in range(0, len(windows), 4096):
+            p = network.probability(encode(windows[i:i + 4096]))
+            hits.update(places[i + j] for j in np.flatnonzero(p >= network.threshold))
+        windows.clear()
+        places.clear()
+
     for k, t in enumerate(texts):
-        spans, others = _tokens(t or "")
+        spans, others, parts = _tokens(t or "")
         found.append(spans)
-        for a, b in others:
-            windows.append(_window(t, a, b))
-            places.append((k, a, b))
-    if windows:
-        for (k, a, b), p in zip(places, network.probability(encode(windows))):
-            if p >= network.threshold:
-                found[k] = sorted([*found[k], (a, b, "cnn")], key=lambda s: (s[0], KINDS.index(s[2])))
+        for a, b in others + parts:
+            new = _windows(t, a, b)
+            windows += new
+            places += [(k, a, b)] * len(new)
+        if len(windows) > 4096:
+            read()
+    read()
+    for k, a, b in hits:
+        found[k].append((a, b, "cnn"))
+    for k in {k for k, _, _ in hits}:
+        found[k].sort(key=lambda s: (s[0], KINDS.index(s[2])))
     return found
 
 
