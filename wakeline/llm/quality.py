@@ -83,7 +83,9 @@ def _quantile(steps: list[tuple[int, int]], part: float) -> float:
 
 def _counts(texts: DataFrame) -> list[int]:
     out = [0] * BUCKETS
-    rows = texts.select(F.explode(_features(words(F.col("text")))).alias("feature")).groupBy("feature").agg(F.count("*").alias("n"))
+    # the words in a step of their own: written into the features, they would be cut anew for each
+    rows = (texts.select(words(F.col("text")).alias("_w")).select(F.explode(_features(F.col("_w"))).alias("feature"))
+            .groupBy("feature").agg(F.count("*").alias("n")))
     for x in rows.collect():  # one row per feature, BUCKETS at most
         out[x["feature"]] = x["n"]
     return out
