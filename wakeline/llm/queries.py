@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, html_extract, lattice_lm, license_scan, mix, quality, secret_scan, simhash, warc
+from . import (chat, decontaminate, html_extract, lattice_lm, license_scan, mix, quality, secret_scan, simhash, spelling,
+               suffix_dedup, token_align, warc)
 from .common import table
 
 
@@ -49,9 +50,22 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .selectExpr("_row.doc_id", "size", "source_size", "target", "taken"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_html_extract, op2_lm_scores, op3_license_scan, op4_quality_rules,
                                    op5_secret_scan, op6_decontaminate, op7_warc, op8_simhash_near_dedup,
-                                   op9_chat_format, op10_mix_sources)}
+                                   op9_chat_format, op10_mix_sources, op11_suffix_dedup,
+                                   op12_token_align, op13_spelling_variants)}
 
 #: The warc records themselves are Spark's and pyarrow's to write; their digests can be told in SQL.
 WARC_SQL = """
