@@ -194,6 +194,22 @@ def test_alignment_of_odd_tables(spark):
     assert token_align.align(docs_of(spark, [(1, "a")]).where("doc_id < 0")).count() == 0
 
 
+def test_ranked_encoder_is_the_tokenizer():
+    """Every character that it takes, in company of each kind, and prose."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(token_align.TOKENIZER_A)
+    t.encode_special_tokens = True
+    side = token_align.side_a(token_align.TOKENIZER_A)
+    quick = token_align.ranked(token_align.TOKENIZER_A, side.bytes)
+    shapes = ["{0}", "a{0}b", "1{0}2", " {0} ", "{0}{0}{0}", "x {0}", "\n{0}\n\n", "'{0}", "é{0}!"]
+    texts = [s.format(chr(c)) for c in range(0x250) for s in shapes] + [prose(s, 300) for s in range(5)] + ["<|endoftext|>", "  " * 300, "\t \n" * 100, "a" * 3000]
+    r = np.random.default_rng(5)
+    texts += ["".join(chr(int(c)) for c in r.choice(0x250, 40)) for _ in range(300)]
+    assert not any(token_align.RANKED.search(x) for x in texts) and token_align.RANKED.search("日")
+    whole = [" " + x for x in texts]
+    assert [quick(x) for x in whole] == [e.ids for e in t.encode_batch(whole, add_special_tokens=False)]
+
+
 def test_counts_are_packed_whole():
     for v in ([], [0], [255], [256], [1 << 20], [1 << 40, 0]):
         assert token_align.unpack(token_align.pack(np.array(v, np.int64))).tolist() == v

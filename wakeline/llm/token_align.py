@@ -28,10 +28,12 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import groupby
+from itertools import chain, groupby
 from operator import itemgetter
 
 import numpy as np
@@ -55,6 +57,11 @@ FAN_IN = 256
 #: Links of one group that are written out one by one.
 SMALL_GROUP = 4096
 
+#: Fixed value: how byte-level tokenizers cut a text into words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Texts that the rank encoder takes: its classes of these letters are the tokenizer's own.
+RANKED, RANKED_LENGTH = re.compile("[^\0-\u024F]"), 1 << 16
+
 DIGEST = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 RUN = "run long, local int, radix int, pairs binary, counts binary, docs binary, links binary"
 
@@ -78,6 +85,23 @@ class Side:
         return b"".join(map(self.bytes.__getitem__, ids)) == whole
 
 
+def ranked(path: str, token_bytes: list[bytes]):
+    """The same tokenizer by its merges' ranks, which is four times as fast; None
+    if the file has other rules or a merge whose id is not its rank."""
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    if rules["normalizer"] or rules["model"]["type"] != "BPE" or rules["pre_tokenizer"] != {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}:
+        return None
+    vocabulary = rules["model"]["vocab"]
+    merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in rules["model"]["merges"]]
+    if [vocabulary.get(m) for m in merges] != list(range(256, 256 + len(merges))):
+        return None
+    ranks = {token_bytes[i]: i for i in vocabulary.values()}
+    return tiktoken.Encoding("ranked", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 @cache
 def side_a(path: str) -> Side:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"   # the task's core is the only one
@@ -87,7 +111,16 @@ def side_a(path: str) -> Side:
     to_byte = byte_level()
     names = {i: n for n, i in t.get_vocab(with_added_tokens=True).items()}
     token_bytes = [bytes(to_byte[c] for c in names.get(i, "") if c in to_byte) for i in range(max(names) + 1)]
-    return Side(lambda texts: [e.ids for e in t.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)], token_bytes)
+    quick = ranked(path, token_bytes)
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        out = [quick(" " + x) if quick and len(x) < RANKED_LENGTH and not RANKED.search(x) else None for x in texts]
+        others = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(others, t.encode_batch_fast([" " + texts[i] for i in others], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    return Side(encode, token_bytes)
 
 
 @cache
@@ -166,7 +199,7 @@ class Runs:
                 ids_b.append(y)
         if not kept:
             return out
-        a, b = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (ids_a, ids_b))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids))) for ids in (ids_a, ids_b))
         g = Groups(a, b, np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b]))
         last = np.cumsum([len(x) for x in ids_a])                      # A tokens up to each document's end
         upto = g.of_a[last - 1] + 1                                    # groups up to there
