@@ -12,9 +12,9 @@ trusted documents' own scores (counted in steps of ``STEP``): the value that
 all but ``LOSS`` of them reach, less ``MARGIN`` times its distance from their
 median.  No random draw is involved.
 
-The trusted documents are found by a join that is shuffled by id at any size
-(no number of labels is broadcast), and stored once for the counts and the
-threshold.
+The trusted documents are found by a sort-merge join by id, which can spill and
+is the same at any size (no number of labels is broadcast), and stored once for
+the counts and the threshold.
 
 Only DataFrame functions are used.  Applying the rules is one pass over the
 rows without a shuffle: the log ratios are ``BUCKETS`` numbers, a fixed count.
@@ -95,7 +95,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Count both multinomials over all documents and set the threshold."""
     labelled = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id")
     texts = docs.select("doc_id", "text")
-    good = materialize(texts.join(labelled.hint("shuffle_hash"), "doc_id", "left_semi").select("text"), "trusted")
+    good = materialize(texts.join(labelled.hint("merge"), "doc_id", "left_semi").select("text"), "trusted")
     raw, trusted = _counts(texts), _counts(good)
     t, r = sum(trusted), sum(raw)
     if not t:
@@ -114,12 +114,7 @@ def quality_columns(rows: DataFrame, text: Column, model: QualityModel) -> DataF
     base_failed, score and kept to ``rows`` (whose columns must differ)."""
     before = rows.columns
     text = F.coalesce(text, F.lit(""))
-    bare = text
-    for c in " \t\n\x0b\f\r":
-        bare = F.replace(bare, F.lit(c), F.lit(""))
-    plain = F.col("_bare")
-    for c in "#*$%&|<>":
-        plain = F.replace(plain, F.lit(c), F.lit(""))
+    symbols = F.regexp_replace(text, "[^#*$%&|<>]+", "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     w, g, s = F.col("_w"), F.col("_grams"), F.col("_sorted")
     grams = F.transform(F.sequence(F.lit(0), F.size(w) - 3),
@@ -130,10 +125,9 @@ def quality_columns(rows: DataFrame, text: Column, model: QualityModel) -> DataF
         (F.get(s, k)["h"] == F.get(s, k - 1)["h"]) | (F.get(s, k)["h"] == F.get(s, k + 1)["h"]), F.get(s, k)["i"])),
         F.isnotnull)
     covered = F.array_distinct(F.flatten(F.transform(twice, lambda i: F.array(i, i + 1, i + 2))))
-    found = (rows.select(*before, words(text).alias("_w"), bare.alias("_bare"), lines.alias("_lines"))
+    found = (rows.select(*before, words(text).alias("_w"), F.length(symbols).cast("long").alias("n_symbols"), lines.alias("_lines"))
              .select(*before, "_w", F.size(w).cast("long").alias("n_words"),
-                     F.length("_bare").cast("long").alias("word_chars"),
-                     (F.length("_bare") - F.length(plain)).cast("long").alias("n_symbols"),
+                     F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("word_chars"), "n_symbols",
                      (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
                      F.when(F.size(w) >= 4, grams).alias("_grams")))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
