@@ -46,9 +46,6 @@ def mode_of(c) -> Column:
     return F.mode(col_of(c), True)
 
 
-FIXED_SCALE = 1e9  # fixed-point resolution of reproducible means
-
-
 def safe_div(a, b) -> Column:
     """a / b, NULL when b is zero (ANSI mode would raise)."""
     return F.try_divide(col_of(a), col_of(b))

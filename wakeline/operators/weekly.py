@@ -2,77 +2,103 @@
 
 One ``groupBy(imo, week_start)`` over all vessels replaces a per-vessel loop.
 
-Two passes over the pings, both partially aggregated map-side:
+The roll-up goes through partials that can be merged, in two tables:
 
-* the numeric pass uses only declarative aggregates (sums, counts, min/max,
-  moments), so it runs as a code-generated ``HashAggregate``;
-* the value pass counts ``(imo, week, column, value)`` for the columns that need
-  a value distribution - the modes (ship type, length, width), the distinct
-  statuses and the speed quantiles - and reads them off with running counts.
-  Its size is the number of distinct values per vessel-week, bounded by what one
-  vessel reports in a week.
+* numeric partials: counts, extremes and exact power sums (``moments``) per
+  group.  Only declarative aggregates, so they run as a code-generated
+  ``HashAggregate``;
+* value counts: ``(group, column, value) -> n`` for the columns that need a
+  value distribution - the modes (ship type, length, width), the distinct
+  statuses and the speed quantiles.  Their size is the number of distinct
+  values per group, bounded by what one vessel reports in it.
+
+``weekly_features`` makes both per week and reads the features off.  The stored
+form (``plans.jobs.update_weeks``) makes them per day and merges the days of a
+week; the streaming form keeps them as its state.  Partials of any grouping and
+any order of merging give bit-identical features.
 
 Typed-imperative aggregates (``mode``, ``collect_set``, ``percentile``) would
 force an ``ObjectHashAggregate`` that falls back to sorting every partition once
-a task holds more than a few hundred vessel-weeks; they are used only in the
-streaming form, where state is per vessel-week anyway.  Both passes end
+a task holds more than a few hundred vessel-weeks.  Both tables are
 hash-partitioned on the same keys, so the join adds no exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CARGO_RATIOS, MIN_PINGS_PER_WEEK, NAV_STATUS_RATIOS
-from ..functions import (circular_abs_diff, mode_of, n_distinct_incl_null, safe_div,
-                         week_start)
+from ..functions import circular_abs_diff, safe_div, week_start
+from .moments import deviation, mean, power_sums
 
 GROUPS = ["identity", "dimensions", "speed", "course", "status", "spatial", "cargo", "temporal"]
 
 SPEED_QUANTILES = {"sog_p10": 0.10, "sog_median": 0.50, "sog_p90": 0.90}
 
 
-def _aggregates(groups: set[str], ts: str, distributions: bool = True) -> list:
-    """Aggregates per vessel-week; ``distributions=False`` leaves out the
-    modes and the distinct-status count (computed by the value pass)."""
-    sog, cog, rot = F.col("sog"), F.col("cog"), F.col("rot")
-    status, cargo = F.col("nav_status"), F.col("cargo_type")
-    lat, lon, draught = F.col("latitude"), F.col("longitude"), F.col("draught")
-    n_ts = F.count(F.col(ts))
+def _count_if(cond: Column) -> Column:
+    return F.when(cond, 1).otherwise(0)
+
+
+def partial_columns(groups, ts: str = "ts") -> dict[str, tuple[str, Column]]:
+    """Name -> (how partials merge, what a ping adds)."""
+    sog, lat, lon = F.col("sog"), F.col("latitude"), F.col("longitude")
+    sums, ends = {"n_pings": _count_if(F.col(ts).isNotNull())}, {"ts": F.col(ts)}
+    if "dimensions" in groups:
+        ends["draught"] = F.col("draught")
+    if "speed" in groups:
+        ends["sog"] = sog
+        sums |= power_sums("moving", F.when(sog > 0.5, sog), squares=False) | power_sums("sog", sog)
+        sums |= {"n_slow": _count_if(sog < 1.0), "n_fast": _count_if(sog > 10.0)}
+    if "course" in groups:
+        sums |= power_sums("cog", F.col("cog")) | power_sums("turn", F.abs("rot"))
+        sums |= power_sums("off", circular_abs_diff("heading", "cog"), squares=False)
+    if "status" in groups:
+        sums |= {f"n_{k}": _count_if(F.col("nav_status") == v) for k, v in NAV_STATUS_RATIOS.items()}
+    if "spatial" in groups:
+        ends |= {"lat": lat, "lon": lon}
+        sums |= power_sums("lat", lat) | power_sums("lon", lon)
+    if "cargo" in groups:
+        sums |= {f"n_{k}": _count_if(F.col("cargo_type") == v) for k, v in CARGO_RATIOS.items()}
+    return ({k: ("sum", c) for k, c in sums.items()} | {f"{k}_min": ("min", c) for k, c in ends.items()}
+            | {f"{k}_max": ("max", c) for k, c in ends.items()})
+
+
+_MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
+def numeric_partials(pings: DataFrame, keys: list[str], groups=GROUPS, ts: str = "ts") -> DataFrame:
+    return pings.groupBy(*keys).agg(*[_MERGE[how](c).alias(k) for k, (how, c) in partial_columns(groups, ts).items()])
+
+
+def merge_partials(partials: DataFrame, keys: list[str], groups=GROUPS) -> DataFrame:
+    """Partials of finer groups (or several of one group) into one per ``keys``."""
+    return partials.groupBy(*keys).agg(*[_MERGE[how](k).alias(k) for k, (how, _) in partial_columns(groups).items()])
+
+
+def numeric_features(partials: DataFrame, keys: list[str], groups=GROUPS) -> DataFrame:
+    """The features that come from numeric partials."""
+    c, n = F.col, F.col("n_pings")
     out = []
-    if "identity" in groups and distributions:
-        out.append(mode_of("ship_type").alias("ship_type"))
     if "dimensions" in groups:
-        if distributions:
-            out += [mode_of("length").alias("length"), mode_of("width").alias("width")]
-        out += [F.max(draught).alias("max_draught"), F.min(draught).alias("min_draught"),
-                (F.max(draught) - F.min(draught)).alias("draught_variability")]
+        out += [c("draught_max").alias("max_draught"), c("draught_min").alias("min_draught"),
+                (c("draught_max") - c("draught_min")).alias("draught_variability")]
     if "speed" in groups:
-        out += [F.avg(F.when(sog > 0.5, sog)).alias("mean_moving_speed"),
-                F.max(sog).alias("max_speed"),
-                F.stddev_samp(sog).alias("std_speed"),
-                # denominators count every row, speed NULL included
-                (F.count_if(sog < 1.0) / F.count(F.lit(1))).alias("frac_time_slow"),
-                (F.count_if(sog > 10.0) / F.count(F.lit(1))).alias("frac_time_fast")]
+        # denominators count every row, speed NULL included
+        out += [mean("moving").alias("mean_moving_speed"), c("sog_max").alias("max_speed"), deviation("sog").alias("std_speed"),
+                (c("n_slow") / n).alias("frac_time_slow"), (c("n_fast") / n).alias("frac_time_fast")]
     if "course" in groups:
-        out += [F.stddev_samp(cog).alias("cog_variability"),
-                F.avg(F.abs(rot)).alias("rot_mean_abs"),
-                F.stddev_samp(F.abs(rot)).alias("rot_std"),
-                F.avg(circular_abs_diff("heading", "cog")).alias("heading_cog_diff_mean")]
+        out += [deviation("cog").alias("cog_variability"), mean("turn").alias("rot_mean_abs"), deviation("turn").alias("rot_std"),
+                mean("off").alias("heading_cog_diff_mean")]
     if "status" in groups:
-        if distributions:
-            out.append(n_distinct_incl_null(status).alias("n_nav_statuses"))
-        out += [(F.count_if(status == lit) / n_ts).alias(name) for name, lit in NAV_STATUS_RATIOS.items()]
+        out += [(c(f"n_{k}") / n).alias(k) for k in NAV_STATUS_RATIOS]
     if "spatial" in groups:
-        out += [F.stddev_samp(lat).alias("lat_std"), F.stddev_samp(lon).alias("lon_std"),
-                F.avg(lat).alias("lat_mean"), F.avg(lon).alias("lon_mean"),
-                ((F.max(lat) - F.min(lat)) * (F.max(lon) - F.min(lon))).alias("bbox_area")]
+        out += [deviation("lat").alias("lat_std"), deviation("lon").alias("lon_std"), mean("lat").alias("lat_mean"), mean("lon").alias("lon_mean"),
+                ((c("lat_max") - c("lat_min")) * (c("lon_max") - c("lon_min"))).alias("bbox_area")]
     if "cargo" in groups:
-        out += [(F.count_if(cargo == lit) / n_ts).alias(name) for name, lit in CARGO_RATIOS.items()]
-    out += [n_ts.alias("n_pings"),
-            F.timestamp_diff("SECOND", F.min(F.col(ts)), F.max(F.col(ts))).alias("time_span_seconds")]
-    return out
+        out += [(c(f"n_{k}") / n).alias(k) for k in CARGO_RATIOS]
+    return partials.select(*keys, *out, "n_pings", F.timestamp_diff("SECOND", c("ts_min"), c("ts_max")).alias("time_span_seconds"))
 
 
 ORDER = [
@@ -97,13 +123,8 @@ def derived_columns(df: DataFrame, groups) -> DataFrame:
                          F.col("time_span_seconds") / F.greatest(F.col("n_pings") - 1, F.lit(1)))
 
 
-def aggregates(groups, ts: str = "ts") -> list:
-    """All per-(vessel, week) aggregates in one list (the streaming form)."""
-    return _aggregates(set(groups), ts, distributions=True)
-
-
-def _value_pass(base: DataFrame, keys: list[str], groups: set[str]) -> DataFrame | None:
-    """Modes, distinct statuses and nearest speed quantiles from value counts."""
+def value_items(groups) -> list[Column]:
+    """The (column, text, number) of a ping whose distributions are needed."""
     def item(name, s=None, d=None):
         return F.struct(F.lit(name).alias("_col"),
                         (F.col(s).cast("string") if s else F.lit(None).cast("string")).alias("_s"),
@@ -117,10 +138,23 @@ def _value_pass(base: DataFrame, keys: list[str], groups: set[str]) -> DataFrame
         items.append(item("nav_status", s="nav_status"))
     if "speed" in groups:
         items.append(item("sog", d="sog"))
+    return items
+
+
+def value_counts(pings: DataFrame, keys: list[str], groups=GROUPS) -> DataFrame | None:
+    items = value_items(groups)
     if not items:
         return None
-    vc = (base.select(*keys, F.explode(F.array(*items)).alias("_i")).select(*keys, "_i.*")
-          .groupBy(*keys, "_col", "_s", "_d").agg(F.count(F.lit(1)).alias("_n")))
+    return (pings.select(*keys, F.explode(F.array(*items)).alias("_i")).select(*keys, "_i.*")
+            .groupBy(*keys, "_col", "_s", "_d").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def merge_value_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    return counts.groupBy(*keys, "_col", "_s", "_d").agg(F.sum("_n").alias("_n"))
+
+
+def value_features(vc: DataFrame, keys: list[str], groups=GROUPS) -> DataFrame:
+    """Modes, distinct statuses and nearest speed quantiles from value counts."""
     is_null = F.col("_s").isNull() & F.col("_d").isNull()
     # speed: running count of non-null readings in value order (the sog block is
     # contiguous when ordered by column name first)
@@ -162,11 +196,14 @@ def weekly_features(pings: DataFrame, *, min_pings: int = MIN_PINGS_PER_WEEK, gr
     groups = set(groups or GROUPS)
     base = pings.where(F.col(ts).isNotNull()).withColumn("week_start", week_start(ts))
     keys = [key, "week_start"]
-    main = (base.groupBy(*keys).agg(*_aggregates(groups, ts, distributions=False))
-            .where(F.col("n_pings") >= min_pings))
-    values = _value_pass(base, keys, groups)
-    if values is not None:
-        main = main.join(values, keys, "left")
+    return features_of(numeric_partials(base, keys, groups, ts), value_counts(base, keys, groups), keys, groups, min_pings)
+
+
+def features_of(partials: DataFrame, counts: DataFrame | None, keys: list[str], groups=GROUPS,
+                min_pings: int = MIN_PINGS_PER_WEEK) -> DataFrame:
+    """Feature rows from the partials and value counts of ``keys``."""
+    main = numeric_features(partials.where(F.col("n_pings") >= min_pings), keys, groups)
+    if counts is not None:
+        main = main.join(value_features(counts, keys, groups), keys, "left")
     main = derived_columns(main, groups)
-    present = [c for c in ORDER if c in main.columns]
-    return main.select(key, "week_start", *present)
+    return main.select(*keys, *[c for c in ORDER if c in main.columns])

@@ -30,7 +30,7 @@ from ..sources import raw as R
 from ..sources import sinks as K
 from ..sources.adapters import pings, pings_from_events
 from ..sources.tables import table
-from ..streaming.jobs import run_weekly_stream
+from ..streaming.jobs import read_weeks, run_weekly_stream
 from . import jobs as J
 from . import oracle_drift as OD
 from . import oracle_weekly as OW
@@ -63,21 +63,10 @@ def weekly(spark: SparkSession, sf_dir: str, groups=None, min_pings: int = ADAPT
     """The weekly feature table from the driver's events.  ``stored=True`` writes
     it once (``materialize``) for queries that read it in several passes, as a
     production job reads the stored feature table."""
-    w = in_steps(weekly_features(vessel_pings(spark, sf_dir), min_pings=min_pings, groups=groups))
+    w = weekly_features(vessel_pings(spark, sf_dir), min_pings=min_pings, groups=groups)
     return w.transform(materialize) if stored else w
 
 
-STEP_MEANS = ["mean_moving_speed", "rot_mean_abs", "heading_cog_diff_mean", "lat_mean", "lon_mean"]
-STEP_STDS = ["std_speed", "cog_variability", "rot_std", "lat_std", "lon_std"]
-
-
-def in_steps(w: DataFrame) -> DataFrame:
-    """Means and deviations in steps of 1e-9, here and in the SQL, so that both
-    engines put a value on a bin edge or a rank tie on the same side."""
-    steps = {c: F.round(F.col(c) * 1e9) / 1e9 for c in STEP_MEANS if c in w.columns}
-    return w.withColumns(steps | {c: F.round(c, 9) for c in STEP_STDS if c in w.columns})
-
-
 # ---------------------------------------------------------------- weekly roll-up
 _W = OW.weekly_ctes(ADAPTER_MIN_PINGS)
 _TAIL = ["n_pings", "time_span_seconds", "mean_ping_interval_seconds"]
@@ -248,13 +237,27 @@ def q_psi_by_class(spark, sf_dir):
 
 
 @register("psi_predicted_class", rounded(with_ctes([_LI, _LIBASE] + OD.predicted_ctes("lbase", "lsrc"),
-                                                   "SELECT * FROM pscored"), ["psi"]))
+                                                   "SELECT * FROM pscored JOIN punseen USING (period)"), ["psi", "unseen_share"]))
 def q_psi_predicted_class(spark, sf_dir):
     li, base = lineitem_monthly(spark, sf_dir)
     classes = D.class_shares(base.where(F.col("l_linestatus").isNotNull()), "l_linestatus")
     return D.monitor_predicted_class(li, classes, "l_linestatus", "period")
 
 
+# the first week of the events holds one kind only; later weeks are predicted as kinds that it lacks
+_EV_PRED = ("epred", "SELECT event_type AS pred, CAST(date_trunc('week', ts) AS DATE) AS period FROM events")
+
+
+@register("psi_unseen_class", rounded(with_ctes([_EV_PRED, ("epbase", "SELECT * FROM epred WHERE pred < 'q' AND period = (SELECT min(period) FROM epred)")]
+                                                + OD.predicted_ctes("epbase", "epred"), "SELECT * FROM pscored JOIN punseen USING (period)"),
+                                      ["psi", "unseen_share"]))
+def q_psi_unseen_class(spark, sf_dir):
+    """F7 where the baseline lacks some of the classes."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("pred"), week_start("ts").alias("period"))
+    base = ev.where("pred < 'q'").where(F.col("period") == ev.select(F.min("period")).scalar())
+    return D.monitor_predicted_class(ev, D.class_shares(base, "pred"), "pred", "period")
+
+
 @register("psi_all_features", rounded(with_ctes(
     [_LI, _LIBASE] + OD.baseline_ctes("lbase", LI_FEATURES) + OD.monitor_ctes("lsrc", LI_FEATURES)
     + OD.predicted_ctes("lbase", "lsrc"),
@@ -590,14 +593,15 @@ def q_kruskal_pvalues(spark, sf_dir):
 # ---------------------------------------------------------------- drift views and importance weighting
 
 
-HEATMAP_PERIODS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29"]
 PIVOT_CLASSES = ["Cargo", "Fishing", "Passenger", "Tanker", "Tug"]
 
 
 @register("psi_heatmap", None)
 def q_psi_heatmap(spark, sf_dir):
-    res = psi_by_class_df(spark, sf_dir)
-    return D.psi_heatmap(res.where(F.col("period").isin(HEATMAP_PERIODS)), HEATMAP_PERIODS)
+    """the table over all periods, then in long form again, one row per cell."""
+    wide = D.psi_heatmap(psi_by_class_df(spark, sf_dir))
+    return wide.unpivot(["class", "feature"], [F.col(f"`{c}`") for c in wide.columns[2:]], "period", "psi").withColumn(
+        "period", F.to_date("period"))
 
 
 @register("class_balance_pivot", None)
@@ -638,9 +642,9 @@ def _anova_ctes(features, name="anova"):
             ("imp", f"SELECT feature, f_stat / sum(f_stat) OVER () AS importance FROM {name} WHERE f_stat IS NOT NULL")]
 
 
-_cells = ", ".join(f"max(CASE WHEN CAST(period AS VARCHAR) = '{p}' THEN psi END) AS \"{p}\"" for p in HEATMAP_PERIODS)
-ORACLE["psi_heatmap"] = rounded(with_ctes(_by_class_ctes(), f"""SELECT class, feature, {_cells} FROM scored
-WHERE CAST(period AS VARCHAR) IN ({", ".join(f"'{p}'" for p in HEATMAP_PERIODS)}) GROUP BY class, feature"""), [f'"{p}"' for p in HEATMAP_PERIODS])
+ORACLE["psi_heatmap"] = rounded(with_ctes(_by_class_ctes(), """SELECT r.class, r.feature, c.period, s.psi
+FROM (SELECT DISTINCT class, feature FROM scored) r CROSS JOIN (SELECT DISTINCT period FROM scored) c
+LEFT JOIN scored s ON s.class = r.class AND s.feature = r.feature AND s.period = c.period"""), ["psi"])
 _shares = ", ".join(f"coalesce(max(CASE WHEN ship_type = '{c}' THEN proportion END), 0) AS \"{c}\"" for c in PIVOT_CLASSES)
 ORACLE["class_balance_pivot"] = rounded(with_ctes(_W, f"""SELECT week_start, {_shares}
 FROM (SELECT ship_type, week_start, n / sum(n) OVER (PARTITION BY week_start) AS proportion
@@ -890,7 +894,7 @@ def q_stream_weekly(spark, sf_dir):
                           state_partitions=spark.sparkContext.defaultParallelism,
                           adapt=lambda s: keep_ship_types(pings_from_events(s)))
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return read_weeks(spark, f"{base}/out")
 
 
 
@@ -986,3 +990,27 @@ def q_stream_drift(spark, sf_dir):
     q = run_drift_stream(spark, f"{base}/log", bins, MODEL_FEATURES, f"{base}/results", f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/results")
+
+
+DRIFT_BATCHES = 5
+
+
+@register("stream_drift_batches", rounded(with_ctes(_log_check_ctes(f"DATE '{MONITOR_PERIOD}'"),
+    f"""SELECT *, CASE WHEN psi > {PSI_MODERATE!r} THEN 'feature moved: period ' || CAST(period AS VARCHAR)
+  || ', ' || feature || ', psi ' || printf('%.2f', psi) END AS alarm FROM scored"""), ["psi"]))
+def q_stream_drift_batches(spark, sf_dir):
+    """K2: the log arrives in five batches of one period, one of which runs again;
+    the last check equals one check of the whole log."""
+    from ..streaming.jobs import drift_batches, latest_drift, run_drift_stream
+    base = scratch_path(spark, f"stream-drift-{uuid.uuid4().hex[:12]}")
+    lines = log_lines(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(DRIFT_BATCHES))).transform(materialize)
+    _, baseline = weekly_with_baseline(spark, sf_dir)
+    bins, _ = D.build_baselines(baseline, MODEL_FEATURES)
+    period = F.lit(MONITOR_PERIOD).cast("date")
+    for k in range(DRIFT_BATCHES):
+        lines.where(F.col("part") == k).select("value").write.mode("append").text(f"{base}/log")
+        run_drift_stream(spark, f"{base}/log", bins, MODEL_FEATURES, f"{base}/results", f"{base}/ckpt",
+                         counts_path=f"{base}/counts", period=period).awaitTermination()
+    again = drift_batches(bins, MODEL_FEATURES, f"{base}/results", f"{base}/counts", period=period)
+    again(lines.where(F.col("part") == 2).select("value"), 2)
+    return latest_drift(spark.read.parquet(f"{base}/results")).drop("batch_id")

@@ -72,6 +72,8 @@ def predicted_ctes(base: str, src: str) -> list[tuple[str, str]]:
         ("pgrid", f"""SELECT p.period, r.class, r.ref, coalesce(c.n, 0) AS n
 FROM (SELECT DISTINCT period FROM {src}) p CROSS JOIN pref r
 LEFT JOIN pcnt c ON c.period = p.period AND c.class = r.class"""),
+        ("punseen", f"""SELECT period, 1 - count(*) FILTER (WHERE CAST(pred AS VARCHAR) IN (SELECT class FROM pref)) / count(*)
+  AS unseen_share FROM {src} GROUP BY period"""),
         ("pscored", f"""SELECT period, '__predicted_class_balance__' AS feature, '__all__' AS class,
   sum({term('comp', 'ref')}) AS psi, 'ok' AS status
 FROM (SELECT *, coalesce(n / nullif(sum(n) OVER (PARTITION BY period), 0), 0) AS comp FROM pgrid) t

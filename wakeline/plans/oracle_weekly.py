@@ -25,9 +25,19 @@ def _nearest(q_: str) -> str:
     return f"_s[CAST(floor((_ns - 1) * {q_} + 5e-1) AS BIGINT) + 1]"
 
 
-def step_mean(x: str) -> str:
-    """A mean as the registered queries use it: in steps of 1e-9."""
-    return f"round(avg({x}) * 1e9) / 1e9"
+def _whole(x: str) -> str:
+    """A reading in steps of 1e-9, as a whole number."""
+    return f"CAST(floor({x} * 1e9 + 5e-1) AS HUGEINT)"
+
+
+def exact_mean(x: str) -> str:
+    return f"CAST(sum({_whole(x)}) AS DOUBLE) / count({x}) / 1e9"
+
+
+def exact_std(x: str) -> str:
+    v = _whole(x)
+    return (f"CASE WHEN count({x}) > 1 THEN sqrt(CAST(count({x}) * CAST(sum({v} * {v}) AS HUGEINT) - CAST(sum({v}) AS HUGEINT) * "
+            f"CAST(sum({v}) AS HUGEINT) AS DOUBLE) / (count({x}) * (count({x}) - 1)) / (1e9 * 1e9)) END")
 
 
 def weekly_ctes(min_pings: int, source_cte: str = "vpings") -> list[tuple[str, str]]:
@@ -40,18 +50,18 @@ def weekly_ctes(min_pings: int, source_cte: str = "vpings") -> list[tuple[str, s
     agg = f"""SELECT imo, week_start,
   max(draught) AS max_draught, min(draught) AS min_draught,
   max(draught) - min(draught) AS draught_variability,
-  {step_mean("CASE WHEN sog > 5e-1 THEN sog END")} AS mean_moving_speed,
-  max(sog) AS max_speed, round(stddev_samp(sog), 9) AS std_speed,
+  {exact_mean("(CASE WHEN sog > 5e-1 THEN sog END)")} AS mean_moving_speed,
+  max(sog) AS max_speed, {exact_std("sog")} AS std_speed,
   list_sort(list(sog) FILTER (WHERE sog IS NOT NULL)) AS _s, count(sog) AS _ns,
   count_if(sog < 1e0) / count(*) AS frac_time_slow,
   count_if(sog > 1e1) / count(*) AS frac_time_fast,
-  round(stddev_samp(cog), 9) AS cog_variability, {step_mean("abs(rot)")} AS rot_mean_abs,
-  round(stddev_samp(abs(rot)), 9) AS rot_std,
-  {step_mean(f"abs(({pmod}) - 18e1)")} AS heading_cog_diff_mean,
+  {exact_std("cog")} AS cog_variability, {exact_mean("abs(rot)")} AS rot_mean_abs,
+  {exact_std("abs(rot)")} AS rot_std,
+  {exact_mean(f"abs(({pmod}) - 18e1)")} AS heading_cog_diff_mean,
   count(DISTINCT nav_status) + max(CASE WHEN nav_status IS NULL THEN 1 ELSE 0 END) AS n_nav_statuses,
   {status},
-  round(stddev_samp(latitude), 9) AS lat_std, round(stddev_samp(longitude), 9) AS lon_std,
-  {step_mean("latitude")} AS lat_mean, {step_mean("longitude")} AS lon_mean,
+  {exact_std("latitude")} AS lat_std, {exact_std("longitude")} AS lon_std,
+  {exact_mean("latitude")} AS lat_mean, {exact_mean("longitude")} AS lon_mean,
   (max(latitude) - min(latitude)) * (max(longitude) - min(longitude)) AS bbox_area,
   {cargo},
   count(ts) AS n_pings,

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,15 +20,16 @@ from ..operators import drift as D
 from ..operators import model as M
 from ..operators import stats as ST
 from ..operators.pings import keep_ship_types
-from ..session import scratch_path
+from ..session import materialize, scratch_path
+from ..sources import logs as LG
 from ..sources import raw as R
 from ..sources import sinks as K
 from ..sources.adapters import pings_from_events
 from ..sources.tables import table
-from ..streaming.jobs import run_weekly_stream
+from ..streaming.jobs import read_weeks, run_weekly_stream
 from . import jobs as J
 from . import oracle_weekly as OW
-from .catalog import _VP, _W, ADAPTER_MIN_PINGS, ORACLE, register, vessel_pings, weekly
+from .catalog import _VP, _W, ADAPTER_MIN_PINGS, ORACLE, log_lines, register, vessel_pings, weekly
 from .sqltext import rounded, with_ctes
 
 FROM_DAY, TO_DAY = 5, 18      # days of the daily table that are read back
@@ -81,6 +83,23 @@ def q_track_order(spark, sf_dir):
     return ST.track_order(vessel_pings(spark, sf_dir), "imo")
 
 
+# ---------------------------------------------------------------- weeks merged from days
+
+LANDINGS = 3
+
+
+@register("weekly_merged", rounded(with_ctes(_W, "SELECT * FROM weekly"), OW.WEEKLY_DOUBLES))
+def q_weekly_merged(spark, sf_dir):
+    """Days land in three batches out of order; the first of them landed
+    before with half of its vessels.  The stored weeks equal one roll-up of all."""
+    p, base = _daily_pings(spark, sf_dir), _scratch(spark, "weeks")
+    d0 = p.select(F.min("event_date")).scalar()
+    third = F.pmod(F.datediff("event_date", d0), F.lit(LANDINGS))
+    for days in (p.where((third == 2) & (F.col("imo") % 2 == 0)), p.where(third == 1), p.where(third == 2), p.where(third == 0)):
+        J.update_weeks(spark, days.drop("event_date"), f"{base}/state", f"{base}/weekly", ADAPTER_MIN_PINGS)
+    return K.read_dataset(spark, f"{base}/weekly")
+
+
 # ---------------------------------------------------------------- feature dataset
 
 DATASET = ["imo", "week_start", "ship_type", "n_pings", "sog_median", "length"]
@@ -163,18 +182,67 @@ def q_last_checked(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+# ---------------------------------------------------------------- prediction log: ledger, scorings
+
+LATE_LOG_DAYS = 14      # entries that old are written last
+_LOG_ENTRY = """strftime(CAST(week_start AS TIMESTAMP) + to_minutes(imo), '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS timestamp, sog_median"""
+_ENTRY = ["timestamp", "features.sog_median"]
+
+
+@register("log_since_ledger", rounded(with_ctes(_W, f"""SELECT 'late' AS read_as, {_LOG_ENTRY} FROM weekly
+WHERE week_start < (SELECT min(week_start) FROM weekly) + {LATE_LOG_DAYS}
+UNION ALL SELECT 'first' AS read_as, {_LOG_ENTRY} FROM weekly
+WHERE week_start >= (SELECT min(week_start) FROM weekly) + {LATE_LOG_DAYS}"""), ["sog_median"]))
+def q_log_since_ledger(spark, sf_dir):
+    """Newer entries are read and marked; then a file with old time stamps
+    arrives and is read alone; a third look finds nothing."""
+    base = _scratch(spark, "ledger")
+    lines = log_lines(spark, sf_dir).transform(materialize)
+    stamp = F.to_timestamp(F.get_json_object("value", "$.timestamp"))
+    old = stamp < lines.select(F.min(stamp)).scalar() + F.make_dt_interval(days=F.lit(LATE_LOG_DAYS))
+    out = None
+    for read_as, part in (("first", lines.where(~F.coalesce(old, F.lit(False)))), ("late", lines.where(old)), ("none", None)):
+        if part is not None:
+            part.write.mode("append").text(f"{base}/log")
+        files = LG.unread_files(spark, f"{base}/log", f"{base}/ledger")
+        rows = LG.read_files(spark, files, MODEL_FEATURES).select(F.lit(read_as).alias("read_as"), *_ENTRY).transform(materialize)
+        LG.mark_read(files, f"{base}/ledger")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("log_scored_once", rounded(with_ctes(_W, f"SELECT {_LOG_ENTRY} FROM weekly"), ["sog_median"]))
+def q_log_scored_once(spark, sf_dir):
+    """Every week is scored under an id of its own half, the first half
+    twice; the log has each entry once."""
+    base = _scratch(spark, "scored")
+    rows = LG.parse_log(log_lines(spark, sf_dir), MODEL_FEATURES).transform(materialize)
+    half = rows.select("*", "features.*").withColumn("half", F.pmod(F.xxhash64("timestamp"), F.lit(2)))
+    for k in (0, 1, 0):
+        scored = half.where(F.col("half") == k)
+        LG.append_log_once(scored, base, MODEL_FEATURES, f"half-{k}", "vessel_type", ts=F.col("timestamp"))
+    return LG.read_scorings(spark, base, MODEL_FEATURES).select(*_ENTRY)
+
+
+@register("current_version", """SELECT max(event_type) AS run_id, count(DISTINCT event_type) AS promoted FROM events""")
+def q_current_version(spark, sf_dir):
+    """A run per kind of event is promoted, in order; the last is current."""
+    root = _scratch(spark, "runs")
+    kinds = [r[0] for r in table(spark, sf_dir, "events").select("event_type").distinct().orderBy("event_type").collect()]
+    for kind in kinds:
+        J.promote(spark, root, kind)
+    current = F.lit(J.current_run(spark, root)).alias("run_id")
+    return J.versions(spark, root).agg(F.count(F.lit(1)).alias("promoted")).select(current, "promoted")
+
+
 # ---------------------------------------------------------------- raw text, periods, stacked results
 
 BAD_TIME, BAD_ID, BAD_SPEED, NO_SPEED = 17, 19, 23, 29
 
 
-@register("raw_parsed", f"""SELECT CASE WHEN event_id % {BAD_ID} <> 0 THEN user_id END AS imo,
-  CASE WHEN event_id % {BAD_TIME} <> 0 THEN date_trunc('second', ts) END AS ts,
-  CASE WHEN event_id % {BAD_SPEED} <> 0 AND event_id % {NO_SPEED} <> 0 THEN value END AS sog,
-  event_type AS nav_status, CAST(ts AS DATE) AS event_date FROM events""")
-def q_raw_parsed(spark, sf_dir):
-    """Text under the raw headers, with times in another format, ids that
-    are no digits, speeds that are no numbers and null tokens."""
+def _raw_text(spark, sf_dir):
+    """Text under the raw headers, with times in another format, ids that are no
+    digits, speeds that are no numbers and null tokens."""
     def unless(n: int, bad: str, text):
         return F.when(F.col("event_id") % n == 0, F.lit(bad)).otherwise(text)
     text = {"ts_text": F.when(F.col("event_id") % BAD_TIME == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
@@ -185,7 +253,29 @@ def q_raw_parsed(spark, sf_dir):
     raw = table(spark, sf_dir, "events").select(
         F.lit(None).cast("string").alias("error"), F.to_date("ts").alias("event_date"),
         *[text.get(c, F.lit(None).cast("string")).alias(header) for header, c in R.RAW_COLUMNS.items()])
-    return R.parse_raw(R.rename_raw(raw)).select("imo", "ts", "sog", "nav_status", "event_date")
+    return R.rename_raw(raw)
+
+
+@register("raw_parsed", f"""SELECT CASE WHEN event_id % {BAD_ID} <> 0 THEN user_id END AS imo,
+  CASE WHEN event_id % {BAD_TIME} <> 0 THEN date_trunc('second', ts) END AS ts,
+  CASE WHEN event_id % {BAD_SPEED} <> 0 AND event_id % {NO_SPEED} <> 0 THEN value END AS sog,
+  event_type AS nav_status, CAST(ts AS DATE) AS event_date FROM events""")
+def q_raw_parsed(spark, sf_dir):
+    """The raw text parsed."""
+    return R.parse_raw(_raw_text(spark, sf_dir)).select("imo", "ts", "sog", "nav_status", "event_date")
+
+
+_BAD = {"timestamp": f"event_id % {BAD_TIME} = 0", "imo": f"event_id % {BAD_ID} = 0",
+        "sog": f"event_id % {BAD_SPEED} = 0 AND event_id % {NO_SPEED} <> 0"}
+
+
+@register("raw_rejects", "SELECT 'rows' AS reason, count(*) AS n FROM events" + "".join(
+    f"\nUNION ALL SELECT '{k}', count(*) FILTER (WHERE {_BAD.get(k, 'false')}) FROM events" for k in ["archive", "timestamp", "imo", *R.NUMERIC]))
+def q_raw_rejects(spark, sf_dir):
+    """What could not be parsed, by reason, counted in the pass that stores the rows."""
+    rejects = Observation("rejects")
+    materialize(R.parse_raw(R.observe_rejects(_raw_text(spark, sf_dir), rejects)), "parsed")
+    return R.reject_counts(spark, rejects)
 
 
 @register("period_dates", """SELECT CAST(ts AS DATE) AS as_date, CAST(ts AS DATE) AS as_time,
@@ -236,4 +326,4 @@ def q_stream_late(spark, sf_dir):
     old = F.col("ts") < ev.select(F.max("ts")).scalar() - F.make_dt_interval(days=F.lit(LATE_DAYS))
     ev.where(old).withColumn("ts", F.col("ts") + F.make_dt_interval(secs=F.lit(1))).write.mode("append").parquet(f"{base}/in")
     run()
-    return spark.read.parquet(f"{base}/out")
+    return read_weeks(spark, f"{base}/out")

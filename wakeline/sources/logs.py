@@ -43,6 +43,74 @@ def append_log(scored: DataFrame, log_dir: str, features, prediction: str = "pre
     return scored
 
 
+def append_log_once(scored: DataFrame, log_dir: str, features, scoring_id: str, prediction: str = "prediction",
+                    ts=None) -> bool:
+    """A12 for a scoring that may be run again: its entries are in the log once.
+
+    They are written to a folder of their own, which a run that failed leaves
+    unpromoted and the next one writes anew; promotion is a note beside it, after
+    which the same id is not written again.  Returns whether it
+    wrote.  Readers of the log see promoted scorings only."""
+    spark = scored.sparkSession
+    done = promoted_scorings(spark, log_dir)
+    if done is not None and not done.where(F.col("scoring_id") == scoring_id).isEmpty():
+        return False
+    to_log_rows(scored, features, prediction, ts).write.mode("overwrite").json(f"{log_dir}/scorings/{scoring_id}")
+    spark.createDataFrame([(scoring_id,)], "scoring_id string").coalesce(1).write.mode("overwrite").parquet(f"{log_dir}/promoted/{scoring_id}")
+    return True
+
+
+def promoted_scorings(spark: SparkSession, log_dir: str) -> DataFrame | None:
+    from .sinks import path_exists
+    if not path_exists(spark, f"{log_dir}/promoted"):
+        return None
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{log_dir}/promoted")
+
+
+def read_scorings(spark: SparkSession, log_dir: str, features) -> DataFrame:
+    """The entries of all promoted scorings."""
+    lines = (spark.read.option("recursiveFileLookup", True).text(f"{log_dir}/scorings")
+             .withColumn("scoring_id", F.element_at(F.split("_metadata.file_path", "/"), -2)))
+    done = promoted_scorings(spark, log_dir)
+    if done is None:
+        return parse_log(lines.limit(0), features)
+    return parse_log(lines.join(done.distinct(), "scoring_id", "left_semi"), features)
+
+
+# ---------------------------------------------------------------- ledger of log files
+
+LEDGER = ["path", "length", "modificationTime"]
+
+
+def log_files(spark: SparkSession, log_dir: str) -> DataFrame:
+    """One row per file of the log; listed only, not read."""
+    return spark.read.format("binaryFile").load(log_dir).select(*LEDGER)
+
+
+def unread_files(spark: SparkSession, log_dir: str, ledger: str) -> DataFrame:
+    """The files that the ledger does not have, or has in another size or of
+    another time (a file that was written again is a new one).  Stored, so
+    that what is read is what is marked later."""
+    from ..session import materialize
+    from .sinks import path_exists
+    files = log_files(spark, log_dir)
+    if path_exists(spark, ledger):
+        files = files.join(spark.read.parquet(ledger), LEDGER, "left_anti")
+    return files.transform(materialize)
+
+
+def read_files(spark: SparkSession, files: DataFrame, features) -> DataFrame:
+    """The entries of these files.  The paths go through the driver, as the
+    files of every Spark read do."""
+    paths = [r["path"] for r in files.select("path").collect()]
+    lines = spark.read.text(paths) if paths else spark.createDataFrame([], "value string")
+    return parse_log(lines, features)
+
+
+def mark_read(files: DataFrame, ledger: str) -> None:
+    files.coalesce(1).write.mode("append").parquet(ledger)
+
+
 def parse_log(lines: DataFrame, features, text_col: str = "value") -> DataFrame:
     """Parse JSON text lines; blank and malformed lines are dropped.
 

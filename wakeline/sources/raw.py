@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -201,6 +201,28 @@ def parse_raw(raw: DataFrame, strict: bool = False) -> DataFrame:
         "ship_type", *NUMERIC, "nav_status", "cargo_type", "event_date")
 
 
+def observe_rejects(raw: DataFrame, observation: Observation) -> DataFrame:
+    """Count, while the rows pass, what ``parse_raw`` makes NULL of, by reason.
+
+    No further scan: the counts are there after the first action on what comes
+    of the result (``reject_counts``).  A null token is a missing value, not a
+    reject; a damaged archive counts under ``archive``."""
+    def given(c: str):
+        return F.col("error").isNull() & F.col(c).isNotNull() & ~F.col(c).isin(*NULL_TOKENS)
+
+    reasons = {"archive": F.col("error").isNotNull(),
+               "timestamp": given("ts_text") & parse_timestamp("ts_text", RAW_TIMESTAMP_FORMAT, strict=False).isNull(),
+               "imo": given("imo_text") & ~F.coalesce(F.col("imo_text").rlike("^[0-9]+$") & F.col("imo_text").try_cast("long").isNotNull(), F.lit(False))}
+    reasons |= {c: given(c) & F.col(c).try_cast("double").isNull() for c in NUMERIC}
+    return raw.observe(observation, F.count(F.lit(1)).alias("rows"), *[F.count_if(cond).alias(k) for k, cond in reasons.items()])
+
+
+def reject_counts(spark: SparkSession, observation: Observation) -> DataFrame:
+    """(reason, n) of an observation whose rows have passed; ``rows`` is all that were read."""
+    counts = observation.get
+    return spark.createDataFrame(sorted(counts.items()), "reason string, n long")
+
+
 def read_daily(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
     """The per-day ping table for all vessels; the date range is a
     partition filter on ``event_date`` (pruned at planning time)."""

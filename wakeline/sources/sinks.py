@@ -52,6 +52,21 @@ def write_daily(pings: DataFrame, root: str, force: bool = False, n_partitions:
     return todo
 
 
+def write_partitions(df: DataFrame, path: str, by: str, values=()) -> None:
+    """Replace the partitions of ``by`` that ``df`` has rows of, and leave the
+    others.  A partition of ``values`` without rows in ``df`` becomes empty."""
+    spark = df.sparkSession
+    if values:
+        df = df.transform(materialize)
+    (df.repartitionByRange(default_partitions(spark), by, "imo")
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
+    if values:
+        filled = {r[0] for r in df.select(by).distinct().collect()}  # one row per partition written
+        none = spark.createDataFrame([], T.StructType([f for f in df.schema.fields if f.name != by]))
+        for v in set(values) - filled:
+            none.write.mode("overwrite").parquet(f"{path}/{by}={v}")
+
+
 def compact(spark: SparkSession, root: str, out: str, n_files: int) -> None:
     """A5: rewrite the daily table into about ``n_files`` files in total, each a
     contiguous (day, vessel) range."""

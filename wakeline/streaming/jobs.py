@@ -10,19 +10,19 @@ K2  drift check on the prediction log as files arrive: ``foreachBatch`` runs
 K3  late and duplicate pings: ``dropDuplicatesWithinWatermark(imo, ts)``;
     rows behind the watermark are dropped by the aggregation.
 
-Sinks are the exactly-once file sink (K1) and idempotent per-batch
-overwrites keyed by batch id (K2).
+Sinks are idempotent: overwrites of the closed weeks' partitions (K1) and of
+what a batch itself wrote (K2).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MIN_PINGS_PER_WEEK, PSI_MODERATE
 from ..functions import utc_date, utc_instant
 from ..operators import drift as D
-from ..operators.weekly import GROUPS, ORDER, SPEED_QUANTILES, aggregates, derived_columns
+from ..operators.weekly import GROUPS, ORDER, features_of, partial_columns, value_items
 from ..sources import logs as L
 from ..session import materialize
 
@@ -56,68 +56,115 @@ def _start(spark: SparkSession, writer, overrides: dict):
                 spark.conf.set(k, v)
 
 
-def weekly_stream(pings: DataFrame, watermark: str = "1 day", min_pings: int = MIN_PINGS_PER_WEEK,
-                  dedupe: bool = True, key: str = "imo") -> DataFrame:
-    """K1/K3 on a streaming ping DataFrame.
+NUMERIC = "numeric"   # the state row that holds a vessel-week's numeric partials
 
-    Speed quantiles use the sorted list of one vessel-week's readings (state
-    bounded by the reporting rate of one vessel over one week, kept in the
-    RocksDB state store by :func:`run_weekly_stream`).
-    """
+
+def weekly_state(pings: DataFrame, watermark: str = "1 day", dedupe: bool = True, key: str = "imo") -> DataFrame:
+    """K1/K3 on a streaming ping DataFrame: the mergeable partials of each
+    vessel-week, emitted when the watermark closes the week.
+
+    The state has one row of numeric partials per vessel-week and one count per
+    distinct value of the columns that need a distribution; no list of readings."""
     s = pings.withColumn("ts", utc_instant("ts")).withWatermark("ts", watermark)
     if dedupe:
         s = s.dropDuplicatesWithinWatermark([key, "ts"])
-    aggs = aggregates(GROUPS, "ts") + [F.array_sort(F.collect_list("sog")).alias("_sogs")]
-    out = s.groupBy(key, F.window("ts", *WEEK).alias("w")).agg(*aggs).where(F.col("n_pings") >= min_pings)
-    n = F.size("_sogs")
-    for name, q in SPEED_QUANTILES.items():
-        idx = (F.floor((n - 1) * F.lit(q) + F.lit(0.5)) + 1).cast("int")
-        out = out.withColumn(name, F.when(n > 0, F.element_at("_sogs", idx)))
-    out = derived_columns(out, GROUPS).withColumn("week_start", utc_date("w.start"))
-    return out.select(key, "week_start", *[c for c in ORDER if c in out.columns])
+    none = F.lit(None)
+    numeric = F.struct(F.lit(NUMERIC).alias("_col"), none.cast("string").alias("_s"), none.cast("double").alias("_d"))
+    s = s.where(F.col("ts").isNotNull()).withColumn("_i", F.explode(F.array(numeric, *value_items(GROUPS)))).select("*", "_i.*")
+    whole = F.col("_col") == NUMERIC
+    parts = [{"sum": F.sum, "min": F.min, "max": F.max}[how](F.when(whole, c)).alias(k)
+             for k, (how, c) in partial_columns(GROUPS).items()]
+    return (s.groupBy(key, F.window("ts", *WEEK).alias("w"), "_col", "_s", "_d").agg(F.count(F.lit(1)).alias("_n"), *parts)
+            .withColumn("week_start", utc_date("w.start")).drop("w"))
 
 
 def run_weekly_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str,
                       adapt=None, available_now: bool = True, file_glob: str | None = None,
-                      state_partitions: int | None = None, **kw):
+                      state_partitions: int | None = None, min_pings: int = MIN_PINGS_PER_WEEK,
+                      key: str = "imo", **kw):
     """Start K1 over parquet files landing in ``source_dir`` (optionally only the
     files matching ``file_glob``); returns the query.
 
-    ``state_partitions`` sets the number of state-store partitions.  It is read
-    from ``spark.sql.shuffle.partitions`` when a query first starts and then kept
-    in its checkpoint, so it is set only for the start and restored after."""
+    A closed week comes out whole, in one batch: its features are read off there
+    and replace the week's partition of the sink, so a batch that runs again
+    writes the same.  ``state_partitions`` sets the number of state-store
+    partitions.  It is read from ``spark.sql.shuffle.partitions`` when a query
+    first starts and then kept in its checkpoint, so it is set only for the
+    start and restored after."""
     reader = spark.readStream.schema(schema)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     src = reader.parquet(source_dir)
     if adapt is not None:
         src = adapt(src)
-    q = (weekly_stream(src, **kw).writeStream.format("parquet").outputMode("append")
-         .option("path", sink).option("checkpointLocation", checkpoint))
+    keys = [key, "week_start"]
+
+    def closed_weeks(batch: DataFrame, _: int) -> None:
+        rows = materialize(batch, "closed_weeks")    # read twice
+        parts = list(partial_columns(GROUPS))
+        out = features_of(rows.where(F.col("_col") == NUMERIC).select(*keys, *parts),
+                          rows.where(F.col("_col") != NUMERIC).select(*keys, "_col", "_s", "_d", "_n"), keys, GROUPS, min_pings)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("week_start").parquet(sink))
+
+    q = (weekly_state(src, key=key, **kw).writeStream.foreachBatch(closed_weeks).outputMode("append")
+         .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return _start(spark, q, {} if state_partitions is None
                   else {"spark.sql.shuffle.partitions": str(state_partitions)})
 
 
-def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, features, results_path: str,
-                     checkpoint: str, threshold: float = PSI_MODERATE, available_now: bool = True):
-    """K2: every new batch of log files is checked against the baseline.
+def read_weeks(spark: SparkSession, sink: str, key: str = "imo") -> DataFrame:
+    """What K1 has written, in the columns' usual order."""
+    weeks = spark.read.parquet(sink)
+    return weeks.select(key, "week_start", *[c for c in ORDER if c in weeks.columns])
+
 
-    All PSI rows of the batch are written with the batch id, the UTC date of
-    the check as period and an ``alarm`` text (NULL when under the threshold);
-    a re-run batch overwrites its own partition, so the sink is idempotent."""
+def drift_batches(bins: DataFrame, features, results_path: str, counts_path: str,
+                  threshold: float = PSI_MODERATE, period: Column | None = None):
+    """What K2 does with a batch of log lines: ``check(batch, batch_id)``.
+
+    The batch's bin counts go to a store, under its id.  The PSI of each period
+    that the batch touches is read off all counts stored for that period, so a
+    day that arrives in ten batches is one day.  A batch that runs again
+    replaces its own counts and its own results."""
     bins = bins.transform(materialize)
+    period = utc_date(F.current_timestamp()) if period is None else period
+
+    def write(df: DataFrame, batch_id: int, path: str) -> None:
+        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        entries = L.parse_log(batch, features)
-        df = L.unnest_features(entries).withColumn("period", utc_date(F.current_timestamp()))
-        res = D.monitor_numeric(df, bins, features, "period")
+        df = L.unnest_features(L.parse_log(batch, features)).withColumn("period", period)
+        counts = D.cell_counts(df, bins, features, "period")    # stored: one row per feature, period and bin
+        write(counts, batch_id, counts_path)
+        touched = counts.select("period").distinct()
+        total = (batch.sparkSession.read.parquet(counts_path).join(touched, "period", "left_semi")
+                 .groupBy("feature", "class", "period", "bin").agg(F.sum("n").alias("n")).transform(materialize))
+        res = D.score_counts(total, bins, bins_rows=D.bins_info(bins)[0])
         flagged = D.check_drift(res, threshold).select("period", "feature", "class", "alarm")
-        out = (res.join(flagged, ["period", "feature", "class"], "left")
-               .withColumn("batch_id", F.lit(batch_id)))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(results_path))
+        write(res.join(flagged, ["period", "feature", "class"], "left"), batch_id, results_path)
+
+    return check
+
 
+def latest_drift(results: DataFrame) -> DataFrame:
+    """Of each period the rows of the last batch that touched it."""
+    last = results.groupBy("period").agg(F.max("batch_id").alias("batch_id"))
+    return results.join(last, ["period", "batch_id"], "left_semi")
+
+
+def run_drift_stream(spark: SparkSession, log_dir: str, bins: DataFrame, features, results_path: str,
+                     checkpoint: str, threshold: float = PSI_MODERATE, available_now: bool = True,
+                     counts_path: str | None = None, period: Column | None = None):
+    """K2: every new batch of log files is added to the counts of its periods and
+    these are checked against the baseline.
+
+    All PSI rows of the touched periods are written with the batch id, the
+    period (by default the UTC date of the check) and an ``alarm`` text (NULL
+    when under the threshold); ``latest_drift`` has the newest of each period.
+    The counts are kept at ``counts_path``, beside the results if not given."""
+    check = drift_batches(bins, features, results_path, counts_path or f"{results_path}-counts", threshold, period)
     q = (spark.readStream.text(log_dir).writeStream.foreachBatch(check)
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
