@@ -250,6 +250,56 @@ def test_all_of_a_long_token_is_read():
         assert all(any(token[i:i + 20] in x for x in parts) for i in range(max(1, len(token) - 19)))
 
 
+def test_repetitive_texts_equal_full_alignment(monkeypatch):
+    """Texts and items of one repeated word, expanded a few places at a time."""
+    r = np.random.default_rng(8)
+    items = [(k, w * n) for k, (w, n) in enumerate([("ha ", 60), ("ha ", 60), ("ab", 70), ("x", 120), ("la la lu ", 15), ("ha ha ho ", 12)])] + [(None, "same words again " * 9)] * 2
+    p = decontaminate.index_items(items)
+    assert len(p.codes) < len(items) * 3
+    for trial in range(12):
+        w = str(r.choice(["ha ", "ab", "x", "la la lu ", "ha ha ho ", "same words again ", "hi "]))
+        text = list(prose(trial, 12) + " " + w * int(r.integers(2, 30)) + prose(trial, 9))
+        for _ in range(int(r.integers(0, 9))):
+            text[int(r.integers(0, len(text)))] = "q"
+        text = "".join(text)
+        want = Counter(number for number, (_, item) in enumerate(items) for c in [decontaminate._codes(decontaminate.normal(item))]
+                       if any(edits("".join(map(chr, c[at:at + 100])), decontaminate.normal(text)) <= decontaminate.RATE * len(c[at:at + 100])
+                              for at in {*range(0, max(0, len(c) - 100), 50), max(0, len(c) - 100)}))
+        for places in (1 << 20, 50):
+            monkeypatch.setattr(decontaminate, "PLACES", places)
+            found = decontaminate.matches([text], p)[0]
+            assert Counter(m["item_id"] for m in found) == Counter(items[n][0] for n in want), (trial, places)
+
+
+def test_a_repeated_word_fills_no_memory():
+    import resource
+    p = decontaminate.index_items([(k, "ha " * 60) for k in range(200)])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = decontaminate.matches(["ha " * 20000], p)[0]
+    assert len(found) == 200 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000      # kB
+
+
+def test_short_items_are_found_by_their_words(spark):
+    items = [(1, "What is the capital of  France?"), (2, "yes"), (3, "the"), (4, ""), (5, None), (6, "naïve Bayes")]
+    texts = ["He asked: what is the\ncapital of france? Nobody knew.", "yesterday", "NAÏVE BAYES", "is the capital of france?", ""]
+    docs, table = docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    out = {(r["doc_id"], r["item_id"], r["first"], r["last"]) for r in decontaminate.contaminated(docs, table).collect()}
+    assert out == {(0, 1, 10, 40), (0, 3, 18, 21), (2, 6, 0, 11), (3, 3, 3, 6)}
+    assert {r["doc_id"] for r in decontaminate.keep_clean(docs, table).collect()} == {1, 4}
+
+
+def test_benchmark_in_blocks(spark, monkeypatch):
+    """Several blocks give what one gives; equal items give a row each."""
+    items = [(1, prose(1, 40)), (1, prose(1, 40)), (None, prose(2, 40)), (None, prose(3, 40)), (7, "seven little words of an item")]
+    docs = docs_of(spark, [prose(1, 40), prose(2, 40) + " " + prose(3, 40), prose(9, 90), "seven little words of an item", None])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda: Counter((r["doc_id"], r["item_id"], r["n_patterns"]) for r in decontaminate.contaminated(docs, table).collect())
+    one = rows()
+    assert Counter((d, i) for d, i, _ in one.elements()) == Counter({(0, 1): 2, (1, None): 2, (3, 7): 1})
+    monkeypatch.setattr(decontaminate, "BLOCK", 150)
+    assert rows() == one and {r["doc_id"] for r in decontaminate.keep_clean(docs, table).collect()} == {2, 4}
+
+
 def test_secret_tables(spark):
     docs = docs_of(spark, SECRETS)
     out = {r["doc_id"]: r for r in secret_scan.find_secrets(docs).collect()}

@@ -3,38 +3,47 @@
 Texts are lower-cased and their white space becomes single spaces.  A benchmark
 item is cut into overlapping patterns of ``PATTERN`` characters (every
 ``STRIDE``, and one at the end), so each passage of 150 characters holds a whole
-pattern; a shorter item is one pattern, an item under ``SHORTEST`` characters
-is left out as too common.  A document is contaminated where a region is
-within k = ``RATE`` x length edits of a pattern.
+pattern; a shorter item is one pattern.  A document is contaminated where a
+region is within k = ``RATE`` x length edits of a pattern.  An item under
+``SHORTEST`` characters leaves the lemma no q-grams to count: it is found where
+its words stand exactly, one after the other.  Equal patterns are searched for
+once, whatever the number of items that hold them.
 
 Such a region shares at least m - Q + 1 - kQ character q-grams with a pattern of
 length m, on diagonals (place in the document less place in the pattern) that
 lie within k of one another.  So shared q-grams are counted in diagonal bands
 of width 2(k + 1) that overlap by half, each k + 1 neighbouring diagonals
 being whole in one of them.  Bands that reach the bound are verified by banded
-alignment (edit distance, the region free in its band).
+alignment (edit distance, the region free in its band).  A text is gone through
+from left to right, at most ``PLACES`` places of shared q-grams at a time; a
+band whose last place is passed is judged and forgotten, so a q-gram that all
+items share, or a text of one repeated word, fills no memory.
 
 Documents are read in one pass, without a shuffle; the benchmark is handed out
-in blocks of about ``BLOCK`` characters, one pass each, so no broadcast grows
-beyond that.
+in blocks of about ``BLOCK`` characters, one pass each.  A block's results are
+stored and its broadcast is dropped before the next one is collected, so
+neither driver nor tasks hold more than one.
 
 Cases: null texts are empty and match nothing.  Repeated documents get a row
-each, repeated items too.  An empty benchmark contaminates nothing.  A null
-doc_id or item_id is returned as null.  ``keep_clean`` keeps all columns.
+each, repeated items too, whatever their ids.  An empty benchmark contaminates
+nothing, an item without words is found nowhere.  A null doc_id or item_id is
+returned as null.  ``keep_clean`` keeps all columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, field, packed, unpacked
+from .common import ROW, field, materialize, packed, unpacked
 
 Q = 8
 PATTERN = 100
@@ -42,6 +51,8 @@ STRIDE = 50
 SHORTEST = 40
 RATE = 0.1
 BLOCK = 4_000_000
+#: Places of shared q-grams that are expanded at a time.
+PLACES = 1 << 20
 #: Slots of the first test of a q-gram hash, and characters per vector.
 SLOTS = 1 << 22
 CHUNK = 1 << 20
@@ -51,7 +62,10 @@ MATCH = "item_id long, first int, last int, n_patterns int, edits int"
 
 class Patterns(NamedTuple):
     """One block of the benchmark, ready to be searched for."""
-    item: list  # of each pattern, its item_id
+    ids: list  # item_id of each item
+    items: list[list[int]]  # of each pattern, the items that hold it, as often as they do
+    short: tuple[tuple[str, int], ...]  # items that are found by their words, and their numbers
+    item: list  # of each pattern, the item_id of the first of them
     codes: list[np.ndarray]  # its characters
     length: np.ndarray
     budget: np.ndarray
@@ -86,15 +100,18 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 
 def index_items(items: list[tuple]) -> Patterns:
     """(item_id, text) pairs -> the patterns and their q-gram index."""
-    ids, codes = [], []
-    for item_id, text in items:
-        c = _codes(normal(text))
+    holders: dict[bytes, list[int]] = {}
+    short = []
+    for number, (_, text) in enumerate(items):
+        plain = normal(text)
+        c = _codes(plain)
         if len(c) < SHORTEST:
+            short += [(plain, number)] * bool(plain)
             continue
         last = max(0, len(c) - PATTERN)
         for at in sorted({*range(0, last, STRIDE), last}):
-            ids.append(item_id)
-            codes.append(c[at:at + PATTERN])
+            holders.setdefault(c[at:at + PATTERN].tobytes(), []).append(number)
+    ids, codes = [item_id for item_id, _ in items], [np.frombuffer(x, np.uint32) for x in holders]
     budget = np.array([int(RATE * len(c)) for c in codes], np.int64)
     least = np.array([len(c) - Q + 1 - b * Q for c, b in zip(codes, budget)], np.int64)
     grams = [_hashes(c) for c in codes] or [np.zeros(0, np.uint64)]
@@ -105,13 +122,13 @@ def index_items(items: list[tuple]) -> Patterns:
     hashes, starts = np.unique(every[order], return_index=True)
     slots = np.zeros(SLOTS, bool)
     slots[_slot(hashes)] = True
-    return Patterns(ids, codes, np.array([len(c) for c in codes], np.int64), budget, least, slots, hashes, np.append(starts, len(every)),
+    return Patterns(ids, list(holders.values()), tuple(short), [ids[of[0]] for of in holders.values()], codes, np.array([len(c) for c in codes], np.int64), budget, least, slots, hashes, np.append(starts, len(every)),
                     pattern[order].astype(np.int64), offset[order].astype(np.int64))
 
 
-def _shared(codes: np.ndarray, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
-    """(pattern, diagonal) of every q-gram that the text shares with a pattern."""
-    patterns, diagonals = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def _shared(codes: np.ndarray, p: Patterns) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(pattern, diagonal) of the q-grams that the text shares with patterns,
+    from left to right, and the place up to which they are complete."""
     for at in range(0, max(0, len(codes) - Q + 1), CHUNK):
         h = _hashes(codes[at:at + CHUNK + Q - 1])
         place = np.flatnonzero(p.slots[_slot(h)])
@@ -119,29 +136,44 @@ def _shared(codes: np.ndarray, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
         real = p.hashes[found] == h[place]
         place, found = place[real], found[real]
         n = p.starts[found + 1] - p.starts[found]
-        k = np.repeat(p.starts[found], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        patterns.append(p.pattern[k])
-        diagonals.append(np.repeat(place + at, n) - p.offset[k])
-    return np.concatenate(patterns), np.concatenate(diagonals)
+        upto = np.cumsum(n)
+        begin = 0
+        while begin < len(place):       # some places at a time, one at least
+            end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + PLACES, side="right")))
+            m = n[begin:end]
+            k = np.repeat(p.starts[found[begin:end]], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            yield p.pattern[k], np.repeat(place[begin:end] + at, m) - p.offset[k], at + (int(place[end]) if end < len(place) else CHUNK)
+            begin = end
 
 
 def _bands(codes: np.ndarray, p: Patterns) -> tuple[np.ndarray, np.ndarray]:
     """(pattern, first diagonal) of the bands that reach the bound."""
-    pattern, diagonal = _shared(codes, p)
-    if not len(pattern):
-        return pattern, diagonal
-    half = p.budget[pattern] + 1
-    cell = diagonal // half  # floor, also below zero
     base = PATTERN  # diagonals begin at -PATTERN
-    # a band is two neighbouring half bands, so every half counts in two
-    key = pattern << 40 | (cell + base)
-    key, n = np.unique(key, return_counts=True)
-    follows = np.searchsorted(key, key + 1)
-    both = n + np.where((follows < len(key)) & (key[np.minimum(follows, len(key) - 1)] == key + 1),
-                        n[np.minimum(follows, len(key) - 1)], 0)
-    # a half band without one before it also ends the band that begins empty; its count is no larger than its own band's
-    hit = both >= p.least[key >> 40]
-    pattern, cell = key[hit] >> 40, (key[hit] & ((1 << 40) - 1)) - base
+    none = np.zeros(0, np.int64)
+    held, counts, hits = none, none, [none]
+
+    def judged(key: np.ndarray, n: np.ndarray) -> np.ndarray:
+        # a band is two neighbouring half bands, so every half counts in two
+        follows = np.minimum(np.searchsorted(key, key + 1), max(len(key) - 1, 0))
+        both = n + np.where(key[follows] == key + 1, n[follows], 0)
+        # a half band without one before it also ends the band that begins empty; its count is no larger than its own band's
+        return both >= p.least[key >> 40]
+
+    for pattern, diagonal, done in _shared(codes, p):
+        cell = diagonal // (p.budget[pattern] + 1)  # floor, also below zero
+        key, n = np.unique(pattern << 40 | (cell + base), return_counts=True)
+        both = np.concatenate([held, key])
+        held, at = np.unique(both, return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, n]), len(held)).astype(np.int64)
+        # a half band stays until all places of the band that it begins are passed (the half after it stays longer)
+        width = p.budget[held >> 40] + 1
+        begin = ((held & ((1 << 40) - 1)) - base) * width
+        over = begin + 2 * width + p.length[held >> 40] <= done
+        hits.append(held[judged(held, counts) & over])
+        held, counts = held[~over], counts[~over]
+    hits.append(held[judged(held, counts)] if len(held) else none)
+    hit = np.unique(np.concatenate(hits))
+    pattern, cell = hit >> 40, (hit & ((1 << 40) - 1)) - base
     return pattern, cell * (p.budget[pattern] + 1)
 
 
@@ -213,6 +245,8 @@ def matches(texts: list[str | None], p: Patterns) -> list[list[dict]]:
     normal form.  Texts are searched side by side, with more characters that
     match nothing in between than any budget."""
     out: list[list[dict]] = [[] for _ in texts]
+    for k, number, at, end in _exact(texts, p.short):
+        out[k].append({"item_id": p.ids[number], "first": at, "last": end, "n_patterns": 1, "edits": 0})
     if not p.codes:
         return out
     gap = np.full(int(RATE * PATTERN) + Q, 0x110000, np.uint32)
@@ -224,15 +258,43 @@ def matches(texts: list[str | None], p: Patterns) -> list[list[dict]]:
             hit = (hit[0], max(0, hit[1] - int(starts[k])), min(len(codes[k]), hit[2] - int(starts[k])))
             if (k, pattern) not in found or hit < found[k, pattern]:
                 found[k, pattern] = hit
-        items: dict[tuple[int, object], list[tuple[int, int, int]]] = {}
+        items: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         for (k, pattern), hit in found.items():
-            items.setdefault((which[k], p.item[pattern]), []).append(hit)
-        for (k, item), hits in items.items():
-            out[k].append({"item_id": item, "first": min(h[1] for h in hits), "last": max(h[2] for h in hits),
+            for number in p.items[pattern]:
+                items.setdefault((which[k], number), []).append(hit)
+        for (k, number), hits in items.items():
+            out[k].append({"item_id": p.ids[number], "first": min(h[1] for h in hits), "last": max(h[2] for h in hits),
                            "n_patterns": len(hits), "edits": min(h[0] for h in hits)})
     return out
 
 
+@lru_cache(2)
+def _words_of(short: tuple[tuple[str, int], ...]):
+    """Finds the short items' words, with spaces around them."""
+    numbers: dict[str, list[int]] = {}
+    for text, number in short:
+        numbers.setdefault(f" {text} ", []).append(number)
+    machine = ahocorasick.Automaton()
+    for key, of in numbers.items():
+        machine.add_word(key, (len(key) - 2, of))
+    machine.make_automaton()
+    return machine
+
+
+def _exact(texts: list[str | None], short: tuple[tuple[str, int], ...]) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, start, end) of the first place of each short item in each text."""
+    if not short:
+        return
+    machine = _words_of(short)
+    for k, text in enumerate(texts):
+        seen = set()
+        for end, (size, of) in machine.iter(f" {normal(text)} "):
+            for number in of:
+                if number not in seen:
+                    seen.add(number)
+                    yield k, number, end - 1 - size, end - 1
+
+
 def blocks(benchmark: DataFrame) -> Iterator[Patterns]:
     """The benchmark in blocks of about BLOCK characters."""
     size = F.length(F.coalesce("text", F.lit("")))
@@ -244,9 +306,7 @@ def blocks(benchmark: DataFrame) -> Iterator[Patterns]:
         yield index_items([(r["item_id"], r["text"]) for r in mine.collect()])
 
 
-def _matcher(spark, p: Patterns) -> Callable:
-    shared = spark.sparkContext.broadcast(p)
-
+def _matcher(shared) -> Callable:
     @F.pandas_udf(f"array<struct<{MATCH.replace(' long', ':long').replace(' int', ':int')}>>")
     def found(texts: pd.Series) -> pd.Series:
         return pd.Series(matches(list(texts), shared.value), dtype="object")
@@ -258,14 +318,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and each benchmark item found in it."""
     out = None
     for p in blocks(benchmark):
-        search = _finder(docs.sparkSession, p)
-        part = docs.select("doc_id", "text").mapInArrow(search, f"doc_id long, {MATCH}")
+        shared = docs.sparkSession.sparkContext.broadcast(p)
+        part = materialize(docs.select("doc_id", "text").mapInArrow(_finder(shared), f"doc_id long, {MATCH}"), "found")
+        shared.destroy()
         out = part if out is None else out.unionAll(part)
     return out
 
 
-def _finder(spark, p: Patterns) -> Callable:
-    shared = spark.sparkContext.broadcast(p)
+def _finder(shared) -> Callable:
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("first", pa.int32()), ("last", pa.int32()),
                         ("n_patterns", pa.int32()), ("edits", pa.int32())])
 
@@ -280,7 +340,11 @@ def _finder(spark, p: Patterns) -> Callable:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark passage, with their columns."""
-    rows = packed(docs)
+    rows, before = packed(docs), None
     for p in blocks(benchmark):
-        rows = rows.where(F.size(_matcher(docs.sparkSession, p)(field("text"))) == 0).select(ROW)
+        if before is not None:      # what an earlier block leaves is stored, so that the block can go
+            rows = materialize(rows, "clean")
+            before.destroy()
+        before = docs.sparkSession.sparkContext.broadcast(p)
+        rows = rows.where(F.size(_matcher(before)(field("text"))) == 0).select(ROW)
     return unpacked(rows)

@@ -22,8 +22,9 @@ Cases: a null text is like an empty one, with fingerprint zero, linked like
 any other.  A text of one or two words is one shingle.  component_id is the
 smallest doc_id of the component, nulls aside (null if all are null).
 ``keep_one`` keeps, of each component, the row with that doc_id (of several
-such rows with different texts the one with the smallest fingerprint; of rows
-alike in both, one).  Other columns pass through it unchanged.
+such rows the one with the smallest fingerprint, then with the smallest hash of
+the text; of rows alike in all that, the first as they were read).  Other
+columns pass through it unchanged.
 """
 
 from __future__ import annotations
@@ -185,10 +186,10 @@ def components(pairs: DataFrame) -> DataFrame:
             return roots
 
 
-def _grouped(rows: DataFrame) -> DataFrame:
+def _grouped(rows: DataFrame, *ties: str) -> DataFrame:
     """Rows with _id and _fp -> per fingerprint: the first document of its
-    component, by doc_id, nulls last, then by fingerprint."""
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_fp").alias("fp")))
+    component, by doc_id, nulls last, then by fingerprint, then by ``ties``."""
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_fp").alias("fp"), *ties))
     fps = materialize(rows.groupBy("_fp").agg(first.alias("first")), "fingerprints")
     roots = components(links(fps.select("_fp")))
     rooted = (fps.join(roots.withColumnRenamed("node", "_fp"), "_fp", "left")
@@ -207,9 +208,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, with its columns."""
-    rows = packed(docs).withColumns({"_id": field("doc_id"), "_fp": fingerprint_column(field("text"))})
-    narrow = materialize(rows.select("_id", "_fp"), "simhash")
-    firsts = _grouped(narrow).select(F.col("_first.id").alias("_kid"), F.col("_first.fp").alias("_kfp")).distinct()
-    kept = rows.join(firsts, (F.col("_fp") == F.col("_kfp")) & F.col("_id").eqNullSafe(F.col("_kid")), "left_semi")
-    return unpacked(kept.dropDuplicates(["_id", "_fp"]))
+    """One document of each component, with its columns.  The rows are stored
+    once with their fingerprints and numbers; which numbers stay is decided
+    without the texts, and one join takes the rows."""
+    text = field("text")
+    rows = materialize(packed(docs).withColumns({"_n": F.monotonically_increasing_id(), "_id": field("doc_id"),
+                                                 "_t": F.xxhash64(text), "_fp": fingerprint_column(text)}), "simhash_rows")
+    firsts = _grouped(rows.select("_id", "_fp", "_t", "_n"), "_t", "_n").select(F.col("_first._n").alias("_n")).distinct()
+    return unpacked(rows.join(firsts, "_n", "left_semi"))
