@@ -31,6 +31,8 @@ from __future__ import annotations
 import html as htmllib
 import random
 import re
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -50,7 +52,9 @@ BLOCKS = set("""address article aside blockquote body button caption center dd d
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol optgroup option p pre section select
 summary table tbody td textarea tfoot th thead tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("audio canvas head iframe map math noscript object script style svg template title video".split())
+SILENT = set("audio canvas head iframe noscript object script style svg template title video".split())
+#: Of these the rest of the page is text without an end tag; the others end with their parent at the latest.
+RAW = set("script style template title".split())
 #: An open element of the first kind ends when one of the second starts, unless one of the third lies between.
 IMPLIED = {
     "p": (BLOCKS - {"button", "label", "option", "optgroup", "select", "textarea"}, {"td", "th", "button", "table", "body"}),
@@ -93,7 +97,10 @@ TAG_NUMBER = {t: i for i, t in enumerate(TAGS)}
 HOLDERS = ["article", "aside", "footer", "form", "header", "main", "nav", "ul", "table"]
 HOLDER_NUMBER = {t: i for i, t in enumerate(HOLDERS)}
 SIZES = 22
-FEATURES = SIZES + len(TAGS) + 3 * len(KINDS) + len(HOLDERS) + 8
+#: Buckets of hashed attribute tokens; after them a bit for hidden elements.
+HASHED = 64
+HASH_PARTS = ((0, 32), (32, 32), (64, 1))
+FEATURES = SIZES + len(TAGS) + 3 * len(KINDS) + len(HOLDERS) + HASHED + 1
 
 
 class Page:
@@ -124,41 +131,73 @@ def _attributes(raw: str) -> tuple[int, int, str]:
                 w = w.lower()
                 if w in TOKENS:
                     kinds |= 1 << KINDS.index(TOKENS[w])
-                hashed |= 1 << (sum(w.encode()) * 7 + len(w)) % 7
+                hashed |= 1 << zlib.crc32(w.encode()) % HASHED
         elif name in ("hidden", "aria-hidden"):
-            hashed |= 1 << 7
+            hashed |= 1 << HASHED
     return kinds, hashed, mark
 
 
 def parse(source: str | None) -> Page:
     page, source = Page(), source or ""
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and their nodes; inline elements have their block's
+    places: dict[str, list[int]] = defaultdict(list)  # of each tag, where it is open in the stack
+    blocks = [0]  # where blocks are
+    ends: dict[str, int] = {}  # the next end tag of a silent element, as far as it was looked for
     run: list[str] = []
     linked = links = 0
 
     def flush() -> None:
         nonlocal run, linked
         if run:
-            text = " ".join(htmllib.unescape("".join(run)).split())
+            text = " ".join("".join(run).split())
             if text:
                 at = stack[-1][1]
                 page.add("#text", at, text=text, link=min(linked, len(text)))
             run, linked = [], 0
 
+    def enter(name: str, node: int) -> None:
+        places[name].append(len(stack))
+        if name in BLOCKS:
+            blocks.append(len(stack))
+        stack.append((name, node))
+
     def close(at: int) -> None:
         """End the open elements from ``at`` on."""
         nonlocal links
-        if any(t in BLOCKS for t, _ in stack[at:]):
+        if blocks[-1] >= at:
             flush()
-        links -= sum(t == "a" for t, _ in stack[at:])
-        del stack[at:]
+        while len(stack) > at:
+            name, _ = stack.pop()
+            places[name].pop()
+            if name in BLOCKS:
+                blocks.pop()
+            links -= name == "a"
 
     def heard(piece: str) -> None:
         nonlocal linked
+        piece = htmllib.unescape(piece)     # a reference does not reach over a tag
         run.append(piece)
         if links:
             linked += len(piece)
 
+    def silent_end(name: str, place: int) -> int:
+        """Where a silent element ends; ``place`` itself if it isn't closed in its parent."""
+        if ends.get(name, -1) < place:
+            over = re.compile(rf"</{re.escape(name)}(?![A-Za-z])[^>]*>?", re.I).search(source, place)
+            ends[name] = over.end() if over else len(source) + 1
+        over = ends[name]
+        if name in RAW:
+            return min(over, len(source))
+        if over > len(source):
+            return place
+        parent, depth = stack[blocks[-1]][0], 0
+        if len(blocks) > 1:
+            for m in re.compile(rf"<(/?){parent}(?![A-Za-z0-9])", re.I).finditer(source, place, over):
+                depth += -1 if m[1] else 1
+                if depth < 0:
+                    return place
+        return over
+
     place, end = 0, len(source)
     while place < end:
         m = TAG.search(source, place)
@@ -173,36 +212,30 @@ def parse(source: str | None) -> Page:
             continue
         name, closing, raw = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    close(k)
-                    break
-                if name not in BLOCKS and stack[k][0] in BLOCKS:
-                    break
+            at = places[name][-1] if places.get(name) else 0
+            if at and (name in BLOCKS or at > blocks[-1]):
+                close(at)
             continue
         if name in SILENT:
             if name != "head" and not raw.endswith("/"):
-                over = re.compile(rf"</{re.escape(name)}(?![A-Za-z])[^>]*>?", re.I).search(source, place)
-                place = over.end() if over else end
+                place = silent_end(name, place)
             continue
         if name in VOID:
-            run.append(" ")
+            if name in ("br", "hr"):
+                run.append(" ")
             if name == "hr":
                 flush()
             continue
         for ended, bounds in ENDED_BY.get(name, ()):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == ended:
-                    close(k)
-                    break
-                if stack[k][0] in bounds:
-                    break
+            at = places[ended][-1] if places.get(ended) else 0
+            if at and not any(places[t][-1] > at for t in bounds if places.get(t)):
+                close(at)
         if name in BLOCKS:
             flush()
-            stack.append((name, page.add(name, stack[-1][1], *_attributes(raw))))
+            enter(name, page.add(name, stack[-1][1], *_attributes(raw)))
         else:
             links += name == "a"
-            stack.append((name, stack[-1][1]))
+            enter(name, stack[-1][1])
     flush()
     return page
 
@@ -263,7 +296,7 @@ def features(page: Page) -> np.ndarray:
             x[i, at + TAG_NUMBER[t]] = 1
     at += len(TAGS)
     for bits, width in ((np.where(leaf, kinds[up], kinds), len(KINDS)), (around, len(KINDS)), (inside, len(KINDS)),
-                        (held, len(HOLDERS)), (np.array(page.hashed), 8)):
+                        (held, len(HOLDERS)), *[(np.array([h >> k & 0xFFFFFFFF for h in page.hashed]), w) for k, w in HASH_PARTS]):
         x[:, at:at + width] = bits[:, None] >> np.arange(width) & 1
         at += width
     return x
