@@ -392,6 +392,29 @@ def test_licences_inside_lines_comments_and_files():
     assert not names("All photos are licensed under CC BY 3.0, see below") and not names(prose(9, 3000))
 
 
+def test_uncovered_passages_equal_all_comparisons():
+    r = np.random.default_rng(6)
+    for _ in range(200):
+        spans = [(float(r.choice([0.8, 0.9, 1.0])), a := int(r.integers(0, 300)), a + int(r.integers(1, 200)), str(r.choice(["A", "B"]))) for _ in range(60)]
+        named, passages = spans[:20], sorted(spans[20:], key=lambda x: (-x[0], x[1] - x[2], x[1], x[3]))
+        want, found = [], list(named)
+        for x in passages:
+            covering = [y for y in found if y[0] >= x[0] and 2 * (min(x[2], y[2]) - max(x[1], y[1])) >= x[2] - x[1]]
+            if all(y[:3] == x[:3] and y[3] != x[3] for y in covering):
+                found.append(x)
+                want.append(x)
+        assert license_scan._uncovered(passages, sorted(named, key=lambda y: -y[0])) == want
+
+
+def test_a_dump_of_notices_is_read_in_time():
+    import time
+    scanner, notice = license_scan.Scanner(license_scan.TEMPLATES, license_scan.LEAST), "Released under the MIT License."
+    for text in (f"{notice} some words between " * 20_000, f"{notice}\n" * 20_000):
+        begin = time.perf_counter()
+        assert scanner.scan(text)[0][0] == "MIT"
+        assert time.perf_counter() - begin < 15
+
+
 def test_passages_equal_all_windows():
     short = [("A", "p q r s t u"), ("B", "q r q r v w x y z p q r s t u v w x y z q r a b"), ("C", "a b c d e")]
     scanner, r = license_scan.Scanner(short, license_scan.LEAST), np.random.default_rng(4)

@@ -47,6 +47,10 @@ from pyspark.sql import DataFrame
 from .licence_texts import TEXTS
 
 LEAST = 0.8
+#: Pairs in a stretch of the look-up of found places.
+NEAR = 64
+#: Pairs in a stretch of the look-up of found places.
+NEAR = 64
 #: Pairs from which on a passage may be shorter than the template.
 SHORT = 20
 
@@ -213,16 +217,37 @@ class Scanner:
             a, b = starts[first], max(starts[first], starts[last] - 1)
             named += [(dice, a, b, name) for name, dice in self.compare(found[a:b])]
         passages = [x for k in sorted({k for p in found if p in self.anchors for k in self.anchors[p]}) for x in self.windows(found, k)]
-        for x in sorted(passages, key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])):
-            covering = [y for y in named if y[0] >= x[0] and 2 * (min(x[2], y[2]) - max(x[1], y[1])) >= x[2] - x[1]]
-            if all(y[:3] == x[:3] and y[3] != x[3] for y in covering):
-                named.append(x)
+        named += _uncovered(sorted(passages, key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])), sorted(named, key=lambda y: -y[0]))
         for dice, _, _, name in named:
             best[name] = max(dice, best.get(name, 0.0))
             n_units[name] += 1
         return [(name, best[name], n_units[name]) for name in sorted(best)]
 
 
+def _uncovered(passages: list[tuple[float, int, int, str]], named: list[tuple[float, int, int, str]]) -> list[tuple[float, int, int, str]]:
+    """The passages, best first, of which no half lies in one found with as much
+    or more (in ``named``, best first, or before it); the same place under
+    another name with as much does not count.
+
+    What holds half of a passage holds its middle, so found places are looked
+    up by the stretch of ``NEAR`` pairs that the middle is in."""
+    kept, found, taken = [], defaultdict(list), 0
+
+    def enter(y: tuple[float, int, int, str]) -> None:
+        for k in range(y[1] // NEAR, y[2] // NEAR + 1):
+            found[k].append(y)
+
+    for x in passages:
+        while taken < len(named) and named[taken][0] >= x[0]:
+            enter(named[taken])
+            taken += 1
+        beside = found.get((x[1] + x[2]) // 2 // NEAR, ())
+        if all(y[:3] == x[:3] and y[3] != x[3] for y in beside if 2 * (min(x[2], y[2]) - max(x[1], y[1])) >= x[2] - x[1]):
+            kept.append(x)
+            enter(x)
+    return kept
+
+
 def find_licences(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """One row per document and licence: doc_id, licence, dice, n_units."""
     schema = pa.schema([("doc_id", pa.int64()), ("licence", pa.string()), ("dice", pa.float64()), ("n_units", pa.int32())])
