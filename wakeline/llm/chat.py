@@ -19,7 +19,9 @@ in order: nearly all have one, and no row gathers more turns than that.
 Cases: turns are ordered by turn, role and text, nulls first; places do not
 depend on the numbering.  A null role or text differs from an empty one when
 compared and is rendered as empty.  All rows with a null conv_id are one
-conversation.  Repeated rows are turns of their own.
+conversation.  Repeated rows are turns of their own.  A text may spell the
+marks themselves: every ``<|`` in a role or text is written ``<\\|``, and a line
+end in a role is a space, so no turn can begin or end another.
 """
 
 from __future__ import annotations
@@ -62,12 +64,17 @@ def maximal(prefixes: DataFrame) -> DataFrame:
             .select("conv_id", (F.col("place") + 1).alias("n_turns"), "n_logs"))
 
 
+def _inert(text: Column) -> Column:
+    """No mark can be read in it."""
+    return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("<\\|"))
+
+
 def render(turns: DataFrame) -> DataFrame:
     """conv_id, part, n_turns, n_logs and text of every maximal conversation."""
     prefixes = rolling(turns)
     kept = materialize(maximal(prefixes), "maximal").withColumnRenamed("conv_id", "_kept")
-    piece = F.concat(F.lit("<|im_start|>"), F.coalesce("role", F.lit("")), F.lit("\n"),
-                     F.coalesce("text", F.lit("")), F.lit("<|im_end|>\n"))
+    piece = F.concat(F.lit("<|im_start|>"), F.translate(_inert(F.col("role")), "\r\n", "  "), F.lit("\n"),
+                     _inert(F.col("text")), F.lit("<|im_end|>\n"))
     part = F.floor(F.col("place") / PART).cast("int")
     return (prefixes.join(kept, F.col("conv_id").eqNullSafe(F.col("_kept")))
             .groupBy("conv_id", part.alias("part"))
@@ -95,7 +102,8 @@ kept AS (
                     WHERE p.place < o.place AND p.place = l.place AND p.prefix = l.prefix)
   GROUP BY place, prefix)
 SELECT k.conv_id, CAST(p.place // 256 AS INTEGER) AS part, any_value(n_turns) AS n_turns, any_value(n_logs) AS n_logs,
-       string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY p.place) AS text
+       string_agg('<|im_start|>' || translate(replace(coalesce(role, ''), '<|', '<\|'), chr(13) || chr(10), '  ') || chr(10)
+         || replace(coalesce(text, ''), '<|', '<\|') || '<|im_end|>' || chr(10), '' ORDER BY p.place) AS text
 FROM kept k JOIN prefixes p ON k.conv_id IS NOT DISTINCT FROM p.conv_id
 GROUP BY k.conv_id, p.place // 256
 """
