@@ -63,12 +63,13 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` (its ``columns``, packed in ``_row``) with size,
     source_size, target and taken."""
-    rows = packed(docs).withColumns({"_source": field("source"), "_key": _order(field("doc_id")), "_id": field("doc_id"),
-                                     "size": F.size(words(field("text"))).cast("long")})
+    rows = packed(docs).withColumns({"_n": F.monotonically_increasing_id(), "_source": field("source"), "_key": _order(field("doc_id")),
+                                     "_id": field("doc_id"), "size": F.size(words(field("text"))).cast("long")})
     order = ["_key", "_id", "size"]
     if columns:
         rows = rows.withColumn(ROW, F.struct(*[field(c).alias(c) for c in columns]))
-    ranged = range_sorted(rows, ["_source"], order, "mix")
+    rows = materialize(rows, "mix_rows")       # words are cut once, and the texts stay out of the ordering
+    ranged = range_sorted(rows.drop(ROW), ["_source"], order, "mix")
     sizes = ranged.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes).select(F.col("source").alias("_target_of"), "source_size", "target")
     summed = prefix_sum(ranged, ["_source"], order, F.col("size"), "_before")
@@ -76,8 +77,9 @@ def mix(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
     extra = F.greatest(F.lit(0), F.least(rest - F.col("_before"), F.col("size")))
-    return (summed.join(targets, F.col("_source").eqNullSafe(F.col("_target_of")))
-            .select(ROW, "size", "source_size", "target", (epochs * F.col("size") + extra).cast("long").alias("taken")))
+    taken = (summed.join(targets, F.col("_source").eqNullSafe(F.col("_target_of")))
+             .select("_n", "source_size", "target", (epochs * F.col("size") + extra).cast("long").alias("taken")))
+    return rows.select("_n", ROW, "size").join(taken, "_n").drop("_n").select(ROW, "size", "source_size", "target", "taken")
 
 
 MIX_SQL = r"""
