@@ -63,9 +63,11 @@ def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> Dat
 
 def forest_pipeline(features: Sequence[str], label: str, num_trees: int = FOREST_TREES,
                     max_depth: int = FOREST_MAX_DEPTH, min_leaf: int = FOREST_MIN_LEAF,
-                    seed: int = RANDOM_SEED, node_memory_mb: int = 64) -> Pipeline:
+                    seed: int = RANDOM_SEED, node_memory_mb: int = 64, bootstrap: bool = True) -> Pipeline:
     """Indexer -> median imputer -> assembler -> weighted random forest.
 
+    ``bootstrap=False`` grows every tree on all rows.
+
     ``node_memory_mb`` caps the statistics aggregated per pass over the data
     (spark.ml ``maxMemoryInMB``): deep trees are then grown in more, smaller
     passes instead of exhausting the heap.  Node ids are cached per row (and
@@ -80,7 +82,7 @@ def forest_pipeline(features: Sequence[str], label: str, num_trees: int = FOREST
                         outputCol="_features", handleInvalid="keep"),
         RandomForestClassifier(featuresCol="_features", labelCol="_label_idx", weightCol="weight",
                                numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                               seed=seed, predictionCol="_pred_idx", probabilityCol="_proba",
+                               seed=seed, bootstrap=bootstrap, predictionCol="_pred_idx", probabilityCol="_proba",
                                rawPredictionCol="_raw", maxMemoryInMB=node_memory_mb,
                                cacheNodeIds=True, checkpointInterval=10),
     ])

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,14 +122,48 @@ def box_summary(df: DataFrame, features: Sequence[str], class_col: str) -> DataF
         "feature", "class", "n", "q1", "median", "q3", "iqr", "whisker_low", "whisker_high")
 
 
+#: Cells per bandwidth, terms of the expansion, and bandwidths beyond which a kernel is 0.
+KDE_CELLS = 64
+KDE_TERMS = 6
+KDE_REACH = 8.5
+
+
+def _hermite(z: Column, terms: int) -> list[Column]:
+    """He_0 .. of z: He_k+1 = z He_k - k He_k-1."""
+    out = [F.lit(1.0), z]
+    while len(out) < terms:
+        out.append(z * out[-1] - (len(out) - 1) * out[-2])
+    return out
+
+
+def kde_cells(v: DataFrame, st: DataFrame) -> DataFrame:
+    """(class, v) -> per class and cell of h / ``KDE_CELLS``: the cell's middle
+    and the power sums of the distances to it, in bandwidths."""
+    width = F.col("h") / KDE_CELLS
+    cells = (v.join(broadcast_if_small(st), "class")
+             .withColumn("cell", F.floor((F.col("v") - F.col("lo")) / width))
+             .withColumn("u", (F.col("v") - F.col("lo")) / F.col("h") - (F.col("cell") + 0.5) / KDE_CELLS))
+    power, powers = F.lit(1.0), []
+    for k in range(KDE_TERMS):
+        powers.append(F.sum(power).alias(f"m{k}"))
+        power = power * F.col("u")
+    return cells.groupBy("class", "cell").agg(*powers)
+
+
 def kde_by_class(df: DataFrame, value: str, class_col: str, grid: int = KDE_GRID,
                  cut: float = KDE_CUT) -> DataFrame:
     """Gaussian KDE per class, each normalised on its own (Scott bandwidth
     h = std * n^(-1/5); grid of ``grid`` points from min - cut*h to max + cut*h).
 
-    Values are first collapsed to (class, value) counts; each distinct value
-    then emits its contribution to the class's fixed-size grid, summed with
-    partial aggregation.  Exact, and the work is distinct values x grid.
+    A fast Gauss transform: values are collapsed, map-side, to power sums per
+    cell of h / 64, and a cell's kernels are expanded around its middle,
+
+        exp(-(z - u)^2 / 2) = exp(-z^2 / 2) * sum He_k(z) u^k / k!,
+
+    with |u| <= 1 / 128.  Six terms leave less than 1e-14 of a kernel's height;
+    beyond 8.5 bandwidths, where 3e-16 of it is left, nothing is added.  A class
+    has at most 64 (max - min) / h cells, whatever its rows and distinct values,
+    and each emits the grid points within its reach.
     """
     v = df.select(F.col(class_col).cast("string").alias("class"),
                   F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
@@ -138,17 +172,22 @@ def kde_by_class(df: DataFrame, value: str, class_col: str, grid: int = KDE_GRID
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))) \
            .where(F.col("h") > 0)
     st = st.withColumn("g0", F.col("lo") - cut * F.col("h")).withColumn(
-        "step", (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (grid - 1))
-    distinct = v.groupBy("class", "v").agg(F.count(F.lit(1)).alias("c"))
-    j = distinct.join(broadcast_if_small(st), "class")
-    pts = j.select("class", "v", "c", "n", "h", "g0", "step",
-                   F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
-    x = F.col("g0") + F.col("i") * F.col("step")
-    z = (x - F.col("v")) / F.col("h")
-    contrib = F.col("c") * F.exp(-0.5 * z * z)
-    return (pts.groupBy("class", F.col("i").cast("long").alias("i"))
-            .agg(F.first(x).alias("x"),
-                 (F.sum(contrib) / (F.first("n") * F.first("h") * math.sqrt(2 * math.pi))).alias("density")))
+        "step", (F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / (grid - 1)).transform(materialize)
+    h, g0, step = F.col("h"), F.col("g0"), F.col("step")
+    middle = F.col("lo") + (F.col("cell") + 0.5) * h / KDE_CELLS
+    first = F.greatest(F.lit(0), F.ceil((middle - KDE_REACH * h - g0) / step))
+    last = F.least(F.lit(grid - 1), F.floor((middle + KDE_REACH * h - g0) / step))
+    reached = kde_cells(v, st).join(broadcast_if_small(st), "class").select(
+        "class", "n", "h", "g0", "step", middle.alias("middle"), *[f"m{k}" for k in range(KDE_TERMS)],
+        F.explode(F.when(first <= last, F.sequence(first, last))).alias("i"))
+    z = (g0 + F.col("i") * step - F.col("middle")) / h
+    terms = [p * F.col(f"m{k}") / math.factorial(k) for k, p in enumerate(_hermite(z, KDE_TERMS))]
+    sums = (reached.withColumn("part", F.exp(-0.5 * z * z) * sum(terms[1:], terms[0]))
+            .groupBy("class", F.col("i").cast("long").alias("i")).agg(F.sum("part").alias("part")))
+    points = st.select("class", "n", "h", "g0", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))).alias("i"))
+    return (points.join(sums, ["class", "i"], "left")
+            .select("class", "i", (g0 + F.col("i") * step).alias("x"),
+                    (F.coalesce("part", F.lit(0.0)) / (F.col("n") * h * math.sqrt(2 * math.pi))).alias("density")))
 
 
 def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -18,8 +18,9 @@ from ..config import MODEL_FEATURES, RAW_TIMESTAMP_FORMAT
 from ..functions import utc_instant
 from ..operators import drift as D
 from ..operators import model as M
+from ..operators import sketches as SK
 from ..operators import stats as ST
-from ..operators.pings import keep_ship_types
+from ..operators.pings import keep_ship_types, numeric_columns
 from ..session import materialize, scratch_path
 from ..sources import logs as LG
 from ..sources import raw as R
@@ -29,7 +30,9 @@ from ..sources.tables import table
 from ..streaming.jobs import read_weeks, run_weekly_stream
 from . import jobs as J
 from . import oracle_weekly as OW
-from .catalog import _VP, _W, ADAPTER_MIN_PINGS, ORACLE, log_lines, register, vessel_pings, weekly
+from . import oracle_drift as OD
+from .catalog import (_LI, _LIBASE, _VP, _W, ADAPTER_MIN_PINGS, LI_FEATURES, ORACLE, lineitem_monthly, log_lines, register, vessel_pings,
+                      weekly)
 from .sqltext import rounded, with_ctes
 
 FROM_DAY, TO_DAY = 5, 18      # days of the daily table that are read back
@@ -75,6 +78,65 @@ def q_daily_resumed(spark, sf_dir):
     return _per_day(R.read_daily(spark, root))
 
 
+DAMAGED_DAY = 3      # the archive of this day, counted from the first, breaks off
+
+
+def _write_archives(days, root: str, damaged: dt.date) -> None:
+    """One zipped CSV per day, written where the day's rows are; of one the last bytes are missing."""
+    def write(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+        open_files = {}
+        fs, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+        fs.create_dir(base)
+        for pdf in batches:
+            for day, rows in pdf.groupby("event_date"):
+                text = rows.drop(columns="event_date").to_csv(index=False, header=day not in open_files)
+                open_files.setdefault(day, []).append(text)
+        for day, texts in open_files.items():
+            with fs.open_output_stream(f"{base}/aisdk-{day}.zip") as out:
+
+                data = io.BytesIO()
+                with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(f"aisdk-{day}.csv", "".join(texts))
+                raw = bytearray(data.getvalue())
+                if day == damaged:
+                    raw[len(raw) // 2] ^= 0xFF
+                out.write(bytes(raw))
+            yield pd.DataFrame({"day": [str(day)]})
+
+    days.repartition("event_date").mapInPandas(write, "day string").collect()      # one short row per day
+
+
+@register("archive_days", f"""SELECT event_date, CASE WHEN event_date = (SELECT min(CAST(ts AS DATE)) FROM events) + {DAMAGED_DAY}
+  THEN 'open' ELSE 'stored' END AS state, CASE WHEN event_date <> (SELECT min(CAST(ts AS DATE)) FROM events) + {DAMAGED_DAY} THEN n ELSE 0 END AS n
+FROM (SELECT CAST(ts AS DATE) AS event_date, count(*) AS n FROM events GROUP BY 1) t""")
+def q_archive_days(spark, sf_dir):
+    """A1/A3: archives written from the events, one of them damaged, read in one
+    pass each: all rows of the whole ones, none of the other, whose day stays open."""
+    ev, root = table(spark, sf_dir, "events"), _scratch(spark, "archives")
+    d0 = ev.agg(F.min(F.to_date("ts"))).first()[0]  # one scalar
+    rows = ev.select(F.to_date("ts").alias("event_date"), F.date_format("ts", RAW_TIMESTAMP_FORMAT).alias("# Timestamp"),
+                     F.col("user_id").cast("string").alias("IMO"), F.col("value").cast("string").alias("SOG"))
+    _write_archives(rows, root.removeprefix("file:"), d0 + dt.timedelta(days=DAMAGED_DAY))
+    raw = R.read_raw(spark, root.removeprefix("file:"))
+    return raw.groupBy("event_date").agg(F.max(F.when(F.col("error").isNotNull(), "open").otherwise("stored")).alias("state"),
+                                         F.count_if(F.col("error").isNull()).alias("n"))
+
+
+@register("daily_compacted", with_ctes(_VP, f"{_DAILY} GROUP BY event_date, imo"))
+def q_daily_compacted(spark, sf_dir):
+    """A5: the daily table written in many small files, then compacted in place."""
+    p, root = _daily_pings(spark, sf_dir), _scratch(spark, "daily")
+    for k in range(3):
+        p.where(F.pmod(F.xxhash64("imo"), F.lit(3)) == k).write.mode("append").partitionBy("event_date").parquet(root)
+    K.compact_days(spark, root)
+    return _per_day(R.read_daily(spark, root))
+
+
 @register("track_order", with_ctes(_VP, """SELECT imo, ts, n,
   CAST(coalesce(sum(n) OVER (PARTITION BY imo ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     AS BIGINT) AS n_before
@@ -235,6 +297,78 @@ def q_current_version(spark, sf_dir):
     return J.versions(spark, root).agg(F.count(F.lit(1)).alias("promoted")).select(current, "promoted")
 
 
+# ---------------------------------------------------------------- schema file, stored baselines, runs, a stump
+
+_DTYPE = "CASE data_type WHEN 'DOUBLE' THEN 'float64' WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'VARCHAR' THEN 'object' ELSE 'datetime' END"
+
+
+@register("schema_file", f"""SELECT DISTINCT column_name AS name, {_DTYPE} AS dtype,
+  data_type IN ('DOUBLE', 'BIGINT', 'INTEGER') AS is_numeric
+FROM information_schema.columns WHERE table_name = 'lineitem'""")
+def q_schema_file(spark, sf_dir):
+    """The schema file written and read back, and the numeric columns."""
+    li, path = table(spark, sf_dir, "lineitem"), _scratch(spark, "schema")
+    K.write_schema(spark, path, K.schema_spec(li, li.columns))
+    spec, numeric = K.load_schema(spark, path), set(numeric_columns(li))
+    K.validate_schema(li, spec)
+    return spark.createDataFrame([(c, spec["dtypes"][c], c in numeric) for c in spec["columns"]], "name string, dtype string, is_numeric boolean")
+
+
+@register("baselines_stored", rounded(with_ctes([_LI, _LIBASE] + OD.baseline_ctes("lbase", LI_FEATURES) + OD.predicted_ctes("lbase", "lsrc"),
+    """SELECT feature, class, bin, CASE WHEN bin > 0 THEN lo END AS lo, ref_prop FROM bins
+UNION ALL SELECT 'classes', class, NULL, NULL, ref FROM pref"""), ["lo", "ref_prop"]))
+def q_baselines_stored(spark, sf_dir):
+    """Bins and class shares of the baseline, saved and loaded."""
+    _, base = lineitem_monthly(spark, sf_dir)
+    path = _scratch(spark, "baselines")
+    K.save_baselines(*D.build_baselines(base, LI_FEATURES, "l_returnflag", "l_linestatus"), path)
+    bins, classes = K.load_baselines(spark, path)
+    none = F.lit(None)
+    return bins.select("feature", "class", "bin", F.when(F.col("bin") > 0, F.col("lo")).alias("lo"), "ref_prop").unionByName(
+        classes.select(F.lit("classes").alias("feature"), "class", none.cast("long").alias("bin"), none.cast("double").alias("lo"), "ref_prop"))
+
+
+@register("training_recorded", """SELECT event_type AS run_id, min(CAST(ts AS DATE)) AS data_start, max(CAST(ts AS DATE)) AS data_end
+FROM events GROUP BY event_type""")
+def q_training_recorded(spark, sf_dir):
+    """A training run per kind of event, recorded with the days of its data."""
+    path = _scratch(spark, "runs")
+    spans = table(spark, sf_dir, "events").groupBy("event_type").agg(F.to_date(F.min("ts")).alias("a"), F.to_date(F.max("ts")).alias("b"))
+    for r in spans.collect():       # one row per kind of event
+        K.save_training_metadata(spark, path, r["a"], r["b"], r["event_type"])
+    return spark.read.parquet(path).select("run_id", "data_start", "data_end")
+
+
+_STUMP = [("t", "SELECT CASE WHEN l_quantity > 20 THEN 1e0 ELSE 0e0 END AS x, CASE WHEN l_quantity <= 10 THEN 'small' WHEN l_quantity <= 30 THEN 'middle' "
+               "ELSE 'large' END AS class, count(*) AS n FROM lineitem GROUP BY ALL"),
+          ("w", "SELECT class, (SELECT sum(n) FROM t) / ((SELECT count(DISTINCT class) FROM t) * sum(n)) AS w FROM t GROUP BY class"),
+          ("leaf", "SELECT g.x, w.class, coalesce(t.n, 0) * w.w AS m FROM (SELECT DISTINCT x FROM t) g CROSS JOIN w LEFT JOIN t ON t.x = g.x AND t.class = w.class"),
+          ("scored", "SELECT x, class, m / sum(m) OVER (PARTITION BY x) AS probability, row_number() OVER (PARTITION BY x ORDER BY m DESC) AS r FROM leaf")]
+
+
+def _stump(spark, sf_dir):
+    """A tree of one split (balanced weights): the one column that tells anything apart is known."""
+    size = F.when(F.col("l_quantity") <= 10, "small").when(F.col("l_quantity") <= 30, "middle").otherwise("large")
+    rows = table(spark, sf_dir, "lineitem").select((F.col("l_quantity") > 20).cast("double").alias("x"), F.lit(1.0).alias("flat"), size.alias("size"))
+    return M.train_forest(rows, ["x", "flat"], "size", num_trees=1, max_depth=1, bootstrap=False), rows
+
+
+@register("stump_scores", rounded(with_ctes(_STUMP, """SELECT s.x, s.class, s.probability, p.class AS prediction
+FROM scored s JOIN scored p ON p.x = s.x AND p.r = 1"""), ["x", "probability"]))
+def q_stump_scores(spark, sf_dir):
+    """Class probabilities and prediction of both leaves."""
+    model, rows = _stump(spark, sf_dir)
+    leaves = rows.select("x", "flat").distinct()
+    return M.predict_proba(model, leaves, ["x", "flat"]).select("x", "prediction", F.explode("probabilities").alias("class", "probability"))
+
+
+@register("stump_importance", """SELECT f AS feature, CASE WHEN f = 'x__imp' AND count(DISTINCT l_quantity > 20) > 1 THEN 1e0 ELSE 0e0 END AS importance
+FROM lineitem, (VALUES ('x__imp'), ('flat__imp'), ('x__missing'), ('flat__missing')) v(f) GROUP BY f""")
+def q_stump_importance(spark, sf_dir):
+    """I10 of that tree."""
+    return M.impurity_importance(_stump(spark, sf_dir)[0])
+
+
 # ---------------------------------------------------------------- raw text, periods, stacked results
 
 BAD_TIME, BAD_ID, BAD_SPEED, NO_SPEED = 17, 19, 23, 29
@@ -294,6 +428,27 @@ def q_period_dates(spark, sf_dir):
                       D.period_as_date(ev, "own", "dd.MM.yyyy").alias("as_own_format")).agg(F.count(F.lit(1)).alias("n"))
 
 
+SKETCHED = {"q10": 0.1, "q50": 0.5, "q90": 0.9}
+
+
+@register("sketch_quantiles", """SELECT event_type, q, n, true AS within
+FROM (SELECT event_type, count(value) AS n FROM events GROUP BY event_type) t, (VALUES ('q10'), ('q50'), ('q90')) v(q)""")
+def q_sketch_quantiles(spark, sf_dir):
+    """Quantiles read off merged daily sketches lie within the sketch's
+    rank error (taken twice, for certainty) of the exact rank."""
+    ev = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    daily = SK.value_sketches(ev, ["event_type", "day"], "value").transform(materialize)
+    found = SK.sketch_quantiles(SK.merge_sketches(daily, ["event_type"]), ["event_type"], SKETCHED)
+    long = found.unpivot(["event_type", "n"], list(SKETCHED), "q", "estimate").transform(materialize)
+    ranks = ev.join(long.select("event_type", "q", "estimate"), "event_type").groupBy("event_type", "q").agg(
+        (F.count_if(F.col("value") < F.col("estimate")) / F.count("value")).alias("below"),
+        (F.count_if(F.col("value") <= F.col("estimate")) / F.count("value")).alias("upto"))
+    want = F.element_at(F.create_map(*[F.lit(x) for kv in SKETCHED.items() for x in kv]), F.col("q"))
+    slack = 2 * SK.rank_error()
+    return long.join(ranks, ["event_type", "q"]).select(
+        "event_type", "q", "n", ((F.col("below") <= want + slack) & (F.col("upto") >= want - slack)).alias("within"))
+
+
 @register("stacked_results", rounded("""SELECT l_returnflag AS class, count(*) AS n, max(l_quantity) AS max_quantity
 FROM lineitem GROUP BY l_returnflag
 UNION ALL BY NAME SELECT o_orderstatus AS class, max(o_totalprice) AS max_price, count(*) AS n

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..config import NULL_TOKENS, RAW_TIMESTAMP_FORMAT
+from ..operators.drift import broadcast_if_small
 from ..operators.pings import parse_timestamp
+from ..session import materialize
 
 # raw header name -> column name used by the operators (fixed values)
 RAW_COLUMNS = {
@@ -115,18 +117,22 @@ class ZipCsvReader(DataSourceReader):
                 if self.inventory:  # central directory only, no member is decompressed
                     yield batch({}, 1, None)
                     return
-                with zf.open(members[0]) as member:  # to the end, where its checksum is compared: all rows or none
-                    while member.read(1 << 20):
-                        pass
-                with zf.open(members[0]) as member:
+                with zf.open(members[0]) as member:     # inflated once; its checksum is compared at the end
                     opts = pacsv.ConvertOptions(
                         null_values=NULL_TOKENS, strings_can_be_null=True, quoted_strings_can_be_null=True,
                         include_columns=list(RAW_COLUMNS), include_missing_columns=True,
                         column_types={c: pa.string() for c in RAW_COLUMNS})
-                    reader = pacsv.open_csv(member, convert_options=opts)
-                    for rb in reader:
-                        cols = {RAW_COLUMNS[n]: rb.column(i) for i, n in enumerate(rb.schema.names)}
-                        yield batch(cols, rb.num_rows, None)
+                    try:
+                        reader = pacsv.open_csv(member, convert_options=opts)
+                        for rb in reader:
+                            cols = {RAW_COLUMNS[n]: rb.column(i) for i, n in enumerate(rb.schema.names)}
+                            yield batch(cols, rb.num_rows, None)
+                    except pa.ArrowInvalid:
+                        while member.read(1 << 20):     # damaged bytes need not be CSV: if so, the checksum tells
+                            pass
+                        raise
+                    while member.read(1 << 20):
+                        pass
         except (zipfile.BadZipFile, EOFError, zlib.error) as e:
             # a damaged archive is recorded; a fault of the store or of the CSV fails the task, which Spark runs again
             yield batch({}, 1, f"corrupt_zip: {type(e).__name__}")
@@ -150,8 +156,9 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ZipCsvSource)
 
 
-def read_raw(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    """A1/A2: raw rows (all strings) of the archives dated in [start, end]."""
+def staged_raw(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """What the archives dated in [start, end] give, row by row as they are
+    inflated; the rows of a damaged archive end with one that has an ``error``."""
     register(spark)
     r = spark.read.format("aiszip")
     if start is not None:
@@ -161,6 +168,20 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     return r.load(path)
 
 
+def read_raw(spark: SparkSession, path: str, start=None, end=None, rejects: Observation | None = None) -> DataFrame:
+    """A1/A2: raw rows (all strings) of the archives dated in [start, end].
+
+    Each archive is inflated once: its rows are staged (written to the shared
+    checkpoint folder) before its checksum is known, and come out only if it
+    matched.  Of a damaged archive one row with its ``error`` comes out.
+    ``rejects`` receives the counts of what cannot be parsed, in the same pass."""
+    staged = staged_raw(spark, path, start, end)
+    staged = (staged if rejects is None else observe_rejects(staged, rejects)).transform(materialize)
+    bad = staged.where(F.col("error").isNotNull()).select("source_file").distinct()
+    whole = staged.where(F.col("error").isNull()).join(broadcast_if_small(bad), "source_file", "left_anti")
+    return whole.unionByName(staged.where(F.col("error").isNotNull()))
+
+
 def inventory(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
     """One row per archive in range with ``error`` NULL when it opens: reads only
     each zip's central directory, so corrupt days are found without a data pass."""

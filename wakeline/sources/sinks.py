@@ -75,6 +75,37 @@ def compact(spark: SparkSession, root: str, out: str, n_files: int) -> None:
          .write.mode("overwrite").partitionBy("event_date").parquet(out))
 
 
+def compaction_plan(spark: SparkSession, root: str, target_bytes: int) -> DataFrame:
+    """A5: the days worth rewriting - (event_date, n_files, bytes, n_after).
+
+    A day is one if its files would fit into fewer files of ``target_bytes``.
+    Files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    day = F.to_date(F.regexp_extract("path", "event_date=([^/]+)/", 1))
+    return (files.where(F.col("path").contains("/event_date=")).groupBy(day.alias("event_date"))
+            .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes"))
+            .withColumn("n_after", F.ceil(F.col("bytes") / target_bytes))
+            .where(F.col("n_after") < F.col("n_files")))
+
+
+def compact_days(spark: SparkSession, root: str, target_bytes: int = 128 << 20) -> DataFrame:
+    """A5: merge the small files of the days that have too many, in place.
+
+    Only those days are read, staged and swapped in (dynamic partition
+    overwrite); the files of all others stay as they are.  Returns the plan."""
+    plan = compaction_plan(spark, root, target_bytes).transform(materialize)
+    days = [r[0] for r in plan.select("event_date").collect()]      # one row per day to be rewritten
+    if days:
+        total = int(plan.agg(F.sum("n_after")).first()[0])
+        staged = spark.read.parquet(root).where(F.col("event_date").isin(days)).transform(materialize)
+        # a day's vessels are dealt into as many parts as it shall have files
+        dealt = (staged.join(broadcast_if_small(plan.select("event_date", "n_after"), known_rows=len(days)), "event_date")
+                 .withColumn("_part", F.pmod(F.xxhash64("imo"), F.col("n_after"))))
+        (dealt.repartition(total, "event_date", "_part").sortWithinPartitions("event_date", "imo", "ts").drop("_part", "n_after")
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(root))
+    return plan
+
+
 def existing_keys(spark: SparkSession, path: str, keys=("imo", "week_start")) -> DataFrame | None:
     """Only the key columns of a stored table (column pruning at the scan)."""
     if not path_exists(spark, path):
