@@ -254,7 +254,7 @@ def test_pipeline_stages(spark):
 
 def test_entry_registers_every_operator():
     names = set(entry.queries())
-    assert "pipeline" in names and {m[1] for n in names if (m := re.match(r"op(\d+)_", n))} == {str(n) for n in range(1, 11)}
+    assert "pipeline" in names and {m[1] for n in names if (m := re.match(r"op(\d+)_", n))} == {str(n) for n in range(1, 14)}
 
 
 # ------------------------------------------------------- text rules, open elements, deep pages, marks
@@ -307,3 +307,67 @@ def test_turns_cannot_forge_turns(spark):
     con = duckdb.connect()
     con.register("conversations", turns.toPandas())
     assert {r[0]: r[4] for r in con.execute(chat.CHAT_SQL).fetchall()} == out
+
+
+# ------------------------------------------------------- the pipeline on odd rows
+def run_pipeline(spark, tmp_path, docs, labels, benchmark):
+    import corpus_pipeline
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", benchmark)):
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    return corpus_pipeline.run(spark, str(tmp_path))
+
+
+def prose_of(seed, n):
+    import random
+    r = random.Random(0)
+    words = ["".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randint(2, 9))) for _ in range(500)]
+    r = random.Random(seed)
+    return " ".join(r.choice(words) for _ in range(n))
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, _row string, _fp string, _n long, _id long, _t string, size string, kept string, taken string, score string"
+
+
+def odd_documents(spark, rows):
+    extra = ("r", "f", 7, 8, "t", "s", "k", "x", "y")
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), *extra) for i, t, s in rows], ODD)
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and ids, clashing columns; the mixture against SQL."""
+    from wakeline.llm import mix, secret_scan
+    texts = [prose_of(k, 90) for k in range(12)]
+    leak = prose_of(99, 30)
+    long = prose_of(77, 40_000)
+    rows = [(i, t, "abc"[i % 3]) for i, t in enumerate(texts)]
+    rows += [(3, texts[3], "a"), (20, texts[3], "b"), (21, texts[3] + " more", None), (30, None, "a"), (31, "", None), (None, None, None), (None, prose_of(55, 80), "a")]
+    rows += [(40, prose_of(41, 60) + " " + leak + " " + prose_of(42, 60), "b"), (41, long, None), (42, "word " * 3000, "c"), (43, texts[5] + " password = Zk93kdLpq20xMn", "a"), (3, prose_of(56, 80), "c")]
+    docs = odd_documents(spark, rows)
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(6), 41]] + [(0, 0, 1), (None, 1, 0), (7, None, None)], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([(1, leak), (2, None), (3, "")], "item_id long, text string")
+    out = run_pipeline(spark, tmp_path, docs, labels, benchmark).collect()
+    got = Counter(r["doc_id"] for r in out)
+    texts_out = {r["text"] for r in out}
+    assert got[20] == got[30] == got[31] == got[40] == got[42] == 0          # copy, no text, no words, leak, one word
+    assert got[41] == 1 and long in texts_out                                # very long texts stay whole
+    assert got[3] == 2 and got[None] == 1                                    # one of two equal rows; another text under the same id
+    assert not any("Zk93kdLpq20xMn" in t for t in texts_out) and sum(secret_scan.MASK in t for t in texts_out) == 1
+    con = duckdb.connect()
+    con.register("documents", spark.createDataFrame([(r["doc_id"], r["text"], r["source"]) for r in out], "doc_id long, text string, source string").toPandas())
+    want = Counter((None if r[0] is None or r[0] != r[0] else int(r[0]), *r[1:]) for r in con.execute(mix.MIX_SQL).fetchall())
+    assert Counter((r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in out) == want
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    docs = odd_documents(spark, [(1, prose_of(1, 90), "a")])
+    labels, benchmark = spark.createDataFrame([], "doc_id long, quality int, toxic int"), spark.createDataFrame([], "item_id long, text string")
+    (tmp_path / "x").mkdir(), (tmp_path / "y").mkdir()
+    assert run_pipeline(spark, tmp_path / "x", docs.where("false"), labels, benchmark).count() == 0
+    assert [r["doc_id"] for r in run_pipeline(spark, tmp_path / "y", docs, labels, benchmark).collect()] == [1]
+
+
+def test_stages_keep_the_columns_of_documents(spark):
+    import corpus_pipeline
+    docs = odd_documents(spark, [(k, prose_of(k, 90), None) for k in range(5)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF001).columns == docs.columns, name

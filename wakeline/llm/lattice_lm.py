@@ -68,13 +68,15 @@ class Lattice:
         self.pieces, self.logp = pieces, logp
         self.number = {p: i for i, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
-        hashes = np.array([self._hash(p) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.of = hashes[order], order
-        if len(np.unique(hashes)) < len(hashes):
+        self.hashes = np.array([self._hash(p) for p in pieces], np.uint64)
+        if len(np.unique(self.hashes)) < len(pieces):
             raise ValueError("two pieces have one hash")
-        self.slots = np.zeros(1 << 20, bool)
-        self.slots[self._slot(self.hashes)] = True
+        self.slots, rest = [], np.arange(len(pieces), dtype=np.int32)   # pieces by slot; those that find theirs taken go to the next table
+        while len(rest) or not self.slots:
+            table, slot = np.full(1 << 20, -1, np.int32), self._slot(self.hashes[rest])
+            table[slot[::-1]] = rest[::-1]
+            self.slots.append(table)
+            rest = rest[table[slot] != rest]
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -87,6 +89,19 @@ class Lattice:
     def _slot(hashes: np.ndarray) -> np.ndarray:
         return (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
 
+    def _standing(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows whose hash is a piece's, and these pieces."""
+        slot = self._slot(h)
+        rows, out = np.flatnonzero(self.slots[0][slot] >= 0), []
+        for table in self.slots:
+            piece = table[slot[rows]]
+            real = (piece >= 0) & (self.hashes[piece] == h[rows])
+            out.append((rows[real], piece[real]))
+            rows = rows[~real & (piece >= 0)]
+            if not len(rows):
+                break
+        return tuple(np.concatenate(x) for x in zip(*out)) if len(out) > 1 else out[0]
+
     def bytes_of(self, character: str) -> list[int]:
         return [len(self.pieces) + b for b in character.encode("utf-8", "surrogatepass")]
 
@@ -98,11 +113,9 @@ class Lattice:
             h = np.zeros(n, np.uint64)
             for j in range(i + 1, min(length, i + self.longest) + 1):
                 h = h * PRIME + chars[:, j - 1] + np.uint64(1)
-                rows = np.flatnonzero(self.slots[self._slot(h)])
-                at = np.minimum(np.searchsorted(self.hashes, h[rows]), len(self.hashes) - 1)
-                real = self.hashes[at] == h[rows]
-                if real.any():
-                    edges.append((i, j, rows[real], self.of[at[real]]))
+                rows, pieces = self._standing(h)
+                if len(rows):
+                    edges.append((i, j, rows, pieces))
         return edges
 
     def _unknown(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
