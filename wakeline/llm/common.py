@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.drift import broadcast_if_small
 from ..session import materialize
 
 #: ASCII white space, as a Java regular expression.
@@ -60,8 +61,9 @@ def prefix_sum(ranged: DataFrame, group: list[str], order: list[str], value: Col
 
     ``ranged`` comes from ``range_sorted``.  A sum inside each range plus an
     offset for the ranges before it; only groups that lie in several ranges
-    have one, so the broadcast offsets are at most twice as many rows as there
-    are ranges.  Groups with a null key are groups like others."""
+    have one, at most twice as many rows as there are ranges.  They are counted
+    and broadcast if few, else joined by a shuffle.  Groups with a null key are
+    groups like others."""
     valued = ranged.withColumn("_value", value)
     totals = valued.groupBy("_pid", *group).agg(F.sum("_value").alias("_total"))
     each = Window.partitionBy(*group)
@@ -75,6 +77,6 @@ def prefix_sum(ranged: DataFrame, group: list[str], order: list[str], value: Col
         same &= F.col(g).eqNullSafe(F.col(f"_o{g}"))
     zero = F.lit(0)
     return (valued.withColumn("_local", F.coalesce(F.sum("_value").over(local), zero))
-            .join(F.broadcast(offsets), same, "left")
+            .join(broadcast_if_small(offsets), same, "left")
             .withColumn(out, F.col("_local") + F.coalesce(F.col("_offset"), zero))
             .drop("_value", "_local", "_offset", "_opid", *[f"_o{g}" for g in group]))
