@@ -63,19 +63,19 @@ def weekly_state(pings: DataFrame, watermark: str = "1 day", dedupe: bool = True
     """K1/K3 on a streaming ping DataFrame: the mergeable partials of each
     vessel-week, emitted when the watermark closes the week.
 
-    The state has one row of numeric partials per vessel-week and one count per
-    distinct value of the columns that need a distribution; no list of readings."""
+    The state has one row of numeric partials per vessel-week, and apart from it
+    one narrow count per distinct value of the columns that need a distribution;
+    no list of readings.  Rows of the first kind have ``NUMERIC`` as ``_col``."""
     s = pings.withColumn("ts", utc_instant("ts")).withWatermark("ts", watermark)
     if dedupe:
         s = s.dropDuplicatesWithinWatermark([key, "ts"])
-    none = F.lit(None)
-    numeric = F.struct(F.lit(NUMERIC).alias("_col"), none.cast("string").alias("_s"), none.cast("double").alias("_d"))
-    s = s.where(F.col("ts").isNotNull()).withColumn("_i", F.explode(F.array(numeric, *value_items(GROUPS)))).select("*", "_i.*")
-    whole = F.col("_col") == NUMERIC
-    parts = [{"sum": F.sum, "min": F.min, "max": F.max}[how](F.when(whole, c)).alias(k)
-             for k, (how, c) in partial_columns(GROUPS).items()]
-    return (s.groupBy(key, F.window("ts", *WEEK).alias("w"), "_col", "_s", "_d").agg(F.count(F.lit(1)).alias("_n"), *parts)
-            .withColumn("week_start", utc_date("w.start")).drop("w"))
+    s = s.where(F.col("ts").isNotNull())
+    week, at = F.window("ts", *WEEK).alias("w"), utc_date("w.start").alias("week_start")
+    parts = {k: {"sum": F.sum, "min": F.min, "max": F.max}[how](c).alias(k) for k, (how, c) in partial_columns(GROUPS).items()}
+    numeric = s.groupBy(key, week).agg(*parts.values()).select(key, at, F.lit(NUMERIC).alias("_col"), *parts)
+    values = (s.select(key, "ts", F.explode(F.array(*value_items(GROUPS))).alias("_i")).select(key, "ts", "_i.*")
+              .groupBy(key, week, "_col", "_s", "_d").agg(F.count(F.lit(1)).alias("_n")).select(key, at, "_col", "_s", "_d", "_n"))
+    return numeric.unionByName(values, allowMissingColumns=True)
 
 
 def run_weekly_stream(spark: SparkSession, source_dir: str, schema, sink: str, checkpoint: str,
