@@ -58,7 +58,7 @@ def test_generate_train_monitor(spark, tmp_path):
     scored = M.predict_proba(model, data, FEATURES)
     L.append_log(scored, log_dir, FEATURES)
     state = str(tmp_path / "state")
-    with pytest.raises(ValueError, match="out of sync"):
+    with pytest.raises(ValueError, match="other features"):
         J.monitor(spark, log_dir, runs, state, features=FEATURES[::-1])
     drifted, flagged = J.monitor(spark, log_dir, runs, state, period="2025-07-01")
     assert flagged is not None and isinstance(drifted, bool)

@@ -141,8 +141,8 @@ def load_model(path: str, expected_features: Sequence[str] | None = None) -> Pip
     if expected_features is not None:
         stored = json.loads(spark.read.text(f"{path}/features").first()[0])["columns"]
         if list(stored) != list(expected_features):
-            raise ValueError(f"The features of the model and of the schema have drifted out of sync: "
-                             f"stored {list(stored)}, expected {list(expected_features)}.")
+            raise ValueError(f"This model takes other features, or in another order: it has {list(stored)}, "
+                             f"asked for were {list(expected_features)}.")
     return model
 
 

@@ -7,6 +7,7 @@ we only set one ourselves when it is unset, as in local tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -72,7 +73,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint folder; create a scratch one only when unset (tests)."""
     d = checkpoint_dir(spark)
     if d is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="wakeline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
