@@ -127,6 +127,25 @@ def test_lm_base_score_and_counts(spark):
     assert lattice_lm.lm_scores(docs.limit(0)).count() == 0
 
 
+def test_rounds_end_with_a_small_gain(spark):
+    """The scores are those of rounds written out here, until one gains less than GAIN."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(60)
+    texts = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in docs.collect()}
+    held = {k: zlib.crc32(str(k).encode()) % 10 == 0 for k in texts}
+    train, ends = Counter(w for k, t in texts.items() if not held[k] for w in t), sum(not h for h in held.values())
+    pieces, logp = lattice_lm.read_pieces(lattice_lm.VOCABULARY)
+    words, whole = sorted(train), []
+    weights = np.array([train[w] for w in words], float)
+    while len(whole) < 2 or whole[-1] - whole[-2] >= lattice_lm.GAIN * abs(whole[-1]):
+        p, counts = lattice_lm.Lattice(pieces, logp).run(words, weights)
+        whole.append(float(p @ weights))
+        logp = np.log((counts + lattice_lm.SMOOTHING) / (counts.sum() + lattice_lm.SMOOTHING * len(counts) + ends))
+    assert 2 < len(whole) < lattice_lm.ROUNDS and whole == sorted(whole)
+    lattice, end = lattice_lm.Lattice(pieces, logp), math.log10(ends / (weights.sum() + ends + 1))
+    for r in lattice_lm.lm_scores(docs).collect():
+        assert r["score"] == pytest.approx(lattice.run(texts[r["doc_id"]])[0].sum() / math.log(10) + end, rel=1e-6)
+
+
 def test_common_words_do_not_change_scores(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     every = {r["doc_id"]: r for r in lattice_lm.lm_scores(docs).collect()}

@@ -8,10 +8,12 @@ log space).  No piece reaches over a word's end, so the probability of a text
 is the product of its tokens'.
 
 The file's scores are merge ranks, so a piece of rank r starts at a weight of
-1 / (r + RANK_SHIFT).  ``ROUNDS`` rounds of expected counts over all training
-words (forward and backward) replace these weights by the pieces' share in the
-training text, each plus ``SMOOTHING`` counts.  A character that is no piece
-stands for its bytes.
+1 / (r + RANK_SHIFT).  Rounds of expected counts over all training words
+(forward and backward) replace these weights by the pieces' share in the
+training text, each plus ``SMOOTHING`` counts.  The rounds end with the first
+one whose weights had made the training words' log probability less than
+``GAIN`` better than the weights before, or after ``ROUNDS``.  A character that
+is no piece stands for its bytes.
 
 Distribution.  Words are counted once (``_count``: per task in bounded tables,
 then one shuffle).  The word table then has each distinct word's counts and
@@ -42,7 +44,8 @@ from .common import materialize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 RANK_SHIFT = 10.0
-ROUNDS = 2
+GAIN = 0.005
+ROUNDS = 20
 SMOOTHING = 0.1
 #: Words whose characters are at most this many share a matrix.
 TOGETHER = 64
@@ -51,7 +54,9 @@ COMMON_BYTES = 256
 #: Distinct words that a task counts before it passes them on.
 HELD = 300_000
 MARK = "▁"
-PRIME = np.uint64(0x100000001B3)
+#: In place of a piece: the row with the words' log probability.
+WHOLE = -1
+PRIME = np.uint64(0x100000001B3)   # as in Lattice._hashes
 LN10 = float(np.log(10))
 
 
@@ -68,7 +73,8 @@ class Lattice:
         self.pieces, self.logp = pieces, logp
         self.number = {p: i for i, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
-        self.hashes = np.array([self._hash(p) for p in pieces], np.uint64)
+        starts = [self._hashes(p) for p in pieces]
+        self.hashes = np.array([h[-1] for h in starts], np.uint64)
         if len(np.unique(self.hashes)) < len(pieces):
             raise ValueError("two pieces have one hash")
         self.slots, rest = [], np.arange(len(pieces), dtype=np.int32)   # pieces by slot; those that find theirs taken go to the next table
@@ -77,17 +83,21 @@ class Lattice:
             table[slot[::-1]] = rest[::-1]
             self.slots.append(table)
             rest = rest[table[slot] != rest]
+        self.begun = np.zeros(1 << 22, bool)   # by slot: may be how a piece begins
+        self.begun[self._slot(np.array([h for hs in starts for h in hs], np.uint64), 22)] = True
 
     @staticmethod
-    def _hash(piece: str) -> int:
-        h = 0
+    def _hashes(piece: str) -> list[int]:
+        """The hashes of the piece's beginnings; the last is its own."""
+        h, out = 0, []
         for c in piece:
-            h = (h * int(PRIME) + ord(c) + 1) % (1 << 64)
-        return h
+            h = (h * 0x100000001B3 + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+            out.append(h)
+        return out
 
     @staticmethod
-    def _slot(hashes: np.ndarray) -> np.ndarray:
-        return (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+    def _slot(hashes: np.ndarray, bits: int = 20) -> np.ndarray:
+        return (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
 
     def _standing(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows whose hash is a piece's, and these pieces."""
@@ -109,13 +119,18 @@ class Lattice:
         """For words of one length (a row each): (start, end, rows, pieces) of
         all pieces that stand there, by start."""
         edges, n, length = [], *chars.shape
+        columns = np.ascontiguousarray(chars.T) + np.uint64(1)
         for i in range(length):
-            h = np.zeros(n, np.uint64)
+            left, h = np.arange(n), np.zeros(n, np.uint64)   # the rows that a piece may still follow
             for j in range(i + 1, min(length, i + self.longest) + 1):
-                h = h * PRIME + chars[:, j - 1] + np.uint64(1)
+                h = h * PRIME + columns[j - 1][left]
+                on = np.flatnonzero(self.begun[self._slot(h, 22)])
+                left, h = left[on], h[on]
+                if not len(left):
+                    break
                 rows, pieces = self._standing(h)
                 if len(rows):
-                    edges.append((i, j, rows, pieces))
+                    edges.append((i, j, left[rows], pieces))
         return edges
 
     def _unknown(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,13 +145,15 @@ class Lattice:
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1).astype(np.uint64)
         n, length = chars.shape
         edges, (unknown, distinct) = self._edges(chars), self._unknown(chars)
+        odd = np.isfinite(unknown).any(axis=0)   # places where some word has a character that is no piece
         alpha = np.full((length + 1, n), -np.inf)
         alpha[0] = 0
         by_start: list[list] = [[] for _ in range(length)]
         for e in edges:
             by_start[e[0]].append(e)
         for i in range(length):
-            alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + unknown[:, i])
+            if odd[i]:
+                alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + unknown[:, i])
             for _, j, rows, piece in by_start[i]:
                 alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + self.logp[piece])
         if weights is None:
@@ -145,12 +162,13 @@ class Lattice:
         beta = np.full((length + 1, n), -np.inf)
         beta[length] = 0
         for i in range(length - 1, -1, -1):
-            beta[i] = beta[i + 1] + unknown[:, i]
-            part = np.exp(alpha[i] + beta[i] - alpha[length]) * weights
-            for c in distinct.tolist():
-                if chr(c) not in self.number:
-                    share = part[chars[:, i] == c].sum()
-                    np.add.at(counts, self.bytes_of(chr(c)), share)
+            if odd[i]:
+                beta[i] = beta[i + 1] + unknown[:, i]
+                part = np.exp(alpha[i] + beta[i] - alpha[length]) * weights
+                for c in distinct.tolist():
+                    if chr(c) not in self.number:
+                        share = part[chars[:, i] == c].sum()
+                        np.add.at(counts, self.bytes_of(chr(c)), share)
             for _, j, rows, piece in by_start[i]:
                 through = self.logp[piece] + beta[j, rows]
                 beta[i, rows] = np.logaddexp(beta[i, rows], through)
@@ -242,13 +260,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _expected(lattice: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = 0
+        counts, total = 0, 0.0
         for batch in batches:
             n = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-            counts = counts + lattice().run(batch.column(0).to_pylist(), n)[1]
+            p, found = lattice().run(batch.column(0).to_pylist(), n)
+            counts, total = counts + found, total + float(p @ n)
         if not np.isscalar(counts):
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["piece", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, WHOLE].astype(np.int32)), pa.array(np.r_[counts[at], total])], ["piece", "n"])
 
     return run
 
@@ -339,17 +358,21 @@ def lm_scores(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     total, distinct = total + ends, distinct + bool(ends)
     # a vocabulary's pieces come to the driver and go out again, never words
     pieces, logp = read_pieces(vocabulary)
+    before = -np.inf
     for _ in range(ROUNDS):
-        expected = np.zeros(len(logp))
-        found = (counted.where("n_train > 0").select("word", "n_train")
-                 .mapInArrow(_expected(_shared_lattice(spark, pieces, logp)), "piece int, n double")
-                 .groupBy("piece").agg(F.sum("n").alias("n")))
-        for r in found.collect():
-            expected[r["piece"]] = r["n"]
-        if not expected.any():
+        expected = (counted.where("n_train > 0").select("word", "n_train")
+                    .mapInArrow(_expected(_shared_lattice(spark, pieces, logp)), "piece int, n double")
+                    .groupBy("piece").agg(F.sum("n").alias("n")))
+        found = {r["piece"]: r["n"] for r in expected.collect()}
+        if not found:
             break
-        expected += SMOOTHING
-        logp = np.log(expected / (expected.sum() + ends))
+        whole = found.pop(WHOLE)
+        share = np.full(len(logp), SMOOTHING)
+        share[list(found)] += list(found.values())
+        logp = np.log(share / (share.sum() + ends))
+        if whole - before < GAIN * abs(whole):
+            break
+        before = whole
     end_logp = float(np.log10(max(ends, SMOOTHING) / (total + 1)))
     table = (counted.mapInArrow(_likelihood(_shared_lattice(spark, pieces, logp)), "word binary, n long, n_train long, logp double"))
     floor = 0.1 * (distinct + 1) + total
