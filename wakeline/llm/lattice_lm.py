@@ -51,6 +51,8 @@ SMOOTHING = 0.1
 TOGETHER = 64
 COMMON = 1 << 17
 COMMON_BYTES = 256
+#: Words, and their bytes, that go through the lattice in one go.
+GATHERED, GATHERED_BYTES = 1 << 16, 16 << 20
 #: Distinct words that a task counts before it passes them on.
 HELD = 300_000
 MARK = "▁"
@@ -258,12 +260,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together: the lattice takes words of one length at once."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= GATHERED or size >= GATHERED_BYTES:
+            yield pa.Table.from_batches(held)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
 def _expected(lattice: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = 0, 0.0
-        for batch in batches:
-            n = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-            p, found = lattice().run(batch.column(0).to_pylist(), n)
+        for words in _gathered(batches):
+            n = words.column(1).to_numpy().astype(float)
+            p, found = lattice().run(words.column(0).to_pylist(), n)
             counts, total = counts + found, total + float(p @ n)
         if not np.isscalar(counts):
             at = np.flatnonzero(counts)
@@ -274,9 +289,9 @@ def _expected(lattice: Callable) -> Callable:
 
 def _likelihood(lattice: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = lattice().run(batch.column(0).to_pylist())[0] / LN10
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*batch.schema.names, "logp"])
+        for words in _gathered(batches):
+            p = lattice().run(words.column(0).to_pylist())[0] / LN10
+            yield from words.append_column("logp", pa.array(p)).to_batches()
 
     return run
 
