@@ -6,6 +6,7 @@ import random
 import uuid
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,25 @@ def test_rows_of_a_damaged_archive_stay_staged(spark, tmp_path, damage):
     assert [b["event_date"] for b in R.bad_files(raw).collect()] == [dt.date(2024, 3, 2)]
 
 
+@pytest.mark.parametrize("damage", [0.1, 0.2, 0.35, 0.8])
+def test_damage_met_while_reading_ahead_is_still_damage(tmp_path, damage):
+    """The fault may come up in the CSV reader's own thread; forty reads, one answer."""
+    r = random.Random(4)
+    archive(tmp_path / "aisdk-2024-03-02.zip", [(f"01/03/2024 00:{k % 60:02d}:00", r.randrange(10**6), r.random()) for k in range(60_000)], damage)
+    reader = R.ZipCsvReader({"path": str(tmp_path)})
+    for _ in range(40):
+        *_, last = reader.read(reader.partitions()[0])
+        assert last.column(2)[0].as_py().startswith("corrupt_zip")
+
+
+def test_bad_csv_in_a_whole_archive_fails_the_task(tmp_path):
+    with zipfile.ZipFile(tmp_path / "aisdk-2024-03-01.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("day.csv", "# Timestamp,IMO\n01/03/2024 00:00:00,1\n1,2,3,4\n")
+    reader = R.ZipCsvReader({"path": str(tmp_path)})
+    with pytest.raises(pa.ArrowInvalid):
+        list(reader.read(reader.partitions()[0]))
+
+
 def test_an_archive_is_opened_once(tmp_path, monkeypatch):
     archive(tmp_path / "aisdk-2024-03-01.zip", [("01/03/2024 00:00:00", k, 1.0) for k in range(100)])
     opened = []

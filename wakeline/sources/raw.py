@@ -12,6 +12,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import threading
+import zipfile
+import zlib
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +60,31 @@ class _Archive(InputPartition):
         self.path, self.day = path, day
 
 
+class _Member:
+    """A zip member that keeps the first fault of its bytes.  The CSV reader
+    reads ahead in a thread of its own and may meet the fault there, after which
+    the member just looks finished."""
+
+    closed = False
+
+    def __init__(self, member):
+        self.member, self.lock, self.fault = member, threading.Lock(), None
+
+    def read(self, size=-1):
+        with self.lock:
+            if self.fault is None:
+                try:
+                    return self.member.read(size)
+                except (zipfile.BadZipFile, EOFError, zlib.error) as e:
+                    self.fault = e
+            raise self.fault
+
+    def drain(self) -> None:
+        """Read to the end, where the checksum is compared."""
+        while self.read(1 << 20):
+            pass
+
+
 class ZipCsvReader(DataSourceReader):
     def __init__(self, options):
         self.root = options.get("path")
@@ -84,9 +112,6 @@ class ZipCsvReader(DataSourceReader):
         return out or [_Archive("", None)]
 
     def read(self, partition):
-        import zipfile
-        import zlib
-
         import pyarrow as pa
         import pyarrow.csv as pacsv
         import pyarrow.fs as pafs
@@ -117,7 +142,8 @@ class ZipCsvReader(DataSourceReader):
                 if self.inventory:  # central directory only, no member is decompressed
                     yield batch({}, 1, None)
                     return
-                with zf.open(members[0]) as member:     # inflated once; its checksum is compared at the end
+                with zf.open(members[0]) as opened:     # inflated once; its checksum is compared at the end
+                    member = _Member(opened)
                     opts = pacsv.ConvertOptions(
                         null_values=NULL_TOKENS, strings_can_be_null=True, quoted_strings_can_be_null=True,
                         include_columns=list(RAW_COLUMNS), include_missing_columns=True,
@@ -128,11 +154,9 @@ class ZipCsvReader(DataSourceReader):
                             cols = {RAW_COLUMNS[n]: rb.column(i) for i, n in enumerate(rb.schema.names)}
                             yield batch(cols, rb.num_rows, None)
                     except pa.ArrowInvalid:
-                        while member.read(1 << 20):     # damaged bytes need not be CSV: if so, the checksum tells
-                            pass
+                        member.drain()                  # damaged bytes need not be CSV: if so, the checksum tells
                         raise
-                    while member.read(1 << 20):
-                        pass
+                    member.drain()
         except (zipfile.BadZipFile, EOFError, zlib.error) as e:
             # a damaged archive is recorded; a fault of the store or of the CSV fails the task, which Spark runs again
             yield batch({}, 1, f"corrupt_zip: {type(e).__name__}")
