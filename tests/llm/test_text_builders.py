@@ -3,12 +3,14 @@
 import hashlib
 import itertools
 import math
+import os
 import re
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow.fs as pafs
 import pytest
 from conftest import SF001
 
@@ -171,6 +173,33 @@ def test_archives_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+class _NoReplace:
+    """A store whose move refuses to replace a file."""
+
+    def __init__(self, fs, moves):
+        self.fs, self.moves = fs, moves
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+    def move(self, a, b):
+        self.moves.append(b)
+        if os.path.exists(b) or b.endswith("never"):
+            raise OSError("exists")
+        self.fs.move(a, b)
+
+
+def test_a_second_attempt_replaces_the_file(tmp_path):
+    fs, path, moves = pafs.LocalFileSystem(), str(tmp_path / "a.warc.gz"), []
+    for store in (fs, _NoReplace(fs, moves)):
+        for data in (b"first", b"second"):
+            warc._save(store, path, lambda out, data=data: out.write(data))
+            assert open(path, "rb").read() == data
+    assert len(moves) == 4 and os.listdir(tmp_path) == ["a.warc.gz"]
+    with pytest.raises(OSError):    # no other attempt: the fault is the store's
+        warc._save(_NoReplace(fs, moves), str(tmp_path / "never"), lambda out: None)
+
+
 def test_damaged_archive_raises():
     import gzip
     import io

@@ -137,13 +137,18 @@ def read_record(member: bytes) -> dict:
 
 
 def _save(fs: pafs.FileSystem, path: str, write) -> None:
-    """Write a file under a name of this attempt, then give it its own."""
+    """Write a file under a name of this attempt, then give it its own; a file
+    of that name is replaced in one step where the store can do so."""
     temporary = f"{path}.{uuid.uuid4().hex}.tmp"
     with fs.open_output_stream(temporary, compression=None) as out:
         write(out)
-    if fs.get_file_info(path).type != pafs.FileType.NotFound:  # another attempt was faster; its file is the same
+    try:
+        fs.move(temporary, path)
+    except OSError:     # a store that moves onto no file: another attempt was faster, with the same records
+        if fs.get_file_info(path).type == pafs.FileType.NotFound:
+            raise
         fs.delete_file(path)
-    fs.move(temporary, path)
+        fs.move(temporary, path)
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
