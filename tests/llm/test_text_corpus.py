@@ -70,6 +70,34 @@ def test_repeats_match_brute_force(spark, monkeypatch, crowded, slice_bits, toge
     assert Counter(tuple(r) for r in out) == brute_repeats(rows)
 
 
+def noted_places(monkeypatch):
+    """The stored places of the runs to come."""
+    noted, keep = [], suffix_dedup.materialize
+    monkeypatch.setattr(suffix_dedup, "materialize", lambda df, *a, **k: noted.append(keep(df, *a, **k)) or noted[-1])
+    return noted
+
+
+def test_short_common_phrases_are_not_asked_for_their_bytes(spark, monkeypatch):
+    noted = noted_places(monkeypatch)
+    phrase = "a phrase of forty bytes that many have. "
+    rows = [(i, " ".join(prose(200 + 9 * i + k, 25, 60) + phrase for k in range(4))) for i in range(30)]
+    out = suffix_dedup.repeats(docs_of(spark, rows).repartition(3)).drop("spans").collect()
+    assert Counter(tuple(r) for r in out) == brute_repeats(rows)
+    assert noted[0].count() == 0
+
+
+@pytest.mark.parametrize("crowded", [0, 2, 8, 40])
+def test_crowded_anchors_go_by_sides(spark, monkeypatch, crowded):
+    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+    noted = noted_places(monkeypatch)
+    passages = [prose(900 + i, 20)[:n] for i, n in enumerate((58, 75, 99, 100, 101, 130))]
+    rows = [(i * 7 % 31, prose(300 + i, 12) + passages[i % 6] + prose(400 + i // 3, 9) + passages[(i + i // 6) % 6] + prose(500 + i, 12)) for i in range(31)]
+    out = suffix_dedup.repeats(docs_of(spark, rows).repartition(3)).drop("spans").collect()
+    assert Counter(tuple(r) for r in out) == brute_repeats(rows)
+    places = noted[0].where("NOT again").selectExpr("sum(IF(crowded, starts + 1, 0)) AS strings", "count(*) AS n").first()
+    assert places["n"] and (places["strings"] > 0 if crowded < 8 else crowded == 8 or not places["strings"])
+
+
 def test_repeated_rows_and_empty_table(spark):
     t = prose(3, 60)
     out = suffix_dedup.repeats(docs_of(spark, [(1, t), (1, t), (1, t), (2, "short"), (2, "short")])).collect()

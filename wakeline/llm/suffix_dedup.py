@@ -22,13 +22,21 @@ earliest of such a run are removed.  All collections of a task go through the
 rounds together.  The external files are the sorted shuffle of the pieces,
 read once in order; a task holds ``TOGETHER`` pieces or one collection.
 
+Sides.  A string that begins at least ``HALF`` bytes before its anchor holds the
+``HALF`` bytes before the anchor and the anchor, any other string the anchor and
+the bytes up to ``LENGTH - HALF + 1`` from it on.  A piece has a hash of either
+side that its strings need.  Only the strings of sides that another piece of
+the anchor has too are asked for their bytes: short common phrases, of which
+there are more the larger the table is, take no part in what follows.
+
 Groups of any size.  Equal pieces of an Arrow batch are put together before
 the shuffle, so a passage that a third of the documents share is one row per
 batch; of equal pieces in different batches the earliest alone is ordered.  An
-anchor with more than ``CROWDED`` different pieces (the edge of a common
+anchor with more than ``CROWDED`` different pieces left (the edge of a common
 passage, with other text after it in every document) is no collection of its
-own: its pieces are cut into their single strings, each a collection under the
-string's hash, put together per batch as above.
+own: each of its sides is one.  Sides that have more still are cut into their
+single strings, each a collection under the string's hash, put together per
+batch as above.
 
 Cases: a null text is empty.  Among rows with one doc_id the order is that of
 the texts' hashes; of rows alike in doc_id and text the first counts as
@@ -54,6 +62,7 @@ from .common import materialize
 LENGTH = 100
 GRAM = 16
 WINDOW = LENGTH - GRAM + 1
+HALF = WINDOW // 2
 #: Bytes that are cut up at a time, as a power of two.
 SLICE_BITS = 20
 CROWDED = 2048
@@ -100,6 +109,25 @@ def least_in_window(keys: np.ndarray, window: int) -> np.ndarray:
     return least
 
 
+def _sums(h: np.ndarray, powers: _Powers) -> np.ndarray:
+    return np.r_[np.uint64(0), np.cumsum(h * powers.up[:len(h)])]
+
+
+def sides(data: np.ndarray, first: np.ndarray, last: np.ndarray, anchor: np.ndarray, powers: _Powers) -> tuple[np.ndarray, ...]:
+    """32 bits of a hash of the bytes that all strings share which begin ``HALF``
+    bytes or more before the anchor, whether the piece has such strings, and both
+    again for its other strings."""
+    sums = _sums(gram_hashes(data), powers)
+    far, near = anchor - first >= HALF, anchor - last < HALF
+
+    def hashed(begin: np.ndarray, there: np.ndarray, grams: int) -> np.ndarray:
+        begin = np.where(there, begin, 0)
+        end = np.where(there, begin + grams, 0)
+        return (_mixed((sums[end] - sums[begin]) * powers.down[begin]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+    return hashed(anchor - HALF, far, HALF + 1), far, hashed(anchor, near, WINDOW - HALF + 1), near
+
+
 def cut(data: np.ndarray, begin: np.ndarray, size: np.ndarray, powers: _Powers) -> tuple[np.ndarray, ...]:
     """The pieces of slices that lie one after the other in ``data``: (slice,
     first start, last start, anchor, the anchor's hash, the content's hash)."""
@@ -113,7 +141,7 @@ def cut(data: np.ndarray, begin: np.ndarray, size: np.ndarray, powers: _Powers)
     new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (of[1:] != of[:-1])]) if len(of) else np.empty(0, np.int64)
     last = start[np.r_[new[1:], len(start)] - 1] if len(of) else new
     of, lo, anchor = of[new], start[new], anchor[new]
-    sums = np.r_[np.uint64(0), np.cumsum(h * powers.up[:len(h)])]
+    sums = _sums(h, powers)
     content = _mixed((sums[last + WINDOW] - sums[lo]) * powers.down[lo] ^ _mixed(((anchor - lo) << 32 | last - lo).astype(np.uint64)))
     return of, lo, last, anchor, h[anchor], content
 
@@ -186,18 +214,20 @@ def _cutter(doc_type: pa.DataType):
             found = []
             for data, begin, size, number, offset in _sliced(texts.to_pylist()):
                 of, lo, last, anchor, h, c = cut(data, begin, size, powers)
-                found.append((number[of], lo - begin[of] + offset[of], last - lo, anchor - lo, _signed(h), _signed(c)))
+                found.append((number[of], lo - begin[of] + offset[of], last - lo, anchor - lo, _signed(h), _signed(c),
+                              *sides(data, lo, last, anchor, powers)))
             if not found:
                 continue
-            doc, lo, starts, anchor, h, c = (np.concatenate(x) for x in zip(*found))
+            doc, lo, starts, anchor, h, c, left, far, right, near = (np.concatenate(x) for x in zip(*found))
             rank = _ranks(ids.to_pylist(), hashes.to_pylist())[doc]
             first, n, again = _put_together(h, c, rank, lo)
             # what repeats is dealt by itself: nothing else is asked of it
             rows, dealt = np.r_[first, again], np.r_[h[first], h[again] ^ _signed(_mixed((rank[again] << 24 ^ lo[again]).astype(np.uint64)))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(dealt), pa.array(np.r_[c[first], c[again]]), pa.array(np.r_[n, np.zeros(len(again), np.int64)]), ids.take(pa.array(doc[rows])).cast(doc_type),
-                 hashes.take(pa.array(doc[rows])), pa.array(lo[rows]), pa.array(anchor[rows].astype(np.int32)), pa.array(starts[rows].astype(np.int32))],
-                ["h", "c", "n", "d", "t", "lo", "anchor", "starts"])
+                 hashes.take(pa.array(doc[rows])), pa.array(lo[rows]), pa.array(anchor[rows].astype(np.int32)), pa.array(starts[rows].astype(np.int32)),
+                 pa.array(left[rows], mask=~far[rows]), pa.array(right[rows], mask=~near[rows])],
+                ["h", "c", "n", "d", "t", "lo", "anchor", "starts", "before", "after"])
 
     return cut_up
 
@@ -363,14 +393,34 @@ def repeats(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text") ->
     kind = texts.schema["d"].dataType
     arrow, d = to_arrow_type(kind), f"d {kind.simpleString()}"
     places = (texts.where(F.octet_length("text") >= LENGTH).select("d", "t", "text")
-              .mapInArrow(_cutter(arrow), f"h long, c long, n long, {d}, {PLACE}").repartition("h"))
-    # one shuffle: both windows find the rows of an anchor together
+              .mapInArrow(_cutter(arrow), f"h long, c long, n long, {d}, {PLACE}, before int, after int").repartition("h"))
+
+    def alike(*by: str):
+        return F.sum((~F.col("again")).cast("int")).over(Window.partitionBy(*by))
+
+    # one shuffle: all windows find the rows of an anchor together
     place = F.struct(F.col("d").isNull().alias("null"), "d", "t", "lo")
     seen = (places.withColumn("first", F.min(F.when(F.col("n") > 0, place)).over(Window.partitionBy("h", "c")))
             .withColumn("again", (F.col("n") == 0) | (place != F.col("first")))
-            .withColumn("pieces", F.sum((~F.col("again")).cast("int")).over(Window.partitionBy("h"))))
-    seen = materialize(seen.where("again OR pieces > 1")
-                       .select("h", "d", "t", "lo", "anchor", "starts", "again", (F.col("pieces") > CROWDED).alias("crowded")), "places")
+            .withColumn("pieces", alike("h")).where("again OR pieces > 1")
+            .withColumn("left", alike("h", "before")).withColumn("right", alike("h", "after"))
+            .withColumn("far", F.expr("before IS NOT NULL AND left > 1")).withColumn("near", F.expr("after IS NOT NULL AND right > 1"))
+            .where("again OR far OR near").withColumn("pieces", alike("h")))
+    crowded = F.col("pieces") > CROWDED
+    skipped = F.greatest(F.col("anchor") - (HALF - 1), F.lit(0))      # starts before the near ones
+
+    def part(h, lo, anchor, starts, crowded):
+        return F.struct(h.alias("h"), lo.alias("lo"), anchor.cast("int").alias("anchor"), starts.cast("int").alias("starts"), crowded.alias("crowded"))
+
+    whole = part(F.col("h"), F.col("lo"), F.col("anchor"), F.col("starts"), F.lit(False))
+    far = part(F.when(crowded, F.xxhash64("h", "before", F.lit(0))).otherwise(F.col("h")), F.col("lo"), F.col("anchor"),
+               F.least("starts", F.col("anchor") - HALF), crowded & (F.col("left") > CROWDED))
+    near = part(F.when(crowded, F.xxhash64("h", "after", F.lit(1))).otherwise(F.col("h")), F.col("lo") + skipped, F.col("anchor") - skipped,
+                F.col("starts") - skipped, crowded & (F.col("right") > CROWDED))
+    together = F.col("again") | (F.col("far") & F.col("near") & ~crowded)
+    parts = F.array_compact(F.array(F.when(together, whole), F.when(~together & F.col("far"), far), F.when(~together & F.col("near"), near)))
+    seen = materialize(seen.select("d", "t", "again", F.explode(parts).alias("part")).select("d", "t", "again", "part.*"),
+                       "places", keep_shuffles=False)
     key = [F.xxhash64("d").alias("k"), "t"]
     wanted = (seen.where(~F.col("again")).groupBy(*key)
               .agg(F.collect_set(F.struct("h", "lo", "anchor", "starts", "crowded")).alias("of")))
