@@ -127,6 +127,23 @@ def test_stream_state_is_bounded_by_distinct_values(spark):
     assert sum(op["numRowsTotal"] for op in ops) <= 3 * (1 + 4 + 4)    # numeric, one per single-valued column, speeds
 
 
+def test_stream_tells_repeats_once(spark):
+    """One state of seen pings and one of partials; late and repeated pings change nothing."""
+    r = random.Random(5)
+    rows = [ping(i, ts=T0 + dt.timedelta(minutes=37 * i), imo=1 + i % 3, sog=r.choice([None, 0.2, 1.5, 11.0]), status=r.choice([None, "Moored", "At anchor"]),
+                 length=r.choice([100.0, 101.0, None])) for i in range(200)]
+    late = [ping(0, ts=T0 + dt.timedelta(days=30), imo=9)]
+    df, base, src = spark.createDataFrame(rows, COLS), scratch(spark, "out"), scratch(spark, "in")
+    df.unionByName(df).unionByName(spark.createDataFrame(late, COLS)).write.parquet(src)
+    q = run_weekly_stream(spark, src, df.schema, f"{base}/out", f"{base}/ckpt", min_pings=1, state_partitions=2)
+    q.awaitTermination()
+    assert sorted(op["operatorName"] for op in q.lastProgress["stateOperators"]) == ["dedupeWithinWatermark", "stateStoreSave"]
+    assert q.recentProgress[0]["numInputRows"] == 401            # read once
+    rounded = lambda d: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in d.collect()), key=str)
+    expected = weekly_features(df, min_pings=1)
+    assert rounded(spark.read.parquet(f"{base}/out").select(*expected.columns)) == rounded(expected)
+
+
 def log_line(ts, x):
     return json.dumps({"timestamp": ts, "features": {"x": x}, "vessel_type": "Cargo", "probabilities": {"Cargo": 1.0}})
 
