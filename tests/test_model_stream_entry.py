@@ -30,6 +30,38 @@ def test_model_schema_contract(spark, tmp_path):
         M.load_model(str(tmp_path / "nothing"))
 
 
+def test_large_forest_is_grown_in_stored_parts(spark, tmp_path, monkeypatch):
+    rows = spark.range(60).selectExpr("if(id % 7 = 0, null, id % 10) AS a", "cast(id * 37 % 11 as double) AS b", "7 AS c",
+                                      "if(id % 10 < 4, 'x', if(id % 10 < 8, 'y', 'z')) AS label").repartition(3, "b")
+    features, names = ["a", "b", "c"], ["x", "y", "z"]
+    monkeypatch.setattr(M, "FIT_BOUND", 200)
+    monkeypatch.setattr(M, "PART_BOUND", 120)        # two trees of 60 rows at a time
+    m = M.train_forest(rows, features, "label", num_trees=5, max_depth=5, seed=3)
+    parts = list(m.load())
+    fits = [p.stages[3] for p in parts]
+    assert [f.getNumTrees for f in fits] == [2, 2, 1]
+    assert M.model_labels(m) == names and M.model_features(m) == features
+    out = M.predict_proba(m, rows, features)
+    assert out.columns == ["a", "b", "c", "label", "prediction", "probabilities"] and out.count() == 60
+    vectors = parts[0].stages[2].transform(parts[0].stages[1].transform(M.prepare(rows, features)))
+    vector = {(r.a, r.b): r["_features"] for r in vectors.select("a", "b", "_features").collect()}
+    good = 0
+    for i, r in enumerate(out.orderBy("a", "b").collect()):
+        if i % 10 == 0:                              # the votes of all five trees, added up here
+            votes = [sum(f.predictRaw(vector[r.a, r.b])[k] for f in fits) for k in range(3)]
+            assert [r.probabilities[n] for n in names] == pytest.approx([v / 5 for v in votes])
+        assert r.probabilities[r.prediction] == max(r.probabilities.values()) and sum(r.probabilities.values()) == pytest.approx(1)
+        good += r.prediction == r.label
+    assert good > 30
+    values = {r.feature: r.importance for r in M.impurity_importance(m).collect()}
+    each = [t.featureImportances.toArray() for f in fits for t in f.trees if t.depth > 0]
+    assert list(values.values()) == pytest.approx(sorted((sum(e) / len(each) for e in zip(*each)), reverse=True))
+    assert values["c__imp"] == 0 and sum(values.values()) == pytest.approx(1)
+    M.save_model(m, str(tmp_path / "run"), features)
+    again = M.predict_proba(M.load_model(str(tmp_path / "run"), features), rows, features)
+    assert sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
+
+
 def test_permutation_importance_of_a_rule(spark):
     df = spark.range(40).selectExpr("id", "cast(id % 2 as double) AS a", "cast(id % 3 as double) AS b",
                                     "if(id % 2 = 0, 'x', 'y') AS label")

@@ -5,6 +5,11 @@
 * Balanced class weights ``N / (k * n_c)`` come from a per-class count (one row
   per class) joined back to the rows.
 * Depth: "unlimited" is capped at 30, the largest depth spark.ml accepts.
+* spark.ml keeps the nodes of a fit in the driver, about half as many as rows
+  times trees.  A forest with more than ``FIT_BOUND`` of these is grown by
+  several fits of fewer trees (``PART_BOUND``), each stored as soon as it is
+  grown (``ForestParts``), so the driver holds one of them at a time.  Scores are the
+  votes of all trees as before; only a forest of one fit is one spark.ml model.
 * Permutation importance shifts the rows by one place in hash order, another
   order per repeat; places come from range-partitioned running counts, so no
   permutation needs one task.  One row per repeat is shuffled; the copies per
@@ -14,7 +19,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -25,10 +32,33 @@ from pyspark.sql import functions as F
 
 from ..config import FOREST_MAX_DEPTH, FOREST_MIN_LEAF, FOREST_TREES, RANDOM_SEED
 from ..functions import hash_order
+from ..session import materialize, scratch_path
 from ..sources.sinks import path_exists
 from .drift import broadcast_if_small
 from .prefix import running_sum
 
+#: Training rows times trees of a forest grown by one fit, and of each fit of a
+#: larger one, whose trees are also written from the driver.
+FIT_BOUND = 1_000_000
+PART_BOUND = 500_000
+#: Between the seeds of two fits; spark.ml adds the partition's number to a seed.
+SEED_STEP = 1 << 32
+
+
+class ForestParts(NamedTuple):
+    """A forest in stored parts, each a pipeline model with some of the trees."""
+    paths: list[str]
+    labels: list[str]
+    features: list[str]
+
+    def load(self) -> Iterator[PipelineModel]:
+        """One part after the other; the driver need not keep any."""
+        for path in self.paths:
+            yield PipelineModel.load(path)
+
+
+Forest = PipelineModel | ForestParts
+
 
 def _imp(f: str) -> str:
     return f"{f}__imp"
@@ -88,62 +118,108 @@ def forest_pipeline(features: Sequence[str], label: str, num_trees: int = FOREST
     ])
 
 
-def train_forest(df: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
+def train_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = FOREST_TREES,
+                 seed: int = RANDOM_SEED, **params) -> Forest:
     """Fit on ``df``; the returned model maps predictions back to class names."""
     data = with_class_weights(prepare(df, features), label)
-    fitted = forest_pipeline(features, label, **params).fit(data)
-    labels = fitted.stages[0].labels
-    back = IndexToString(inputCol="_pred_idx", outputCol="prediction", labels=labels)
-    return PipelineModel(stages=fitted.stages + [back])
+    n = data.count() if num_trees > 1 else 0
+    if n * num_trees > FIT_BOUND:
+        return _train_parts(data, list(features), label, num_trees, max(1, PART_BOUND // n), seed, params)
+    fitted = forest_pipeline(features, label, num_trees=num_trees, seed=seed, **params).fit(data)
+    return PipelineModel(stages=fitted.stages + [_class_names(fitted.stages[0].labels)])
 
 
-def model_labels(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].labels)
+def _class_names(labels: list[str]) -> IndexToString:
+    return IndexToString(inputCol="_pred_idx", outputCol="prediction", labels=labels)
 
 
-def model_features(model: PipelineModel) -> list[str]:
+def _train_parts(data: DataFrame, features: list[str], label: str, num_trees: int, per_fit: int, seed: int,
+                 params: dict) -> ForestParts:
+    """Fits of ``per_fit`` trees, each with a seed of its own.  Index, medians and vectors are made once."""
+    *front, grower = forest_pipeline(features, label, **params).getStages()
+    front = Pipeline(stages=front).fit(data)
+    vectors = front.transform(data).select("_label_idx", "_features", "weight").transform(materialize, "vectors")
+    # a fit of one tree would take all features at each node
+    grower = grower.setFeatureSubsetStrategy("sqrt")
+    base = scratch_path(data.sparkSession, f"forest/{uuid.uuid4().hex[:12]}")
+    labels, paths = list(front.stages[0].labels), []
+    for i, first in enumerate(range(0, num_trees, per_fit)):
+        trees = grower.setNumTrees(min(per_fit, num_trees - first)).setSeed(seed + i * SEED_STEP).fit(vectors)
+        paths.append(f"{base}/{i:05d}")
+        PipelineModel(stages=[*front.stages, trees, _class_names(labels)]).write().save(paths[-1])
+    return ForestParts(paths, labels, features)
+
+
+def model_labels(model: Forest) -> list[str]:
+    return list(model.labels if isinstance(model, ForestParts) else model.stages[0].labels)
+
+
+def model_features(model: Forest) -> list[str]:
+    if isinstance(model, ForestParts):
+        return list(model.features)
     return [c[: -len("__imp")] for c in model.stages[1].getOutputCols()]
 
 
-def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+def _scored(model: Forest, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The rows with ``prediction`` and ``_share``, the trees' share for each class (and for unseen labels)."""
+    rows = prepare(df, features)
+    used = ["_features", "_raw", "_proba", "_pred_idx", "_label_idx", *[_imp(f) for f in features]]
+    missing = [_miss(f) for f in features]
+    if not isinstance(model, ForestParts):
+        return model.transform(rows).withColumn("_share", vector_to_array("_proba")).drop(*used, *missing)
+    # the votes are carried along with the rows: no key is needed to add them up
+    rows = rows.withColumn("_votes", F.array(*[F.lit(0.0)] * (len(model.labels) + 1)))
+    for part in model.load():
+        votes = F.zip_with("_votes", vector_to_array("_raw"), lambda a, b: a + b)
+        rows = part.transform(rows).withColumn("_votes", votes).drop(*used, "prediction").transform(materialize, "votes")
+    total = F.aggregate("_votes", F.lit(0.0), lambda a, x: a + x)
+    best = F.array_position("_votes", F.array_max("_votes")).cast("int")     # the first of equals, as in spark.ml
+    return (rows.withColumn("prediction", F.get(F.array(*[F.lit(x) for x in model.labels]), best - 1))
+            .withColumn("_share", F.transform("_votes", lambda x: x / total)).drop("_votes", *missing))
+
+
+def predict(model: Forest, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Batch prediction, ``prediction`` column with the class name."""
-    return model.transform(prepare(df, features)).drop("_features", "_raw", "_proba", "_pred_idx",
-                                                       "_label_idx", *[_imp(f) for f in features],
-                                                       *[_miss(f) for f in features])
+    return _scored(model, df, features).drop("_share")
 
 
-def predict_proba(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+def predict_proba(model: Forest, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """I4: prediction plus a class -> probability map."""
     names = model_labels(model)
     labels = F.array(*[F.lit(x) for x in names])
-    scored = model.transform(prepare(df, features))
     # the label indexer keeps one extra slot for unseen labels: drop it
-    probs = F.slice(vector_to_array("_proba"), 1, len(names))
-    scored = scored.withColumn("probabilities", F.map_from_arrays(labels, probs))
-    return scored.drop("_features", "_raw", "_proba", "_pred_idx", "_label_idx",
-                       *[_imp(f) for f in features], *[_miss(f) for f in features])
+    probs = F.slice("_share", 1, len(names))
+    return _scored(model, df, features).withColumn("probabilities", F.map_from_arrays(labels, probs)).drop("_share")
 
 
-def save_model(model: PipelineModel, path: str, features: Sequence[str]) -> None:
-    """Model plus its ordered feature list, side by side under ``path``."""
+def save_model(model: Forest, path: str, features: Sequence[str]) -> None:
+    """Model plus its ordered feature list, side by side under ``path``; a
+    forest in parts as ``model/00000`` and so on, with their number in the list."""
     spark = SparkSession.getActiveSession()
-    model.write().overwrite().save(f"{path}/model")
-    spark.createDataFrame([(json.dumps({"columns": list(features)}),)], "schema string") \
+    about = {"columns": list(features)}
+    if isinstance(model, ForestParts):
+        about["parts"], about["labels"] = len(model.paths), model.labels
+        for i, part in enumerate(model.load()):
+            part.write().overwrite().save(f"{path}/model/{i:05d}")
+    else:
+        model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(json.dumps(about),)], "schema string") \
          .coalesce(1).write.mode("overwrite").text(f"{path}/features")
 
 
-def load_model(path: str, expected_features: Sequence[str] | None = None) -> PipelineModel:
+def load_model(path: str, expected_features: Sequence[str] | None = None) -> Forest:
     """Load; raise when the stored feature order differs from the expected one."""
     spark = SparkSession.getActiveSession()
     if not path_exists(spark, f"{path}/model"):
         raise FileNotFoundError(f"{path} holds no model; a training run writes one.")
-    model = PipelineModel.load(f"{path}/model")
-    if expected_features is not None:
-        stored = json.loads(spark.read.text(f"{path}/features").first()[0])["columns"]
-        if list(stored) != list(expected_features):
-            raise ValueError(f"This model takes other features, or in another order: it has {list(stored)}, "
-                             f"asked for were {list(expected_features)}.")
-    return model
+    about = json.loads(spark.read.text(f"{path}/features").first()[0])
+    stored = about["columns"]
+    if expected_features is not None and list(stored) != list(expected_features):
+        raise ValueError(f"This model takes other features, or in another order: it has {list(stored)}, "
+                         f"asked for were {list(expected_features)}.")
+    if "parts" in about:
+        return ForestParts([f"{path}/model/{i:05d}" for i in range(about["parts"])], about["labels"], list(stored))
+    return PipelineModel.load(f"{path}/model")
 
 
 def permutation_importance(score: Callable[[DataFrame], DataFrame], test: DataFrame, features: Sequence[str],
@@ -193,11 +269,24 @@ def write_selected_schema(importances: DataFrame, dataset: DataFrame, path: str,
     return chosen
 
 
-def impurity_importance(model: PipelineModel) -> DataFrame:
+def impurity_importance(model: Forest) -> DataFrame:
     """Impurity importances of the fitted forest, one row per vector slot."""
     spark = SparkSession.getActiveSession()
-    forest = model.stages[3]
-    names = model.stages[2].getInputCols()
-    vals = forest.featureImportances.toArray().tolist()  # one value per input column
+    if isinstance(model, ForestParts):
+        names, vals = _part_importances(model)
+    else:
+        names, vals = model.stages[2].getInputCols(), model.stages[3].featureImportances.toArray().tolist()  # one value per input column
     return spark.createDataFrame(list(zip(names, vals)), "feature string, importance double") \
                 .orderBy(F.desc("importance"))
+
+
+def _part_importances(model: ForestParts) -> tuple[list[str], list[float]]:
+    """The mean over all trees that split anything: each part's values are the mean over its own."""
+    names, sums, trees = [], [], 0
+    for part in model.load():
+        names, forest = part.stages[2].getInputCols(), part.stages[3]
+        n = sum(t.depth > 0 for t in forest.trees)
+        vals = forest.featureImportances.toArray().tolist()
+        sums = [a + n * b for a, b in zip(sums or [0.0] * len(vals), vals)]
+        trees += n
+    return names, [x / max(trees, 1) for x in sums]
