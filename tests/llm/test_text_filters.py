@@ -81,6 +81,14 @@ def test_quality_score_is_the_mean_log_ratio(spark):
         assert r["score"] == pytest.approx(np.mean([ratio(x) for x in f]), abs=1e-4)
 
 
+def test_quality_features_are_counted_in_generated_code(spark):
+    rows = quality._feature_rows(docs_of(spark, ["a b\n\na  b c", "", None, " \t", "b"]))
+    one, two = (lambda x: quality._feature(F.lit(x))), (lambda x, y: quality._feature(F.lit(x), F.lit(y)))
+    grams = [one("a"), one("b"), one("a"), one("b"), one("c"), two("a", "b"), two("b", "a"), two("a", "b"), two("b", "c"), one("b")]
+    assert sorted(r[0] for r in rows.collect()) == sorted(spark.range(1).select(F.array(*grams)).first()[0])
+    assert "lambdafunction" not in rows._jdf.queryExecution().toString()
+
+
 def test_quality_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     kept = quality.keep_good(docs_of(spark, QUALITY_TEXTS), none)

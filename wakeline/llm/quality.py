@@ -52,10 +52,14 @@ def _feature(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
 
-def _features(w: Column) -> Column:
-    """The feature of each word, then of each pair of neighbours."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: _feature(F.get(w, i - 1), F.get(w, i)))
-    return F.concat(F.transform(w, lambda x: _feature(x)), F.when(F.size(w) > 1, pairs).otherwise(F.array().cast("array<int>")))
+def _feature_rows(texts: DataFrame) -> DataFrame:
+    """A row for the feature of each word and of each pair of neighbours.  Words become
+    rows before they are hashed: this runs as generated code, a lambda over the array would not."""
+    word, at = F.col("_x"), F.col("_i")
+    pair = F.when(at > 0, _feature(F.get(F.col("_w"), at - 1), word))
+    # the words in a step of their own: written into the features, they would be cut anew for each
+    return (texts.select(words(F.col("text")).alias("_w")).select("_w", F.posexplode("_w").alias("_i", "_x"))
+            .select(F.explode(F.array(_feature(word), pair)).alias("feature")).where("feature is not null"))
 
 
 def _score(w: Column, ratios: list[float]) -> Column:
@@ -83,9 +87,7 @@ def _quantile(steps: list[tuple[int, int]], part: float) -> float:
 
 def _counts(texts: DataFrame) -> list[int]:
     out = [0] * BUCKETS
-    # the words in a step of their own: written into the features, they would be cut anew for each
-    rows = (texts.select(words(F.col("text")).alias("_w")).select(F.explode(_features(F.col("_w"))).alias("feature"))
-            .groupBy("feature").agg(F.count("*").alias("n")))
+    rows = _feature_rows(texts).groupBy("feature").agg(F.count("*").alias("n"))
     for x in rows.collect():  # one row per feature, BUCKETS at most
         out[x["feature"]] = x["n"]
     return out
@@ -127,7 +129,7 @@ def quality_columns(rows: DataFrame, text: Column, model: QualityModel) -> DataF
     covered = F.array_distinct(F.flatten(F.transform(twice, lambda i: F.array(i, i + 1, i + 2))))
     found = (rows.select(*before, words(text).alias("_w"), F.length(symbols).cast("long").alias("n_symbols"), lines.alias("_lines"))
              .select(*before, "_w", F.size(w).cast("long").alias("n_words"),
-                     F.aggregate(w, F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("word_chars"), "n_symbols",
+                     F.length(F.array_join(w, "")).cast("long").alias("word_chars"), "n_symbols",
                      (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
                      F.when(F.size(w) >= 4, grams).alias("_grams")))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
