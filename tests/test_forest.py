@@ -81,6 +81,16 @@ def test_jobs_do_not_grow_with_the_trees(spark, monkeypatch):
     assert jobs[1] == pytest.approx(jobs[0], abs=3)
 
 
+def test_importances_without_loading_the_trees(spark, monkeypatch):
+    monkeypatch.setattr(M, "FIT_BOUND", 100)
+    m = M.train_forest(_rows(spark, 60), ["a", "b", "c"], "label", num_trees=5, max_depth=4)
+    want = {r.feature: r.importance for r in M.impurity_importance(m).collect()}
+    each = [t.featureImportances.toArray() for p in m.load() for t in p.stages[3].trees if t.depth > 0]
+    assert [want[x] for x in m.columns] == pytest.approx([sum(e) / len(each) for e in zip(*each)])
+    monkeypatch.setattr(M.ForestParts, "load", None)
+    assert {r.feature: r.importance for r in M.impurity_importance(m).collect()} == want
+
+
 def test_forest_without_a_split(spark, monkeypatch):
     monkeypatch.setattr(M, "FIT_BOUND", 10)
     m = M.train_forest(_rows(spark, 40), ["c"], "label", num_trees=3)

@@ -470,6 +470,20 @@ def votes(rows: DataFrame, n: int, columns: Sequence[str], tops: list[Top], how:
     return total.select(ROW, F.array(*[F.col(x) / float(VOTE) for x in names]).alias("_votes"))
 
 
+def tree_importances(spark, tops: list[Top], how: Settings, path: str) -> np.ndarray:
+    """One row per tree: its features' importances, as shares of their sum (zeros for a tree without a split)."""
+    out = np.zeros((how.trees, len(how.splits)))
+    each = spark.read.parquet(path).select("tree", F.posexplode("importance").alias("f", "w")).groupBy("tree", "f").agg(F.sum("w").alias("w"))
+    for r in each.collect():                   # trees times features
+        out[r["tree"], r["f"]] = r["w"]
+    for tree, top in enumerate(tops):
+        if top.feature[0] >= 0:
+            split = [v for v, f in enumerate(top.feature) if f >= 0]
+            out[tree] += importances(*(np.array([x[v] for v in split]) for x in (top.feature, top.counts, top.gain)), how)
+    sums = out.sum(axis=1, keepdims=True)
+    return np.divide(out, sums, out=out, where=sums > 0)
+
+
 def node_rows(spark, first: int, last: int, tops: list[Top], how: Settings, path: str) -> Iterator[tuple]:
     """The nodes of the trees [first, last) as spark.ml stores them, tree by tree."""
     kept = spark.read.parquet(path).where(F.col("tree").between(first, last - 1)).select("tree", "node", *KINDS)

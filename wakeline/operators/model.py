@@ -352,6 +352,9 @@ def impurity_importance(model: Forest) -> DataFrame:
 
 def _part_importances(model: ForestParts | StoredFits) -> tuple[list[str], list[float]]:
     """The mean over all trees that split anything."""
+    if isinstance(model, ForestParts):
+        each = G.tree_importances(SparkSession.getActiveSession(), model.tops, model.settings, f"{model.path}/trees")
+        return model.columns, (each.sum(axis=0) / max(int((each.sum(axis=1) > 0).sum()), 1)).tolist()
     names, sums, trees = [], [], 0
     for part in model.load():                  # each part's values are the mean over its own trees
         names, forest = part.stages[2].getInputCols(), part.stages[3]
